@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fluvion.llm.decontamination import decontaminate
 from fluvion.llm.quality import robust_quality
+from fluvion.llm.sharding import balanced_shards
 from fluvion.session import table
 
 
@@ -12,8 +14,66 @@ def op1_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return robust_quality(table(spark, sf_dir, "documents"))
 
 
+def op2_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balanced_shards(table(spark, sf_dir, "documents"), shards=8)
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_near_items")
+
+
 QUERIES = {
     "op1_quality_mcd": op1_quality_mcd,
+    "op2_balanced_shards": op2_balanced_shards,
+    "op6_decontamination": op6_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+#: CRC-32 by its table of 256 remainders, which a recursive query builds.
+CRC32 = """bits(b, r, k) AS (
+  SELECT range, range, 0 FROM range(256)
+  UNION ALL SELECT b, CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END, k + 1 FROM bits WHERE k < 8
+), crc_table AS (SELECT list(r ORDER BY b) AS t FROM bits WHERE k = 8)"""
+
+OP2 = f"""
+WITH RECURSIVE {CRC32}, sized AS (
+  SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS BIGINT) AS size,
+    CAST(xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda p: ('0x' || p)::BIGINT)),
+      lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS BIGINT) AS text_crc32
+  FROM documents, crc_table
+), summed AS (
+  SELECT *, CAST(sum(size) OVER (ORDER BY doc_id, text_crc32, size ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS start, CAST(sum(size) OVER () AS BIGINT) AS total FROM sized
+), placed AS (
+  SELECT *, CAST(least(((2 * start + size) * 8) // (2 * total), 7) AS INTEGER) AS shard FROM summed
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY start, doc_id) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM placed
+"""
+
+#: Lower-cased words of a text column, for exact windows.
+WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP6 = f"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+b AS (SELECT item_id, {WORDS} AS w FROM benchmark),
+lengths AS (SELECT DISTINCT least(len(w), 13) AS k FROM b WHERE len(w) > 0),
+item_windows AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[s + 1:s + k], ' ') AS window_text
+  FROM (SELECT item_id, w, least(len(w), 13) AS k, unnest(range(0, len(w) - least(len(w), 13) + 1)) AS s FROM b WHERE len(w) > 0)
+),
+doc_windows AS (
+  SELECT doc_id, k, s, array_to_string(w[s + 1:s + k], ' ') AS window_text
+  FROM (SELECT doc_id, w, k, unnest(range(0, len(w) - k + 1)) AS s FROM d, lengths WHERE len(w) >= k)
+),
+found AS (SELECT doc_id, item_id, s, k FROM doc_windows JOIN item_windows USING (k, window_text)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + k)) AS p FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_balanced_shards": OP2,
+    "op6_decontamination": OP6,
+}
