@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,3 +38,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per Spark context, so Python tasks can import it."""
+    context = spark.sparkContext
+    if ship.__dict__.get("context") == context.applicationId:
+        return
+    root = Path(__file__).parent
+    target = Path(tempfile.mkdtemp(prefix="spark-fluvion-")) / "fluvion.zip"
+    with zipfile.ZipFile(target, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(target))
+    ship.context = context.applicationId
