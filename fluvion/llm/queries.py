@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from fluvion.llm.decontamination import decontaminate
 from fluvion.llm.quality import robust_quality
 from fluvion.llm.sharding import balanced_shards
+from fluvion.llm.tokenfiles import token_files
 from fluvion.session import table
 
 
@@ -18,6 +20,10 @@ def op2_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balanced_shards(table(spark, sf_dir, "documents"), shards=8)
 
 
+def op3_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_near_items")
 
@@ -25,6 +31,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_mcd": op1_quality_mcd,
     "op2_balanced_shards": op2_balanced_shards,
+    "op3_bit_planes": op3_bit_planes,
     "op6_decontamination": op6_decontamination,
 }
 
