@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from fluvion.llm.decontamination import decontaminate
+from fluvion.llm.near_dedup import near_duplicates
 from fluvion.llm.quality import robust_quality
 from fluvion.llm.sharding import balanced_shards
 from fluvion.llm.tokenfiles import token_files
@@ -24,6 +25,10 @@ def op3_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op4_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_near_items")
 
@@ -32,6 +37,7 @@ QUERIES = {
     "op1_quality_mcd": op1_quality_mcd,
     "op2_balanced_shards": op2_balanced_shards,
     "op3_bit_planes": op3_bit_planes,
+    "op4_superminhash": op4_superminhash,
     "op6_decontamination": op6_decontamination,
 }
 
