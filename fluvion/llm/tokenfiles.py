@@ -17,6 +17,7 @@ document table of each segment. The chunk index lets a reader take one block.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -33,8 +34,16 @@ from fluvion.session import materialise, ship
 HEAD, ENTRY = struct.Struct("<4sIQI"), struct.Struct("<QII")
 #: Ids of a block, and ids after which a segment is closed (at a document's end).
 BLOCK, SEGMENT = 1 << 16, 1 << 20
-#: Words whose ids each Python worker keeps at most; the cache is emptied beyond that.
-CACHE_WORDS = 600_000
+#: Words, and parts of words, whose ids each Python worker keeps, about; a cache is emptied beyond that.
+CACHE_WORDS, CACHE_PARTS = 500_000, 1_500_000
+#: The tokenizer's own cut of ASCII text into parts.
+PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+#: ASCII without control characters; non-ASCII letters whose lower case depends on place or takes two characters, or that normalisation changes.
+PLAIN, UNUSUAL = re.compile(r"[!-~]+"), re.compile(r"[^A-Za-z\u00c0-\u012f\u0131-\u0148\u014a-\u017e]")
+#: The byte-level alphabet: bytes that are no printable Latin-1 character are spelt from U+0100 on, in order.
+PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTED)}
+
 
 
 def pack(ids: np.ndarray, block: int = BLOCK) -> bytes:
@@ -66,14 +75,16 @@ def unpack_block(payload: bytes, k: int) -> np.ndarray:
     lengths = struct.unpack_from(f"<{planes}I", payload, at)
     at += 4 * planes
     raw = (n + 7) // 8
-    bits = np.zeros((32, n), dtype=np.uint8)
+    ids = np.zeros(n, dtype="<u4")
     for i, length in enumerate(lengths):
         plane = payload[at : at + length]
         if length < raw:
             plane = zstandard.ZstdDecompressor().decompress(plane, max_output_size=raw)
-        bits[i] = np.unpackbits(np.frombuffer(plane, np.uint8), bitorder="little", count=n)
+        bits = np.unpackbits(np.frombuffer(plane, np.uint8), bitorder="little", count=n).astype("<u4")
+        bits <<= i
+        ids |= bits
         at += length
-    return np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").reshape(-1).view("<u4")
+    return ids
 
 
 def unpack(payload: bytes) -> np.ndarray:
@@ -87,27 +98,63 @@ def unpack(payload: bytes) -> np.ndarray:
     return ids
 
 
+def pack_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordEncoder:
-    """Encodes texts with a tokenizer whose pre-tokenizer never joins across spaces, word by word with a bounded cache."""
+    """Encodes texts with a lower-casing word tokenizer, part by part, with bounded caches.
+
+    Its pre-tokenizer never joins across spaces and cuts letters, single digits
+    and other runs apart, each encoded by itself. So a text's ids are those of
+    its words, and a word's those of its parts; parts are few, as case and
+    punctuation are gone. Words for which this cutting is not certain (special
+    tokens, marks that combine, letters with unusual lower case) go to the
+    tokenizer whole.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cache = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.merge = self.tokenizer.model.tokenize
+        self.words: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {}
+
+    @staticmethod
+    def cut(word: str) -> list[str] | None:
+        """Lower-cased parts of a word without spaces, or None if it has to stay whole."""
+        if word.isascii():
+            return PARTS.findall(word.lower()) if "<|" not in word and PLAIN.fullmatch(word) else None
+        core = word.rstrip(".,;:!?")
+        if core.isalpha() and not UNUSUAL.search(core):
+            return [core.lower(), word[len(core) :]] if len(core) < len(word) else [core.lower()]
+        return None
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        known = self.cache
+        if len(self.words) > CACHE_WORDS:
+            self.words = {"": b""}
+        if len(self.parts) > CACHE_PARTS:
+            self.parts.clear()
+        words, parts = self.words, self.parts
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = [w for w in set().union(*split) if w not in known]
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        whole = []
+        for w in set().union(*split).difference(words):
+            cut = self.cut(w)
+            if cut is None:
+                whole.append(w)
+                continue
+            for p in cut:
+                if p not in parts:
+                    # A certain part is one pre-token in normal form: the byte alphabet and the merges are all that is left to do.
+                    spelt = p if p.isascii() else p.encode().decode("latin-1").translate(BYTE_ALPHABET)
+                    parts[p] = pack_ids([t.id for t in self.merge(spelt)])
+            words[w] = parts[cut[0]] if len(cut) == 1 else b"".join([parts[p] for p in cut])
+        for w, e in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False), strict=True):
+            words[w] = pack_ids(e.ids)
+        return [b"".join(map(words.__getitem__, ws)) for ws in split]
 
 
 _encoders: dict[str, WordEncoder] = {}
