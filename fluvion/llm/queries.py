@@ -6,8 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from fluvion.llm.decontamination import decontaminate
+from fluvion.llm.language import language_ids
 from fluvion.llm.near_dedup import near_duplicates
+from fluvion.llm.pii import pii_scan
 from fluvion.llm.quality import robust_quality
+from fluvion.llm.secrets import secret_scan
 from fluvion.llm.sharding import balanced_shards
 from fluvion.llm.tokenfiles import token_files
 from fluvion.session import table
@@ -29,16 +32,31 @@ def op4_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_language_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_ids(table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_near_items")
 
 
+def op8_secret_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
+def op10_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_mcd": op1_quality_mcd,
     "op2_balanced_shards": op2_balanced_shards,
     "op3_bit_planes": op3_bit_planes,
     "op4_superminhash": op4_superminhash,
+    "op5_language_filter": op5_language_filter,
     "op6_decontamination": op6_decontamination,
+    "op8_secret_formats": op8_secret_formats,
+    "op10_skip_chain": op10_skip_chain,
 }
 
 #: CRC-32 by its table of 256 remainders, which a recursive query builds.
