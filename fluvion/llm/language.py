@@ -29,7 +29,7 @@ PLACES, HASHES = 1 << 17, 3
 #: Texts and characters handled at once.
 ROWS, CHARS = 500, 4_000_000
 #: Below this share of known n-grams (after correction) a text is taken for none of the languages.
-MIN_SCORE = 0.5
+MIN_SCORE = 0.25
 
 _letters: list[np.ndarray] = []
 
@@ -172,6 +172,21 @@ def identify(docs: DataFrame, model: LanguageFilter, id_col: str = "doc_id", tex
     return rows.mapInArrow(predict, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, model: LanguageFilter, text_col: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows of ``docs``, all columns unchanged, whose text is in a learned language with at least ``min_score``."""
+    ship(docs.sparkSession)
+    place = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(place).to_pylist()
+            for a, b in pieces(texts):
+                lang, score = model.predict(texts[a:b])
+                yield batch.slice(a, b - a).filter(pa.array([x != "und" and y >= min_score for x, y in zip(lang, score.tolist(), strict=True)]))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def language_ids(docs: DataFrame) -> DataFrame:
     """Learn from the rows of ``docs`` that are not held out, then identify all rows."""
     return identify(docs, fit_languages(docs))

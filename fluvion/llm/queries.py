@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from fluvion.llm.decontamination import decontaminate
+from fluvion.llm.html_extract import extract_pages
 from fluvion.llm.language import language_ids
 from fluvion.llm.near_dedup import near_duplicates
 from fluvion.llm.pii import pii_scan
 from fluvion.llm.quality import robust_quality
+from fluvion.llm.sampled_pieces import sample_pieces
 from fluvion.llm.secrets import secret_scan
 from fluvion.llm.sharding import balanced_shards
 from fluvion.llm.tokenfiles import token_files
@@ -40,10 +42,18 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_near_items")
 
 
+def op7_minimum_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op8_secret_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op9_gumbel_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_scan(table(spark, sf_dir, "documents"))
 
@@ -55,7 +65,9 @@ QUERIES = {
     "op4_superminhash": op4_superminhash,
     "op5_language_filter": op5_language_filter,
     "op6_decontamination": op6_decontamination,
+    "op7_minimum_cut": op7_minimum_cut,
     "op8_secret_formats": op8_secret_formats,
+    "op9_gumbel_pieces": op9_gumbel_pieces,
     "op10_skip_chain": op10_skip_chain,
 }
 
