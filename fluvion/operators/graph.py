@@ -46,3 +46,93 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     all_nodes = nodes.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     found = current.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
     return all_nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+
+
+def outlets(network: DataFrame, node: str = "cell_id", to: str = "next_id", max_rounds: int = 40) -> DataFrame:
+    """``(node, outlet)`` of a forest of downstream pointers, by pointer doubling.
+
+    A pointer that is null, its own node or unknown ends at that node. A node
+    on, or leading to, a loop has a null outlet. Each round halves what is
+    left and is written.
+    """
+    ids = network.select(F.col(node).alias("node"), F.col(to).alias("_to"))
+    known = ids.select(F.col("node").alias("_to"), F.lit(True).alias("_known"))
+    jump = ids.join(known, "_to", "left").select("node", F.when(F.col("_known") & (F.col("_to") != F.col("node")), F.col("_to")).otherwise(F.col("node")).alias("to"))
+    jump = materialise(jump, "outlets")
+    for _ in range(max_rounds):
+        ahead = jump.select(F.col("node").alias("to"), F.col("to").alias("_next"))
+        moved = materialise(jump.join(ahead, "to").select("node", F.col("_next").alias("to"), (F.col("to") != F.col("_next")).alias("_moved")), "outlets")
+        if moved.where("_moved").isEmpty():
+            break
+        jump = moved.select("node", "to")
+    ends = jump.where("node = to").select(F.col("node").alias("to"), F.lit(True).alias("_end"))
+    return jump.join(ends, "to", "left").select("node", F.when(F.col("_end"), F.col("to")).alias("outlet"))
+
+
+def upstream_sum(network: DataFrame, value: str, node: str = "cell_id", to: str = "next_id", max_rounds: int = 40) -> DataFrame:
+    """``(node, upstream)``: the sum of ``value`` over each node and all that drains into it.
+
+    Doubling on sums: after round k each node holds the sum over its
+    upstream nodes closer than 2**k steps, and pointers reach 2**k steps down.
+    Loops are an error.
+    """
+    ids = network.select(F.col(node).alias("node"), F.col(to).alias("_to"), F.col(value).cast("double").alias("held"))
+    known = ids.select(F.col("node").alias("_to"), F.lit(True).alias("_known"))
+    state = ids.join(known, "_to", "left").select("node", F.when(F.col("_known") & (F.col("_to") != F.col("node")), F.col("_to")).alias("to"), "held")
+    state = materialise(state, "upstream")
+    for _ in range(max_rounds):
+        live = state.where("to is not null")
+        if live.isEmpty():
+            return state.select("node", F.col("held").alias("upstream"))
+        sent = live.groupBy(F.col("to").alias("node")).agg(F.sum("held").alias("_sent"))
+        ahead = state.select(F.col("node").alias("to"), F.col("to").alias("_next"))
+        moved = state.join(ahead, "to", "left").select("node", F.col("_next").alias("to"), "held").join(sent, "node", "left")
+        state = materialise(moved.select("node", "to", (F.col("held") + F.coalesce("_sent", F.lit(0.0))).alias("held")), "upstream")
+    raise ValueError("the network has a loop")
+
+
+def levels(nodes: DataFrame, edges: DataFrame, node: str = "node", before: str = "before", after: str = "after", max_rounds: int = 10_000) -> DataFrame:
+    """``(node, level)``: 0 without predecessors, else one more than the largest level before it; null for nodes behind a loop."""
+    waiting = materialise(nodes.select(F.col(node).alias("node")).distinct(), "levels")
+    links = materialise(edges.select(F.col(before).alias("before"), F.col(after).alias("after")).where("before <> after").distinct(), "links")
+    done, level = None, 0
+    for level in range(max_rounds):
+        blocked = links.select(F.col("after").alias("node")).distinct()
+        ready = materialise(waiting.join(blocked, "node", "left_anti").withColumn("level", F.lit(level)), "ready")
+        if ready.isEmpty():
+            break
+        done = ready if done is None else done.unionByName(ready)
+        names = ready.select("node")
+        waiting = materialise(waiting.join(names, "node", "left_anti"), "levels")
+        links = materialise(links.join(names.withColumnRenamed("node", "before"), "before", "left_anti"), "links")
+    rest = waiting.withColumn("level", F.lit(None).cast("int"))
+    return rest if done is None else done.unionByName(rest)
+
+
+def downstream(network: DataFrame, seeds: DataFrame, node: str = "cell_id", to: str = "next_id", max_steps: int = 1000) -> DataFrame:
+    """``(seed, node, step)`` along the pointers from each seed, itself first, to the outlet or ``max_steps``; a revisit ends it."""
+    ids = network.select(F.col(node).alias("node"), F.col(to).alias("_to"))
+    front = materialise(seeds.select(F.col(node).alias("seed"), F.col(node).alias("node"), F.lit(0).alias("step")), "walk")
+    found = front
+    for step in range(1, max_steps + 1):
+        ahead = front.join(ids, "node").where("_to is not null and _to <> node").select("seed", F.col("_to").alias("node"))
+        ahead = ahead.join(ids.select("node"), "node", "left_semi").join(found.select("seed", "node"), ["seed", "node"], "left_anti")
+        front = materialise(ahead.withColumn("step", F.lit(step)), "walk")
+        if front.isEmpty():
+            break
+        found = found.unionByName(front)
+    return found
+
+
+def follow_chain(edges: DataFrame, starts: DataFrame, target: str, frm: str = "from_code", to: str = "to_code", max_steps: int = 100) -> DataFrame:
+    """``(start, reached, n_steps)``: whether each start leads to ``target`` over edges that are the only one at each step."""
+    single = edges.select(F.col(frm).alias("at"), F.col(to).alias("_next")).distinct().groupBy("at").agg(F.count("*").alias("_n"), F.min("_next").alias("_next")).where("_n = 1").drop("_n")
+    front = materialise(starts.select("start", F.col("start").alias("at"), F.lit(0).alias("n_steps")), "chain")
+    ended = None
+    for _ in range(max_steps + 1):
+        hit = front.where(F.col("at") == target).select("start", F.lit(True).alias("reached"), "n_steps")
+        ended = hit if ended is None else ended.unionByName(hit)
+        front = materialise(front.where(F.col("at") != target).join(single, "at").select("start", F.col("_next").alias("at"), (F.col("n_steps") + 1).alias("n_steps")), "chain")
+        if front.isEmpty():
+            break
+    return starts.select("start").join(ended, "start", "left").select("start", F.coalesce("reached", F.lit(False)).alias("reached"), "n_steps")
