@@ -171,7 +171,9 @@ def robust_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     groups = sizes.withColumn("_group", F.when(F.col("_large"), F.col("_key")).when(pooled >= min_group, F.lit("\x03"))).select("_key", "_group")
     groups = materialise(groups, "quality-groups")
     names, floors = list(FLOORS), list(FLOORS.values())
-    fitted = mcd(passed.join(groups, "_key").where(F.col("_group").isNotNull()).select("_group", *names), names, floors)
+    # Every step reads only this: a group and four numbers a row.
+    grouped = materialise(passed.join(groups, "_key").where(F.col("_group").isNotNull()).select("_group", *names), "quality-vectors")
+    fitted = mcd(grouped, names, floors)
     judged = stats.join(groups.join(fitted, "_group").drop("_group"), "_key", "left").withColumn("distance", distance(names, "a"))
     # A null distance has no centre to be measured from; greatest() skips nulls, so it is set apart here.
     known = F.col("a_m_0").isNotNull()
