@@ -237,7 +237,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     blocks = sized.groupBy("component").agg(F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n_bytes") / BLOCK_BYTES)).cast("int").alias("n_blocks"))
     members = materialise(sized.join(blocks, "component").select("component", "rep", "digest", "n_blocks", F.pmod(F.xxhash64("rep", "digest"), F.col("n_blocks")).cast("int").alias("block")), "members")
     keyed = texts.where("doc_id is not null").withColumn("digest", word_digest("text"))
-    found = keyed.join(members, (keyed.doc_id == members.rep) & (keyed.digest == members.digest)).select("component", members.rep.alias("doc_id"), members.digest, "n_blocks", "block", "text")
+    # A sort-merge join at every size: the members grow with the corpus, so they are never broadcast.
+    found = keyed.join(members.hint("merge"), (keyed.doc_id == members.rep) & (keyed.digest == members.digest)).select("component", members.rep.alias("doc_id"), members.digest, "n_blocks", "block", "text")
     dealt = found.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).select(
         "component", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "doc_id", "digest", "text"
     )
