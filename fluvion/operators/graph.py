@@ -58,14 +58,15 @@ def outlets(network: DataFrame, node: str = "cell_id", to: str = "next_id", max_
     ids = network.select(F.col(node).alias("node"), F.col(to).alias("_to"))
     known = ids.select(F.col("node").alias("_to"), F.lit(True).alias("_known"))
     jump = ids.join(known, "_to", "left").select("node", F.when(F.col("_known") & (F.col("_to") != F.col("node")), F.col("_to")).otherwise(F.col("node")).alias("to"))
-    jump = materialise(jump, "outlets")
-    for _ in range(max_rounds):
+    jump = first = materialise(jump, "outlets")
+    # No path without a loop is longer than the number of nodes.
+    for _ in range(min(max_rounds, first.count().bit_length())):
         ahead = jump.select(F.col("node").alias("to"), F.col("to").alias("_next"))
         moved = materialise(jump.join(ahead, "to").select("node", F.col("_next").alias("to"), (F.col("to") != F.col("_next")).alias("_moved")), "outlets")
         if moved.where("_moved").isEmpty():
             break
         jump = moved.select("node", "to")
-    ends = jump.where("node = to").select(F.col("node").alias("to"), F.lit(True).alias("_end"))
+    ends = first.where("node = to").select(F.col("node").alias("to"), F.lit(True).alias("_end"))
     return jump.join(ends, "to", "left").select("node", F.when(F.col("_end"), F.col("to")).alias("outlet"))
 
 

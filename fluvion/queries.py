@@ -1,6 +1,8 @@
-"""Every core query of the driver contract, with its SQL."""
+"""Every core query of the driver contract, with its SQL: the operators on the driver's tables."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from fluvion.plans import fields, relations, tables
+
+QUERIES: dict = fields.QUERIES | relations.QUERIES | tables.QUERIES
+ORACLES: dict = fields.ORACLES | relations.ORACLES | tables.ORACLES
