@@ -45,7 +45,6 @@ PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTED)}
 
 
-
 def pack(ids: np.ndarray, block: int = BLOCK) -> bytes:
     """Unsigned 32-bit ids as one segment payload."""
     ids = np.ascontiguousarray(ids, dtype="<u4")
@@ -55,7 +54,8 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> bytes:
     for s in starts:
         part = ids[s : s + block]
         planes = int(part.max()).bit_length()
-        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :planes]
+        narrow = part.astype("<u2") if planes <= 16 else part
+        bits = np.unpackbits(narrow.view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little")[:, :planes]
         rows = np.packbits(bits.T, axis=1, bitorder="little")
         stored = []
         for row in rows:
@@ -125,12 +125,12 @@ class WordEncoder:
     @staticmethod
     def cut(word: str) -> list[str] | None:
         """Lower-cased parts of a word without spaces, or None if it has to stay whole."""
-        if word.isascii():
-            return PARTS.findall(word.lower()) if "<|" not in word and PLAIN.fullmatch(word) else None
         core = word.rstrip(".,;:!?")
-        if core.isalpha() and not UNUSUAL.search(core):
+        if core.isalpha():
+            if not core.isascii() and UNUSUAL.search(core):
+                return None
             return [core.lower(), word[len(core) :]] if len(core) < len(word) else [core.lower()]
-        return None
+        return PARTS.findall(word.lower()) if word.isascii() and "<|" not in word and PLAIN.fullmatch(word) else None
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
