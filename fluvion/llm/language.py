@@ -27,7 +27,7 @@ MIN_SHARE = 1e-4
 #: Places of the filter, a power of two, and places looked up for each n-gram.
 PLACES, HASHES = 1 << 17, 3
 #: Texts and characters handled at once.
-ROWS, CHARS = 500, 4_000_000
+ROWS, CHARS = 500, 500_000
 #: Below this share of known n-grams (after correction) a text is taken for none of the languages.
 MIN_SCORE = 0.25
 

@@ -37,7 +37,7 @@ from fluvion.session import ship
 #: Segmentations of each text.
 SAMPLES = 2
 #: Characters of the texts that are encoded together, about, and longest piece.
-CHARS, LONGEST = 2_000_000, 16
+CHARS, LONGEST = 500_000, 16
 SPACE = "▁"
 #: A run of space marks with what follows up to the next; line feeds, which no piece contains, apart.
 UNIT = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
