@@ -3,7 +3,8 @@
 Every document gets a vector of transformed statistics. For each group of one
 language and source, the centre and scatter come from the share ``H`` of
 documents with the smallest scatter determinant, found by concentration steps
-from two deterministic starts. A document whose Mahalanobis distance exceeds a
+from two deterministic starts. Small groups are shrunk toward the estimate of
+their language, and small languages toward that of all rows. A document whose Mahalanobis distance exceeds a
 chi-squared quantile is rejected. All of it is DataFrame code: moments and
 quantiles are mergeable aggregates (partial sums and counts before each
 shuffle), so a group that holds a third of the corpus costs one row per task.
@@ -25,8 +26,8 @@ from fluvion.session import materialise
 H = 0.75
 #: Concentration steps after each start.
 STEPS = 3
-#: Groups with fewer documents share one pooled estimate; a pool under this size rejects nothing.
-MIN_GROUP = 200
+#: Documents, ten for each dimension, from which a group's own estimate stands alone; that of a smaller group is shrunk.
+MIN_GROUP = 40
 #: Tail probability of the chi-squared cutoff.
 TAIL = 1e-6
 #: Statistics and the standard deviation added to each, so that a constant statistic has a scatter.
@@ -104,7 +105,7 @@ def _log_bin(d2: Column) -> Column:
 
 
 def mcd(rows: DataFrame, names: list[str], floors: list[float], h: float = H, steps: int = STEPS) -> DataFrame:
-    """Per ``_group``: centre ``a_m_i`` and precision ``a_p_i_j`` of the start with the smaller determinant."""
+    """Per ``_group``: centre ``a_m_i``, scatter ``a_c_i_j`` and precision ``a_p_i_j`` of the start with the smaller determinant."""
     p = len(names)
     scale = 1000.0
     long = rows.select("_group", F.posexplode(F.array(*[F.col(x) for x in names])).alias("_k", "_x"))
@@ -149,32 +150,60 @@ def mcd(rows: DataFrame, names: list[str], floors: list[float], h: float = H, st
     return fitted.withColumn("_r", F.row_number().over(best)).where("_r = 1").drop("_r", "_start")
 
 
+def shrunk(df: DataFrame, own: str, wider: str, out: str, n: Column, full: int, p: int) -> DataFrame:
+    """Adds the centre ``{out}_m_i`` and scatter ``{out}_c_i_j`` of a mixture: the share n / ``full`` of ``own``, the rest of ``wider``.
+
+    An estimate that is missing leaves all to the other; where both are, the result is null.
+    """
+    w = F.when(F.col(f"{own}_m_0").isNull(), 0.0).when(F.col(f"{wider}_m_0").isNull(), 1.0).otherwise(F.least(n / F.lit(full), F.lit(1.0)))
+
+    def mix(name: str) -> Column:
+        a, b = F.col(f"{own}_{name}"), F.col(f"{wider}_{name}")
+        return F.when(F.col("_w") >= 1, a).when(F.col("_w") <= 0, b).otherwise(F.col("_w") * a + (1 - F.col("_w")) * b)
+
+    apart = lambda i: F.col(f"{own}_m_{i}") - F.col(f"{wider}_m_{i}")
+    between = lambda i, j: F.when((F.col("_w") > 0) & (F.col("_w") < 1), F.col("_w") * (1 - F.col("_w")) * apart(i) * apart(j)).otherwise(0.0)
+    mixed = df.withColumn("_w", w)
+    return mixed.select(
+        "*", *[mix(f"m_{i}").alias(f"{out}_m_{i}") for i in range(p)], *[(mix(f"c_{i}_{j}") + between(i, j)).alias(f"{out}_c_{i}_{j}") for i in range(p) for j in range(i + 1)]
+    ).drop("_w")
+
+
 def robust_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_group: int = MIN_GROUP, tail: float = TAIL) -> DataFrame:
     """One row per input row: statistics, ``base_failed``, ``distance`` (squared) and ``kept``.
 
     Null text: no words, so it fails the base rules. Null language or source:
     a group of its own. Repeated rows are judged alike, each for itself.
-    Groups of fewer than ``min_group`` rows that pass the base rules are
-    pooled; if the pool is smaller than that too, ``distance`` is null and the
-    base rules alone decide. An empty table gives an empty result. Columns
-    other than the four named are ignored, whatever their names.
+    Every group is fitted on its n rows that pass the base rules. If n is below
+    ``min_group``, the estimate is the mixture of n / ``min_group`` of it and
+    the rest of its language's, which is shrunk likewise toward that of all
+    rows; so ``distance`` is null only where no row at all passes. An empty
+    table gives an empty result. Columns other than the four named are ignored,
+    whatever their names.
     """
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text"))
     stats = vectors(word_statistics(d, ["doc_id", "lang", "source"]))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    key = F.concat_ws("\x01", F.coalesce("lang", F.lit("\x02")), F.coalesce("source", F.lit("\x02")))
-    stats = materialise(stats.select("*", failed.alias("base_failed"), key.alias("_key")).drop("lang", "source"), "quality")
+    lang, source = F.coalesce("lang", F.lit("\x02")), F.coalesce("source", F.lit("\x02"))
+    stats = materialise(stats.select("*", failed.alias("base_failed"), F.concat_ws("\x01", lang, source).alias("_key"), lang.alias("_lang")).drop("lang", "source"), "quality")
     passed = stats.where(~F.col("base_failed"))
-    sizes = passed.groupBy("_key").agg(F.count("*").alias("_n"))
-    sizes = sizes.withColumn("_large", F.col("_n") >= min_group)
-    pooled = F.sum(F.when(~F.col("_large"), F.col("_n"))).over(Window.partitionBy("_large"))
-    groups = sizes.withColumn("_group", F.when(F.col("_large"), F.col("_key")).when(pooled >= min_group, F.lit("\x03"))).select("_key", "_group")
-    groups = materialise(groups, "quality-groups")
+    own = Window.partitionBy("_lang")
+    sizes = stats.groupBy("_key", "_lang").agg(F.count_if(~F.col("base_failed")).alias("_n"))
+    groups = materialise(sizes.select("*", F.sum("_n").over(own).alias("_n_lang"), (F.min("_n").over(own) < min_group).alias("_small")), "quality-groups")
+    # Only small groups need their language's estimate, and only those of small languages that of all rows.
+    everywhere = not groups.where(F.col("_small") & (F.col("_n_lang") < min_group)).isEmpty()
+    levels = [F.concat(F.lit("\x03"), "_key"), F.when(F.col("_small"), F.concat(F.lit("\x04"), "_lang")), *([F.lit("\x05")] if everywhere else [])]
     names, floors = list(FLOORS), list(FLOORS.values())
-    # Every step reads only this: a group and four numbers a row.
-    grouped = materialise(passed.join(groups, "_key").where(F.col("_group").isNotNull()).select("_group", *names), "quality-vectors")
-    fitted = mcd(grouped, names, floors)
-    judged = stats.join(groups.join(fitted, "_group").drop("_group"), "_key", "left").withColumn("distance", distance(names, "a"))
+    p = len(names)
+    # Every step reads only this: a group and four numbers a row and level.
+    leveled = passed.join(groups.drop("_lang"), "_key").select(F.explode(F.array_compact(F.array(*levels))).alias("_group"), *names)
+    fitted = materialise(mcd(materialise(leveled, "quality-vectors"), names, floors), "quality-fits")
+    parts = [f"m_{i}" for i in range(p)] + [f"c_{i}_{j}" for i in range(p) for j in range(i + 1)]
+    level = lambda prefix, mark: fitted.where(F.col("_group").startswith(mark)).select(F.substring("_group", 2, 1 << 30).alias(f"_{prefix}"), *[F.col(f"a_{x}").alias(f"{prefix}_{x}") for x in parts])
+    known_at = groups.join(level("o", "\x03"), F.col("_key") == F.col("_o"), "left").join(level("l", "\x04"), F.col("_lang") == F.col("_l"), "left").join(level("g", "\x05"), F.col("_g") == "", "left")
+    models = shrunk(shrunk(known_at, "l", "g", "w", F.col("_n_lang"), min_group, p), "o", "w", "a", F.col("_n"), min_group, p)
+    models = materialise(precision(models.select("_key", *[f"a_{x}" for x in parts]), p, "a"), "quality-models")
+    judged = stats.join(models, "_key", "left").withColumn("distance", distance(names, "a"))
     # A null distance has no centre to be measured from; greatest() skips nulls, so it is set apart here.
     known = F.col("a_m_0").isNotNull()
     cutoff = chi2_quantile(1 - tail, len(names))

@@ -91,6 +91,20 @@ def test_quality_rejects_planted_outliers(spark):
     assert sum(got[i] for i in range(400)) >= 395
 
 
+def test_quality_judges_small_groups_by_their_own_kind(spark):
+    draw = random.Random(5)
+    text = lambda letters, low, high: " ".join("".join(draw.choices(letters, k=draw.randint(low, high))) for _ in range(120))
+    short, long = (lambda: text("abcdefghij", 2, 5)), (lambda: text("klmnopqrst", 9, 16))
+    rows = [(i, short(), "aa", "web") for i in range(120)] + [(1000 + i, long(), "bb", "web") for i in range(120)]
+    # Texts of one language's kind in a group of the other, and groups too small to bear an estimate.
+    rows += [(2000 + i, long(), "aa", "web") for i in range(4)] + [(3000 + i, short(), "aa", "s") for i in range(3)] + [(4000, short(), "cc", "s"), (5000, "too short", "dd", "s")]
+    got = {r.doc_id: r for r in quality.robust_quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(r.distance is not None for r in got.values())
+    assert not any(got[2000 + i].kept for i in range(4))
+    assert all(got[3000 + i].kept for i in range(3)) and got[4000].kept and not got[5000].kept
+    assert sum(got[i].kept and got[1000 + i].kept for i in range(120)) >= 115
+
+
 def test_shards_and_contamination_match_sql(spark, docs, rows):
     con = duckdb.connect()
     for t in ("documents", "benchmark"):
