@@ -4,8 +4,9 @@ The index stores the postings (text, position) of every test term in the
 training texts, and one end mark per text whose position is its length. A
 query starts at the rarest term of each test window, aligns the item with the
 text at that posting and intersects the offset-adjusted postings of all other
-item words. Runs of matched words are exact phrase matches; alignments that
-match most of an item within a small slop are proximity matches.
+item words. Runs of matched words are exact phrase matches. Proximity matches
+hold most of an item's words at alignments within a small slop; they start from
+as many of an item's rarest words as no such match can all miss.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from fluvion.session import materialise
 WINDOW = 13
 #: Share of item words that a proximity match holds, and how far alignments may drift apart.
 NEAR_SHARE, SLOP = 0.8, 4
+#: Rarest words of an item that a proximity candidate holds, where a match must hold so many.
+NEAR_ANCHORS = 3
 #: Test vocabularies up to this many terms (16 bytes each) are broadcast; larger ones are joined by shuffle.
 BROADCAST_TERMS = 2_000_000
 #: No word contains this character, so it can mark the end of a text.
@@ -68,6 +71,50 @@ def intersect(index: DataFrame, items: DataFrame, aligned: DataFrame) -> DataFra
     return index.where(~F.col("is_end")).select("_uid", "pos", "term").join(needed, ["_uid", "pos", "term"])
 
 
+def indexed(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str) -> tuple[DataFrame, DataFrame]:
+    """The items' words ``(_item, _id, _n, _ipos, term)`` and the index of their terms, both written."""
+    item_rows = benchmark.where(F.col(item_col).isNotNull()).select(
+        F.monotonically_increasing_id().alias("_item"), F.col(item_col).cast("string").alias("_id"), index_words(F.col(item_text).cast("string")).alias("_words")
+    )
+    items = item_rows.select("_item", "_id", F.size("_words").alias("_n"), F.posexplode("_words").alias("_ipos", "_word")).withColumn("term", F.xxhash64("_word")).drop("_word")
+    items = materialise(items, "items")
+    return items, build_index(docs, items.select("term").distinct(), id_col, text_col)
+
+
+def near_items(index: DataFrame, items: DataFrame) -> DataFrame:
+    """Distinct ``(_uid, _id)`` of proximity matches: NEAR_SHARE of the item's words at alignments no more than SLOP apart.
+
+    A match misses at most ``_n - _need`` words, so of that many and
+    NEAR_ANCHORS more rarest ones it holds NEAR_ANCHORS. Candidates are counted
+    in overlapping grids that hold any two alignments within the slop; then
+    every word is looked up and every window of alignments counted.
+    """
+    postings = index.where(~F.col("is_end"))
+    frequency = postings.groupBy("term").agg(F.count("*").alias("_df"))
+    need = F.ceil(F.lit(NEAR_SHARE) * F.col("_n") - F.lit(1e-9))
+    rarest = Window.partitionBy("_item").orderBy(F.coalesce("_df", F.lit(0)), "_ipos")
+    ranked = items.join(frequency, "term", "left").withColumn("_need", need).withColumn("_rank", F.row_number().over(rarest))
+    anchors = ranked.where((F.col("_rank") <= F.col("_n") - F.col("_need") + NEAR_ANCHORS) & F.col("_df").isNotNull())
+    anchors = anchors.select("_item", "_ipos", "term", F.least("_need", F.lit(NEAR_ANCHORS)).alias("_held"))
+    delta = postings.join(anchors, "term").select("_uid", "_item", "_held", (F.col("pos") - F.col("_ipos")).alias("_delta"))
+    # Cells of width 2 * SLOP, one every SLOP: alignments up to SLOP apart share one.
+    cell = F.floor(F.col("_delta") / SLOP)
+    cells = delta.select("_uid", "_item", "_held", F.explode(F.array(cell - 1, cell)).alias("_cell")).groupBy("_uid", "_item", "_held", "_cell").agg(F.count("*").alias("_m")).where("_m >= _held")
+    around = F.sequence(F.col("_cell") * SLOP, (F.col("_cell") + 2) * SLOP - 1)
+    aligned = cells.select("_uid", "_item", F.explode(around).alias("_delta")).distinct()
+    windows = intersect(index, items, aligned).select("_uid", "_item", "_id", "_n", "_ipos", F.explode(F.sequence(F.col("_delta") - SLOP, F.col("_delta"))).alias("_low")).distinct()
+    return windows.groupBy("_uid", "_item", "_id", "_n", "_low").agg(F.count("*").alias("_m")).where(F.col("_m") >= need).select("_uid", "_id").distinct()
+
+
+def proximity_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """One row per input row: doc_id, n_words, n_near_items and the sorted ids ``near_items``; rows as in ``decontaminate``."""
+    items, index = indexed(docs, benchmark, id_col, text_col, item_col, item_text)
+    near = near_items(index, items).groupBy("_uid").agg(F.array_sort(F.collect_set("_id")).alias("_near"))
+    ids = F.coalesce(F.col("_near"), F.array().cast("array<string>"))
+    ends = index.where("is_end").select("_uid", "doc_id", F.col("pos").cast("long").alias("n_words"))
+    return ends.join(near, "_uid", "left").select("doc_id", "n_words", F.size(ids).cast("long").alias("n_near_items"), ids.alias("near_items"))
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per input row: n_words, n_hit, n_items, items_sha256, contaminated, n_near_items.
 
@@ -77,12 +124,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     counts once. Ties between equally rare terms go to the earlier word. Empty
     tables give empty or clean results. Other columns are ignored.
     """
-    item_rows = benchmark.where(F.col(item_col).isNotNull()).select(
-        F.monotonically_increasing_id().alias("_item"), F.col(item_col).cast("string").alias("_id"), index_words(F.col(item_text).cast("string")).alias("_words")
-    )
-    items = item_rows.select("_item", "_id", F.size("_words").alias("_n"), F.posexplode("_words").alias("_ipos", "_word")).withColumn("term", F.xxhash64("_word")).drop("_word")
-    items = materialise(items, "items")
-    index = build_index(docs, items.select("term").distinct(), id_col, text_col)
+    items, index = indexed(docs, benchmark, id_col, text_col, item_col, item_text)
     matched = materialise(intersect(index, items, alignments(index, items)), "matched")
 
     one = Window.partitionBy("_uid", "_item", "_delta").orderBy("_ipos")
@@ -97,10 +139,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     hits = runs.withColumn("_new", F.greatest(F.col("_to") - reached, F.lit(0)))
     found = hits.groupBy("_uid").agg(F.sum("_new").alias("n_hit"), F.array_sort(F.collect_set("_id")).alias("_ids"))
 
-    # Alignments of one text and item that lie within the slop of each other, in two overlapping grids.
-    grids = F.array(F.floor(F.col("_delta") / SLOP) * 2, F.floor((F.col("_delta") + SLOP // 2) / SLOP) * 2 + 1)
-    near = matched.select("_uid", "_item", "_id", "_n", "_ipos", F.explode(grids).alias("_grid")).distinct().groupBy("_uid", "_item", "_id", "_n", "_grid").agg(F.count("*").alias("_m"))
-    near = near.where(F.col("_m") >= NEAR_SHARE * F.col("_n")).select("_uid", "_id").distinct().groupBy("_uid").agg(F.count("*").alias("n_near_items"))
+    near = near_items(index, items).groupBy("_uid").agg(F.count("*").alias("n_near_items"))
 
     ends = index.where("is_end").select("_uid", "doc_id", F.col("pos").cast("long").alias("n_words"))
     hit = F.coalesce(F.col("n_hit"), F.lit(0)).cast("long")

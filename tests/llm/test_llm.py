@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fluvion.llm import html_extract, language, near_dedup, pii, quality, queries, sampled_pieces, secrets, sharding, tokenfiles
+from fluvion.llm import decontamination, html_extract, language, near_dedup, pii, quality, queries, sampled_pieces, secrets, sharding, tokenfiles
 from fluvion.llm.decontamination import decontaminate
 
 SF = "/root/testdata/sf0.001"
@@ -139,6 +139,36 @@ def test_contamination_brute_force(spark, docs, rows):
             assert r.items_sha256 == hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
 
 
+def test_proximity_matches_brute_force(spark):
+    """Against a count over every window of alignments; the rarest words altered, drift up to the slop."""
+    draw = random.Random(12)
+    common = [f"c{k}" for k in range(30)]
+    items = [(k, " ".join([f"rare{k}", *draw.choices(common, k=12 + 9 * (k % 3))])) for k in range(6)] + [(6, "one two"), (7, " ".join(f"z{k}" for k in range(15)))]
+    rows = [(k, " ".join(draw.choices(common, k=80))) for k in range(30)]
+    for k, text in items[:6]:
+        w = text.split()
+        rows += [(100 + k, " ".join(["unseen", *w[1:]])), (200 + k, " ".join(draw.choices(common, k=9) + ["altered", *w[1:6], "x", *w[6:9], "y", "y", *w[9:]])), (300 + k, " ".join([*w[:5], *["gap"] * 5, *w[5:]]))]
+    z = [f"z{k}" for k in range(15)]
+    rows += [(400, " ".join(["q", *z[:7], "q", "q", "q", *z[7:]])), (401, " ".join([*z[:7], "q", "q", "q", "q", *z[7:]])), (402, " ".join([*z[:7], "q", "q", "q", "q", "q", *z[7:]])), (403, "one x two"), (404, None)]
+    tables = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got, counted = collect(decontamination.proximity_matches(*tables)), collect(decontaminate(*tables))
+    for i, text in rows:
+        w, near = (text or "").split(), []
+        for item, t in items:
+            v = t.split()
+            at = defaultdict(set)
+            for p, word in enumerate(w):
+                for q, other in enumerate(v):
+                    if word == other:
+                        at[p - q].add(q)
+            if any(5 * len(set().union(*(at.get(low + d, set()) for d in range(5)))) >= 4 * len(v) for low in list(at)):
+                near.append(str(item))
+        assert [(r.n_words, r.n_near_items, r.near_items) for r in got[i]] == [(len(w), len(near), near)], i
+        assert [r.n_near_items for r in counted[i]] == [len(near)], i
+    assert all(str(k) in got[100 + k][0].near_items for k in range(6))
+    assert got[401][0].near_items == ["7"] and got[402][0].near_items == []
+
+
 def test_token_files(spark, docs, rows):
     from tokenizers import Tokenizer
 
