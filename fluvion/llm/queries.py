@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fluvion.llm.decontamination import decontaminate
+from fluvion.llm.decontamination import decontaminate, proximity_matches
 from fluvion.llm.html_extract import extract_pages
 from fluvion.llm.language import language_ids
 from fluvion.llm.near_dedup import near_duplicates
@@ -42,6 +42,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_near_items")
 
 
+def op6_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The proximity half of the method; the SQL of ``op6_decontamination`` has the columns of the exact half only."""
+    return proximity_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_minimum_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
@@ -65,6 +70,7 @@ QUERIES = {
     "op4_superminhash": op4_superminhash,
     "op5_language_filter": op5_language_filter,
     "op6_decontamination": op6_decontamination,
+    "op6_proximity": op6_proximity,
     "op7_minimum_cut": op7_minimum_cut,
     "op8_secret_formats": op8_secret_formats,
     "op9_gumbel_pieces": op9_gumbel_pieces,

@@ -169,6 +169,12 @@ def test_proximity_matches_brute_force(spark):
     assert got[401][0].near_items == ["7"] and got[402][0].near_items == []
 
 
+def test_a_registered_query_returns_proximity_matches():
+    import __spark_entry__ as entry
+
+    assert list(entry.queries()).index("op6_decontamination") < list(entry.queries()).index("op6_proximity")
+
+
 def test_token_files(spark, docs, rows):
     from tokenizers import Tokenizer
 
