@@ -1,10 +1,11 @@
 """Personal data: fixed patterns, and a skip-chain conditional random field for consistency across a document.
 
 The fixed patterns label most mentions. A mention is a token with a digit or an
-@, labelled with a kind or as other. The field has one potential for a
+@, or a word that is the local part of an address in the document, labelled
+with a kind or as other. The field has one potential for a
 mention's own features, one for neighbours in the text, and one for distant
-mentions that are equal or similar (the same last digits, the same local
-part). Similar mentions meet at a hub with a label of its own, so n of them
+mentions that are equal or similar (the same token, the same last digits, the
+same local part). Similar mentions meet at a hub with a label of its own, so n of them
 need n edges, never n * n. Loopy message passing then carries a label from a
 mention that the patterns know to a bare repeat that they do not.
 """
@@ -36,8 +37,11 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 MENTION = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
 #: Documents the potentials are learned from, about; rounds of message passing; belief that a new span needs.
 TRAIN_DOCS, ROUNDS, BELIEF = 20_000, 6, 0.5
-#: Digits by which two numbers are similar, and characters of a local part that is a key.
-TAIL_DIGITS, LOCAL_KEY = 7, 5
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: What is not part of a token at its ends.
+MARKS = ".,;:!?()[]{}\"'<>"
+#: Digits by which two numbers are similar.
+TAIL_DIGITS = 7
 
 
 def luhn(digits: str) -> bool:
@@ -101,27 +105,38 @@ def features_of(token: str) -> tuple[str, ...]:
 
 
 def keys_of(token: str) -> tuple[str, ...]:
-    """What makes mentions similar: the last digits of a number, the local part of an address."""
+    """What makes mentions similar: the token itself, its dotted address, the last digits of a number, the local part of an address."""
     digits = re.sub("[^0-9]", "", token)
     letters = sum(c.isalpha() for c in token)
     keys = []
     if len(digits) >= TAIL_DIGITS and letters <= 1:
         keys.append("n:" + digits[-TAIL_DIGITS:])
-    local = token.split("@")[0].lower().strip(".,;:!?()\"'")
-    if letters and len(local) >= LOCAL_KEY and any(c.isdigit() for c in local):
-        keys.append("a:" + local)
+    whole = token.lower().strip(MARKS)
+    local = local_part(token)
+    keys += ["a:" + x for x in dict.fromkeys((local, whole)) if x]
+    if m := IP.search(token):
+        keys.append("i:" + ".".join(p.lstrip("0") or "0" for p in m.groups()))
     return tuple(keys)
 
 
+def local_part(token: str) -> str:
+    """What stands before the first @, or after it where nothing does, lower-cased."""
+    before, _, after = token.lower().strip(MARKS).partition("@")
+    return (before or after.partition("@")[0]).strip(MARKS)
+
+
 def mentions(text: str, base: list[tuple[str, int, int]]) -> list[Mention]:
-    """Base spans, and all other tokens with a digit or an @, in text order."""
+    """Base spans, and all other tokens with a digit, an @ or the local part of an address among them, in text order."""
     out = [Mention(a, b, text[a:b], LABELS.index(k), features_of(text[a:b]), keys_of(text[a:b])) for k, a, b in base]
     taken = sorted((a, b) for _, a, b in base)
+    locals_ = {local_part(text[a:b]) for kind, a, b in base if kind == "email"}
     k = 0
-    for m in MENTION.finditer(text):
+    for m in (WORD if locals_ else MENTION).finditer(text):
         token = m[0]
-        a = m.start() + len(token) - len(token.lstrip(".,;:!?()[]{}\"'<>"))
-        b = m.start() + len(token.rstrip(".,;:!?()[]{}\"'<>"))
+        a = m.start() + len(token) - len(token.lstrip(MARKS))
+        b = m.start() + len(token.rstrip(MARKS))
+        if locals_ and not MENTION.fullmatch(token) and token.lower().strip(MARKS) not in locals_:
+            continue
         while k < len(taken) and taken[k][1] <= a:
             k += 1
         if a < b and not (k < len(taken) and taken[k][0] < b):
@@ -152,7 +167,8 @@ class SkipChain:
         for i, m in enumerate(found):
             for key in m.keys:
                 hubs[key].append(i)
-        ends = [(i, h) for h, who in enumerate(w for w in hubs.values() if len(w) > 1) for i in who]
+        # Mentions that share several keys meet once.
+        ends = [(i, h) for h, who in enumerate(dict.fromkeys(tuple(w) for w in hubs.values() if len(w) > 1)) for i in who]
         node = np.array([i for i, _ in ends], dtype=np.int64)
         hub = np.array([h for _, h in ends], dtype=np.int64)
         n_hubs = int(hub.max()) + 1 if len(hub) else 0
@@ -205,11 +221,16 @@ def observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column(0).to_pylist():
             found = mentions(text, base_spans(text))
             labels = [LABELS[m.label] for m in found]
+            known = {key for m in found if m.label >= 0 for key in m.keys}
+            # A repeat that the patterns miss has no label to learn from.
+            unsure = [m.label < 0 and not known.isdisjoint(m.keys) for m in found]
             first: dict[str, str] = {}
             for i, m in enumerate(found):
+                if unsure[i]:
+                    continue
                 events["label", labels[i], ""] += 1
                 events.update(("feature", f, labels[i]) for f in m.features)
-                if i:
+                if i and not unsure[i - 1]:
                     events["chain", labels[i - 1], labels[i]] += 1
                 for key in m.keys:
                     if key in first:
@@ -234,7 +255,7 @@ def fit_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tra
     counted = rows.where(draw < share).select("text").mapInArrow(observed, "event string, one string, two string, n long").groupBy("event", "one", "two").agg(F.sum("n").alias("n"))
     kept = materialise(counted.orderBy(F.desc("n"), "event", "one", "two").limit(max_features), "pii-events").collect()
     size = len(LABELS)
-    labels, chain, skip = np.ones(size), np.full((size, size), 1.0), np.full((size, size), 0.2) + np.eye(size) * 100
+    labels, chain, skip = np.ones(size), np.zeros((size, size)), np.full((size, size), 0.2) + np.eye(size) * 100
     features: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(size))
     for r in kept:
         if r["event"] == "label":
@@ -247,6 +268,8 @@ def fit_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tra
             if r["event"] == "chain" or "other" not in (r["one"], r["two"]) or r["one"] == r["two"]:
                 table[LABELS.index(r["one"]), LABELS.index(r["two"])] += r["n"]
     prior = labels / labels.sum()
+    # Neighbours that were never seen together say nothing of each other.
+    chain += 4 * prior
     unary = {f: 0.25 * np.log((n + prior * 4) / (n.sum() + 4) / prior) for f, n in features.items()}
     return SkipChain(unary, np.log(prior), np.log(chain / chain.sum(axis=1, keepdims=True) / prior), np.log(skip / skip.sum(axis=1, keepdims=True) / prior))
 

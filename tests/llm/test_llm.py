@@ -334,6 +334,17 @@ def test_pii_consistency_across_a_document(spark):
     assert all({s.split(":")[0] for s in r.spans.split(",")} <= set(pii.KINDS) for r in out)
 
 
+def test_pii_repeats_without_digits(spark):
+    line = "Write to {0}@example.com soon. As {0} said, and ({0}), mail {0}@example or @{0}; others wait for noon."
+    rows = [(i, line.format(n)) for i, n in enumerate(["john.smith", "Mary.Jones", "bo"] * 30)]
+    for r in pii.pii_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        text, name = rows[r.doc_id][1], ["john.smith", "Mary.Jones", "bo"][r.doc_id % 3]
+        found = [text[int(a) : int(b)] for _, a, b in (s.split(":") for s in r.spans.split(","))]
+        assert found == [f"{name}@example.com", name, name, f"{name}@example", f"@{name}"], found
+    ip = [pii.keys_of(t) for t in ("10.0.0.1", "10.0.0.1", "010.0.0.1")]
+    assert set(ip[0]) & set(ip[1]) and set(ip[0]) & set(ip[2])
+
+
 def test_minimum_cut_is_minimal():
     draw = random.Random(6)
     for _ in range(60):
