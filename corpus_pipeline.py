@@ -43,7 +43,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled segmentations of all documents."""
-    return sample_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return sample_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=True)
 
 
 STAGES = [

@@ -56,7 +56,7 @@ def op8_secret_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_gumbel_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return sample_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=True)
 
 
 def op10_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -377,6 +377,13 @@ def test_sampled_pieces(docs, rows):
         assert all(r.ids == rs[0].ids for r in rs)
 
 
+def test_registered_pieces_hold_their_ids(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(5)
+    for out in (queries.op9_gumbel_pieces(spark, SF).limit(5), dict(corpus_pipeline.STAGES)["sentencepiece"](spark, docs, SF)):
+        for r in out.collect():
+            assert [zlib.crc32(struct.pack(f"<{len(x)}I", *x)) for x in r.ids] == r.ids_crc32 and [len(x) for x in r.ids] == r.n_tokens
+
+
 def test_sampling_without_replacement_follows_the_lattice():
     own = sampled_pieces.Sampler(public_tokenizers.path("piece_bpe_32k.model"))
     n = 3000
