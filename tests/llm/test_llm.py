@@ -355,6 +355,13 @@ def test_minimum_cut_is_minimal():
         assert cost(html_extract.minimum_cut(gain, edges)) == pytest.approx(min(cost(x) for x in itertools.product([False, True], repeat=n)))
 
 
+def test_symbols_are_counted_over_the_whole_block():
+    at = html_extract.FEATURES.index("symbols")
+    for text in ("ab | " + "x" * 15) * 5, ("ab | " + "x" * 15) * 200, "x" * 3800 + "|" * 200:
+        row = html_extract.features([html_extract.Block("p", 0, False, False, text=text)])[0]
+        assert row[at] == pytest.approx(0.5)
+
+
 def test_html(spark):
     article = ["The first paragraph of the article tells at length &amp; in full what came to pass that day.", "A second one, with a <a href='x'>link</a> and <b>bold</b> words, goes on for quite a while too."]
     page = f"<html><head><title>T</title><style>p {{}}</style></head><body><nav><ul><li><a>Home</a></li><li><a>News</a></li></ul></nav><div class='cookie'>We use cookies</div><article><h1>A headline</h1><p>{article[0]}</p>\n<p>{article[1]}</p></article><div id='comments'><p>Nice text, I liked it a lot.</p></div><script>var a = '<p>no</p>';</script><footer>© 2020 all rights</footer></body></html>"
