@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fluvion.llm.near_dedup import mix
+from fluvion.llm.mixing import mix
 from fluvion.session import ship
 
 #: Documents of each language that the filter is learned from, about; the choice is by a hash of the id.

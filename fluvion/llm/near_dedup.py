@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fluvion.llm.mixing import mix
 from fluvion.operators.graph import connected_components
 from fluvion.session import materialise, ship
 
@@ -39,13 +40,6 @@ BLOCK_ROWS, BLOCK_BYTES = 1500, 12_000_000
 _A = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """The splitmix64 finaliser."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def shingles(text: str | None) -> tuple[bytes | None, np.ndarray]:
     """A digest of the lower-cased word sequence, and the sorted distinct shingle hashes; (None, empty) without words.
 

@@ -12,9 +12,11 @@ score is expanded next. All draws come from a counter-based generator seeded by
 the row's key, so a row gives the same samples wherever and however often it is
 encoded.
 
-No piece goes on after a space mark that follows a letter, so a text is cut
-into units at those places. The lattice of each distinct unit of a batch is
-built once, and one pass samples all units of all texts, edge by edge.
+No piece of the model goes on from a letter to another sign, or the other way
+round, or over a digit or a line feed; only space marks lead a piece. So a text
+is cut into units at those places (which is checked when a model is read). The
+lattice of each distinct unit of a batch is built once, and one pass samples
+all units of all texts, edge by edge.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fluvion.llm.near_dedup import mix
+from fluvion.llm.mixing import mix
 from fluvion.session import ship
 
 #: Segmentations of each text.
@@ -39,16 +41,23 @@ SAMPLES = 2
 #: Characters of the texts that are encoded together, about, and longest piece.
 CHARS, LONGEST = 500_000, 16
 SPACE = "▁"
-#: A run of space marks with what follows up to the next; line feeds, which no piece contains, apart.
-UNIT = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
+#: Space marks with the letters or with the other signs that follow; digits and line feeds each by itself.
+UNIT = re.compile(rf"{SPACE}*[^\W\d_¹²³]+|[0-9\n]|{SPACE}*(?:(?![{SPACE}\n0-9])[\W\d_¹²³])+|{SPACE}+")
 #: Codes of the bytes of characters without a piece, past all code points.
 BYTES_FROM = 0x110000
-_STEP, _PASS = np.uint64(0x9E3779B97F4A7C15), 0xC2B2AE3D27D4EB4F
+#: What the hash table says of strings that are no piece.
+PREFIX, ABSENT = -2, -1
+_STEP, _WORD, _PASS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x165667B19E3779F9), 0xC2B2AE3D27D4EB4F
 
 
-def uniform(seed: np.ndarray, counter: np.ndarray, stream: int) -> np.ndarray:
-    """Draws in (0, 1) for each seed and counter."""
-    x = mix(mix(seed + np.uint64(stream * _PASS % (1 << 64))) + counter.astype(np.uint64) * _STEP)
+def keyed(seed: np.ndarray, unit: np.ndarray, stream: int) -> np.ndarray:
+    """One key for each seed and unit; streams are independent."""
+    return mix(mix(seed + np.uint64(stream * _PASS % (1 << 64))) + unit.astype(np.uint64) * _STEP)
+
+
+def uniform(key: np.ndarray, step: np.ndarray | int) -> np.ndarray:
+    """Draws in (0, 1) for each key and step, which is mixed in by itself: no two places of a text share a draw."""
+    x = mix(key + (np.asarray(step).astype(np.uint64) + np.uint64(1)) * _WORD)
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
 
 
@@ -82,39 +91,50 @@ class Pieces:
             keys.append(piece)
             ids.append(i)
         self.weight = weight - np.log(np.exp(weight[ids]).sum())
+        # PREFIX and ABSENT count from the end.
+        self.edge_weight = np.concatenate([self.weight, [-np.inf, -np.inf]])
         self.known = np.zeros(BYTES_FROM + 256, dtype=bool)
         self.known[[ord(k) for k in keys if len(k) == 1]] = True
         self.known[BYTES_FROM:] = True
-        if any("\n" in k or SPACE in k.lstrip(SPACE) for k in keys):
-            raise ValueError("pieces of this model cross unit borders")
+        if crossing := next((k for k in keys if UNIT.fullmatch(k) is None), None):
+            raise ValueError(f"piece {crossing!r} of this model crosses unit borders")
         codes = [[ord(c) for c in k] for k in keys] + [[BYTES_FROM + b] for b in range(256)]
-        hashes = np.array([self.hash_of(c) for c in codes], dtype=np.uint64)
-        values = np.array(ids + self.byte_ids.tolist(), dtype=np.int32)
-        self.size = 1 << 19
-        self.keys, self.ids = np.zeros(self.size + 64, dtype=np.uint64), np.full(self.size + 64, -1, dtype=np.int32)
-        self.reach = 1
-        for h, v in zip(hashes.tolist(), values.tolist(), strict=True):
-            at = h % self.size
-            d = 0
-            while self.ids[at + d] >= 0:
-                d += 1
-            self.keys[at + d], self.ids[at + d] = h, v
-            self.reach = max(self.reach, d + 1)
+        found = dict(zip(map(tuple, codes), ids + self.byte_ids.tolist(), strict=True))
+        for code in codes:
+            for end in range(1, len(code)):
+                found.setdefault(tuple(code[:end]), PREFIX)
+        self.size = 1 << 20
+        self.keys, self.ids = np.zeros(self.size + 64, dtype=np.uint64), np.full(self.size + 64, ABSENT, dtype=np.int32)
+        for code, v in found.items():
+            at = (h := self.hash_of(code)) % self.size
+            while self.ids[at] != ABSENT:
+                at += 1
+            self.keys[at], self.ids[at] = h, v
+        sizes = np.array([len(x) for x in self.bytes])
+        self.spelt = np.frombuffer(b"".join(self.bytes), dtype=np.uint8)
+        self.spelt_at, self.spelt_size = np.cumsum(sizes) - sizes, sizes
 
     @staticmethod
-    def hash_of(codes: list[int]) -> int:
+    def hash_of(codes: tuple[int, ...]) -> int:
         h = np.zeros(1, dtype=np.uint64)
         for c in codes:
             h = mix(h + np.uint64(c + 1))
         return int(h[0])
 
     def find(self, h: np.ndarray) -> np.ndarray:
-        """Ids of hashed strings, -1 where there is no such piece."""
+        """Ids of hashed strings; PREFIX where only longer strings are pieces, ABSENT where nothing is."""
         at = (h & np.uint64(self.size - 1)).astype(np.int64)
-        out = np.full(len(h), -1, dtype=np.int32)
-        for d in range(self.reach):
-            hit = self.keys[at + d] == h
-            out[hit] = self.ids[at + d][hit]
+        out = self.ids[at]
+        other = np.nonzero((self.keys[at] != h) & (out != ABSENT))[0]
+        out[other] = ABSENT
+        at = at[other]
+        while len(other):
+            at = at + 1
+            here = self.ids[at]
+            hit = self.keys[at] == h[other]
+            out[other[hit]] = here[hit]
+            going = ~hit & (here != ABSENT)
+            other, at = other[going], at[going]
         return out
 
     def codes(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -133,6 +153,12 @@ class Pieces:
         ends = np.cumsum(sizes)
         return out, total[ends] - total[ends - sizes]
 
+    def spell(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes of all ids in a row, and where each id's bytes end."""
+        sizes = self.spelt_size[ids]
+        ends = np.cumsum(sizes)
+        return self.spelt[np.repeat(self.spelt_at[ids] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)].tobytes(), ends
+
     def decode(self, ids: list[int]) -> str:
         """The text of ids; the first piece's leading space is the encoder's own."""
         text = b"".join([self.bytes[i] for i in ids]).decode("utf-8", "replace")
@@ -140,58 +166,77 @@ class Pieces:
 
 
 class Lattice:
-    """Lattices of distinct units, one state for each place: edges in rows of up to LONGEST, as cumulated probabilities."""
+    """Lattices of distinct units, one state for each distance from a unit's end.
+
+    Units are numbered by falling size, so the units that have a state at
+    distance d are 0 to ``held[d] - 1``. State (d, unit) owns ``reach(d)``
+    entries in a row from ``at(d, unit)``: entry j is the piece of j + 1 signs.
+    """
 
     def __init__(self, pieces: Pieces, units: list[str]):
         plain, sizes = pieces.codes(units)
-        self.start = np.cumsum(sizes) - sizes
-        end = np.repeat(self.start + sizes, sizes)
+        order = np.argsort(-sizes, kind="stable")
+        #: Number of each unit in the order given.
+        self.number = np.empty(len(units), dtype=np.int64)
+        self.number[order] = np.arange(len(units))
+        self.size = sizes[order]
+        longest = int(sizes.max(initial=0))
+        distances = np.arange(longest + 1)
+        held = np.searchsorted(-self.size, -distances, side="right")
+        self.base = np.concatenate([[0], np.cumsum((held * np.minimum(distances, LONGEST))[1:])])
+        self.base = np.concatenate([[0], self.base])[: longest + 2]
         n = len(plain)
-        left = end - np.arange(n)
-        states, lengths, found = [], [], []
-        h, alive = np.zeros(n, dtype=np.uint64), np.arange(n)
-        for k in range(min(LONGEST, int(sizes.max(initial=0)))):
-            alive = alive[left[alive] > k]
-            h = mix((h if k == 0 else h[left[before] > k]) + (plain[alive + k] + 1).astype(np.uint64)) if k else mix((plain + 1).astype(np.uint64))
-            before = alive
-            ids = pieces.find(h)
-            hit = ids >= 0
-            states.append(alive[hit])
-            lengths.append(np.full(int(hit.sum()), k + 1))
-            found.append(ids[hit])
-        state, length, piece = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (states, lengths, found))
-        order = np.argsort(state, kind="stable")
-        self.edge_state, self.length, self.piece = state[order], length[order].astype(np.int64), piece[order].astype(np.int64)
-        self.first = np.searchsorted(self.edge_state, np.arange(n + 1))
-        weight = pieces.weight[self.piece]
+        left = np.repeat(np.cumsum(sizes), sizes) - np.arange(n)
+        entry = self.at(left, np.repeat(self.number, sizes))
+        plain = (plain + 1).astype(np.uint64)
+        #: The piece of each entry, or a negative number.
+        self.piece = np.full(int(self.base[-1]), ABSENT, dtype=np.int32)
+        alive, h = np.arange(n), np.zeros(n, dtype=np.uint64)
+        for k in range(min(LONGEST, longest)):
+            h = mix(h + plain[alive + k])
+            found = pieces.find(h)
+            self.piece[entry[alive] + k] = found
+            longer = (found != ABSENT) & (left[alive] > k + 1)
+            alive, h = alive[longer], h[longer]
+        weight = pieces.edge_weight[self.piece]
+        self.log_share, self.cumulated = np.empty(len(weight)), np.empty(len(weight))
         # Log-sums of all ways to the unit's end, for all states at one distance from it at once.
-        self.ways = np.zeros(n + 1)
-        by_left = np.argsort(left[self.edge_state], kind="stable")
-        distance = left[self.edge_state][by_left]
-        cuts = np.searchsorted(distance, np.arange(1, int(left.max(initial=0)) + 2))
-        target = self.edge_state + self.length
-        at_end = self.length == left[self.edge_state]
-        for d in range(len(cuts) - 1):
-            e = by_left[cuts[d] : cuts[d + 1]]
-            value = weight[e] + np.where(at_end[e], 0.0, self.ways[np.minimum(target[e], n)])
-            own = self.edge_state[e]
-            heads = np.nonzero(np.diff(own, prepend=-1))[0]
-            top = np.maximum.reduceat(value, heads)
-            group = np.cumsum(np.diff(own, prepend=-1) != 0) - 1
-            self.ways[own[heads]] = top + np.log(np.add.reduceat(np.exp(value - top[group]), heads))
-        self.next = np.where(at_end, -1, target)
-        share = weight + np.where(at_end, 0.0, self.ways[np.minimum(target, n)]) - self.ways[self.edge_state]
-        self.log_share = np.minimum(share, 0.0)
-        total = np.cumsum(np.exp(self.log_share))
-        base = np.concatenate([[0.0], total])[self.first[self.edge_state]]
-        # State number plus cumulated share, so that one sorted array serves all states.
-        self.cumulated = self.edge_state + np.minimum(total - base, 1.0)
-        last = self.first[1:] - 1
-        self.cumulated[last[last >= self.first[:-1]]] = np.arange(n)[last >= self.first[:-1]] + 1.0
-
-    def take(self, state: np.ndarray, u: np.ndarray) -> np.ndarray:
-        """The edges that draws ``u`` choose at ``state``."""
-        return np.minimum(np.searchsorted(self.cumulated, state + u, side="right"), self.first[state + 1] - 1)
+        ways = [np.zeros(len(units))]
+        for d in range(1, longest + 1):
+            span, m = slice(self.base[d], self.base[d + 1]), held[d]
+            sums = weight[span].reshape(m, -1)
+            for j in range(sums.shape[1]):
+                sums[:, j] += ways[-1 - j][:m]
+            top = sums.max(axis=1)
+            chance = np.exp(sums - top[:, None])
+            total = chance.sum(axis=1)
+            ways.append(top + np.log(total))
+            if len(ways) > LONGEST:
+                del ways[0]
+            self.log_share[span] = np.minimum(sums - ways[-1][:, None], 0.0).ravel()
+            chance = np.cumsum(chance, axis=1)
+            self.cumulated[span] = (chance / chance[:, -1:]).ravel()
+
+    @staticmethod
+    def reach(distance: np.ndarray) -> np.ndarray:
+        return np.minimum(distance, LONGEST)
+
+    def at(self, distance: np.ndarray, unit: np.ndarray) -> np.ndarray:
+        """The first entry of each state."""
+        return self.base[distance] + unit * self.reach(distance)
+
+    def take(self, first: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """The entries, counted from each state's first, that draws ``u`` choose."""
+        j, open_ = np.zeros(len(u), dtype=np.int64), np.arange(len(u))
+        while len(open_):
+            open_ = open_[self.cumulated[first[open_] + j[open_]] <= u[open_]]
+            j[open_] += 1
+        return j
+
+    def rest(self, distance: int, unit: int, taken: tuple[int, ...]) -> list[int]:
+        """Entries of one state that are pieces, but for those taken."""
+        first = int(self.at(np.int64(distance), np.int64(unit)))
+        return [e for e in range(first, first + min(distance, LONGEST)) if self.piece[e] >= 0 and e not in taken]
 
 
 def log_complement(log_share: np.ndarray) -> np.ndarray:
@@ -206,24 +251,23 @@ class Sampler:
     def __init__(self, path: str):
         self.pieces = Pieces(path)
 
-    def walk(self, lattice: Lattice, doc, unit, state, seed, stream):
-        """Sample edges from ``state`` to the end of each unit instance (sorted by state for locality).
+    def walk(self, lattice: Lattice, doc, place, unit, distance, seed, stream):
+        """Sample pieces from ``distance`` to the end of each unit instance; ``place`` is a unit's place in its text.
 
-        Returns, for each step: instance, step number, edge.
+        Returns, for each step: instance, step number, distance, entry.
         """
-        order = np.argsort(state, kind="stable")
-        live, at, step, out = order, state[order], 0, []
+        key = keyed(seed[doc], place, stream)
+        live, step, out = np.arange(len(unit)), 0, []
         while len(live):
-            edge = lattice.first[at].copy()
-            open_ = lattice.first[at + 1] - edge > 1
-            who = live[open_]
-            u = uniform(seed[doc[who]], unit[who] * 4096 + step, stream)
-            edge[open_] = lattice.take(at[open_], u)
-            out.append((live, np.full(len(live), step), edge))
-            nxt = lattice.next[edge]
-            more = nxt >= 0
-            live, at, step = live[more], nxt[more], step + 1
-        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 3
+            first = lattice.at(distance, unit)
+            j = np.zeros(len(live), dtype=np.int64)
+            open_ = np.nonzero(distance > 1)[0]
+            j[open_] = lattice.take(first[open_], uniform(key[live[open_]], step))
+            out.append((live, np.full(len(live), step), distance, first + j))
+            distance = distance - j - 1
+            more = distance > 0
+            live, unit, distance, step = live[more], unit[more], distance[more], step + 1
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 4
 
     def sample(self, texts: list[str], seeds: np.ndarray, k: int) -> list[list[tuple[np.ndarray, float, float]]]:
         """For each text its samples, best perturbed score first: (ids, log-probability, inclusion probability).
@@ -239,35 +283,34 @@ class Sampler:
         first_unit = np.cumsum(counts) - counts
         unit = np.arange(len(flat)) - first_unit[doc]
         lattice = Lattice(self.pieces, list(index))
+        kind = lattice.number[flat]
         n = len(texts)
-        root = -np.log(-np.log(uniform(seeds, np.zeros(n, np.int64), 1)))
+        root = -np.log(-np.log(uniform(keyed(seeds, np.zeros(n, np.int64), 1), 0)))
         samples: list[list] = [[] for _ in texts]
         heaps: list[list] = [[] for _ in texts]
-        # Pass 0 starts every text at its first unit; later passes start inside a unit, after a prefix of an earlier sample.
+        # Turn 0 starts every text at its first unit; later turns start inside a unit, after a prefix of an earlier sample.
         todo = [(i, root[i], 0.0, None) for i in range(n)]
         for turn in range(k):
             bound, base = np.full(n, -np.inf), np.zeros(n)
-            prefix: dict[int, tuple] = {}
-            begin_unit = np.full(n, np.iinfo(np.int64).max)
-            begin_state = np.full(n, -1)
+            begin, begin_distance = np.full(n, np.iinfo(np.int64).max), np.full(n, -1)
+            lead = np.zeros(n, dtype=np.int64)
             for i, score, before, cut in todo:
                 bound[i], base[i] = score, before
-                if cut is None:
-                    begin_unit[i] = 0
-                else:
-                    prefix[i] = cut
-                    begin_unit[i], begin_state[i] = cut[1], cut[2]
-            inst = np.nonzero((unit >= begin_unit[doc]) & ~((unit == begin_unit[doc]) & (begin_state[doc] == -2)))[0]
+                begin[i] = 0
+                if cut is not None:
+                    lead[i], begin[i], begin_distance[i] = len(cut[0]), cut[1], cut[2]
+            inst = np.nonzero((unit > begin[doc]) | ((unit == begin[doc]) & (begin_distance[doc] != 0)))[0]
             d, un = doc[inst], unit[inst]
-            state = lattice.start[flat[inst]].copy()
-            resumed = (un == begin_unit[d]) & (begin_state[d] >= 0)
-            state[resumed] = begin_state[d[resumed]]
-            who, step, edge = self.walk(lattice, d, un, state, seeds, 10 + 4 * turn)
+            distance = lattice.size[kind[inst]]
+            resumed = (un == begin[d]) & (begin_distance[d] > 0)
+            distance[resumed] = begin_distance[d[resumed]]
+            who, step, at_distance, entry = self.walk(lattice, d, un, kind[inst], distance, seeds, 10 + 4 * turn)
             # Order the steps by text, unit and step; then prefix sums run along each path.
             lengths = np.bincount(who, minlength=len(inst)).astype(np.int64)
-            place = (np.cumsum(lengths) - lengths)[who] + step
-            path = np.empty(len(edge), dtype=np.int64)
-            path[place] = edge
+            starts = np.cumsum(lengths) - lengths
+            place = starts[who] + step
+            path, left = np.empty(len(entry), dtype=np.int64), np.empty(len(entry), dtype=np.int64)
+            path[place], left[place] = entry, at_distance
             of = np.repeat(np.arange(len(inst)), lengths)
             owner = d[of] if len(of) else np.zeros(0, np.int64)
             share = lattice.log_share[path]
@@ -275,50 +318,44 @@ class Sampler:
             tokens = np.bincount(owner, minlength=n).astype(np.int64)
             head = np.cumsum(tokens) - tokens
             start_sum = np.concatenate([[0.0], run])[head]
-            along = run - share - start_sum[owner] + base[owner]
-            several = np.nonzero(lattice.first[lattice.edge_state[path] + 1] - lattice.first[lattice.edge_state[path]] > 1)[0]
-            mu = along[several] + log_complement(share[several])
-            u = uniform(seeds[owner[several]], un[of[several]] * 4096 + (several - np.repeat(np.cumsum(lengths) - lengths, lengths)[several]), 12 + 4 * turn)
-            best = truncated(mu, bound[owner[several]], u)
-            best[~np.isfinite(mu)] = -np.inf
+            several = np.nonzero(share < 0)[0]
+            holder = owner[several]
+            along = run[several] - share[several] - start_sum[holder] + base[holder]
+            u = uniform(keyed(seeds[holder], un[of[several]], 12 + 4 * turn), several - starts[of[several]])
+            best = truncated(along + log_complement(share[several]), bound[holder], u)
             ids = lattice.piece[path]
             for i, score, before, cut in todo:
                 a, b = head[i], head[i] + tokens[i]
-                own = ids[a:b]
-                whole = np.concatenate([cut[0], own]) if cut is not None else own
+                whole = np.concatenate([cut[0], ids[a:b]]) if cut is not None else ids[a:b]
                 samples[i].append((whole, float(before + (run[b - 1] - start_sum[i] if b > a else 0.0)), score))
-            # The k best sets that each path leaves aside, with what is needed to go on from there.
-            tops = self.tops(owner[several], best, n, k - turn)
-            cut_ids = {i: s[-1][0] for i, s in enumerate(samples) if s}
-            for j in tops:
-                p = several[j]
-                i = int(owner[p])
-                lead = len(prefix[i][0]) if i in prefix else 0
-                taken = (int(path[p]),)
-                heapq.heappush(heaps[i], (-float(best[j]), turn, int(p), float(along[p]), cut_ids[i][: lead + int(p - head[i])], int(un[of[p]]), int(lattice.edge_state[path[p]]), taken))
             if turn == k - 1:
+                # The best set left aside bounds what another sample would have scored.
+                for j in self.tops(holder, best, n, 1):
+                    heapq.heappush(heaps[int(holder[j])], (-float(best[j]), turn))
                 break
+            # The k best sets that each path leaves aside, with what is needed to go on from there.
+            for j in self.tops(holder, best, n, k - turn):
+                p, i = int(several[j]), int(holder[j])
+                heapq.heappush(heaps[i], (-float(best[j]), turn, p, float(along[j]), samples[i][-1][0][: lead[i] + p - head[i]], int(un[of[p]]), int(kind[inst[of[p]]]), int(left[p]), (int(path[p]),)))
             todo = []
             for i in range(n):
                 if not heaps[i]:
                     continue
-                score, _, _, before, ids_before, at_unit, at_state, taken = heapq.heappop(heaps[i])
+                score, _, _, before, ids_before, at_unit, of_kind, at, taken = heapq.heappop(heaps[i])
                 score = -score
-                rest = [e for e in range(lattice.first[at_state], lattice.first[at_state + 1]) if e not in taken]
+                rest = lattice.rest(at, of_kind, taken)
                 share_rest = lattice.log_share[rest]
-                u = uniform(seeds[i : i + 1], np.array([at_unit * 4096 + 4095 - len(taken)]), 13 + 4 * turn)
+                # One set is split at each turn.
+                u, v = uniform(keyed(seeds[[i, i]], np.zeros(2, np.int64), 13 + 4 * turn), np.arange(2))
                 cumulated = np.cumsum(np.exp(share_rest - share_rest.max()))
-                chosen = int(np.searchsorted(cumulated, u[0] * cumulated[-1], side="right"))
-                chosen = min(chosen, len(rest) - 1)
+                chosen = min(int(np.searchsorted(cumulated, u * cumulated[-1], side="right")), len(rest) - 1)
                 others = [x for j, x in enumerate(share_rest) if j != chosen]
                 if others:
-                    mu_rest = np.array([before + np.logaddexp.reduce(others)])
-                    v = uniform(seeds[i : i + 1], np.array([at_unit * 4096 + 2048 - len(taken)]), 13 + 4 * turn)
-                    left = truncated(mu_rest, np.array([score]), v)[0]
-                    heapq.heappush(heaps[i], (-float(left), turn, -1, before, ids_before, at_unit, at_state, (*taken, rest[chosen])))
+                    left_score = truncated(np.array([before + np.logaddexp.reduce(others)]), np.array([score]), v)[0]
+                    heapq.heappush(heaps[i], (-float(left_score), turn, -1, before, ids_before, at_unit, of_kind, at, (*taken, rest[chosen])))
+                first = int(lattice.at(np.int64(at), np.int64(of_kind)))
                 new_ids = np.append(ids_before, lattice.piece[rest[chosen]])
-                nxt = int(lattice.next[rest[chosen]])
-                todo.append((i, score, before + float(share_rest[chosen]), (new_ids, at_unit, nxt if nxt >= 0 else -2)))
+                todo.append((i, score, before + float(share_rest[chosen]), (new_ids, at_unit, at - (rest[chosen] - first) - 1)))
             if not todo:
                 break
         out = []
@@ -381,11 +418,21 @@ def sample_pieces(docs: DataFrame, model_path: str, k: int = SAMPLES, id_col: st
                 some = texts[start:stop]
                 seeds = np.array([xxhash.xxh3_64_intdigest(str(x)) for x in keys[start:stop]], dtype=np.uint64)
                 found = own.sample(some, seeds, k)
-                fine, crcs = [], []
+                flat = np.concatenate([x[0] for x in chain.from_iterable(found)] or [np.zeros(0, np.int32)]).astype("<i4")
+                sizes = np.fromiter((len(x[0]) for x in chain.from_iterable(found)), dtype=np.int64)
+                ends = np.cumsum(sizes)
+                held, (spelt, piece_ends) = flat.tobytes(), own.pieces.spell(flat)
+                byte_ends = np.concatenate([[0], piece_ends])[ends]
+                byte_starts = np.concatenate([[0], piece_ends])[ends - sizes]
+                fine, crcs, j = [], [], 0
                 for text, samples in zip(some, found, strict=True):
-                    data = [s[0].astype("<u4").tobytes() for s in samples]
+                    whole, data, same = b" " + text.encode("utf-8", "surrogatepass") if text else b"", [], True
+                    for _ in samples:
+                        data.append(held[4 * (ends[j] - sizes[j]) : 4 * ends[j]])
+                        same &= spelt[byte_starts[j] : byte_ends[j]] == whole
+                        j += 1
                     crcs.append([zlib.crc32(x) for x in data])
-                    fine.append(len(set(data)) == len(data) and all(own.pieces.decode(s[0].tolist()) == text for s in samples))
+                    fine.append(same and len(set(data)) == len(data))
                 columns = [
                     batch.column(0).slice(start, stop - start),
                     pa.array([len(s) for s in found], pa.int64()),
@@ -397,7 +444,8 @@ def sample_pieces(docs: DataFrame, model_path: str, k: int = SAMPLES, id_col: st
                 ]
                 names = ["doc_id", "n_samples", "n_tokens", "ids_crc32", "log_prob", "inclusion", "round_trip"]
                 if with_ids:
-                    columns.append(pa.array([[x[0].tolist() for x in s] for s in found], pa.list_(pa.list_(pa.int32()))))
+                    inner = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(flat))
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), inner))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
                 start = stop

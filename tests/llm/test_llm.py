@@ -391,19 +391,63 @@ def test_registered_pieces_hold_their_ids(spark):
             assert [zlib.crc32(struct.pack(f"<{len(x)}I", *x)) for x in r.ids] == r.ids_crc32 and [len(x) for x in r.ids] == r.n_tokens
 
 
-def test_sampling_without_replacement_follows_the_lattice():
-    own = sampled_pieces.Sampler(public_tokenizers.path("piece_bpe_32k.model"))
-    n = 3000
+def listed_segmentations(model, text):
+    """Every way to spell a text by pieces, with its probability, listed by brute force from the vocabulary."""
+    text = "▁" + text.replace(" ", "▁")
+    ids = {model.id_to_piece(i): i for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))}
+    weight = {p: 1 / (2 + max(0.0, -model.get_score(i))) for p, i in ids.items()}
+
+    def ways(at):
+        if at == len(text):
+            yield (), 1.0
+        for end in range(at + 1, min(len(text), at + 16) + 1):
+            if (piece := text[at:end]) in ids:
+                for rest, w in ways(end):
+                    yield (ids[piece], *rest), w * weight[piece] / sum(weight.values())
+
+    found = list(ways(0))
+    total = sum(w for _, w in found)
+    return {s: w / total for s, w in found}
+
+
+@pytest.mark.parametrize("text", ["abc", "at 1, so"])
+def test_sampling_without_replacement_follows_the_listed_lattice(text):
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    listed = listed_segmentations(sentencepiece.SentencePieceProcessor(model_file=path), text)
+    n = 6000
     seeds = np.random.default_rng(8).integers(0, 2**63, n).astype(np.uint64)
-    first = Counter()
-    probability = {}
-    for found in own.sample(["abc"] * n, seeds, 2):
-        first[tuple(found[0][0].tolist())] += 1
-        for ids, logp, _ in found:
-            probability[tuple(ids.tolist())] = np.exp(logp)
-    assert sum(probability.values()) <= 1 + 1e-9
-    for ids, p in probability.items():
-        assert abs(first[ids] / n - p) < 5 * np.sqrt(p * (1 - p) / n) + 1e-3
+    pairs, held, weighted = Counter(), Counter(), Counter()
+    for found in sampled_pieces.Sampler(path).sample([text] * n, seeds, 2):
+        (a, log_a, in_a), (b, log_b, in_b) = ((tuple(ids.tolist()), logp, inclusion) for ids, logp, inclusion in found)
+        assert abs(np.exp(log_a) - listed[a]) < 1e-9 and abs(np.exp(log_b) - listed[b]) < 1e-9
+        pairs[a, b] += 1
+        held.update((a, b))
+        # The inverse of the inclusion chance makes sums over samples unbiased.
+        weighted[a] += listed[a] / in_a
+        weighted[b] += listed[b] / in_b
+    near = lambda got, p: abs(got / n - p) < 5 * np.sqrt(p * (1 - p) / n) + 1e-3
+    for a, p in listed.items():
+        for b, q in listed.items():
+            if a != b:
+                assert near(pairs[a, b], p * q / (1 - p))
+    assert abs(sum(weighted.values()) / n - 1) < 0.05
+    top = max(listed, key=listed.get)
+    assert near(held[top], listed[top] + sum(p * listed[top] / (1 - p) for s, p in listed.items() if s != top))
+
+
+def test_samples_do_not_depend_on_the_batch_and_long_units_have_their_own_draws():
+    own = sampled_pieces.Sampler(public_tokenizers.path("piece_bpe_32k.model"))
+    texts = ["one two three", "", "x" * 9000 + " " + "x" * 9000, "naïve Straße 12.5", "the"]
+    seeds = np.arange(5, dtype=np.uint64)
+    whole = own.sample(texts, seeds, 3)
+    for i, t in enumerate(texts):
+        alone = own.sample([t], seeds[i : i + 1], 3)[0]
+        assert [(x[0].tolist(), x[1], x[2]) for x in alone] == [(x[0].tolist(), x[1], x[2]) for x in whole[i]]
+    ids = whole[2][0][0].tolist()
+    middle = next(j for j in range(len(ids)) if sum(len(own.pieces.bytes[x]) for x in ids[:j]) > 9000)
+    assert ids[:500] != ids[middle : middle + 500]
 
 
 def test_pipeline(spark):
