@@ -47,6 +47,8 @@ UNIT = re.compile(rf"{SPACE}*[^\W\d_¹²³]+|[0-9\n]|{SPACE}*(?:(?![{SPACE}\n0-9
 BYTES_FROM = 0x110000
 #: What the hash table says of strings that are no piece.
 PREFIX, ABSENT = -2, -1
+#: Log-probabilities are summed as whole multiples of one part in so many.
+FIXED = float(1 << 32)
 _STEP, _WORD, _PASS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x165667B19E3779F9), 0xC2B2AE3D27D4EB4F
 
 
@@ -57,7 +59,7 @@ def keyed(seed: np.ndarray, unit: np.ndarray, stream: int) -> np.ndarray:
 
 def uniform(key: np.ndarray, step: np.ndarray | int) -> np.ndarray:
     """Draws in (0, 1) for each key and step, which is mixed in by itself: no two places of a text share a draw."""
-    x = mix(key + (np.asarray(step).astype(np.uint64) + np.uint64(1)) * _WORD)
+    x = mix(key + np.atleast_1d(step).astype(np.uint64) * _WORD + _WORD)
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
 
 
@@ -314,20 +316,21 @@ class Sampler:
             of = np.repeat(np.arange(len(inst)), lengths)
             owner = d[of] if len(of) else np.zeros(0, np.int64)
             share = lattice.log_share[path]
-            run = np.cumsum(share)
+            # Whole numbers sum alike in any order, so a text's sums do not depend on its batch.
+            run = np.cumsum(np.rint(share * FIXED).astype(np.int64))
             tokens = np.bincount(owner, minlength=n).astype(np.int64)
             head = np.cumsum(tokens) - tokens
-            start_sum = np.concatenate([[0.0], run])[head]
+            start_sum = np.concatenate([[0], run])[head]
             several = np.nonzero(share < 0)[0]
             holder = owner[several]
-            along = run[several] - share[several] - start_sum[holder] + base[holder]
+            along = (np.concatenate([[0], run])[several] - start_sum[holder]) / FIXED + base[holder]
             u = uniform(keyed(seeds[holder], un[of[several]], 12 + 4 * turn), several - starts[of[several]])
             best = truncated(along + log_complement(share[several]), bound[holder], u)
             ids = lattice.piece[path]
             for i, score, before, cut in todo:
                 a, b = head[i], head[i] + tokens[i]
                 whole = np.concatenate([cut[0], ids[a:b]]) if cut is not None else ids[a:b]
-                samples[i].append((whole, float(before + (run[b - 1] - start_sum[i] if b > a else 0.0)), score))
+                samples[i].append((whole, float(before + ((run[b - 1] - start_sum[i]) / FIXED if b > a else 0.0)), score))
             if turn == k - 1:
                 # The best set left aside bounds what another sample would have scored.
                 for j in self.tops(holder, best, n, 1):
