@@ -1,13 +1,17 @@
 """Personal data: fixed patterns, and a skip-chain conditional random field for consistency across a document.
 
 The fixed patterns label most mentions. A mention is a token with a digit or an
-@, or a word that is the local part of an address in the document, labelled
-with a kind or as other. The field has one potential for a
+@, or a word with an inner mark that is the local part of an address in the
+document, labelled with a kind or as other. The field has one potential for a
 mention's own features, one for neighbours in the text, and one for distant
 mentions that are equal or similar (the same token, the same last digits, the
 same local part). Similar mentions meet at a hub with a label of its own, so n of them
 need n edges, never n * n. Loopy message passing then carries a label from a
-mention that the patterns know to a bare repeat that they do not.
+mention that the patterns know to a repeat that they do not, and features can
+name a mention that no pattern takes. All potentials are fitted together by
+pseudo-likelihood; every example is shown three times, whole, without the sign
+that gives its pattern away, and by its neighbours alone, so that each part
+learns its weight though another may explain the label by itself.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +39,18 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-MENTION = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
-#: Documents the potentials are learned from, about; rounds of message passing; belief that a new span needs.
-TRAIN_DOCS, ROUNDS, BELIEF = 20_000, 6, 0.5
+#: Documents the potentials are learned from, about; rounds of message passing at most, and the change that ends them; belief that a new span needs.
+TRAIN_DOCS, ROUNDS, SETTLED, BELIEF = 20_000, 60, 1e-6, 0.8
+#: Steps and ridge of the fit.
+FIT_STEPS, RIDGE = 400, 0.5
+DIGIT_OR_AT, DIGIT = re.compile("[0-9@]"), re.compile("[0-9]")
+#: A word before a colon or an equals sign that names what follows.
+NAMING = re.compile(r"([A-Za-z-]{1,20})\x20?[:=]\x20?\Z")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: What is not part of a token at its ends.
 MARKS = ".,;:!?()[]{}\"'<>"
+#: A word with an inner mark.
+PARTED = re.compile(r"[^\W\d_][\w]*(?:[._%+-][\w]+)+")
 #: Digits by which two numbers are similar.
 TAIL_DIGITS = 7
 
@@ -72,7 +83,7 @@ def emails(text: str) -> list[tuple[int, int]]:
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of the fixed patterns, by kind as listed, then start."""
     found = [("email", a, b) for a, b in emails(text)]
-    if not re.search("[0-9]", text):
+    if not DIGIT.search(text):
         return found
     found += [("ip", *m.span()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m.groups())]
     for m in CARD.finditer(text):
@@ -94,18 +105,35 @@ class Mention:
     text: str
     #: Number of the known label, or -1.
     label: int
-    features: tuple[str, ...]
+    #: Those that always count, and those that give a pattern away.
+    features: tuple[tuple[str, ...], tuple[str, ...]]
     keys: tuple[str, ...]
 
 
-def features_of(token: str) -> tuple[str, ...]:
-    digits = sum(c.isdigit() for c in token)
-    shape = re.sub(r"9+", "9", re.sub(r"a+", "a", "".join("9" if c.isdigit() else "a" if c.isalpha() else c for c in token)))
-    return (f"digits:{min(digits, 16)}", f"length:{min(len(token), 24) // 3}", f"shape:{shape[:12]}", f"at:{'@' in token}", f"plus:{token.startswith('+')}")
+def features_of(token: str, before: str = "") -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """A mention's features: those that always count, and those that give a pattern away.
+
+    ``before`` is the text that leads up to the mention (24 characters are enough for a naming word).
+    """
+    digits = re.sub("[^0-9]", "", token)
+    at = "none" if "@" not in token else "domain" if "." in token.partition("@")[2] else "bare"
+    # What is counted is counted apart for words and numbers, with and without an @: a bare word is like no address.
+    kind = f"{at}:{min(sum(c.isalpha() for c in token), 1)}"
+    plain = [f"kind:{kind}", f"digits:{min(len(digits), 20)}:{kind}", f"marks:{''.join(sorted(set(token) & set('()-/:_%')))}:{kind}"]
+    if m := NAMING.search(before):
+        plain.append("named:" + m[1].lower())
+    if dots := min(token.count("."), 4):
+        plain.append(f"dots:{dots}:{kind}:{bool(IP.fullmatch(token)) and all(len(p.lstrip('0')) <= 3 and int(p) <= 255 for p in token.split('.'))}")
+    if 13 <= len(digits) <= 19 and kind.endswith("0"):
+        plain.append(f"luhn:{luhn(digits)}")
+    return tuple(plain), ("plus",) if token.startswith("+") else ()
 
 
 def keys_of(token: str) -> tuple[str, ...]:
-    """What makes mentions similar: the token itself, its dotted address, the last digits of a number, the local part of an address."""
+    """What makes mentions similar: the token itself, its dotted address, the last digits of a number, the local part of an address.
+
+    A bare word is similar to an address only if a mark parts it (john.smith): a word alone is no address.
+    """
     digits = re.sub("[^0-9]", "", token)
     letters = sum(c.isalpha() for c in token)
     keys = []
@@ -113,10 +141,12 @@ def keys_of(token: str) -> tuple[str, ...]:
         keys.append("n:" + digits[-TAIL_DIGITS:])
     whole = token.lower().strip(MARKS)
     local = local_part(token)
-    keys += ["a:" + x for x in dict.fromkeys((local, whole)) if x]
+    if "@" in token or PARTED.fullmatch(local):
+        keys.append("a:" + local)
+    keys.append("t:" + whole)
     if m := IP.search(token):
         keys.append("i:" + ".".join(p.lstrip("0") or "0" for p in m.groups()))
-    return tuple(keys)
+    return tuple(k for k in keys if len(k) > 2)
 
 
 def local_part(token: str) -> str:
@@ -126,21 +156,29 @@ def local_part(token: str) -> str:
 
 
 def mentions(text: str, base: list[tuple[str, int, int]]) -> list[Mention]:
-    """Base spans, and all other tokens with a digit, an @ or the local part of an address among them, in text order."""
-    out = [Mention(a, b, text[a:b], LABELS.index(k), features_of(text[a:b]), keys_of(text[a:b])) for k, a, b in base]
+    """Base spans, and all other tokens with a digit, an @ or the parted local part of an address among them, in text order."""
+    if not DIGIT_OR_AT.search(text):
+        return []
+
+    def mention(a: int, b: int, label: int) -> Mention:
+        token = text[a:b]
+        return Mention(a, b, token, label, features_of(token, text[max(0, a - 24) : a]), keys_of(token))
+
+    out = [mention(a, b, LABELS.index(k)) for k, a, b in base]
     taken = sorted((a, b) for _, a, b in base)
-    locals_ = {local_part(text[a:b]) for kind, a, b in base if kind == "email"}
-    k = 0
-    for m in (WORD if locals_ else MENTION).finditer(text):
+    locals_ = {x for kind, a, b in base if kind == "email" and PARTED.fullmatch(x := local_part(text[a:b]))}
+    k, reached = 0, 0
+    for m in WORD.finditer(text):
         token = m[0]
+        if not DIGIT_OR_AT.search(token) and not (locals_ and token.lower().strip(MARKS) in locals_):
+            continue
         a = m.start() + len(token) - len(token.lstrip(MARKS))
         b = m.start() + len(token.rstrip(MARKS))
-        if locals_ and not MENTION.fullmatch(token) and token.lower().strip(MARKS) not in locals_:
-            continue
-        while k < len(taken) and taken[k][1] <= a:
+        while k < len(taken) and taken[k][0] < b:
+            reached = max(reached, taken[k][1])
             k += 1
-        if a < b and not (k < len(taken) and taken[k][0] < b):
-            out.append(Mention(a, b, text[a:b], -1, features_of(text[a:b]), keys_of(text[a:b])))
+        if a < b and a >= reached:
+            out.append(mention(a, b, -1))
     return sorted(out, key=lambda x: (x.start, x.end))
 
 
@@ -154,12 +192,13 @@ class SkipChain:
     skip: np.ndarray
 
     def labels(self, found: list[Mention]) -> np.ndarray:
-        """Beliefs, mentions by labels, after ROUNDS of message passing."""
+        """Beliefs, mentions by labels, once the messages have settled (after ROUNDS at the latest)."""
         n, size = len(found), len(LABELS)
         own = np.tile(self.prior, (n, 1))
         for i, m in enumerate(found):
-            for f in m.features:
-                own[i] += self.unary.get(f, 0)
+            for f in chain(*m.features):
+                if (w := self.unary.get(f)) is not None:
+                    own[i] += w
             if m.label >= 0:
                 own[i] = -30.0
                 own[i, m.label] = 0.0
@@ -182,17 +221,18 @@ class SkipChain:
         for _ in range(ROUNDS):
             belief = own + right + left
             np.add.at(belief, node, down)
-            up = through(belief[node] - down, self.skip) if len(ends) else up
+            new_up = through(belief[node] - down, self.skip) if len(ends) else up
             total = np.zeros((n_hubs, size))
-            np.add.at(total, hub, up)
-            down = through(total[hub] - up, self.skip.T) if len(ends) else down
-            belief = own + right + left
-            np.add.at(belief, node, down)
+            np.add.at(total, hub, new_up)
+            new_down = through(total[hub] - new_up, self.skip.T) if len(ends) else down
+            new_right, new_left = np.zeros((n, size)), np.zeros((n, size))
             if n > 1:
-                new_right, new_left = np.zeros((n, size)), np.zeros((n, size))
                 new_right[1:] = through((belief - left)[:-1], self.chain)
                 new_left[:-1] = through((belief - right)[1:], self.chain.T)
-                right, left = new_right, new_left
+            change = max(np.abs(new_down - down).max(initial=0.0), np.abs(new_right - right).max(initial=0.0), np.abs(new_left - left).max(initial=0.0))
+            up, down, right, left = new_up, new_down, new_right, new_left
+            if change < SETTLED:
+                break
         belief = own + right + left
         np.add.at(belief, node, down)
         belief -= belief.max(axis=1, keepdims=True)
@@ -200,78 +240,108 @@ class SkipChain:
         return belief / belief.sum(axis=1, keepdims=True)
 
     def spans(self, text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-        """New spans: mentions without a known label that share a hub with one that has one."""
+        """New spans: mentions outside the base spans that the field believes to be of a kind.
+
+        A mention similar to one that the patterns know needs no more than that
+        this kind is its likeliest label; any other needs a belief of BELIEF.
+        """
         found = mentions(text, base)
-        known: dict[str, set[int]] = defaultdict(set)
-        for m in found:
-            if m.label >= 0:
-                for key in m.keys:
-                    known[key].add(m.label)
-        if not any(m.label < 0 and any(key in known for key in m.keys) for m in found):
+        if all(m.label >= 0 for m in found):
             return []
         belief = self.labels(found)
-        best = belief.argmax(axis=1)
-        return [(LABELS[k], m.start, m.end) for m, k, b in zip(found, best.tolist(), belief.max(axis=1).tolist(), strict=True) if m.label < 0 and b >= BELIEF and any(k in known[key] for key in m.keys)]
+        best, most = belief.argmax(axis=1).tolist(), belief.max(axis=1).tolist()
+        known = {(key, m.label) for m in found if m.label >= 0 for key in m.keys}
+        return [(LABELS[k], m.start, m.end) for m, k, b in zip(found, best, most, strict=True) if m.label < 0 and k < len(KINDS) and (b >= BELIEF or any((key, k) in known for key in m.keys))]
 
 
 def observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts to counted events: feature with label, neighbouring labels, labels of similar mentions (each with the first of its key)."""
+    """Texts to counted examples: a mention's features, its label, and the labels before, after and of the first similar mention (-1 for none)."""
     for batch in batches:
         events: Counter = Counter()
         for text in batch.column(0).to_pylist():
             found = mentions(text, base_spans(text))
-            labels = [LABELS[m.label] for m in found]
+            labels = [m.label if m.label >= 0 else len(KINDS) for m in found]
             known = {key for m in found if m.label >= 0 for key in m.keys}
             # A repeat that the patterns miss has no label to learn from.
             unsure = [m.label < 0 and not known.isdisjoint(m.keys) for m in found]
-            first: dict[str, str] = {}
+            first: dict[str, int] = {}
             for i, m in enumerate(found):
                 if unsure[i]:
                     continue
-                events["label", labels[i], ""] += 1
-                events.update(("feature", f, labels[i]) for f in m.features)
-                if i and not unsure[i - 1]:
-                    events["chain", labels[i - 1], labels[i]] += 1
+                before = labels[i - 1] if i and not unsure[i - 1] else -1
+                after = labels[i + 1] if i + 1 < len(found) and not unsure[i + 1] else -1
+                similar = next((first[k] for k in m.keys if k in first), -1)
                 for key in m.keys:
-                    if key in first:
-                        events["skip", first[key], labels[i]] += 1
-                    else:
-                        first[key] = labels[i]
+                    first.setdefault(key, labels[i])
+                plain, own = m.features
+                for some in (plain + own, plain, ()):
+                    events[" ".join(some), labels[i], before, after, similar] += 1
         rows = list(events)
-        yield pa.RecordBatch.from_arrays([*(pa.array([r[i] for r in rows], pa.string()) for i in range(3)), pa.array([events[r] for r in rows], pa.int64())], names=["event", "one", "two", "n"])
+        kinds = (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
+        yield pa.RecordBatch.from_arrays([*(pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)), pa.array([events[r] for r in rows], pa.int64())], names=["features", "label", "before", "after", "similar", "n"])
+
 
+def fit_field(examples: list[tuple[str, int, int, int, int, int]], steps: int = FIT_STEPS, ridge: float = RIDGE) -> SkipChain:
+    """Potentials that maximise the examples' pseudo-likelihood, less a ridge: each mention's label given its features and its neighbours' labels.
 
-def fit_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS, max_features: int = 20_000) -> SkipChain:
+    Similar mentions agree or do not: one weight. It is fitted for a pair of
+    mentions and turned into the potential of a mention and its hub that gives
+    a pair the same odds once the hub is summed out.
+    """
+    size = len(LABELS)
+    names = {f: i for i, f in enumerate(sorted({f for e in examples for f in e[0].split()}))}
+    row = np.array([i for i, e in enumerate(examples) for _ in e[0].split()], dtype=np.int64)
+    feature = np.array([names[f] for e in examples for f in e[0].split()], dtype=np.int64)
+    label, before, after, similar, n = (np.array([e[k] for e in examples], dtype=np.int64) for k in range(1, 6))
+    target = np.zeros((len(examples), size))
+    target[np.arange(len(examples)), label] = 1
+    n = n / 3
+    sides = [(before, np.nonzero(before >= 0)[0]), (after, np.nonzero(after >= 0)[0])]
+    tied = np.nonzero(similar >= 0)[0]
+    prior, unary, table, agree = np.zeros(size), np.zeros((len(names), size)), np.zeros((size, size)), 0.0
+    # That similar mentions agree is the field's assumption: its weight is hardly drawn to zero.
+    pull = np.full(size + unary.size + table.size + 1, ridge)
+    pull[-1] = ridge / 100
+    moments: list = [0.0, 0.0]
+    for step in range(1, steps + 1):
+        score = np.tile(prior, (len(examples), 1))
+        for y in range(size):
+            score[:, y] += np.bincount(row, unary[feature, y], minlength=len(examples))
+        score[sides[0][1]] += table[before[sides[0][1]]]
+        score[sides[1][1]] += table.T[after[sides[1][1]]]
+        score[tied, similar[tied]] += agree
+        score -= score.max(axis=1, keepdims=True)
+        chance = np.exp(score)
+        chance /= chance.sum(axis=1, keepdims=True)
+        off = (target - chance) * n[:, None]
+        slope_table = np.zeros((size, size))
+        np.add.at(slope_table, before[sides[0][1]], off[sides[0][1]])
+        np.add.at(slope_table.T, after[sides[1][1]], off[sides[1][1]])
+        slope_unary = np.stack([np.bincount(feature, off[row, y], minlength=len(names)) for y in range(size)], axis=1)
+        every = np.concatenate([prior, unary.ravel(), table.ravel(), [agree]])
+        slope = np.concatenate([off.sum(axis=0), slope_unary.ravel(), slope_table.ravel(), [off[tied, similar[tied]].sum()]]) - pull * every
+        moments = [0.9 * moments[0] + 0.1 * slope, 0.99 * moments[1] + 0.01 * slope**2]
+        every = every + 0.3 * min(1.0, 4 * (1 - step / (steps + 1))) * moments[0] / (1 - 0.9**step) / (np.sqrt(moments[1] / (1 - 0.99**step)) + 1e-9)
+        prior, rest = every[:size], every[size:]
+        unary, rest = rest[: unary.size].reshape(unary.shape), rest[unary.size :]
+        table, agree = rest[:-1].reshape(size, size), float(rest[-1])
+    odds = np.exp(max(agree, 0.0))
+    hub = odds + np.sqrt(odds * odds + (size - 2) * odds - (size - 1))
+    return SkipChain({f: unary[i] for f, i in names.items()}, prior, table, np.eye(size) * np.log(hub))
+
+
+def fit_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS, max_examples: int = 20_000) -> SkipChain:
     """Potentials from the labels of the fixed patterns in about ``train_docs`` documents, chosen by a hash of the id.
 
-    Features are smoothed log-odds against the label's share, scaled by a quarter
-    as they overlap; label agreement of similar mentions is smoothed towards agreement,
-    the field's assumption. The driver sees at most ``max_features`` counts.
+    Equal examples are counted together; the driver sees at most ``max_examples`` of them, the most frequent.
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     draw = F.pmod(F.xxhash64(F.col("_id").cast("string")), F.lit(1_000_000))
     share = max(1, int(1_000_000 * min(1.0, train_docs / max(1, rows.count()))))
-    counted = rows.where(draw < share).select("text").mapInArrow(observed, "event string, one string, two string, n long").groupBy("event", "one", "two").agg(F.sum("n").alias("n"))
-    kept = materialise(counted.orderBy(F.desc("n"), "event", "one", "two").limit(max_features), "pii-events").collect()
-    size = len(LABELS)
-    labels, chain, skip = np.ones(size), np.zeros((size, size)), np.full((size, size), 0.2) + np.eye(size) * 100
-    features: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(size))
-    for r in kept:
-        if r["event"] == "label":
-            labels[LABELS.index(r["one"])] += r["n"]
-        elif r["event"] == "feature":
-            features[r["one"]][LABELS.index(r["two"])] += r["n"]
-        else:
-            table = chain if r["event"] == "chain" else skip
-            # A pattern that misses a repeat says nothing against agreement: only disagreeing kinds count.
-            if r["event"] == "chain" or "other" not in (r["one"], r["two"]) or r["one"] == r["two"]:
-                table[LABELS.index(r["one"]), LABELS.index(r["two"])] += r["n"]
-    prior = labels / labels.sum()
-    # Neighbours that were never seen together say nothing of each other.
-    chain += 4 * prior
-    unary = {f: 0.25 * np.log((n + prior * 4) / (n.sum() + 4) / prior) for f, n in features.items()}
-    return SkipChain(unary, np.log(prior), np.log(chain / chain.sum(axis=1, keepdims=True) / prior), np.log(skip / skip.sum(axis=1, keepdims=True) / prior))
+    keys = ["features", "label", "before", "after", "similar"]
+    counted = rows.where(draw < share).select("text").mapInArrow(observed, "features string, label int, before int, after int, similar int, n long").groupBy(*keys).agg(F.sum("n").alias("n"))
+    return fit_field([tuple(r) for r in materialise(counted.orderBy(F.desc("n"), *keys).limit(max_examples), "pii-examples").orderBy(*keys).collect()])
 
 
 def scan(docs: DataFrame, model: SkipChain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -294,7 +364,7 @@ def scan(docs: DataFrame, model: SkipChain, id_col: str = "doc_id", text_col: st
                 counts.append([n[k] for k in KINDS])
                 text_base = joined(base)
                 digests.append(hashlib.sha256(text_base.encode()).hexdigest())
-                added = model.spans(text, base) if base else []
+                added = model.spans(text, base)
                 every.append(joined(base + added) if added else text_base)
             columns = [pa.array([c[i] for c in counts], pa.int64()) for i in range(4)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(digests, pa.string()), pa.array(every, pa.string())], names=["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans"])
