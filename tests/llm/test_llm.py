@@ -273,33 +273,6 @@ def test_language_held_out_accuracy(spark, docs, rows):
             assert 0 <= r.score <= 1
 
 
-def test_minimum_cut_is_minimal():
-    draw = random.Random(6)
-    for _ in range(60):
-        n = draw.randint(1, 7)
-        gain = [draw.uniform(-2, 2) for _ in range(n)]
-        edges = [(draw.randrange(n), draw.randrange(n), draw.uniform(0, 1)) for _ in range(draw.randint(0, 12))]
-        cost = lambda labels: -sum(g for g, x in zip(gain, labels, strict=True) if x) + sum(w for a, b, w in edges if labels[a] != labels[b])
-        assert cost(html_extract.minimum_cut(gain, edges)) == pytest.approx(min(cost(x) for x in itertools.product([False, True], repeat=n)))
-
-
-def test_symbols_are_counted_over_the_whole_block():
-    at = html_extract.FEATURES.index("symbols")
-    for text in ("ab | " + "x" * 15) * 5, ("ab | " + "x" * 15) * 200, "x" * 3800 + "|" * 200:
-        row = html_extract.features([html_extract.Block("p", 0, False, False, text=text)])[0]
-        assert row[at] == pytest.approx(0.5)
-
-
-def test_html(spark):
-    article = ["The first paragraph of the article tells at length &amp; in full what came to pass that day.", "A second one, with a <a href='x'>link</a> and <b>bold</b> words, goes on for quite a while too."]
-    page = f"<html><head><title>T</title><style>p {{}}</style></head><body><nav><ul><li><a>Home</a></li><li><a>News</a></li></ul></nav><div class='cookie'>We use cookies</div><article><h1>A headline</h1><p>{article[0]}</p>\n<p>{article[1]}</p></article><div id='comments'><p>Nice text, I liked it a lot.</p></div><script>var a = '<p>no</p>';</script><footer>© 2020 all rights</footer></body></html>"
-    rows = [(1, "u", page), (2, "u", None), (3, None, ""), (4, "u", "<p>unclosed <b>text that is long enough to be an article, said everyone who read it"), (4, "u", "<p>unclosed <b>text that is long enough to be an article, said everyone who read it")]
-    got = collect(html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")), "page_id")
-    assert got[1][0].text == "A headline\nThe first paragraph of the article tells at length & in full what came to pass that day.\nA second one, with a link and bold words, goes on for quite a while too."
-    assert [r.text for r in (got[2][0], got[3][0])] == ["", ""] and len(got[4]) == 2
-    assert all(r.n_chars == len(r.text) for rs in got.values() for r in rs)
-
-
 def test_sampled_pieces(docs, rows):
     out = sampled_pieces.sample_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=True)
     same_multiset(out, rows)
