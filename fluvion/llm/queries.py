@@ -39,11 +39,11 @@ def op5_language_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_near_items")
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op6_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The proximity half of the method; the SQL of ``op6_decontamination`` has the columns of the exact half only."""
+    """The proximity matches alone, with their ids as an array."""
     return proximity_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
@@ -116,10 +116,21 @@ doc_windows AS (
 ),
 found AS (SELECT doc_id, item_id, s, k FROM doc_windows JOIN item_windows USING (k, window_text)),
 hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + k)) AS p FROM found) GROUP BY doc_id),
+pairs AS (
+  SELECT doc_id, item_id, n, ipos, pos - ipos AS delta
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM d)
+  JOIN (SELECT item_id, len(w) AS n, unnest(w) AS word, unnest(range(len(w))) AS ipos FROM b) USING (word)
+),
+near AS (
+  SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM (SELECT DISTINCT doc_id, item_id, n, ipos, unnest(range(delta - 4, delta + 1)) AS low FROM pairs)
+  GROUP BY doc_id, item_id, n, low HAVING count(*) >= ceil(0.8 * n - 1e-9)
+),
+near_ids AS (SELECT doc_id, count(*) AS n_near_items, string_agg(i, ',' ORDER BY i) AS near_items FROM near GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM found) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
-  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+  coalesce(n_near_items, 0) AS n_near_items, coalesce(near_items, '') AS near_items
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near_ids USING (doc_id)
 """
 
 ORACLES: dict[str, str] = {
