@@ -24,8 +24,8 @@ from fluvion.session import materialise
 
 #: Share of each group that the estimates rest on.
 H = 0.75
-#: Concentration steps after each start.
-STEPS = 3
+#: Concentration steps after each start at most; they end when no determinant's logarithm moves by more than SETTLED.
+STEPS, SETTLED = 8, 1e-3
 #: Documents, ten for each dimension, from which a group's own estimate stands alone; that of a smaller group is shrunk.
 MIN_GROUP = 40
 #: Tail probability of the chi-squared cutoff.
@@ -100,6 +100,13 @@ def precision(groups: DataFrame, p: int, prefix: str) -> DataFrame:
     return groups.withColumn(f"{prefix}_logdet", logdet).drop(*[x for x in groups.columns if x.startswith((f"{prefix}_l_", f"{prefix}_v_"))])
 
 
+def consistency(share: Column, p: int) -> Column:
+    """What the scatter of the nearest ``share`` of normal rows is multiplied by to be that of all: read off at steps of one in 200."""
+    places = 200
+    table = [1.0 if k == places else k / places / chi2_cdf(chi2_quantile(k / places, p), p + 2) for k in range(1, places + 1)]
+    return F.element_at(F.array(*map(F.lit, table)), F.greatest(F.least(F.round(share * places).cast("int"), F.lit(places)), F.lit(1)))
+
+
 def _log_bin(d2: Column) -> Column:
     return F.floor(F.log(d2 + F.lit(1e-9)) * 20).cast("long")
 
@@ -121,8 +128,9 @@ def mcd(rows: DataFrame, names: list[str], floors: list[float], h: float = H, st
     z = [(F.col(x) - F.col(f"m_{i}")) * (F.col(x) - F.col(f"m_{i}")) / F.col(f"s_{i}") for i, x in enumerate(names)]
     # Start a ranks by the scaled Euclidean distance, start b by the largest coordinate.
     ranked = rows.join(start, "_group").select("_group", *names, reduce(lambda a, b: a + b, z).alias("_da"), F.greatest(*z).alias("_db"))
-    x = chi2_quantile(h, p)
-    factor = h / chi2_cdf(x, p + 2)
+    # Bins hold whole ties, so a subset can hold more than h: its own share sets the factor.
+    totals = rows.groupBy("_group").agg(F.count("*").alias("_all"))
+    last = None
     for step in range(steps):
         both = ranked.select("_group", F.posexplode(F.array("_da", "_db")).alias("_start", "_d"), *names)
         cut = bin_quantile(both, ["_group", "_start"], _log_bin(F.col("_d")), h, "_cut")
@@ -132,8 +140,9 @@ def mcd(rows: DataFrame, names: list[str], floors: list[float], h: float = H, st
             *[F.sum(F.col(a)).alias(f"s_{i}") for i, a in enumerate(names)],
             *[F.sum(F.col(a) * F.col(names[j])).alias(f"q_{i}_{j}") for i, a in enumerate(names) for j in range(i + 1)],
         )
+        sums = sums.join(totals, "_group").withColumn("_factor", consistency(F.col("_n") / F.col("_all"), p))
         mean = lambda i: F.col(f"s_{i}") / F.col("_n")
-        cov = lambda i, j: F.lit(factor) * (F.col(f"q_{i}_{j}") / F.col("_n") - mean(i) * mean(j))
+        cov = lambda i, j: F.col("_factor") * (F.col(f"q_{i}_{j}") / F.col("_n") - mean(i) * mean(j))
         one = sums.select(
             "_group",
             "_start",
@@ -141,6 +150,11 @@ def mcd(rows: DataFrame, names: list[str], floors: list[float], h: float = H, st
             *[(F.greatest(cov(i, i), F.lit(0.0)) + floors[i] ** 2 if i == j else cov(i, j)).alias(f"a_c_{i}_{j}") for i in range(p) for j in range(i + 1)],
         )
         fitted = materialise(precision(one, p, "a"), f"mcd-step{step}")
+        if last is not None:
+            moved = fitted.join(last.select("_group", "_start", F.col("a_logdet").alias("_before")), ["_group", "_start"]).agg(F.max(F.abs(F.col("a_logdet") - F.col("_before")))).first()[0]
+            if moved is None or moved <= SETTLED:
+                break
+        last = fitted
         if step < steps - 1:
             wide = fitted.where("_start = 0").drop("_start").join(
                 fitted.where("_start = 1").drop("_start").select("_group", *[F.col(c).alias("b" + c[1:]) for c in fitted.columns if c.startswith("a_")]), "_group"

@@ -105,6 +105,35 @@ def test_quality_judges_small_groups_by_their_own_kind(spark):
     assert sum(got[i].kept and got[1000 + i].kept for i in range(120)) >= 115
 
 
+def test_mcd_matches_all_subsets_of_small_groups(spark):
+    """Against the subset of least determinant among all of its size, in groups of ten points of which two lie far off."""
+    draw = np.random.default_rng(3)
+    names, floors, h = ["a", "b"], [0.05, 0.05], 0.8
+    groups = {}
+    for g in range(12):
+        points = draw.normal(0, 1, (10, 2)) @ np.array([[1.0, 0.4 * (g % 3)], [0.0, 0.7]])
+        points[:2] = [[9 + g % 4, -8], [-9, 7 + g % 3]]
+        groups[f"g{g}"] = points
+    rows = spark.createDataFrame([(g, *map(float, x)) for g, xs in groups.items() for x in xs], "_group string, a double, b double")
+    got = {r["_group"]: r for r in quality.mcd(rows, names, floors, h).collect()}
+    factor = h / quality.chi2_cdf(quality.chi2_quantile(h, 2), 4)
+    same = 0
+    for g, xs in groups.items():
+        def scatter(subset):
+            x = xs[list(subset)]
+            return x.mean(axis=0), factor * np.cov(x.T, bias=True) + np.diag(np.square(floors))
+
+        best = min(itertools.combinations(range(10), 8), key=lambda s: np.linalg.det(scatter(s)[1]))
+        assert set(best) == set(range(2, 10))
+        centre, cov = scatter(best)
+        r = got[g]
+        mine = np.array([[r.a_c_0_0, r.a_c_1_0], [r.a_c_1_0, r.a_c_1_1]])
+        same += bool(np.allclose([r.a_m_0, r.a_m_1], centre, atol=1e-9) and np.allclose(mine, cov, rtol=1e-2))
+        far = lambda m, c: np.einsum("ij,jk,ik->i", xs - m, np.linalg.inv(c), xs - m) > quality.chi2_quantile(0.999, 2)  # noqa: B023, E731
+        assert far(np.array([r.a_m_0, r.a_m_1]), mine).tolist() == far(centre, cov).tolist() == [True, True] + [False] * 8
+    assert same >= 11
+
+
 def test_shards_and_contamination_match_sql(spark, docs, rows):
     con = duckdb.connect()
     for t in ("documents", "benchmark"):
