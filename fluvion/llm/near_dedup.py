@@ -35,7 +35,7 @@ PERCENT = 85
 #: Shingles whose permutations a task holds at once (two bytes a slot each).
 CHUNK = 20_000
 #: Texts and bytes of text of a block, on average.
-BLOCK_ROWS, BLOCK_BYTES = 1500, 12_000_000
+BLOCK_ROWS, BLOCK_BYTES = 1500, 8_000_000
 
 _A = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
@@ -133,7 +133,7 @@ def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = band_keys(superminhash(sets, BANDS * ROWS), BANDS, ROWS) if sets else np.zeros((0, BANDS), np.int64)
             bands = [keys[place[d]] if d is not None else None for d, _ in made]
             yield pa.RecordBatch.from_arrays(
-                [some.column(0), pa.array([d for d, _ in made], pa.binary()), pa.array([len(s) for _, s in made], pa.int64()), pa.array([len(t or "") for t in texts], pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
+                [some.column(0), pa.array([d for d, _ in made], pa.binary()), pa.array([len(s) for _, s in made], pa.int64()), pa.array([len((t or "").encode("utf-8", "surrogatepass")) for t in texts], pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
                 schema=SIGNED,
             )
 
