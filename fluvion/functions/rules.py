@@ -52,3 +52,62 @@ def glob_pattern(glob: str) -> str:
 def any_glob(name: Column, globs: list[str]) -> Column:
     """Whether a base name matches one of the patterns."""
     return reduce(lambda a, b: a | b, [name.rlike("^" + glob_pattern(g)) for g in globs], F.lit(False))
+
+
+#: Texts that stand for no answer. Fixed values.
+MISSING_TEXT = ("", "nan", "none", "na", "n/a", "unknown")
+
+
+def filled(text: Column) -> Column:
+    """Whether a text says anything."""
+    return F.coalesce(~F.lower(F.trim(text)).isin(*MISSING_TEXT), F.lit(False))
+
+
+def purpose(texts: list[Column]) -> Column:
+    """``supply`` if any text names irrigation or water supply, ``no_supply`` if any says something else, ``unknown`` if none says anything."""
+    names = reduce(lambda a, b: a | b, [filled(t) & F.lower(t).rlike("irrigation|water supply") for t in texts])
+    known = reduce(lambda a, b: a | b, [filled(t) for t in texts])
+    return F.when(names, "supply").when(known, "no_supply").otherwise("unknown")
+
+
+def capacity_choice(first: Column, second: Column, regulated: Column, area: Column, height: Column, band: tuple[float, float] = (0.05, 1.0)) -> Column:
+    """Which of two capacities to take, and why: ``second:C1`` at a regulated lake; the one whose mean depth alone lies within ``band`` of the height (C2); else ``first:C3``."""
+    fits = lambda c: F.coalesce((area > 0) & (height > 0) & (c / area).between(band[0] * height, band[1] * height), F.lit(False))
+    lake = F.coalesce(F.lower(F.trim(regulated)).isin("yes", "enlarged"), F.lit(False))
+    return F.when(lake, "second:C1").when(fits(second) & ~fits(first), "second:C2").when(fits(first) & ~fits(second), "first:C2").otherwise("first:C3")
+
+
+def location_choice(fit_first: Column, fit_second: Column, most: float = 1.5) -> Column:
+    """``second:L1`` if the second point's area fits, ``first:L2`` if only the first's does, ``second:L3`` if neither."""
+    return F.when(F.coalesce(fit_second <= most, F.lit(False)), "second:L1").when(F.coalesce(fit_first <= most, F.lit(False)), "first:L2").otherwise("second:L3")
+
+
+#: Years that stand for always and never. Fixed values.
+ALWAYS, NEVER = 0, 9999
+
+
+def scenario_year(year: Column, future: Column, scenario: str) -> Column:
+    """The first year an item counts: its own in ``histsoc``; always or never in the fixed scenarios ``1850soc`` (built by then) and ``2021soc`` (not of the future)."""
+    own = F.when(future, NEVER).otherwise(year)
+    if scenario == "histsoc":
+        return own
+    if scenario == "1850soc":
+        return F.when(~future & (own <= 1850), ALWAYS).otherwise(NEVER)
+    if scenario == "2021soc":
+        return F.when(future, NEVER).otherwise(ALWAYS)
+    raise ValueError(f"unknown scenario {scenario}")
+
+
+def period_of(year: Column, periods: list[tuple[str, int, int]]) -> Column:
+    """Name of the first period (name, first, last) that holds a year; null outside all."""
+    return F.coalesce(*[F.when(year.between(a, b), F.lit(n)) for n, a, b in periods])
+
+
+def raised_to(value: Column, on: Column, floor: float) -> Column:
+    """A value below ``floor`` raised to it where ``on`` holds; missing values stay missing."""
+    return F.when(on & (value < floor), F.lit(floor)).otherwise(value)
+
+
+def selected(name: Column, include: list[str], exclude: list[str]) -> Column:
+    """Whether a base name is kept: not excluded, or included in spite of that. Patterns are those of file names."""
+    return ~any_glob(name, exclude) | any_glob(name, include)

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fluvion.session import materialise
+
 
 def weighted_mean(value: Column, weight: Column) -> Column:
     """Sum of value * weight over the weights of known values; null without weight."""
@@ -13,15 +15,23 @@ def weighted_mean(value: Column, weight: Column) -> Column:
 
 
 def block_mode(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Per block: the most frequent value (ties: the smallest), its share, and whether the block is uniform or mixed. Nulls do not count."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    """Per block: the most frequent value (ties: the smallest), its share, and whether the block is uniform, mixed or empty. Nulls do not count."""
+    counts = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    known = F.col(value).isNotNull()
     return counts.groupBy(*keys).agg(
-        F.min_by(F.col(value), F.struct(-F.col("_n"), F.col(value))).alias("mode_value"),
-        F.try_divide(F.max("_n"), F.sum("_n")).alias("mode_share"),
-        F.when(F.count("*") == 1, "uniform").otherwise("mixed").alias("kind"),
+        F.min_by(F.col(value), F.when(known, F.struct(-F.col("_n"), F.col(value)))).alias("mode_value"),
+        F.try_divide(F.max(F.when(known, F.col("_n"))), F.sum(F.when(known, F.col("_n")))).alias("mode_share"),
+        F.when(F.count_if(known) == 0, "empty").when(F.count_if(known) == 1, "uniform").otherwise("mixed").alias("kind"),
     )
 
 
+def window_majority(df: DataFrame, keys: list[str], value: str, ignored: int = 0) -> DataFrame:
+    """Per window: the most frequent class other than ``ignored`` (ties: the lowest), or ``ignored`` where there is no other."""
+    counts = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    counts = counts.withColumn("_n", F.when(F.coalesce(F.col(value), F.lit(ignored)) == ignored, 0).otherwise(F.col("_n")))
+    return counts.groupBy(*keys).agg(F.coalesce(F.min_by(F.col(value), F.when(F.col("_n") > 0, F.struct(-F.col("_n"), F.col(value)))), F.lit(ignored)).alias("majority"))
+
+
 def dominant_category(df: DataFrame, keys: list[str], category: str, weight: str, none: object = -1) -> DataFrame:
     """The category with the largest summed weight; ties go to the first by name, ``none`` where all weights are 0."""
     sums = df.groupBy(*keys, category).agg(F.sum(weight).alias("_w"))
@@ -48,12 +58,34 @@ def weighted_quantiles(df: DataFrame, keys: list[str], value: str, weight: str,
 
 
 def gini(df: DataFrame, keys: list[str], value: str, active: Column | None = None) -> DataFrame:
-    """Gini coefficient of the active values of each group; 0 for a single value, null for a zero sum."""
+    """Gini coefficient of the active values of each group; 0 for a single value, null for a zero sum.
+
+    Equal values are counted first; their ranks are prefix sums of the counts
+    over sampled ranges, so a group of any size spreads over the cluster.
+    """
     held = df if active is None else df.where(active)
-    held = held.where(F.col(value).isNotNull())
-    ranked = held.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(value)))
-    n, total = F.count("*"), F.sum(value)
-    return ranked.groupBy(*keys).agg(n.alias("n"), (F.try_divide(2 * F.sum(F.col("_k") * F.col(value)), n * total) - (n + 1) / n).alias("gini"))
+    counts = held.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    ranked = prefix_sums(counts, keys, [value], "_n", "_before")
+    # The ranks of n equal values after b smaller ones sum to n * b + n * (n + 1) / 2.
+    ranks = F.col("_n") * F.col("_before") + F.col("_n") * (F.col("_n") + 1) / 2
+    n, total = F.sum("_n"), F.sum(F.col(value) * F.col("_n"))
+    return ranked.groupBy(*keys).agg(n.alias("n"), (F.try_divide(2 * F.sum(ranks * F.col(value)), n * total) - (n + 1) / n).alias("gini"))
+
+
+def prefix_sums(df: DataFrame, keys: list[str], order: list[str], value: str, out: str) -> DataFrame:
+    """Adds ``out``: the sum of ``value`` over the rows of the same keys that come before in ``order``, which has to be unique within them.
+
+    Two levels: rows are dealt into sampled ranges of keys and order and summed
+    inside each range; the ranges' totals (one row a range and key) are summed
+    over the ranges. One key may span any number of ranges.
+    """
+    ranged = df.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id())
+    ranged = materialise(ranged, "ranges")
+    inside = Window.partitionBy("_range", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("_range", *keys).agg(F.sum(value).alias("_total"))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    base = totals.select("_range", *keys, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_base"))
+    return ranged.withColumn(out, F.coalesce(F.sum(value).over(inside), F.lit(0))).join(base, ["_range", *keys]).withColumn(out, F.col(out) + F.col("_base")).drop("_range", "_base")
 
 
 def monthly_means(daily: DataFrame, keys: list[str], day: str, value: str, min_days: int) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fluvion.session import Rounds, materialise
+
 
 def split_volume(parents: DataFrame, children: DataFrame, parent: str, volume: str, weight: str, active: str) -> DataFrame:
     """Children with their ``share`` of the parent's volume and the parent's split class.
@@ -30,17 +32,18 @@ def split_volume(parents: DataFrame, children: DataFrame, parent: str, volume: s
 def ratio_with_fallback(df: DataFrame, part: str, whole: str, levels: list[str]) -> DataFrame:
     """``ratio`` of part to whole in [0, 1]; where whole is 0, of the sums at the first level that has any, then of all rows.
 
-    Only rows with a positive whole enter the sums.
+    Only rows with a positive whole enter the sums, which are partial
+    aggregates joined back by level: no level's rows ever meet in one task.
     """
     counted = F.col(whole) > 0
+    share = F.try_divide(F.sum(F.when(counted, F.col(part))), F.sum(F.when(counted, F.col(whole))))
+    out = df
     for level in levels:
-        own = Window.partitionBy(level)
-        df = df.withColumn(f"_{level}", F.when(F.col(level).isNotNull(), F.try_divide(F.sum(F.when(counted, F.col(part))).over(own), F.sum(F.when(counted, F.col(whole))).over(own))))
-    total = df.agg(F.try_divide(F.sum(F.when(counted, F.col(part))), F.sum(F.when(counted, F.col(whole)))).alias("_all"))
+        out = out.join(df.where(F.col(level).isNotNull()).groupBy(level).agg(share.alias(f"_{level}")), level, "left")
     own = F.when(counted, F.col(part) / F.col(whole))
     clamp = lambda c: F.least(F.greatest(c, F.lit(0.0)), F.lit(1.0))
-    out = df.crossJoin(F.broadcast(total))
-    return out.withColumn("ratio", clamp(F.coalesce(own, *[F.col(f"_{x}") for x in levels], F.col("_all")))).drop("_all", *[f"_{x}" for x in levels])
+    out = out.crossJoin(F.broadcast(df.agg(share.alias("_all"))))
+    return out.withColumn("ratio", clamp(F.coalesce(own, *[F.col(f"_{x}") for x in levels], F.col("_all")))).select(*df.columns, "ratio")
 
 
 def close_shares(df: DataFrame, cell: str, cls: str, share: str, natural: str) -> DataFrame:
@@ -61,41 +64,69 @@ def union_tiles(base: DataFrame, wanted: DataFrame, cell: str, cls: str, share:
     return held.select(cell, cls, (F.col("_s") / F.sum("_s").over(by)).alias("share"), F.count("*").over(by).alias("n_tiles"))
 
 
-def water_fill(df: DataFrame, parent: str, child: str, capacity: str, demands: list[str], weights: list[str], max_rounds: int = 60) -> DataFrame:
-    """Demands of each parent spread over its children by weight, all classes at once, never above a child's capacity.
+def fallback_weights(df: DataFrame, parent: str, child: str, capacity: str, demand: str, chain: list[str], small: float) -> DataFrame:
+    """Adds ``weight``, ``weight_level`` and ``single``: the first column of ``chain`` with a positive sum over the parent's children.
 
-    Each round gives every class its remaining demand by weight; a child that
-    would overflow takes all its increments scaled by one factor. Classes whose
-    weighted children are full go on by free capacity. Demands above the
-    parent's capacity are scaled down together first. The demand columns hold
-    the parent's value on each of its rows. A group is one parent's children.
+    Level 1 is the class's own weight; 9 says that no column has any. Where the
+    level is 2 or more and the demand is below the share ``small`` of the
+    parent's capacity, all goes to the child with the largest weight (ties: the
+    smallest child). The demand holds the parent's value on each of its rows.
+    """
+    w = lambda c: F.greatest(F.coalesce(F.col(c), F.lit(0.0)), F.lit(0.0))
+    first = lambda c: F.min_by(F.col(child), F.struct(-w(c), F.col(child)))
+    sums = df.groupBy(parent).agg(F.sum(w(capacity)).alias("_cap"), *[F.sum(w(c)).alias(f"_s{i}") for i, c in enumerate(chain)], *[first(c).alias(f"_b{i}") for i, c in enumerate(chain)])
+    pick = lambda make, rest: reduce(lambda c, i: c.when(F.col(f"_s{i}") > 0, make(i)), range(1, len(chain)), F.when(F.col("_s0") > 0, make(0))).otherwise(rest)
+    level = F.when(F.col(demand) > 0, pick(lambda i: F.lit(i + 1), F.lit(9))).otherwise(0)
+    out = df.join(sums, parent).withColumn("weight_level", level).withColumn("single", (F.col("weight_level").between(2, 8)) & (F.col(demand) < small * F.col("_cap")))
+    best = pick(lambda i: F.col(f"_b{i}"), F.lit(None))
+    value = F.when(F.col("single"), ((F.col(child) == best) & (w(capacity) > 0)).cast("double")).otherwise(pick(lambda i: w(chain[i]), F.lit(0.0)))
+    return out.withColumn("weight", F.when(F.col("weight_level").between(1, 8), value).otherwise(0.0)).select(*df.columns, "weight", "weight_level", "single")
+
+
+def water_fill(df: DataFrame, parent: str, child: str, capacity: str, demands: list[str], weights: list[str], max_rounds: int = 60, least: float = 1e-6) -> DataFrame:
+    """``(parent, child, *demands, *unplaced_<demand>)``: demands of each parent spread over its children by weight, all classes at once, never above a child's capacity.
+
+    Demands above the parent's capacity are first scaled down together. Each
+    round gives every class its remaining demand by weight over the children
+    that are not full; a class without such weight spills by their capacity. A
+    child that would overflow takes its increments scaled by one factor and is
+    full. A parent is done when each class has at most ``least`` left, when all
+    its children are full or after ``max_rounds``; what is left then, and what
+    the scaling cut, is returned as unplaced on each of the parent's rows. The
+    demand columns hold the parent's value on each of its rows.
+
+    Each round is one grouped sum per parent, with partial sums, joined back:
+    a parent with any number of children spreads over the cluster.
     """
-    n = len(demands)
-    schema = f"{parent} {df.schema[parent].dataType.simpleString()}, {child} {df.schema[child].dataType.simpleString()}, " + ", ".join(f"{d} double" for d in demands)
-
-    def fill(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(child)
-        room = rows[capacity].to_numpy(float).clip(min=0)
-        need = rows[demands].iloc[0].to_numpy(float).clip(min=0)
-        if need.sum() > room.sum():
-            need = need * (room.sum() / need.sum())
-        weight = rows[weights].to_numpy(float).clip(min=0)
-        given, free, left = np.zeros((len(rows), n)), room.copy(), need.copy()
-        for _ in range(max_rounds):
-            if left.sum() <= 1e-6:
-                break
-            use = np.where((free > 1e-9)[:, None], weight, 0.0)
-            use = np.where(use.sum(axis=0) > 0, use, free[:, None])
-            total = use.sum(axis=0)
-            step = np.divide(use, total, out=np.zeros_like(use), where=total > 0) * left
-            asked = step.sum(axis=1)
-            step *= np.where(asked > free, np.divide(free, asked, out=np.zeros_like(free), where=asked > 0), 1.0)[:, None]
-            given += step
-            free = (free - step.sum(axis=1)).clip(min=0)
-            left = (left - step.sum(axis=0)).clip(min=0)
-        out = pd.DataFrame(given, columns=demands)
-        out.insert(0, child, rows[child].to_numpy())
-        out.insert(0, parent, rows[parent].to_numpy())
-        return out
-
-    return df.groupBy(parent).applyInPandas(fill, schema)
+    n = range(len(demands))
+    cap = F.greatest(F.coalesce(F.col(capacity), F.lit(0.0)), F.lit(0.0))
+    ask = lambda i: F.greatest(F.coalesce(F.col(demands[i]), F.lit(0.0)), F.lit(0.0))
+    state = df.select(
+        parent, child, cap.alias("_cap"), F.lit(False).alias("_full"), *[F.greatest(F.coalesce(F.col(w), F.lit(0.0)), F.lit(0.0)).alias(f"_w{i}") for i, w in enumerate(weights)],
+        *[ask(i).alias(f"_t{i}") for i in n], *[F.lit(0.0).alias(f"_a{i}") for i in n],
+    )
+    state = materialise(state, "filling")
+    done = Rounds(df.sparkSession, "filled")
+    plus = lambda name: reduce(lambda a, b: a + b, [F.col(f"{name}{i}") for i in n])
+    for turn in range(max_rounds + 1):
+        open_ = ~F.col("_full")
+        sums = state.groupBy(parent).agg(
+            F.sum("_cap").alias("_all"), F.sum(F.when(open_, F.col("_cap")).otherwise(0.0)).alias("_open"), *[F.max(f"_t{i}").alias(f"_d{i}") for i in n],
+            *[F.sum(F.when(open_, F.col(f"_w{i}")).otherwise(0.0)).alias(f"_s{i}") for i in n], *[F.sum(f"_a{i}").alias(f"_g{i}") for i in n],
+        )
+        total = plus("_d")
+        scale = F.when(total > F.col("_all"), F.col("_all") / total).otherwise(1.0)
+        sums = sums.select("*", *[F.greatest(F.col(f"_d{i}") * scale - F.col(f"_g{i}"), F.lit(0.0)).alias(f"_r{i}") for i in n])
+        ended = reduce(lambda a, b: a & b, [F.col(f"_r{i}") <= least for i in n]) | (F.col("_open") <= 0)
+        both = materialise(state.join(sums.withColumn("_ended", ended if turn < max_rounds else F.lit(True)), parent), "filling")
+        done.add(both.where("_ended").select(parent, child, *[F.col(f"_a{i}").alias(d) for i, d in enumerate(demands)], *[(F.col(f"_d{i}") - F.col(f"_g{i}")).alias(f"unplaced_{d}") for i, d in enumerate(demands)]))
+        live = both.where("not _ended")
+        if live.isEmpty():
+            return done.rows()
+        by_weight = lambda i: F.when(F.col(f"_s{i}") > 0, F.col(f"_w{i}") / F.col(f"_s{i}")).otherwise(F.col("_cap") / F.col("_open"))
+        live = live.select("*", *[F.when(~F.col("_full") & (F.col(f"_r{i}") > 0), by_weight(i) * F.col(f"_r{i}")).otherwise(0.0).alias(f"_i{i}") for i in n])
+        over = plus("_a") + plus("_i") > F.col("_cap") + 1e-9
+        factor = F.when(over, F.greatest(F.col("_cap") - plus("_a"), F.lit(0.0)) / F.nullif(plus("_i"), F.lit(0.0))).otherwise(1.0)
+        state = live.withColumn("_over", over).withColumn("_f", F.coalesce(factor, F.lit(0.0)))
+        state = materialise(state.select(parent, child, "_cap", (F.col("_full") | F.col("_over")).alias("_full"), *[f"_w{i}" for i in n], *[f"_t{i}" for i in n], *[(F.col(f"_a{i}") + F.col(f"_i{i}") * F.col("_f")).alias(f"_a{i}") for i in n]), "filling")
+    return done.rows()

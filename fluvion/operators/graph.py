@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from fluvion.session import materialise
+from fluvion.session import Rounds, materialise
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -93,47 +94,110 @@ def upstream_sum(network: DataFrame, value: str, node: str = "cell_id", to: str
 
 
 def levels(nodes: DataFrame, edges: DataFrame, node: str = "node", before: str = "before", after: str = "after", max_rounds: int = 10_000) -> DataFrame:
-    """``(node, level)``: 0 without predecessors, else one more than the largest level before it; null for nodes behind a loop."""
-    waiting = materialise(nodes.select(F.col(node).alias("node")).distinct(), "levels")
-    links = materialise(edges.select(F.col(before).alias("before"), F.col(after).alias("after")).where("before <> after").distinct(), "links")
-    done, level = None, 0
-    for level in range(max_rounds):
-        blocked = links.select(F.col("after").alias("node")).distinct()
-        ready = materialise(waiting.join(blocked, "node", "left_anti").withColumn("level", F.lit(level)), "ready")
-        if ready.isEmpty():
+    """``(node, level)``: 0 without predecessors, else one more than the largest level before it; null on and behind a loop.
+
+    A forest, where every node has one successor at most, is solved by pointer
+    doubling, in rounds of the logarithm of its depth; any other graph layer by
+    layer. Edges from or to a node that is not listed do not count.
+    """
+    known = materialise(nodes.select(F.col(node).alias("node")).where("node is not null").distinct(), "nodes")
+    name = lambda c: known.select(F.col("node").alias(c))
+    links = edges.select(F.col(before).alias("before"), F.col(after).alias("after")).where("before <> after").distinct()
+    links = materialise(links.join(name("before"), "before", "left_semi").join(name("after"), "after", "left_semi"), "links")
+    if links.groupBy("before").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return _forest_levels(known, links)
+    return _layers(known, links, max_rounds)
+
+
+def _forest_levels(known: DataFrame, links: DataFrame) -> DataFrame:
+    """Longest way from a source to each node, by doubling: after round k it is right for ways below 2**k steps."""
+    state = known.join(links.select(F.col("before").alias("node"), F.col("after").alias("to")), "node", "left").withColumn("level", F.lit(0))
+    state = materialise(state, "levels")
+    for k in range(known.count().bit_length() + 1):
+        live = state.where("to is not null")
+        if live.isEmpty():
             break
-        done = ready if done is None else done.unionByName(ready)
-        names = ready.select("node")
-        waiting = materialise(waiting.join(names, "node", "left_anti"), "levels")
-        links = materialise(links.join(names.withColumnRenamed("node", "before"), "before", "left_anti"), "links")
-    rest = waiting.withColumn("level", F.lit(None).cast("int"))
-    return rest if done is None else done.unionByName(rest)
+        sent = live.groupBy(F.col("to").alias("node")).agg(F.max(F.col("level") + (1 << k)).alias("_sent"))
+        ahead = live.select(F.col("node").alias("to"), F.col("to").alias("_next"))
+        moved = state.join(ahead, "to", "left").join(sent, "node", "left")
+        state = materialise(moved.select("node", F.col("_next").alias("to"), F.greatest("level", F.coalesce("_sent", F.lit(0))).alias("level")), "levels")
+    # What pointers still reach lies on a loop.
+    looped = state.where("to is not null").select(F.col("to").alias("node"), F.lit(True).alias("_loop")).distinct()
+    return state.join(looped, "node", "left").select("node", F.when(F.col("_loop").isNull(), F.col("level")).alias("level"))
+
+
+def _layers(known: DataFrame, links: DataFrame, max_rounds: int) -> DataFrame:
+    """Nodes without open predecessors, round by round; each round reads only the links of the nodes it frees."""
+    open_ = links.groupBy(F.col("after").alias("node")).agg(F.count("*").alias("_n"))
+    done = Rounds(known.sparkSession, "layers")
+    ready = done.add(known.join(open_, "node", "left_anti").select("node", F.lit(0).alias("level")))
+    waiting = materialise(open_, "waiting")
+    for level in range(1, max_rounds):
+        freed = links.join(ready.select(F.col("node").alias("before")), "before").groupBy(F.col("after").alias("node")).agg(F.count("*").alias("_freed"))
+        left = materialise(waiting.join(freed, "node", "left").select("node", (F.col("_n") - F.coalesce("_freed", F.lit(0))).alias("_n")), "waiting")
+        ready = done.add(left.where("_n = 0").select("node", F.lit(level).alias("level")))
+        waiting = left.where("_n > 0")
+        if ready.isEmpty():
+            return done.rows().unionByName(waiting.select("node", F.lit(None).cast("int").alias("level")))
+    raise RuntimeError(f"levels did not end in {max_rounds} rounds")
 
 
-def downstream(network: DataFrame, seeds: DataFrame, node: str = "cell_id", to: str = "next_id", max_steps: int = 1000) -> DataFrame:
-    """``(seed, node, step)`` along the pointers from each seed, itself first, to the outlet or ``max_steps``; a revisit ends it."""
-    ids = network.select(F.col(node).alias("node"), F.col(to).alias("_to"))
-    front = materialise(seeds.select(F.col(node).alias("seed"), F.col(node).alias("node"), F.lit(0).alias("step")), "walk")
-    found = front
-    for step in range(1, max_steps + 1):
-        ahead = front.join(ids, "node").where("_to is not null and _to <> node").select("seed", F.col("_to").alias("node"))
-        ahead = ahead.join(ids.select("node"), "node", "left_semi").join(found.select("seed", "node"), ["seed", "node"], "left_anti")
-        front = materialise(ahead.withColumn("step", F.lit(step)), "walk")
-        if front.isEmpty():
-            break
-        found = found.unionByName(front)
-    return found
-
-
-def follow_chain(edges: DataFrame, starts: DataFrame, target: str, frm: str = "from_code", to: str = "to_code", max_steps: int = 100) -> DataFrame:
-    """``(start, reached, n_steps)``: whether each start leads to ``target`` over edges that are the only one at each step."""
-    single = edges.select(F.col(frm).alias("at"), F.col(to).alias("_next")).distinct().groupBy("at").agg(F.count("*").alias("_n"), F.min("_next").alias("_next")).where("_n = 1").drop("_n")
-    front = materialise(starts.select("start", F.col("start").alias("at"), F.lit(0).alias("n_steps")), "chain")
-    ended = None
-    for _ in range(max_steps + 1):
-        hit = front.where(F.col("at") == target).select("start", F.lit(True).alias("reached"), "n_steps")
-        ended = hit if ended is None else ended.unionByName(hit)
-        front = materialise(front.where(F.col("at") != target).join(single, "at").select("start", F.col("_next").alias("at"), (F.col("n_steps") + 1).alias("n_steps")), "chain")
-        if front.isEmpty():
-            break
-    return starts.select("start").join(ended, "start", "left").select("start", F.coalesce("reached", F.lit(False)).alias("reached"), "n_steps")
+def downstream(network: DataFrame, seeds: DataFrame, node: str = "cell_id", to: str = "next_id", max_steps: int | None = None) -> DataFrame:
+    """``(seed, node, step)`` along the pointers from each seed, itself first, to the outlet, to ``max_steps`` or to the first revisit.
+
+    By doubling: round k has the first 2**k places of every walk and adds the
+    next as many through pointers of 2**k steps, so a walk of any length takes
+    as many rounds as its logarithm. A pointer to a cell that is not in the
+    network ends the walk before it.
+    """
+    ids = network.select(F.col(node).alias("node"), F.col(to).alias("to"))
+    jump = ids.where("to is not null and to <> node").join(ids.select(F.col("node").alias("to")), "to", "left_semi").select("node", "to")
+    jump = materialise(jump, "jumps")
+    walks = materialise(seeds.select(F.col(node).alias("seed"), F.col(node).alias("node"), F.lit(0).alias("step")), "walks")
+    reach = ids.count() if max_steps is None else min(max_steps, ids.count())
+    k = 0
+    while (1 << k) <= reach and not jump.isEmpty():
+        on = walks.join(jump, "node").select("seed", F.col("to").alias("node"), (F.col("step") + (1 << k)).alias("step")).where(F.col("step") <= reach)
+        # On a loop a walk meets its own cells again; the first visit counts.
+        walks = materialise(walks.unionByName(on).groupBy("seed", "node").agg(F.min("step").alias("step")), "walks")
+        jump = materialise(jump.join(jump.select(F.col("node").alias("to"), F.col("to").alias("_next")), "to").select("node", F.col("_next").alias("to")), "jumps")
+        k += 1
+    return walks
+
+
+def follow_chain(edges: DataFrame, starts: DataFrame, target: object, frm: str = "from_code", to: str = "to_code") -> DataFrame:
+    """``(start, reached, n_steps)``: whether each start leads to ``target`` over edges that are the only one at each step.
+
+    Pointers with their lengths are doubled; the target and dead ends stay where they are, loops never reach it.
+    """
+    single = edges.select(F.col(frm).alias("at"), F.col(to).alias("_next")).where(F.col(frm) != target).distinct().groupBy("at").agg(F.count("*").alias("_n"), F.min("_next").alias("_next")).where("_n = 1")
+    jump = materialise(single.select("at", F.col("_next").alias("to"), F.lit(1).cast("long").alias("_by")), "chain")
+    front = materialise(starts.select("start", F.col("start").alias("at"), F.lit(0).cast("long").alias("n_steps")), "chain")
+    for _ in range(jump.count().bit_length() + 1):
+        front = materialise(front.join(jump, "at", "left").select("start", F.coalesce("to", "at").alias("at"), (F.col("n_steps") + F.coalesce("_by", F.lit(0))).alias("n_steps")), "chain")
+        ahead = jump.select(F.col("at").alias("to"), F.col("to").alias("_next"), F.col("_by").alias("_more"))
+        jump = materialise(jump.join(ahead, "to", "left").select("at", F.coalesce("_next", "to").alias("to"), (F.col("_by") + F.coalesce("_more", F.lit(0))).alias("_by")), "chain")
+    hit = F.coalesce(F.col("at") == target, F.lit(False))
+    return front.select("start", hit.alias("reached"), F.when(hit, F.col("n_steps")).cast("int").alias("n_steps"))
+
+
+def largest_basins(network: DataFrame, value: str, n: int, node: str = "cell_id", to: str = "next_id") -> DataFrame:
+    """``(outlet, total, n_cells, rank)`` of the ``n`` basins with the largest sum of ``value`` (ties: smallest outlet first)."""
+    cells = outlets(network, node, to).join(network.select(F.col(node).alias("node"), F.col(value).alias("_v")), "node")
+    sums = cells.where("outlet is not null").groupBy("outlet").agg(F.sum("_v").alias("total"), F.count("*").alias("n_cells"))
+    # The n largest alone reach the window.
+    top = sums.orderBy(F.desc("total"), "outlet").limit(n)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("total"), "outlet")))
+
+
+def crossing_links(links: DataFrame, groups: DataFrame, src: str, dst: str, node: str = "node", group: str = "group") -> DataFrame:
+    """Links whose two ends lie in different groups, with both groups; ends without a group belong to none and cross."""
+    one = lambda c, g: groups.select(F.col(node).alias(c), F.col(group).alias(g))
+    return links.join(one(src, "from_group"), src, "left").join(one(dst, "to_group"), dst, "left").where(~F.col("from_group").eqNullSafe(F.col("to_group")))
+
+
+def reduce_parents(parents: DataFrame, child: str, parent: str) -> DataFrame:
+    """``(node, longest)``: the longest chain of children below each node, 0 where there is none; a loop is an error."""
+    nodes = parents.select(F.col(child).alias("node")).union(parents.select(F.col(parent).alias("node"))).where("node is not null").distinct()
+    out = levels(nodes, parents.where(F.col(parent).isNotNull()), "node", child, parent)
+    return out.select("node", F.coalesce("level", F.raise_error(F.lit("parents form a loop")).cast("int")).alias("longest"))

@@ -44,16 +44,23 @@ def bilinear(rows: DataFrame, cols: DataFrame, values: DataFrame, row: str, col:
     return out.select(row, col, held.alias(value))
 
 
-def overlap_weights(fine: DataFrame, coarse: DataFrame, spherical: bool = False) -> DataFrame:
+def overlap_weights(fine: DataFrame, coarse: DataFrame, spherical: bool = False, bins: int = 1024) -> DataFrame:
     """Overlap of the intervals (low, high) of two axes, as (fine_id, coarse_id, overlap); of their sines for latitudes.
 
-    Axes are short (one row per line of a grid), so the range join is between small tables.
+    Both axes are dealt into ``bins`` equal parts of their extent; intervals
+    meet by equality in the parts they touch, so no line is compared with all.
     """
     low, high = F.greatest("f_low", "c_low"), F.least("f_high", "c_high")
     size = F.sin(F.radians(high)) - F.sin(F.radians(low)) if spherical else high - low
-    a = fine.select(F.col("id").alias("fine_id"), F.col("low").alias("f_low"), F.col("high").alias("f_high"))
-    b = coarse.select(F.col("id").alias("coarse_id"), F.col("low").alias("c_low"), F.col("high").alias("c_high"))
-    return a.join(b, (F.col("f_low") < F.col("c_high")) & (F.col("c_low") < F.col("f_high"))).select("fine_id", "coarse_id", size.alias("overlap"))
+    span = coarse.agg(F.min("low").alias("_from"), ((F.max("high") - F.min("low")) / bins).alias("_width"))
+
+    def dealt(axis: DataFrame, p: str) -> DataFrame:
+        part = lambda c: F.greatest(F.least(F.floor((c - F.col("_from")) / F.col("_width")), F.lit(bins)), F.lit(-1))
+        one = axis.select(F.col("id").alias(f"{p}_id"), F.col("low").alias(f"{p}_low"), F.col("high").alias(f"{p}_high")).crossJoin(F.broadcast(span))
+        return one.withColumn("_part", F.explode(F.sequence(part(F.col(f"{p}_low")), part(F.col(f"{p}_high"))))).drop("_from", "_width")
+
+    met = dealt(fine, "f").join(dealt(coarse, "c"), "_part").where((F.col("f_low") < F.col("c_high")) & (F.col("c_low") < F.col("f_high")))
+    return met.select(F.col("f_id").alias("fine_id"), F.col("c_id").alias("coarse_id"), size.alias("overlap")).distinct()
 
 
 def conservative_remap(values: DataFrame, row_overlap: DataFrame, col_overlap: DataFrame, value: str) -> DataFrame:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fluvion.session import materialise
+from fluvion.session import Rounds, materialise
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -16,45 +17,90 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return df.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_r = 1").drop("_r")
 
 
-def within_distance(left: DataFrame, right: DataFrame, lid: str, rid: str, coordinates: list[str], radius: float) -> DataFrame:
+def within_distance(left: DataFrame, right: DataFrame, lid: str, rid: str, coordinates: list[str], radius: float, band: tuple[str, float] | None = None) -> DataFrame:
     """Pairs (lid, rid, distance) within a Euclidean radius; both sides hold the coordinates.
 
     Both are dealt into cubes of the radius and only neighbouring cubes meet,
-    so the join is by equality and spreads over the cluster.
+    so the join is by equality and spreads over the cluster. With ``band``
+    (column, width) only pairs whose columns differ by no more count.
     """
     cube = [F.floor(F.col(c) / radius).alias(f"_c{i}") for i, c in enumerate(coordinates)]
-    a = left.select(F.col(lid), *[F.col(c).alias(f"_a{i}") for i, c in enumerate(coordinates)], *cube)
+    width = lambda name: [F.col(band[0]).alias(name)] if band else []
+    a = left.select(F.col(lid), *[F.col(c).alias(f"_a{i}") for i, c in enumerate(coordinates)], *cube, *width("_wa"))
     for i in range(len(coordinates)):
         a = a.withColumn(f"_c{i}", F.explode(F.array(*[F.col(f"_c{i}") + d for d in (-1, 0, 1)])))
-    b = right.select(F.col(rid), *[F.col(c).alias(f"_b{i}") for i, c in enumerate(coordinates)], *cube)
+    b = right.select(F.col(rid), *[F.col(c).alias(f"_b{i}") for i, c in enumerate(coordinates)], *cube, *width("_wb"))
     keys = [f"_c{i}" for i in range(len(coordinates))]
     d2 = sum(((F.col(f"_a{i}") - F.col(f"_b{i}")) * (F.col(f"_a{i}") - F.col(f"_b{i}")) for i in range(len(coordinates))), F.lit(0.0))
-    return a.join(b, keys).withColumn("distance", F.sqrt(d2)).where(F.col("distance") <= radius).select(lid, rid, "distance")
+    pairs = a.join(b, keys).withColumn("distance", F.sqrt(d2)).where(F.col("distance") <= radius)
+    if band:
+        pairs = pairs.where(F.abs(F.col("_wa") - F.col("_wb")) <= band[1] + 1e-9)
+    return pairs.select(lid, rid, "distance")
 
 
-def nearest(left: DataFrame, right: DataFrame, lid: str, rid: str, coordinates: list[str], start_radius: float, max_radius: float = math.inf, max_rounds: int = 40) -> DataFrame:
-    """For each left row the nearest right row (ties: smallest id) within ``max_radius``, as (lid, rid, distance).
+def nearest(left: DataFrame, right: DataFrame, lid: str, rid: str, coordinates: list[str], start_radius: float, max_radius: float = math.inf, max_rounds: int = 60, band: tuple[str, float] | None = None) -> DataFrame:
+    """For each left row the nearest right row (ties: smallest id) within ``max_radius`` and ``band``, as (lid, rid, distance).
 
     Rows without a hit are tried again with a doubled radius, so every round
     joins only neighbouring cubes; a hit within the radius is the nearest of
-    all. Rounds end with the rows, the bound, or when the right side's extent
-    is covered.
+    all. Rounds end with the rows, the bound, or when the extent of both sides
+    is covered; too small a first radius for that is an error.
     """
-    if right.isEmpty():
-        return within_distance(left, right, lid, rid, coordinates, start_radius)
+    found = Rounds(left.sparkSession, "nearest")
     span = left.select(coordinates).unionByName(right.select(coordinates)).agg(*[(F.max(c) - F.min(c)).alias(c) for c in coordinates]).first()
     extent = math.sqrt(sum(float(x or 0) ** 2 for x in span)) + 1e-9
-    rest, radius, found = left, start_radius, None
+    rest, radius = left, start_radius
     for _ in range(max_rounds):
         radius = min(radius, max_radius)
-        pairs = within_distance(rest, right, lid, rid, coordinates, radius)
-        hits = materialise(pairs.groupBy(lid).agg(F.min(F.struct("distance", rid)).alias("_m")).select(lid, F.col(f"_m.{rid}").alias(rid), F.col("_m.distance").alias("distance")), "nearest")
-        found = hits if found is None else found.unionByName(hits)
-        rest = rest.join(hits.select(lid), lid, "left_anti")
+        pairs = within_distance(rest, right, lid, rid, coordinates, radius, band)
+        hits = found.add(pairs.groupBy(lid).agg(F.min(F.struct("distance", rid)).alias("_m")).select(lid, F.col(f"_m.{rid}").alias(rid), F.col("_m.distance").alias("distance")))
+        rest = materialise(rest.join(hits.select(lid), lid, "left_anti"), "nearest-rest")
         if radius >= max_radius or radius > extent or rest.isEmpty():
-            break
+            return found.rows()
         radius *= 2
-    return found
+    raise RuntimeError(f"a first radius of {start_radius} did not cover {extent} in {max_rounds} rounds")
+
+
+def on_sphere(df: DataFrame, lat: str, lon: str) -> DataFrame:
+    """Adds the unit vector _x, _y, _z of each point."""
+    la, lo = F.radians(lat), F.radians(lon)
+    return df.withColumn("_x", F.cos(la) * F.cos(lo)).withColumn("_y", F.cos(la) * F.sin(lo)).withColumn("_z", F.sin(la))
+
+
+def choose_donors(targets: DataFrame, donors: DataFrame, target: str, donor: str, lat: str, lon: str, kind: str, radius_km: float, band: float, earth_km: float = 6371.0) -> DataFrame:
+    """``(target, donor, km, level)``: the nearest donor within ``radius_km`` (level 2), else the nearest of an equal kind above 0 (3), else the nearest
+    within ``band`` degrees of latitude (4), else the nearest of all (5). Ties go to the smallest id; without donors there are no rows.
+
+    Each step searches only for targets that the steps before left. Kinds are
+    held apart as a fourth coordinate, farther from each other than any chord.
+    """
+    point = lambda df, name: on_sphere(df.select(F.col(name), F.col(lat).alias("_lat"), F.col(lon).alias("_lon"), F.col(kind).alias("_kind")), "_lat", "_lon").withColumn("_k", F.col("_kind") * 8.0)
+    rest, right = point(targets, target), materialise(point(donors, donor), "donors")
+    flat, chord = ["_x", "_y", "_z"], 2 * math.sin(min(radius_km / (2 * earth_km), math.pi / 2))
+    found = Rounds(targets.sparkSession, "donors")
+    far = 8 * chord
+    steps = (
+        lambda t: nearest(t, right, target, donor, flat, chord, chord),
+        lambda t: nearest(t.where("_kind > 0"), right, target, donor, [*flat, "_k"], far, 2.0 + 1e-9),
+        lambda t: nearest(t, right, target, donor, flat, far, 2.0 + 1e-9, band=("_lat", band)),
+        lambda t: nearest(t, right, target, donor, flat, far, 2.0 + 1e-9),
+    )
+    for level, step in enumerate(steps, 2):
+        hits = found.add(step(rest).select(target, donor, (2 * earth_km * F.asin(F.least(F.col("distance") / 2, F.lit(1.0)))).alias("km"), F.lit(level).alias("level")))
+        rest = materialise(rest.join(hits.select(target), target, "left_anti"), "donors-rest")
+        if rest.isEmpty():
+            break
+    return found.rows()
+
+
+def match_in_stages(left: DataFrame, right: DataFrame, lid: str, rid: str, stages: list[tuple[str, Callable[[DataFrame, DataFrame], DataFrame]]]) -> DataFrame:
+    """``(lid, rid, distance, stage)``: one-to-one matching stage by stage. A stage makes pairs (lid, rid, distance) of what earlier stages left on both sides."""
+    found = Rounds(left.sparkSession, "stages")
+    for name, pairs in stages:
+        hits = found.add(match_one_to_one(pairs(left, right), lid, rid, "distance").select(lid, rid, "distance", F.lit(name).alias("stage")))
+        left = materialise(left.join(hits.select(lid), lid, "left_anti"), "left")
+        right = materialise(right.join(hits.select(rid), rid, "left_anti"), "right")
+    return found.rows()
 
 
 def ladder(targets: DataFrame, steps: list[tuple[str, DataFrame]], target: str, donor: str) -> DataFrame:
@@ -78,14 +124,13 @@ def match_one_to_one(pairs: DataFrame, lid: str, rid: str, distance: str, max_ro
     """
     rest = materialise(pairs.groupBy(lid, rid).agg(F.min(distance).alias(distance)), "pairs")
     order = [F.col(distance), F.col(lid), F.col(rid)]
-    taken = None
+    taken = Rounds(pairs.sparkSession, "matched")
     for _ in range(max_rounds):
         best_l, best_r = Window.partitionBy(lid).orderBy(*order), Window.partitionBy(rid).orderBy(*order)
-        hits = materialise(rest.withColumn("_l", F.row_number().over(best_l)).withColumn("_r", F.row_number().over(best_r)).where("_l = 1 and _r = 1").drop("_l", "_r"), "matched")
-        taken = hits if taken is None else taken.unionByName(hits)
+        hits = taken.add(rest.withColumn("_l", F.row_number().over(best_l)).withColumn("_r", F.row_number().over(best_r)).where("_l = 1 and _r = 1").drop("_l", "_r"))
         rest = materialise(rest.join(hits.select(lid), lid, "left_anti").join(hits.select(rid), rid, "left_anti"), "pairs")
         if rest.isEmpty():
-            return taken
+            return taken.rows()
     raise RuntimeError(f"matching did not end in {max_rounds} rounds")
 
 

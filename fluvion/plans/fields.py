@@ -85,12 +85,30 @@ def tile_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three demands of each nation over its customers; tested by its invariants and hand-computed cases."""
+    """Three demands of each nation's segment over its customers; tested against a plain loop over each parent."""
+    key = F.col("c_custkey")
     c = table(spark, sf_dir, "customer").select(
-        "c_nationkey", "c_custkey", F.greatest("c_acctbal", F.lit(0.0)).alias("room"), *[(F.col("c_mktsegment") == s).cast("double").alias(f"w{i}") for i, s in enumerate(("BUILDING", "MACHINERY", "FURNITURE"))]
+        F.concat_ws("/", "c_nationkey", "c_mktsegment").alias("parent"), "c_nationkey", "c_custkey", F.greatest("c_acctbal", F.lit(0.0)).alias("room"), *[F.when(key % (i + 2) == 0, F.abs("c_acctbal")).otherwise(0.0).alias(f"w{i}") for i in range(3)]
     )
-    d = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("c_nationkey")).agg(*[F.sum(F.greatest("s_acctbal", F.lit(0.0)) * k).alias(f"d{i}") for i, k in enumerate((1.0, 0.5, 2.0))])
-    return L.water_fill(c.join(F.broadcast(d), "c_nationkey"), "c_nationkey", "c_custkey", "room", ["d0", "d1", "d2"], ["w0", "w1", "w2"])
+    d = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("c_nationkey")).agg(*[F.sum(F.greatest("s_acctbal", F.lit(0.0)) * k).alias(f"d{i}") for i, k in enumerate((0.2, 0.1, 0.4))])
+    return L.water_fill(c.join(d, "c_nationkey"), "parent", "c_custkey", "room", ["d0", "d1", "d2"], ["w0", "w1", "w2"])
+
+
+@query("""
+WITH c AS (SELECT c_nationkey AS parent, c_custkey, greatest(c_acctbal, 0) AS room, CASE WHEN c_mktsegment = 'BUILDING' AND c_nationkey % 3 = 0 THEN greatest(c_acctbal, 0) ELSE 0 END AS w0,
+  CASE WHEN c_mktsegment = 'FURNITURE' AND c_nationkey % 3 < 2 THEN greatest(c_acctbal, 0) ELSE 0 END AS w1, CASE WHEN c_nationkey <> 5 THEN greatest(c_acctbal, 0) ELSE 0 END AS w2, c_nationkey * 10.0 AS demand FROM customer),
+s AS (SELECT parent, sum(room) AS cap, sum(w0) AS s0, sum(w1) AS s1, sum(w2) AS s2 FROM c GROUP BY 1),
+l AS (SELECT c.*, cap, CASE WHEN demand > 0 THEN CASE WHEN s0 > 0 THEN 1 WHEN s1 > 0 THEN 2 WHEN s2 > 0 THEN 3 ELSE 9 END ELSE 0 END AS weight_level, CASE WHEN s0 > 0 THEN w0 WHEN s1 > 0 THEN w1 WHEN s2 > 0 THEN w2 ELSE 0 END AS w FROM c JOIN s USING (parent)),
+m AS (SELECT *, weight_level BETWEEN 2 AND 8 AND demand < 0.001 * cap AS single, row_number() OVER (PARTITION BY parent ORDER BY w DESC, c_custkey) AS r FROM l)
+SELECT parent, c_custkey, weight_level, single, round(CASE WHEN weight_level BETWEEN 1 AND 8 THEN CASE WHEN single THEN CASE WHEN r = 1 AND room > 0 THEN 1 ELSE 0 END ELSE w END ELSE 0 END, 4) AS weight FROM m""")
+def weight_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each nation's first weight that any customer has; all to one customer where a fallback serves a small demand."""
+    nation, room = F.col("c_nationkey"), F.greatest("c_acctbal", F.lit(0.0))
+    c = table(spark, sf_dir, "customer").select(
+        nation.alias("parent"), "c_custkey", room.alias("room"), F.when((F.col("c_mktsegment") == "BUILDING") & (nation % 3 == 0), room).otherwise(0.0).alias("w0"),
+        F.when((F.col("c_mktsegment") == "FURNITURE") & (nation % 3 < 2), room).otherwise(0.0).alias("w1"), F.when(nation != 5, room).otherwise(0.0).alias("w2"), (nation * 10.0).alias("demand"),
+    )
+    return L.fallback_weights(c, "parent", "c_custkey", "room", "demand", ["w0", "w1", "w2"], 0.001).select("parent", "c_custkey", "weight_level", "single", F.round("weight", 4).alias("weight"))
 
 
 @query("SELECT l_returnflag, l_linestatus, round(sum(l_discount * l_quantity) / nullif(sum(l_quantity), 0), 6) AS mean, round(sum(l_quantity), 2) AS weight FROM lineitem GROUP BY 1, 2")
@@ -113,6 +131,16 @@ def block_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.block_mode(table(spark, sf_dir, "part"), ["p_brand"], "p_size").withColumn("mode_share", F.round("mode_share", 6))
 
 
+@query("""
+WITH v AS (SELECT p_partkey // 10 AS window_id, CASE WHEN p_size % 4 = 0 OR p_partkey // 10 % 5 = 0 THEN 0 ELSE p_size % 4 END AS class FROM part), c AS (SELECT window_id, class, count(*) AS n FROM v GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY window_id ORDER BY class = 0, n DESC, class) AS r FROM c) SELECT window_id, class AS majority FROM r WHERE r = 1""")
+def window_majority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Majority class of windows of ten parts; 0 stands for no data."""
+    key, size = F.col("p_partkey"), F.col("p_size")
+    v = table(spark, sf_dir, "part").select(F.floor(key / 10).alias("window_id"), F.when((size % 4 == 0) | (F.floor(key / 10) % 5 == 0), 0).otherwise(size % 4).alias("class"))
+    return A.window_majority(v, ["window_id"], "class")
+
+
 @query("""
 WITH s AS (SELECT p_brand, p_type, sum(p_retailprice) AS w FROM part GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY round(w, 4) DESC, p_type) AS r FROM s)
 SELECT p_brand, p_type AS dominant FROM r WHERE r = 1""")

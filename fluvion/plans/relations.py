@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -46,37 +48,35 @@ def levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH RECURSIVE n AS ({NETWORK}), w(seed, node, hop, step) AS (SELECT cell_id, cell_id, next_id, 0 FROM n WHERE cell_id % 50 = 7 UNION ALL SELECT w.seed, n.cell_id, n.next_id, step + 1 FROM w JOIN n ON w.hop = n.cell_id)
+WITH RECURSIVE n AS ({NETWORK}), w(seed, node, hop, step) AS (SELECT cell_id, cell_id, next_id, 0 FROM n UNION ALL SELECT w.seed, n.cell_id, n.next_id, step + 1 FROM w JOIN n ON w.hop = n.cell_id)
 SELECT seed, node, step FROM w""")
 def downstream_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = network(spark, sf_dir)
-    return G.downstream(n, n.where("cell_id % 50 = 7"))
+    return G.downstream(n, n)
 
 
 @query(f"""
-WITH RECURSIVE n AS ({NETWORK}), w(seed, node, hop, step) AS (SELECT cell_id, cell_id, next_id, 0 FROM n WHERE cell_id % 50 = 7 UNION ALL SELECT w.seed, n.cell_id, n.next_id, step + 1 FROM w JOIN n ON w.hop = n.cell_id),
+WITH RECURSIVE n AS ({NETWORK}), w(seed, node, hop, step) AS (SELECT cell_id, cell_id, next_id, 0 FROM n UNION ALL SELECT w.seed, n.cell_id, n.next_id, step + 1 FROM w JOIN n ON w.hop = n.cell_id),
 r AS (SELECT seed, node, step, row_number() OVER (PARTITION BY seed ORDER BY step) AS k FROM w JOIN customer ON node = c_custkey WHERE c_mktsegment = 'BUILDING')
 SELECT seed, node AS station, step, k FROM r WHERE k <= 2""")
 def stations_downstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first two stations met on the way down from each seed."""
+    """The first two stations met on the way down from each cell."""
     n = network(spark, sf_dir)
     stations = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("node"))
-    met = G.downstream(n, n.where("cell_id % 50 = 7")).join(stations, "node")
+    met = G.downstream(n, n).join(stations, "node")
     k = F.row_number().over(Window.partitionBy("seed").orderBy("step")).cast("long")
     return met.withColumn("k", k).where("k <= 2").select("seed", F.col("node").alias("station"), "step", "k")
 
 
 @query("""
-WITH RECURSIVE e AS (SELECT DISTINCT 'c' || o_custkey AS a, 'd' || CAST(o_orderdate AS DATE) AS b FROM orders WHERE o_totalprice > (SELECT quantile_cont(o_totalprice, 0.97) FROM orders)),
+WITH RECURSIVE e AS (SELECT 'c' || o_custkey AS a, 'o' || o_orderkey AS b FROM orders UNION ALL SELECT 'c' || c_custkey, 'g' || c_nationkey || c_mktsegment FROM customer),
 b AS (SELECT a, b FROM e UNION SELECT b, a FROM e), w(node, reach) AS (SELECT a, a FROM b UNION SELECT w.node, b.b FROM w JOIN b ON w.reach = b.a)
 SELECT node, min(reach) AS component FROM w GROUP BY 1""")
 def components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers and days tied by the dearest orders."""
-    orders = table(spark, sf_dir, "orders")
-    limit = orders.agg(F.percentile("o_totalprice", F.lit(0.97)).alias("limit"))
-    dear = orders.crossJoin(F.broadcast(limit)).where("o_totalprice > limit")
-    edges = dear.select(F.concat(F.lit("c"), "o_custkey").alias("src"), F.concat(F.lit("d"), F.to_date("o_orderdate")).alias("dst"))
-    return G.connected_components(edges)
+    """Customers tied to all their orders and to their nation's segment."""
+    bought = table(spark, sf_dir, "orders").select(F.concat(F.lit("c"), "o_custkey").alias("src"), F.concat(F.lit("o"), "o_orderkey").alias("dst"))
+    segment = table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("src"), F.concat(F.lit("g"), "c_nationkey", "c_mktsegment").alias("dst"))
+    return G.connected_components(bought.unionByName(segment))
 
 
 @query("""
@@ -125,19 +125,36 @@ def crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.match_one_to_one(J.within_distance(s, c, "s_suppkey", "c_custkey", ["x", "y"], 150.0), "s_suppkey", "c_custkey", "distance")
 
 
-@query("""
-WITH t AS (SELECT s_suppkey, s_nationkey FROM supplier), n AS (SELECT n_nationkey, n_regionkey FROM nation), d AS (SELECT c_custkey, c_nationkey, n_regionkey FROM customer JOIN n ON c_nationkey = n_nationkey WHERE c_acctbal > 9000),
-a AS (SELECT c_nationkey, min(c_custkey) AS k FROM d GROUP BY 1), b AS (SELECT n_regionkey, min(c_custkey) AS k FROM d GROUP BY 1), e AS (SELECT min(c_custkey) AS k FROM d)
-SELECT s_suppkey, coalesce(a.k, b.k, e.k) AS c_custkey, CASE WHEN a.k IS NOT NULL THEN 'nation' WHEN b.k IS NOT NULL THEN 'region' WHEN e.k IS NOT NULL THEN 'any' END AS level
-FROM t JOIN n ON s_nationkey = n_nationkey LEFT JOIN a ON c_nationkey = s_nationkey LEFT JOIN b ON b.n_regionkey = n.n_regionkey, e""")
+PLACE = "({k} * 37 % 1200) / 10.0 - 60 AS lat, ({k} * 91 % 3600) / 10.0 - 180 AS lon"
+
+
+@query(f"""
+WITH t AS (SELECT s_suppkey, s_nationkey % 7 AS kind, {PLACE.format(k="s_suppkey")} FROM supplier), d AS (SELECT c_custkey, c_nationkey % 7 AS kind, {PLACE.format(k="c_custkey")} FROM customer WHERE c_acctbal > 9000),
+p AS (SELECT s_suppkey, c_custkey, t.kind > 0 AND t.kind = d.kind AS same, abs(t.lat - d.lat) <= 2 + 1e-9 AS band,
+  2 * 6371.0 * asin(sqrt(least(1, power(sin(radians(t.lat - d.lat) / 2), 2) + cos(radians(t.lat)) * cos(radians(d.lat)) * power(sin(radians(t.lon - d.lon) / 2), 2)))) AS km FROM t, d),
+l AS (SELECT *, CASE WHEN km <= 250 THEN 2 WHEN same THEN 3 WHEN band THEN 4 ELSE 5 END AS level FROM p),
+m AS (SELECT s_suppkey, min(level) AS level FROM l GROUP BY 1),
+c AS (SELECT l.*, m.level AS own FROM l JOIN m USING (s_suppkey) WHERE m.level = 5 OR (m.level = 2 AND km <= 250) OR (m.level = 3 AND same) OR (m.level = 4 AND band))
+SELECT s_suppkey, arg_min(c_custkey, km) AS c_custkey, round(min(km), 4) AS km, own AS level FROM c GROUP BY s_suppkey, own""")
 def donor_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest donor within a radius, else of an equal kind, else in the latitude band, else anywhere."""
+    at = lambda k: [((F.col(k) * 37 % 1200) / 10.0 - 60).alias("lat"), ((F.col(k) * 91 % 3600) / 10.0 - 180).alias("lon")]
+    t = table(spark, sf_dir, "supplier").select("s_suppkey", (F.col("s_nationkey") % 7).alias("kind"), *at("s_suppkey"))
+    d = table(spark, sf_dir, "customer").where("c_acctbal > 9000").select("c_custkey", (F.col("c_nationkey") % 7).alias("kind"), *at("c_custkey"))
+    return J.choose_donors(t, d, "s_suppkey", "c_custkey", "lat", "lon", "kind", 250.0, 2.0).withColumn("km", F.round("km", 4))
+
+
+@query("""
+WITH t AS (SELECT s_suppkey, n_nationkey, n_regionkey FROM supplier JOIN nation ON s_nationkey = n_nationkey), d AS (SELECT c_custkey, n_nationkey, n_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 9900),
+a AS (SELECT n_nationkey, min(c_custkey) AS k FROM d GROUP BY 1), b AS (SELECT n_regionkey, min(c_custkey) AS k FROM d GROUP BY 1)
+SELECT s_suppkey, coalesce(a.k, b.k) AS c_custkey, CASE WHEN a.k IS NOT NULL THEN 'nation' WHEN b.k IS NOT NULL THEN 'region' END AS level FROM t LEFT JOIN a USING (n_nationkey) LEFT JOIN b USING (n_regionkey)""")
+def fallback_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first customer of a supplier's nation, else of its region, among those with a large balance."""
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     t = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("n_nationkey")).join(nation, "n_nationkey")
-    d = table(spark, sf_dir, "customer").where("c_acctbal > 9000").select("c_custkey", F.col("c_nationkey").alias("n_nationkey")).join(nation, "n_nationkey")
+    d = table(spark, sf_dir, "customer").where("c_acctbal > 9900").select("c_custkey", F.col("c_nationkey").alias("n_nationkey")).join(nation, "n_nationkey")
     first = lambda key: t.select("s_suppkey", key).join(d.groupBy(key).agg(F.min("c_custkey").alias("c_custkey")), key).select("s_suppkey", "c_custkey")
-    anywhere = t.select("s_suppkey").crossJoin(F.broadcast(d.agg(F.min("c_custkey").alias("c_custkey"))))
-    out = J.ladder(t.select("s_suppkey"), [("nation", first("n_nationkey")), ("region", first("n_regionkey")), ("any", anywhere)], "s_suppkey", "c_custkey")
-    return out.withColumn("level", F.when(F.col("c_custkey").isNotNull(), F.col("level")))
+    return J.ladder(t.select("s_suppkey"), [("nation", first("n_nationkey")), ("region", first("n_regionkey"))], "s_suppkey", "c_custkey")
 
 
 @query("SELECT * EXCLUDE r FROM (SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders) WHERE r = 1")
@@ -176,37 +193,51 @@ def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(F.floor(key / 50).alias("r"), (key % 50).alias("c"), F.col("p_retailprice").alias("v"))
 
 
+def _rows(cells: DataFrame) -> int:
+    """Rows of the grid: one number, the axis that weight tables are made for."""
+    return int(cells.agg(F.max("r")).first()[0]) + 1
+
+
 @query(f"""
-WITH g AS ({CELLS}), f AS (SELECT i AS row_id, i * 0.5 AS spot FROM range(0, 7) t(i)), rw AS (SELECT row_id, CAST(least(floor(spot), 2) AS BIGINT) AS k, 1 - (spot - least(floor(spot), 2)) AS w FROM f UNION ALL SELECT row_id, CAST(least(floor(spot), 2) AS BIGINT) + 1, spot - least(floor(spot), 2) FROM f),
+WITH g AS ({CELLS}), z AS (SELECT max(r) + 1 AS n FROM g), f AS (SELECT i AS row_id, i * 0.5 AS spot, n FROM z, range(0, 2 * (SELECT n FROM z) - 1) t(i)),
+rw AS (SELECT row_id, CAST(least(floor(spot), n - 2) AS BIGINT) AS k, 1 - (spot - least(floor(spot), n - 2)) AS w FROM f UNION ALL SELECT row_id, CAST(least(floor(spot), n - 2) AS BIGINT) + 1, spot - least(floor(spot), n - 2) FROM f),
 h AS (SELECT j AS col_id, j * 0.5 - 1 AS spot FROM range(0, 100) t(j)),
 cw AS (SELECT col_id, (CAST(floor(spot) AS BIGINT) % 50 + 50) % 50 AS k, 1 - (spot - floor(spot)) AS w FROM h UNION ALL SELECT col_id, (CAST(floor(spot) AS BIGINT) + 51) % 50, spot - floor(spot) FROM h)
 SELECT row_id, col_id, round(sum(rw.w * cw.w * v), 6) AS v FROM rw JOIN g ON g.r = rw.k JOIN cw ON cw.k = g.c GROUP BY 1, 2""")
 def bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = R.linear_weights(spark.range(0, 7).select(F.col("id").alias("row_id"), (F.col("id") * 0.5).alias("at")), "at", 0.0, 1.0, 4)
+    """The whole grid at twice its resolution; columns wrap."""
+    cells = _cells(spark, sf_dir)
+    n = _rows(cells)
+    rows = R.linear_weights(spark.range(0, 2 * n - 1).select(F.col("id").alias("row_id"), (F.col("id") * 0.5).alias("at")), "at", 0.0, 1.0, n)
     cols = R.linear_weights(spark.range(0, 100).select(F.col("id").alias("col_id"), (F.col("id") * 0.5 - 1).alias("at")), "at", 0.0, 1.0, 50, periodic=True)
-    values = _cells(spark, sf_dir).select(F.col("r").alias("prow"), F.col("c").alias("pcol"), "v")
+    values = cells.select(F.col("r").alias("prow"), F.col("c").alias("pcol"), "v")
     return R.bilinear(rows, cols, values, "row_id", "col_id", "v").withColumn("v", F.round("v", 6))
 
 
 @query(f"""
-WITH g AS ({CELLS}), ro AS (SELECT r, k, sin(radians(least(r * 10 + 10, k * 15 + 15) - 60)) - sin(radians(greatest(r * 10, k * 15) - 60)) AS w FROM (SELECT DISTINCT r FROM g) a, range(0, 8) b(k) WHERE r < 12 AND r * 10 < k * 15 + 15 AND k * 15 < r * 10 + 10),
+WITH g AS ({CELLS}), z AS (SELECT max(r) + 1 AS n FROM g), a AS (SELECT r, r * (120.0::DOUBLE / n) - 60 AS low, (r + 1) * (120.0::DOUBLE / n) - 60 AS high FROM z, range(0, (SELECT n FROM z)) t(r)),
+b AS (SELECT k, k * (180.0::DOUBLE / n) - 60 AS low, (k + 1) * (180.0::DOUBLE / n) - 60 AS high FROM z, range(0, CAST(ceil((SELECT n FROM z) / 1.5) AS BIGINT)) t(k)),
+ro AS (SELECT r, k, sin(radians(least(a.high, b.high))) - sin(radians(greatest(a.low, b.low))) AS w FROM a JOIN b ON a.low < b.high AND b.low < a.high),
 co AS (SELECT c, k, least(c * 1.0 + 1, k * 2.5 + 2.5) - greatest(c * 1.0, k * 2.5) AS w FROM range(0, 50) a(c), range(0, 20) b(k) WHERE c < k * 2.5 + 2.5 AND k * 2.5 < c + 1)
 SELECT ro.k AS to_row, co.k AS to_col, round(sum(ro.w * co.w * v) / nullif(sum(ro.w * co.w), 0), 6) AS v FROM g JOIN ro USING (r) JOIN co USING (c) GROUP BY 1, 2""")
 def overlap_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    axis = lambda n, low, size: spark.range(0, n).select("id", (F.col("id") * size + low).alias("low"), ((F.col("id") + 1) * size + low).alias("high"))
-    rows = R.overlap_weights(axis(12, -60.0, 10.0), axis(8, -60.0, 15.0), spherical=True)
+    """The whole grid, spread from 60 south to 60 north, on rows 1.5 and columns 2.5 times as large."""
+    cells = _cells(spark, sf_dir)
+    n = _rows(cells)
+    axis = lambda count, low, size: spark.range(0, count).select("id", (F.col("id") * size + low).alias("low"), ((F.col("id") + 1) * size + low).alias("high"))
+    rows = R.overlap_weights(axis(n, -60.0, 120.0 / n), axis(math.ceil(n / 1.5), -60.0, 180.0 / n), spherical=True)
     cols = R.overlap_weights(axis(50, 0.0, 1.0), axis(20, 0.0, 2.5))
-    values = _cells(spark, sf_dir).select(F.col("r").alias("row"), F.col("c").alias("col"), "v")
+    values = cells.select(F.col("r").alias("row"), F.col("c").alias("col"), "v")
     return R.conservative_remap(values, rows, cols, "v").withColumn("v", F.round("v", 6))
 
 
 @query(f"""
 WITH g AS ({CELLS}), a AS (SELECT * FROM g WHERE v > 1000), s AS (SELECT x.dr, y.dc FROM (VALUES (-1), (0), (1)) x(dr), (VALUES (-1), (0), (1)) y(dc) WHERE dr <> 0 OR dc <> 0)
-SELECT g.r, g.c, count(a.r) AS n_active FROM g, s LEFT JOIN a ON a.r = g.r + dr AND a.c = (g.c + dc + 50) % 50 WHERE g.r + dr BETWEEN 0 AND 10000 GROUP BY 1, 2""")
+SELECT g.r, g.c, count(a.r) AS n_active FROM g, s LEFT JOIN a ON a.r = g.r + dr AND a.c = (g.c + dc + 50) % 50 WHERE g.r + dr BETWEEN 0 AND (SELECT max(r) FROM g) GROUP BY 1, 2""")
 def neighbour_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = _cells(spark, sf_dir)
     active = cells.where("v > 1000").select(F.col("r").alias("nrow"), F.col("c").alias("ncol"), F.lit(1).alias("_on"))
-    around = R.neighbours(cells, "r", "c", 10_001, 50).join(active, ["nrow", "ncol"], "left")
+    around = R.neighbours(cells, "r", "c", _rows(cells), 50).join(active, ["nrow", "ncol"], "left")
     return around.groupBy("r", "c").agg(F.count("_on").alias("n_active"))
 
 

@@ -8,7 +8,6 @@ from pyspark.sql.window import Window
 
 from fluvion.functions import rules as T
 from fluvion.operators import records as K
-from fluvion.operators import sequential as Q
 from fluvion.plans.register import registry
 from fluvion.session import table
 
@@ -176,24 +175,3 @@ def pooled_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.least(F.count("*"), F.lit(12)).alias("n_orders")).groupBy("n_orders").agg(F.count("*").alias("m"))
     bins = spark.range(1, 13).select(F.col("id").alias("n_orders"))
     return bins.join(n, "n_orders", "left").select("n_orders", F.coalesce("m", F.lit(0)).alias("n_customers"))
-
-
-@query()
-def pack_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers of each nation into four groups; tested by hand-computed cases."""
-    return Q.pack_groups(table(spark, sf_dir, "customer").withColumn("size", F.abs("c_acctbal")), "c_nationkey", "c_custkey", "size", 4)
-
-
-@query()
-def list_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers of each nation as jobs on three nodes; tested against a plain simulation."""
-    c = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", (F.col("c_custkey") % 24).cast("double").alias("ready"), (F.abs("c_acctbal") / 100).alias("hours"), "c_mktsegment")
-    return Q.list_schedule(c, "c_nationkey", "c_custkey", "ready", "hours", "c_mktsegment", 3)
-
-
-@query()
-def placement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers of each nation take one of 16 cells each, largest balance first; tested by hand-computed cases."""
-    cell = (F.col("c_custkey") % 16).cast("long")
-    c = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", cell.alias("cell"), F.array((cell + 1) % 16, (cell + 15) % 16).alias("others"), (-F.col("c_acctbal")).alias("rank"))
-    return Q.place_one_per_cell(c, "c_nationkey", "c_custkey", "cell", "others", ["rank"])

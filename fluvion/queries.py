@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from fluvion.plans import fields, relations, tables
+from fluvion.plans import campaign, fields, gauges, relations, tables, verify
 
-QUERIES: dict = fields.QUERIES | relations.QUERIES | tables.QUERIES
-ORACLES: dict = fields.ORACLES | relations.ORACLES | tables.ORACLES
+QUERIES: dict = {}
+ORACLES: dict = {}
+for module in (fields, relations, tables, gauges, verify, campaign):
+    QUERIES |= module.QUERIES
+    ORACLES |= module.ORACLES

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -13,11 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that setting is
-    absent (local tests) a folder of our own is made and recorded.
+    A cluster names it in ``spark.checkpoint.dir``. Only a local master, whose
+    executor is the driver itself, may go without: then a folder of our own is
+    made and recorded.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         path = getattr(shared_dir, "_local", None)
         if path is None:
             path = shared_dir._local = "file://" + tempfile.mkdtemp(prefix="spark-fluvion-")
@@ -35,6 +39,24 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Rounds:
+    """Rows that an iterative operator finishes round by round: each round is a written part of one table, which is read once at the end."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.path, self.spark, self.schema, self.n = f"{shared_dir(spark)}/fluvion/{name}-{uuid.uuid4().hex}", spark, None, 0
+
+    def add(self, df: DataFrame) -> DataFrame:
+        """Write one more part; returns the part as written."""
+        self.schema, path = self.schema or df.schema, f"{self.path}/part{self.n}"
+        df.select(*self.schema.names).write.option("compression", "zstd").parquet(path)
+        self.n += 1
+        return self.spark.read.schema(self.schema).parquet(path)
+
+    def rows(self) -> DataFrame:
+        """All parts, in one scan."""
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/part{k}" for k in range(self.n)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

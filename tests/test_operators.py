@@ -1,5 +1,6 @@
 """Hand-computed cases and brute-force comparisons of the core operators."""
 
+import math
 import random
 import struct
 import zipfile
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fluvion.functions import physics, rules
-from fluvion.operators import aggregates, allocation, graph, grid, joins, records, sequential
+from fluvion.operators import aggregates, allocation, campaign, graph, grid, joins, placement, records
 from fluvion.sources import binary, text
 
 
@@ -23,19 +24,67 @@ def test_split_classes(spark):
     assert values(out, "p", "c") == [(1, 1, 2, 18.0), (1, 2, 2, 18.0), (2, 3, 0, 0.0), (3, 4, 3, 0.0), (4, 5, 1, 2.5), (4, 6, 1, 7.5), (4, 7, 1, 0.0), (5, None, 0, 0.0)]
 
 
-def test_water_fill_keeps_capacity_and_demand(spark):
-    rows = [(g, c, float((c * 7 + g) % 5), 6.0, 3.0, float(c % 2), float(c % 3)) for g in range(3) for c in range(6)]
-    df = spark.createDataFrame(rows, "g int, c int, room double, d0 double, d1 double, w0 double, w1 double")
-    out = {(r.g, r.c): r for r in allocation.water_fill(df, "g", "c", "room", ["d0", "d1"], ["w0", "w1"]).collect()}
-    for g in range(3):
-        mine = [r for r in rows if r[0] == g]
-        assert all(out[g, r[1]].d0 + out[g, r[1]].d1 <= r[2] + 1e-6 for r in mine)
-        assert sum(out[g, r[1]].d0 for r in mine) == pytest.approx(6.0 * min(1, sum(r[2] for r in mine) / 9), abs=1e-5)
+def plain_fill(rooms, demands, weights, least=1e-6, rounds=60):
+    """Water filling of one parent by its rule, child by child."""
+    total = sum(demands)
+    scale = min(1.0, sum(rooms) / total) if total else 1.0
+    given = [[0.0] * len(demands) for _ in rooms]
+    full = [False] * len(rooms)
+    for _ in range(rounds):
+        left = [max(d * scale - sum(g[i] for g in given), 0.0) for i, d in enumerate(demands)]
+        open_ = [k for k in range(len(rooms)) if not full[k]]
+        if max(left) <= least or sum(rooms[k] for k in open_) <= 0:
+            break
+        step = [[0.0] * len(demands) for _ in rooms]
+        for i, d in enumerate(left):
+            of = {k: weights[k][i] for k in open_}
+            if sum(of.values()) <= 0:
+                of = {k: rooms[k] for k in open_}
+            for k, w in of.items():
+                step[k][i] = d * w / sum(of.values()) if d > 0 else 0.0
+        for k in range(len(rooms)):
+            held, asked = sum(given[k]), sum(step[k])
+            over = held + asked > rooms[k] + 1e-9
+            factor = max(rooms[k] - held, 0.0) / asked if over and asked else 1.0
+            given[k] = [g + s * factor for g, s in zip(given[k], step[k], strict=True)]
+            full[k] |= over
+    return given, [d - sum(g[i] for g in given) for i, d in enumerate(demands)]
+
+
+def test_water_fill_equals_the_plain_loop(spark):
+    draw = random.Random(21)
+    rows, want = [], {}
+    for g in range(25):
+        n = draw.randint(1, 8)
+        rooms = [draw.choice([0.0, draw.uniform(0, 9)]) for _ in range(n)]
+        demands = [draw.choice([0.0, draw.uniform(0, 12)]) for _ in range(3)]
+        weights = [[draw.choice([0.0, draw.uniform(0, 5)]) for _ in range(3)] for _ in range(n)]
+        given, unplaced = plain_fill(rooms, demands, weights)
+        for c in range(n):
+            rows.append((g, c, rooms[c], *demands, *weights[c]))
+            want[g, c] = (*given[c], *unplaced)
+    df = spark.createDataFrame(rows, "g int, c int, room double, d0 double, d1 double, d2 double, w0 double, w1 double, w2 double")
+    out = allocation.water_fill(df, "g", "c", "room", ["d0", "d1", "d2"], ["w0", "w1", "w2"]).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        assert tuple(r)[2:] == pytest.approx(want[r.g, r.c], abs=2e-5)
+        assert r.d0 + r.d1 + r.d2 <= next(x[2] for x in rows if x[:2] == (r.g, r.c)) + 1e-6
+
+
+def test_fallback_weights_of_small_demands_go_to_one_child(spark):
+    rows = [("own", 1, 4.0, 1.0, 2.0, 0.0), ("own", 2, 4.0, 1.0, 0.0, 5.0), ("next", 1, 4.0, 7.0, 0.0, 3.0), ("next", 2, 4.0, 7.0, 0.0, 5.0), ("small", 1, 500.0, 7.0, 0.0, 5.0), ("small", 2, 500.0, 7.0, None, 5.0), ("none", 1, 4.0, 1.0, 0.0, -2.0), ("still", 1, 4.0, 0.0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "p string, c int, room double, d double, a double, b double")
+    out = allocation.fallback_weights(df, "p", "c", "room", "d", ["a", "b"], 0.02).select("p", "c", "weight", "weight_level", "single")
+    assert values(out, "p", "c") == [
+        ("next", 1, 3.0, 2, False), ("next", 2, 5.0, 2, False), ("none", 1, 0.0, 9, False), ("own", 1, 2.0, 1, False), ("own", 2, 0.0, 1, False), ("small", 1, 1.0, 2, True), ("small", 2, 0.0, 2, True), ("still", 1, 0.0, 0, False)
+    ]
 
 
 def test_mode_ties_and_nulls(spark):
-    df = spark.createDataFrame([("a", 3), ("a", 2), ("a", None), ("b", 5)], "b string, v int")
-    assert values(aggregates.block_mode(df, ["b"], "v"), "b") == [("a", 2, 0.5, "mixed"), ("b", 5, 1.0, "uniform")]
+    df = spark.createDataFrame([("a", 3), ("a", 2), ("a", None), ("b", 5), ("c", None)], "b string, v int")
+    assert values(aggregates.block_mode(df, ["b"], "v"), "b") == [("a", 2, 0.5, "mixed"), ("b", 5, 1.0, "uniform"), ("c", None, None, "empty")]
+    zeros = spark.createDataFrame([("a", 0), ("a", 0), ("a", 4), ("a", 3), ("b", 0), ("c", None)], "b string, v int")
+    assert values(aggregates.window_majority(zeros, ["b"], "v"), "b") == [("a", 3), ("b", 0), ("c", 0)]
 
 
 def test_trend_rules(spark):
@@ -45,21 +94,52 @@ def test_trend_rules(spark):
 
 
 def test_networks(spark):
-    ids = [11, 12, 13, 14, 15, 16, 17]
-    down = [12, 13, 13, 15, 15, 16, 99]
-    n = spark.createDataFrame(list(zip(ids, down, [10.0] * 7)), "cell_id long, next_id long, area double")
-    assert values(graph.outlets(n), "node") == [(11, 13), (12, 13), (13, 13), (14, 15), (15, 15), (16, 16), (17, 17)]
-    assert values(graph.upstream_sum(n, "area"), "node") == [(11, 10.0), (12, 20.0), (13, 30.0), (14, 10.0), (15, 20.0), (16, 10.0), (17, 10.0)]
-    loop = spark.createDataFrame([(1, 2, 1.0), (2, 1, 1.0), (3, 1, 1.0)], "cell_id long, next_id long, area double")
-    assert values(graph.outlets(loop), "node") == [(1, None), (2, None), (3, None)]
+    """Two rivers, one of which forks upstream, a cell that drains into nowhere known, and one that drains into itself."""
+    rows = [(40, 41, 1.5), (41, 45, 2.0), (42, 45, 0.5), (43, 42, 4.0), (45, None, 3.0), (50, 51, 7.0), (51, 51, 1.0), (60, 99, 2.5)]
+    n = spark.createDataFrame(rows, "cell_id long, next_id long, area double")
+    assert values(graph.outlets(n), "node") == [(40, 45), (41, 45), (42, 45), (43, 45), (45, 45), (50, 51), (51, 51), (60, 60)]
+    assert values(graph.upstream_sum(n, "area"), "node") == [(40, 1.5), (41, 3.5), (42, 4.5), (43, 4.0), (45, 11.0), (50, 7.0), (51, 8.0), (60, 2.5)]
+    assert values(graph.largest_basins(n, "area", 2), "rank") == [(45, 11.0, 5, 1), (51, 8.0, 2, 2)]
+    loop = spark.createDataFrame([(7, 8, 1.0), (8, 9, 1.0), (9, 7, 1.0), (3, 8, 1.0)], "cell_id long, next_id long, area double")
+    assert values(graph.outlets(loop), "node") == [(3, None), (7, None), (8, None), (9, None)]
     with pytest.raises(ValueError):
         graph.upstream_sum(loop, "area", max_rounds=8)
 
 
-def test_river_of_five(spark):
-    n = spark.createDataFrame([(i, i + 1 if i < 5 else None, 30.0) for i in range(1, 6)], "cell_id long, next_id long, area double")
-    assert [v for _, v in values(graph.upstream_sum(n, "area"), "node")] == [30.0, 60.0, 90.0, 120.0, 150.0]
-    assert [v for _, v in values(graph.levels(n, n.where("next_id is not null"), "cell_id", "cell_id", "next_id"), "node")] == [0, 1, 2, 3, 4]
+def test_levels_of_forests_graphs_and_loops(spark):
+    def layers(nodes, edges):
+        level, left = {}, set(nodes)
+        while ready := [v for v in left if all(a in level for a, b in edges if b == v)]:
+            level |= {v: max([level[a] + 1 for a, b in edges if b == v], default=0) for v in ready}
+            left -= set(ready)
+        return level
+
+    draw = random.Random(9)
+    for degree in (1, 3):
+        nodes = list(range(40))
+        edges = [(a, b) for a in nodes[:-1] for b in draw.sample(range(a + 1, 40), min(degree, 39 - a)) if draw.random() < 0.9] + [(31, 31)]
+        edges += [(38, 37), (37, 38)] if degree == 1 else [(20, 5), (5, 20)]
+        if degree == 1:
+            edges = [(a, b) for a, b in edges if a not in (37, 38)] + [(38, 37), (37, 38)]
+        want = layers(nodes, [e for e in edges if e[0] != e[1]])
+        got = dict(values(graph.levels(spark.createDataFrame([(v,) for v in nodes], "node int"), spark.createDataFrame(edges, "before int, after int")), "node"))
+        assert got == {v: want.get(v) for v in nodes}
+
+
+def test_walks_end_at_revisits_and_bounds(spark):
+    rows = [(1, 2), (2, 3), (3, 4), (4, 2), (6, 7), (7, None), (8, 44)]
+    n = spark.createDataFrame(rows, "cell_id long, next_id long")
+    got = values(graph.downstream(n, n.where("cell_id in (1, 3, 6, 8)")), "seed", "step")
+    assert got == [(1, 1, 0), (1, 2, 1), (1, 3, 2), (1, 4, 3), (3, 3, 0), (3, 4, 1), (3, 2, 2), (6, 6, 0), (6, 7, 1), (8, 8, 0)]
+    assert values(graph.downstream(n, n.where("cell_id = 1"), max_steps=2), "step") == [(1, 1, 0), (1, 2, 1), (1, 3, 2)]
+    chain = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(300, 301), (301, 300), (400, 1), (400, 2)], "from_code int, to_code int")
+    starts = spark.createDataFrame([(0,), (199,), (200,), (300,), (400,), (201,)], "start int")
+    assert values(graph.follow_chain(chain, starts, 200), "start") == [(0, True, 200), (199, True, 1), (200, True, 0), (201, False, None), (300, False, None), (400, False, None)]
+
+
+def test_longest_chains(spark):
+    n = spark.createDataFrame([(1, None), (2, 1), (3, 2), (4, 1), (5, None)], "run int, parent int")
+    assert values(graph.reduce_parents(n, "run", "parent"), "node") == [(1, 2), (2, 1), (3, 0), (4, 0), (5, 0)]
 
 
 def test_components_against_union_find(spark):
@@ -120,14 +200,83 @@ def test_remap_conserves(spark):
     assert out.agg(F.avg("v")).first()[0] == pytest.approx(17.5)
 
 
-def test_packing_schedule_and_placement(spark):
-    items = spark.createDataFrame([("p", i, float(s)) for i, s in enumerate([5, 9, 3, 3, 2])], "pool string, item int, size double")
-    packed = values(sequential.pack_groups(items, "pool", "item", "size", 2), "item")
-    assert {r[2]: r[3] for r in packed} == {0: 11.0, 1: 11.0}
-    jobs = spark.createDataFrame([("p", 1, 0.0, 4.0, 2), ("p", 2, 0.0, 2.0, 1), ("p", 3, 1.0, 1.0, 0), ("p", 4, 9.0, 1.0, 0)], "pool string, job int, ready double, hours double, priority int")
-    assert values(sequential.list_schedule(jobs, "pool", "job", "ready", "hours", "priority", 1), "job") == [("p", 1, 3.0, 7.0), ("p", 2, 0.0, 2.0), ("p", 3, 2.0, 3.0), ("p", 4, 9.0, 10.0)]
-    dams = spark.createDataFrame([("r", 1, 5, [6, 4], -9.0), ("r", 2, 5, [6, 4], -5.0), ("r", 3, 6, [], -1.0), ("r", 4, None, None, 0.0)], "river string, item int, cell long, others array<long>, rank double")
-    assert values(sequential.place_one_per_cell(dams, "river", "item", "cell", "others", ["rank"]), "item") == [("r", 1, 5, "placed"), ("r", 2, 6, "moved"), ("r", 3, None, "not_placed"), ("r", 4, None, "not_placed")]
+def test_donors_equal_brute_force(spark):
+    draw = random.Random(13)
+    point = lambda: (draw.uniform(-80, 80), draw.uniform(-179, 179), draw.randint(0, 3))
+    targets, donors = [(i, *point()) for i in range(60)], [(i, *point()) for i in range(25)]
+
+    def km(a, b):
+        la, lb, d = math.radians(a[1]), math.radians(b[1]), math.radians(a[2] - b[2])
+        return 2 * 6371 * math.asin(math.sqrt(min(1, math.sin((la - lb) / 2) ** 2 + math.cos(la) * math.cos(lb) * math.sin(d / 2) ** 2)))
+
+    want = []
+    for t in targets:
+        ladder = [[d for d in donors if km(t, d) <= 900], [d for d in donors if t[3] > 0 and d[3] == t[3]], [d for d in donors if abs(t[1] - d[1]) <= 3], donors]
+        level = next(k for k, some in enumerate(ladder) if some)
+        best = min(ladder[level], key=lambda d: (km(t, d), d[0]))
+        want.append((t[0], best[0], pytest.approx(km(t, best), abs=1e-6), level + 2))
+    frame = lambda rows, name: spark.createDataFrame(rows, f"{name} int, lat double, lon double, kind int")
+    out = joins.choose_donors(frame(targets, "t"), frame(donors, "d"), "t", "d", "lat", "lon", "kind", 900.0, 3.0)
+    assert values(out, "t") == want
+    assert joins.choose_donors(frame(targets, "t"), frame([], "d"), "t", "d", "lat", "lon", "kind", 900.0, 3.0).count() == 0
+
+
+def test_placement_equals_the_plain_loop(spark):
+    draw = random.Random(17)
+    items = [(i, draw.choice([None, *range(12)]), draw.sample(range(14), draw.randint(0, 3)) or None, draw.randint(0, 5), draw.random() < 0.3) for i in range(60)]
+    taken, want = {}, {}
+    for i, cell, others, _, future in sorted(items, key=lambda x: (x[3], x[0])):
+        spot = next((c for c in [cell, *(others or [])] if c not in taken), None) if cell is not None else None
+        if spot is not None:
+            taken[spot] = i
+        outcome = "placed" if spot is not None and spot == cell else "moved" if spot is not None else "not_placed" if future or cell is None else "merged"
+        want[i] = (spot, outcome, taken[cell] if outcome == "merged" else None)
+    df = spark.createDataFrame(items, "item int, cell long, others array<long>, rank int, future boolean")
+    got = {r["item"]: (r.placed, r.outcome, r.merged_into) for r in placement.place_one_per_cell(df, "item", "cell", "others", ["rank"], "future").collect()}
+    assert got == want and {o for _, o, _ in want.values()} == {"placed", "moved", "merged", "not_placed"}
+
+
+def test_snapping_by_hand(spark):
+    """A grid of two rows and four columns that wraps; the second cell of the first row is not active."""
+    cells = [(0, 0, 0.0, 0.0, True, 100.0, 150.0), (0, 1, 0.0, 90.0, False, 100.0, 900.0), (0, 2, 0.0, 180.0, True, 100.0, 400.0), (0, 3, 0.0, 270.0, True, 100.0, 2000.0), (1, 0, 1.0, 0.0, True, 100.0, 800.0)]
+    grid_ = spark.createDataFrame(cells, "row long, col long, lat double, lon double, active boolean, area double, upstream double")
+    points = [("local", 0.1, 2.0, 60.0), ("fits", 0.0, 0.0, 160.0), ("neighbour", 0.2, 1.0, 790.0), ("back", 0.0, 0.0, 5000.0), ("wrapped", 0.0, 0.0, 2100.0), ("moved", 0.0, 100.0, 390.0), ("far", 40.0, 90.0, 500.0)]
+    out = placement.snap(spark.createDataFrame(points, "item string, y double, x double, a double"), grid_, "item", "y", "x", "a", (0.0, 0.0), (1.0, 90.0), 4)
+    got = {r["item"]: (r.row, r.col, r.kind, r.method) for r in out.collect()}
+    assert got == {
+        "local": (0, 0, "local", "nearest_local"), "fits": (0, 0, "global", "nearest_global"), "neighbour": (1, 0, "global", "nearest_global_neighbourhood"), "back": (0, 0, "global", "nearest_global_revert"),
+        "wrapped": (0, 3, "global", "nearest_global_neighbourhood"), "moved": (0, 2, "global", "nearest_active_global"), "far": (None, None, None, "none"),
+    }
+
+
+def test_run_order_follows_the_rule(spark):
+    rows = [("s1", None, 10, 2), ("s2", None, 10, 1), ("a", "s1", 50, 2), ("b", "s2", 40, 1), ("c", "a", 20, 2), ("d", "a", 20, 2), ("e", "b", 5, 1)]
+    runs = spark.createDataFrame(rows, "run string, parent string, years int, priority int")
+    assert values(campaign.years_left(runs, "run", "parent", "years"), "run") == [("a", 70.0), ("b", 45.0), ("c", 20.0), ("d", 20.0), ("e", 5.0), ("s1", 80.0), ("s2", 55.0)]
+    assert [(r.run, r.on_longest) for r in campaign.run_order(runs, "run", "parent", "years", "priority").orderBy("position").collect()] == [("s1", True), ("a", True), ("c", True), ("s2", False), ("b", False), ("e", False), ("d", False)]
+    with pytest.raises(ValueError):
+        campaign.run_order(spark.createDataFrame([("p", None, 1, 5), ("q", None, 9, 4), ("r", "p", 1, 1)], "run string, parent string, years int, priority int"), "run", "parent", "years", "priority")
+
+
+def test_stages_of_a_crosswalk(spark):
+    from fluvion.plans.gauges import staged
+
+    draw = random.Random(3)
+    one = [(i, draw.uniform(0, 900), draw.uniform(0, 900), i % 7) for i in range(40)]
+    two = [(i, draw.uniform(0, 900), draw.uniform(0, 900), i % 11 + 4) for i in range(120)]
+    far = lambda a, b: math.hypot(a[1] - b[1], a[2] - b[2])
+    left, right, want = {a[0]: a for a in one}, {b[0]: b for b in two}, []
+    for name, pairs in (
+        ("given", lambda a, b: 0.0 if a[0] % 10 == 0 and a[0] * 10 == b[0] else None), ("code", lambda a, b: far(a, b) if a[3] == b[3] else None), ("place", lambda a, b: far(a, b) if far(a, b) <= 120 else None),
+    ):
+        for d, i, j in sorted((pairs(a, b), a[0], b[0]) for a in left.values() for b in right.values() if pairs(a, b) is not None):
+            if i in left and j in right:
+                want.append((i, j, name))
+                del left[i], right[j]
+    s = spark.createDataFrame(one, "s_suppkey long, x double, y double, code int")
+    c = spark.createDataFrame(two, "c_custkey long, x double, y double, code int")
+    assert values(staged(s, c).select("s_suppkey", "c_custkey", "stage"), "s_suppkey") == sorted(want)
+    assert {n for _, _, n in want} == {"given", "code", "place"}
 
 
 def test_status_and_ledger(spark):
@@ -138,8 +287,8 @@ def test_status_and_ledger(spark):
 
 
 def test_years(spark):
-    out = spark.createDataFrame([(-0.000336,), (0.9997,), (120.0,)], "o double").select(physics.years_since_1901(F.col("o")))
-    assert [r[0] for r in out.collect()] == [1901, 1902, 2021]
+    out = spark.createDataFrame([(0.0004,), (17.9998,), (95.0,)], "o double").select(physics.years_since_1901(F.col("o")))
+    assert [r[0] for r in out.collect()] == [1901, 1919, 1996]
     names = spark.createDataFrame([("a_1999.nc", "1901-1903, 1910,x"), ("b.nc", "")], "n string, l string")
     assert [tuple(r) for r in names.select(rules.year_of_name(F.col("n")), rules.years_of_list(F.col("l"))).collect()] == [(1999, [1901, 1902, 1903, 1910]), (None, [])]
 
