@@ -24,6 +24,8 @@ from fluvion.session import ship
 TRAIN_DOCS = 1500
 #: Share of a language's n-grams that one n-gram needs; so no language has more than 1 / MIN_SHARE of them.
 MIN_SHARE = 1e-4
+#: Labels that can be learned; more are an error, as each adds to what the driver holds.
+MAX_LANGUAGES = 2000
 #: Places of the filter, a power of two, and places looked up for each n-gram.
 PLACES, HASHES = 1 << 17, 3
 #: Texts and characters handled at once.
@@ -130,12 +132,14 @@ def count_ngrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_docs: int = TRAIN_DOCS) -> LanguageFilter:
     """Learn from about ``train_docs`` documents of each language that are not held out.
 
-    The driver sees one row per language and at most 1 / MIN_SHARE n-grams of each.
+    The driver sees one row per language, MAX_LANGUAGES at most, and at most 1 / MIN_SHARE n-grams of each.
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where("lang is not null and text is not null").where(~held_out(F.col("_id")))
     sizes = rows.groupBy("lang").agg(F.count("*").alias("_n"))
+    if sizes.limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} labels")
     draw = F.pmod(F.xxhash64(F.col("_id").cast("string")), F.lit(1_000_000)) * F.col("_n") < F.lit(1_000_000 * train_docs)
     sample = rows.join(F.broadcast(sizes), "lang").where(draw).select("lang", "text")
     counts = sample.mapInArrow(count_ngrams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))

@@ -16,6 +16,7 @@ document table of each segment. The chunk index lets a reader take one block.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -102,9 +103,33 @@ def pack_ids(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+#: What a tokenizer file has to say for words to be cut here: its normaliser, its pre-tokenizer and its merge model. Fixed values.
+NORMALISER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+CUTTER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}
+
+
+def cut_as_assumed(path: str) -> bool:
+    """Whether a tokenizer file normalises, cuts and merges as WordEncoder does."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    model = spec.get("model", {})
+    same = spec.get("normalizer") == NORMALISER and spec.get("pre_tokenizer") == CUTTER and all(model.get(k, v) == v for k, v in MODEL.items())
+    return same and not spec.get("truncation") and not spec.get("padding") and all("<|" in t["content"] and not t["normalized"] for t in spec.get("added_tokens") or [])
+
+
 class WordEncoder:
     """Encodes texts with a lower-casing word tokenizer, part by part, with bounded caches.
 
+    Any other tokenizer file is recognised by what it says of itself, and
+    encodes every text whole.
+
     Its pre-tokenizer never joins across spaces and cuts letters, single digits
     and other runs apart, each encoded by itself. So a text's ids are those of
     its words, and a word's those of its parts; parts are few, as case and
@@ -118,6 +143,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.certain = cut_as_assumed(path)
         self.merge = self.tokenizer.model.tokenize
         self.words: dict[str, bytes] = {"": b""}
         self.parts: dict[str, bytes] = {}
@@ -134,6 +160,8 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        if not self.certain:
+            return [pack_ids(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         if len(self.words) > CACHE_WORDS:
             self.words = {"": b""}
         if len(self.parts) > CACHE_PARTS:

@@ -235,6 +235,30 @@ def test_word_encoder_on_awkward_words():
         assert list(struct.unpack(f"<{len(data) // 4}I", data)) == plain.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+@pytest.mark.parametrize("change", ["normalizer", "pre_tokenizer", "added"])
+def test_other_tokenizers_encode_whole_texts(tmp_path, change):
+    """A file that differs in one point gives that tokenizer's own ids, not those of the usual cut."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        spec = json.load(file)
+    if change == "normalizer":
+        spec["normalizer"] = {"type": "NFC"}
+    elif change == "pre_tokenizer":
+        spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = "[\\p{L}\\p{N}]+|[^\\s\\p{L}\\p{N}]+"
+    else:
+        spec["added_tokens"].append({"id": 49408, "content": "harbour", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": False})
+    path = str(tmp_path / "other.json")
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(spec, file)
+    plain, own = Tokenizer.from_file(path), tokenfiles.WordEncoder(path)
+    texts = ["The harbour Of 1234 towns, don't", "", "x y"]
+    assert not own.certain and tokenfiles.cut_as_assumed(public_tokenizers.path("word_bpe_49k.json"))
+    assert [list(struct.unpack(f"<{len(d) // 4}I", d)) for d in own.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("n, top", [(0, 5), (1, 0), (7, 2), (70_000, 49_407), (65_536, 2**32 - 1)])
 def test_bit_planes_round_trip(n, top):
     ids = np.random.default_rng(n).integers(0, top + 1, n).astype("<u4")
@@ -302,6 +326,44 @@ def test_language_held_out_accuracy(spark, docs, rows):
             assert 0 <= r.score <= 1
 
 
+def test_language_filter_by_brute_force(spark):
+    """The filter against sets of trigrams: none is missed, false ones are as rare as corrected for, and counts are those of the table."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("text is not null and lang is not null")
+    model = language.fit_languages(docs)
+    trigrams = lambda t: [x for x in (f"{a if a.isalpha() else ' '}{b}{c if c.isalpha() else ' '}" for a, b, c in zip("\0" + t.lower(), t.lower(), t.lower()[1:] + "\0")) if x[1].isalpha()]
+    counts = defaultdict(Counter)
+    learned = docs.where(~language.held_out(F.col("doc_id"))).collect()
+    for r in learned:
+        counts[r.lang].update(trigrams(r.text))
+    known = {k: {g for g, n in c.items() if n >= language.MIN_SHARE * sum(c.values())} for k, c in counts.items()}
+    assert model.languages == sorted(known)
+    texts = [r.text for r in docs.collect()][:150]
+    shares, _ = model.shares(texts)
+    for t, row in zip(texts, shares, strict=True):
+        grams = trigrams(t)
+        for k, lang in enumerate(model.languages):
+            true = sum(g in known[lang] for g in grams) / max(1, len(grams))
+            found = row[k] * (1 - model.false_rate[k]) + model.false_rate[k] if row[k] > 0 else 0
+            # No trigram is missed; false ones are few.
+            assert found >= true - model.false_rate[k] - 1e-9 and abs(row[k] - true) < 0.05 + 3 / max(1, len(grams)) ** 0.5 * model.false_rate[k] ** 0.5
+    assert (model.false_rate < 0.05).all()
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, docs):
+    """Every stage takes nulls, empty and long texts, repeated rows and extra columns, and an empty table."""
+    for table in (docs, docs.limit(0)):
+        left = table
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, left, SF)
+            assert out.columns == docs.columns, name
+            assert out.exceptAll(left.select(*docs.columns)).where("text not like '%[SECRET]%'").isEmpty() or name == "secret_scan"
+            left = out.cache()
+        last = corpus_pipeline.STAGES[-1][1](spark, left, SF)
+        assert last.count() == left.count()
+    ids = [r.doc_id for r in left.collect()]
+    assert ids == []
+
+
 def test_sampled_pieces(docs, rows):
     out = sampled_pieces.sample_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=True)
     same_multiset(out, rows)
