@@ -111,3 +111,37 @@ def raised_to(value: Column, on: Column, floor: float) -> Column:
 def selected(name: Column, include: list[str], exclude: list[str]) -> Column:
     """Whether a base name is kept: not excluded, or included in spite of that. Patterns are those of file names."""
     return ~any_glob(name, exclude) | any_glob(name, include)
+
+
+def run_id(*parts: Column) -> Column:
+    """Parts of a run's name joined by an underscore; parts that are missing or empty are left out."""
+    return F.concat_ws("_", *[F.when(p != "", p) for p in parts])
+
+
+def chunks_of(first: Column, last: Column, length: int) -> Column:
+    """Spans (start, end) of ``length`` years from first to last, the last one cut short; empty if first is after last."""
+    span = lambda y: F.struct(y.alias("start"), F.least(y + length - 1, last).alias("end"))
+    return F.when(first <= last, F.transform(F.sequence(first, last, F.lit(length)), span)).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+
+
+def restamped(day: Column, year: Column) -> Column:
+    """The same day of the year in another year; the 366th becomes the last where that year has 365."""
+    first = F.make_date(year, F.lit(1), F.lit(1))
+    last = F.make_date(year, F.lit(12), F.lit(31))
+    return F.least(F.date_add(first, F.dayofyear(day) - 1), last)
+
+
+def replaced_in(record: Column, schema: str, old: str, new: str) -> Column:
+    """A record of any nesting with ``old`` replaced by ``new`` in every text of it."""
+    return F.from_json(F.replace(F.to_json(record), F.lit(old), F.lit(new)), schema)
+
+
+def utc_stamp(time: Column) -> Column:
+    """A time as ``2024-01-31T07:05:09Z``, in the session's zone, which is set to UTC."""
+    return F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def dataset_of(name: Column) -> list[Column]:
+    """Round, scenario, quantity and statistic out of ``<round>_<scenario>_<quantity>_<statistic>...``; nulls where a name has another form."""
+    pattern = r"^([a-z0-9]+)_([a-z0-9-]+)_([a-z0-9-]+)_([a-z0-9-]+)"
+    return [F.when(name.rlike(pattern), F.regexp_extract(name, pattern, k)).alias(n) for k, n in enumerate(("round", "scenario", "quantity", "statistic"), 1)]

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from fluvion.plans import campaign, fields, gauges, relations, tables, verify
+from fluvion.plans import campaign, catalog, fields, gauges, relations, series, tables, verify
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for module in (fields, relations, tables, gauges, verify, campaign):
+for module in (fields, relations, tables, gauges, verify, campaign, series, catalog):
     QUERIES |= module.QUERIES
     ORACLES |= module.ORACLES
