@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fluvion.operators.graph import downstream
+from fluvion.operators.records import combine_status
 
 
 def file_of_year(files: DataFrame, name: str, wanted: DataFrame, variable: str, year: str) -> DataFrame:
@@ -129,6 +130,57 @@ def axis_report(axis: DataFrame, value: str, index: str) -> DataFrame:
     return steps.agg(F.count("*").alias("n"), F.coalesce(F.every(F.col("_d") > 0), F.lit(True)).alias("ascending"), F.avg("_d").alias("step"), (F.max("_d") - F.min("_d")).alias("stray"))
 
 
-def block_index(value: Column, size: float) -> Column:
-    """Index of the block of ``size`` that holds a value, its upper edge outside; negative values count down from -1."""
-    return F.floor(value / size).cast("long")
+def latitude_block(lat: Column, size: float) -> Column:
+    """Index of the band of ``size`` degrees that holds a latitude; bands lie on multiples of their size, the upper edge is outside."""
+    return F.floor(lat / size).cast("long")
+
+
+def longitude_block(lon: Column, size: float) -> Column:
+    """Index of the block that holds a longitude in [-180, 180): east of 0 blocks begin at multiples of ``size``, west of it half a block off, so the
+    first and the last western one are half as wide. Others are an error."""
+    half, west = size / 2, int(180 // size)
+    index = F.when(lon < -180 + half, 0).when(lon < 0, F.floor((lon + 180 - half) / size) + 1).otherwise(west + 1 + F.floor(lon / size))
+    return F.when((lon < -180) | (lon >= 180), F.raise_error(F.lit("a longitude lies outside [-180, 180)")).cast("long")).otherwise(index).cast("long")
+
+
+def list_problems(parent: DataFrame, child: DataFrame, position: str, same: list[str], capacity: str, year: str, last_year: int) -> DataFrame:
+    """``(problem, n, first)`` of two lists that have to agree by position: columns that differ, capacities of what can operate by ``last_year``, and rows of one side only."""
+    a = parent.select(position, *[F.col(c).alias(f"_a_{c}") for c in [*same, capacity, year]], F.lit(True).alias("_p"))
+    b = child.select(position, *[F.col(c).alias(f"_b_{c}") for c in [*same, capacity]], F.lit(True).alias("_c"))
+    both = a.join(b, position, "full")
+    differs = lambda c: ~F.col(f"_a_{c}").eqNullSafe(F.col(f"_b_{c}"))
+    alone = F.col("_p").isNull() | F.col("_c").isNull()
+    rules = [(c, ~alone & differs(c)) for c in same] + [(capacity, ~alone & (F.col(f"_a_{year}") <= last_year) & differs(capacity)), ("one side only", alone)]
+    found = both.select(position, F.explode(F.array_compact(F.array(*[F.when(F.coalesce(r, F.lit(False)), F.lit(n)) for n, r in rules]))).alias("problem"))
+    return found.groupBy("problem").agg(F.count("*").alias("n"), F.min(position).alias("first"))
+
+
+def pattern_counts(lines: DataFrame, line: str, order: list[str], patterns: dict[str, str], examples: int = 5) -> DataFrame:
+    """``(category, n, examples)`` of the lines that match each pattern; the first ``examples`` in ``order`` are shown. A line can count in several."""
+    hits = F.array_compact(F.array(*[F.when(F.col(line).rlike(p), F.lit(n)) for n, p in patterns.items()]))
+    each = lines.select(*order, F.trim(line).alias("_l"), F.explode(hits).alias("category"))
+    counts = each.groupBy("category").agg(F.count("*").alias("n"))
+    first = each.withColumn("_r", F.row_number().over(Window.partitionBy("category").orderBy(*order))).where(F.col("_r") <= examples)
+    shown = first.groupBy("category").agg(F.transform(F.array_sort(F.collect_list(F.struct("_r", "_l"))), lambda x: x["_l"]).alias("examples"))
+    return counts.join(shown, "category")
+
+
+def in_polygons(points: DataFrame, edges: DataFrame, point: str, polygon: str, x: str, y: str, band: float) -> DataFrame:
+    """``(point, polygon)`` of the polygons (edge tables x1, y1, x2, y2) that hold each point: an odd number of edges lies to its right.
+
+    Edges are dealt into the bands of ``band`` that they cross, so a point meets
+    only the edges at its height.
+    """
+    low, high = F.floor(F.least("y1", "y2") / band), F.floor(F.greatest("y1", "y2") / band)
+    e = edges.select(F.col(polygon), "x1", "y1", "x2", "y2", F.explode(F.sequence(low, high)).alias("_band"))
+    p = points.select(F.col(point), F.col(x).alias("_x"), F.col(y).alias("_y"), F.floor(F.col(y) / band).alias("_band"))
+    meets = ((F.col("y1") > F.col("_y")) != (F.col("y2") > F.col("_y"))) & (F.col("_x") < (F.col("x2") - F.col("x1")) * (F.col("_y") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1"))
+    return p.join(e, "_band").where(meets).groupBy(point, polygon).agg(F.count("*").alias("_n")).where("_n % 2 = 1").select(point, polygon)
+
+
+def combined_checks(checks: dict[str, DataFrame], key: str, status: str = "status") -> DataFrame:
+    """``(key, verdict, failed)``: the worst verdict of each unit over named checks, and the names of those that did not pass. A unit that a check lacks counts as not checked there."""
+    units = reduce(lambda a, b: a.union(b), [c.select(key) for c in checks.values()]).distinct()
+    each = reduce(lambda a, b: a.unionByName(b), [units.join(c.select(key, F.col(status).alias("_s")), key, "left").select(key, F.lit(n).alias("_n"), F.coalesce("_s", F.lit("not_checked")).alias("_s")) for n, c in checks.items()])
+    names = each.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list(F.when(F.col("_s") != "passed", F.col("_n")))), ",").alias("failed"))
+    return combine_status(each, [key], "_s").join(names, key)

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from fluvion.functions import rules as T
 from fluvion.operators import catalog as K
+from fluvion.operators import checks as V
+from fluvion.operators import records as R
 from fluvion.plans.register import registry
 from fluvion.session import table
 
@@ -167,9 +170,12 @@ def axis_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.axis_report(axis, "v", "i").withColumn("step", F.round("step", 9)).withColumn("stray", F.round("stray", 9))
 
 
-@query("SELECT c_custkey, CAST(floor(c_acctbal / 2) AS BIGINT) AS block FROM customer")
+@query("""
+WITH c AS (SELECT c_custkey, c_custkey * 7 % 1700 / 10.0 - 85 AS lat, c_custkey * 11 % 3600 / 10.0 - 180 AS lon FROM customer)
+SELECT c_custkey, CAST(floor(lat / 2) AS BIGINT) AS lat_block, CAST(CASE WHEN lon < -179 THEN 0 WHEN lon < 0 THEN floor((lon + 179) / 2) + 1 ELSE 91 + floor(lon / 2) END AS BIGINT) AS lon_block FROM c""")
 def block_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select("c_custkey", K.block_index(F.col("c_acctbal"), 2.0).alias("block"))
+    key = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(key, K.latitude_block(key * 7 % 1700 / 10.0 - 85, 2.0).alias("lat_block"), K.longitude_block(key * 11 % 3600 / 10.0 - 180, 2.0).alias("lon_block"))
 
 
 @query("""
@@ -223,3 +229,90 @@ def source_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = table(spark, sf_dir, "orders").select("o_orderkey", F.when(status == "F", "historical").when(status == "O", "ssp").otherwise("picontrol").alias("scenario"), F.when(F.col("o_custkey") % 2 == 0, "dom").otherwise("ind").alias("sector"), F.year("o_orderdate").alias("year"))
     out = w.join(F.broadcast(spec), ["scenario", "sector"], "left")
     return out.select("o_orderkey", "file", F.when(F.col("file").isNotNull(), F.coalesce("fixed", "year")).alias("source_year"))
+
+
+@query("""
+WITH a AS (SELECT s_suppkey AS k, s_nationkey AS id, s_suppkey % 2 AS type, s_acctbal AS cap, 1900 + s_suppkey % 150 AS year FROM supplier), b AS (SELECT s_suppkey AS k, s_nationkey + CASE WHEN s_suppkey % 30 = 4 THEN 1 ELSE 0 END AS id, s_suppkey % 2 AS type, s_acctbal + CASE WHEN s_suppkey % 7 = 1 THEN 1 ELSE 0 END AS cap FROM supplier WHERE s_suppkey <> 2 UNION ALL SELECT 100000, 1, 1, 1.0),
+j AS (SELECT coalesce(a.k, b.k) AS k, a.k IS NULL OR b.k IS NULL AS alone, a.id <> b.id AS x, a.type <> b.type AS y, a.cap <> b.cap AND year <= 2000 AS z FROM a FULL JOIN b ON a.k = b.k)
+SELECT problem, count(*) AS n, min(k) AS first FROM (SELECT k, 'id' AS problem FROM j WHERE x UNION ALL SELECT k, 'type' FROM j WHERE y UNION ALL SELECT k, 'cap' FROM j WHERE z UNION ALL SELECT k, 'one side only' FROM j WHERE alone) GROUP BY 1""")
+def list_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("s_suppkey")
+    a = table(spark, sf_dir, "supplier").select(key.alias("k"), F.col("s_nationkey").alias("id"), (key % 2).alias("type"), F.col("s_acctbal").alias("cap"), (1900 + key % 150).alias("year"))
+    k = F.col("k")
+    b = a.where("k <> 2").select(k, (F.col("id") + F.when(k % 30 == 4, 1).otherwise(0)).alias("id"), "type", (F.col("cap") + F.when(k % 7 == 1, 1).otherwise(0)).alias("cap"))
+    b = b.unionByName(spark.createDataFrame([(100000, 1, 1, 1.0)], "k long, id int, type long, cap double"))
+    return K.list_problems(a, b, "k", ["id", "type"], "cap", "year", 2000)
+
+
+@query(r"""
+WITH l AS (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM conversations WHERE text IS NOT NULL), h AS (SELECT conv_id, turn, i, trim(line) AS line, category FROM l, (VALUES ('digits', '[0-9]'), ('question', '\?$'), ('upper', '^[A-Z]')) c(category, rx) WHERE regexp_matches(line, rx)),
+r AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY conv_id, turn, i) AS r FROM h) SELECT category, count(*) AS n, list(line ORDER BY r) FILTER (WHERE r <= 5) AS examples FROM r GROUP BY 1""")
+def log_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the conversations by pattern, with the first five of each (the report's own size)."""
+    lines = table(spark, sf_dir, "conversations").where("text is not null").select("conv_id", "turn", F.posexplode(F.split("text", "\n", -1)).alias("i", "line"))
+    return K.pattern_counts(lines, "line", ["conv_id", "turn", "i"], {"digits": "[0-9]", "question": r"\?$", "upper": "^[A-Z]"})
+
+
+SQUARES = "(SELECT n_nationkey AS poly, n_nationkey % 5 * 40.0 - 100 AS x, n_nationkey // 5 * 30.0 - 75 AS y FROM nation)"
+
+
+@query(f"""
+WITH c AS (SELECT c_custkey, c_custkey * 13 % 2000 / 10.0 - 100.03 AS x, c_custkey * 29 % 1500 / 10.0 - 75.07 AS y FROM customer), s AS {SQUARES}
+SELECT c_custkey, poly FROM c JOIN s ON (c.x - s.x) BETWEEN 0 AND 40 AND (c.y - s.y) BETWEEN 0 AND 30 AND (c.x - s.x) / 40 + (c.y - s.y) / 30 < 1""")
+def in_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points in right-angled triangles, one for each nation."""
+    n, key = F.col("n_nationkey"), F.col("c_custkey")
+    x, y = n % 5 * 40.0 - 100, F.floor(n / 5) * 30.0 - 75
+    edge = lambda a, b, c, d: F.struct(a.alias("x1"), b.alias("y1"), c.alias("x2"), d.alias("y2"))
+    edges = table(spark, sf_dir, "nation").select(n.alias("poly"), F.explode(F.array(edge(x, y, x + 40, y), edge(x + 40, y, x, y + 30), edge(x, y + 30, x, y))).alias("e")).select("poly", "e.*")
+    points = table(spark, sf_dir, "customer").select(key, (key * 13 % 2000 / 10.0 - 100.03).alias("x"), (key * 29 % 1500 / 10.0 - 75.07).alias("y"))
+    return K.in_polygons(points, edges, "c_custkey", "poly", "x", "y", 10.0)
+
+
+@query("""
+WITH u AS (SELECT o_custkey % 50 AS unit, o_totalprice AS v, CAST(extract(year FROM o_orderdate) AS INTEGER) AS year FROM orders), r AS (SELECT unit, CASE WHEN count(*) FILTER (WHERE v < 1000 OR v > 400000) = 0 THEN 'passed' ELSE 'failed' END AS status FROM u GROUP BY 1),
+t AS (SELECT unit, CASE WHEN count(DISTINCT year) = max(year) - min(year) + 1 THEN 'passed' ELSE 'failed' END AS status FROM u GROUP BY 1), m AS (SELECT unit, CASE WHEN avg(v) BETWEEN 100000 AND 300000 THEN 'passed' ELSE 'warning' END AS status FROM u WHERE unit % 9 <> 0 GROUP BY 1),
+e AS (SELECT unit, 'range' AS n, status FROM r UNION ALL SELECT unit, 'time', status FROM t UNION ALL SELECT r.unit, 'mean', coalesce(m.status, 'not_checked') FROM r LEFT JOIN m USING (unit))
+SELECT unit, CASE max(CASE status WHEN 'passed' THEN 0 WHEN 'warning' THEN 1 WHEN 'not_checked' THEN 2 ELSE 3 END) WHEN 0 THEN 'passed' WHEN 1 THEN 'warning' WHEN 2 THEN 'not_checked' ELSE 'failed' END AS verdict, coalesce(string_agg(n, ',' ORDER BY n) FILTER (WHERE status <> 'passed'), '') AS failed FROM e GROUP BY 1""")
+def unit_verifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forcing unit's range, gapless years and mean, each a check of its own, as one verdict."""
+    u = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).alias("unit"), F.col("o_totalprice").alias("v"), F.year("o_orderdate").alias("year"), F.lit(True).alias("active"))
+    ok = lambda c, bad: F.when(c, "passed").otherwise(bad)
+    runs = R.contiguous_runs(u, ["unit"], "year").groupBy("unit").agg(ok(F.count("*") == 1, "failed").alias("status"))
+    means = u.where("unit % 9 <> 0").groupBy("unit").agg(ok(F.avg("v").between(100000, 300000), "warning").alias("status"))
+    return K.combined_checks({"range": V.value_check(u, ["unit"], "v", "active", 1000.0, 400000.0), "time": runs, "mean": means}, "unit")
+
+
+@query("""
+WITH b AS (SELECT p_partkey, CASE WHEN p_size % 8 = 0 THEN 0 WHEN p_type LIKE '%A%' AND p_size < 10 THEN 2 WHEN p_type LIKE '%A%' AND p_size < 30 THEN 3 WHEN p_type LIKE '%A%' THEN 4 WHEN p_partkey % 5 = 0 THEN 5 ELSE 6 END AS batch FROM part) SELECT batch, count(*) AS n FROM b GROUP BY 1""")
+def batch_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files to batches by ordered rules."""
+    size, first = F.col("p_size"), F.col("p_type").contains("A")
+    batch = T.ordered_rules([(size % 8 == 0, 0), (first & (size < 10), 2), (first & (size < 30), 3), (first, 4), (F.col("p_partkey") % 5 == 0, 5)], 6)
+    return table(spark, sf_dir, "part").groupBy(batch.alias("batch")).agg(F.count("*").alias("n"))
+
+
+@query("""
+WITH m AS (SELECT c_custkey AS cell, coalesce(sum(o_totalprice) FILTER (WHERE o_orderdate < TIMESTAMP '1998-01-01'), 0) AS before, coalesce(sum(o_totalprice) FILTER (WHERE o_orderdate >= TIMESTAMP '1998-01-01'), 0) AS after FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1)
+SELECT count(*) AS n_cells, round(sum(before) FILTER (WHERE before > 0 AND after = 0), 2) AS lost, round(sum(after) FILTER (WHERE before = 0 AND after > 0), 2) AS new, round(sum(after) / nullif(sum(before), 0), 6) AS step FROM m""")
+def join_year_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is lost and what is new in cells where a scenario takes over from history."""
+    old = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp")
+    o = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.sum(F.when(old, F.col("o_totalprice"))).alias("before"), F.sum(F.when(~old, F.col("o_totalprice"))).alias("after"))
+    m = table(spark, sf_dir, "customer").select("c_custkey").join(o, "c_custkey", "left").fillna(0.0)
+    return m.agg(
+        F.count("*").alias("n_cells"), F.round(F.sum(F.when((F.col("before") > 0) & (F.col("after") == 0), F.col("before"))), 2).alias("lost"), F.round(F.sum(F.when((F.col("before") == 0) & (F.col("after") > 0), F.col("after"))), 2).alias("new"),
+        F.round(F.try_divide(F.sum("after"), F.sum("before")), 6).alias("step"),
+    )
+
+
+@query("""
+WITH p AS (SELECT s_nationkey AS area, l_returnflag AS source, sum(l_quantity) AS v FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2), w AS (SELECT area, sum(v) FILTER (WHERE source = 'A') AS "A", sum(v) FILTER (WHERE source = 'N') AS "N", sum(v) FILTER (WHERE source = 'R') AS "R" FROM p GROUP BY 1)
+SELECT area, "A", "N", "R", round(greatest("A", "N", "R") - least("A", "N", "R"), 2) AS spread, row_number() OVER (ORDER BY round(greatest("A", "N", "R") - least("A", "N", "R"), 2) DESC, area) AS rank FROM w QUALIFY rank <= 10""")
+def largest_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Areas by source side by side, the ten with the widest spread (a top-k report)."""
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("area"))
+    w = table(spark, sf_dir, "lineitem").join(s, "l_suppkey").groupBy("area").pivot("l_returnflag", ["A", "N", "R"]).agg(F.sum("l_quantity"))
+    spread = F.round(F.greatest("A", "N", "R") - F.least("A", "N", "R"), 2)
+    top = w.withColumn("spread", spread).orderBy(F.desc("spread"), "area").limit(10)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("spread"), "area")))
