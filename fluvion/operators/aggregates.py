@@ -72,6 +72,26 @@ def gini(df: DataFrame, keys: list[str], value: str, active: Column | None = Non
     return ranked.groupBy(*keys).agg(n.alias("n"), (F.try_divide(2 * F.sum(ranks * F.col(value)), n * total) - (n + 1) / n).alias("gini"))
 
 
+def exact_percentiles(df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float]) -> DataFrame:
+    """Percentiles of each group by linear interpolation between ranks, under the names given; nulls do not count.
+
+    Values are counted, and their ranks are prefix sums over sampled ranges: no
+    buffer holds a group's values, however many of them differ.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    ranked = prefix_sums(counts, keys, [value], "_n", "_before").join(counts.groupBy(*keys).agg(F.sum("_n").alias("_all")), keys)
+    last = F.col("_before") + F.col("_n") - 1
+    parts = []
+    for name, p in probabilities.items():
+        rank = F.lit(p) * (F.col("_all") - 1)
+        # The values that hold the ranks next below and above, as sums of the one row that has each.
+        holds = lambda r: F.max(F.when((F.col("_before") <= r) & (last >= r), F.col(value)))
+        low, high = holds(F.floor(rank)), holds(F.ceil(rank))
+        share = F.max(rank - F.floor(rank))
+        parts.append((low + (high - low) * share).alias(name))
+    return ranked.groupBy(*keys).agg(*parts)
+
+
 def prefix_sums(df: DataFrame, keys: list[str], order: list[str], value: str, out: str) -> DataFrame:
     """Adds ``out``: the sum of ``value`` over the rows of the same keys that come before in ``order``, which has to be unique within them.
 

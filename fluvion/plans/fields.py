@@ -277,11 +277,10 @@ def yearly_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT c_mktsegment, count(*) AS n, round(avg(c_acctbal), 4) AS mean, round(stddev_samp(c_acctbal), 4) AS deviation, """ + ", ".join(f"round(quantile_cont(c_acctbal, {q / 100}), 4) AS p{q}" for q in (1, 5, 25, 50, 75, 95, 99)) + " FROM customer GROUP BY 1")
 def summary_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = (1, 5, 25, 50, 75, 95, 99)
-    out = table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(
-        F.count("*").alias("n"), F.round(F.avg("c_acctbal"), 4).alias("mean"), F.round(F.stddev_samp("c_acctbal"), 4).alias("deviation"), F.percentile("c_acctbal", F.array(*[F.lit(x / 100) for x in q])).alias("p")
-    )
-    return out.select("c_mktsegment", "n", "mean", "deviation", *[F.round(F.col("p")[i], 4).alias(f"p{x}") for i, x in enumerate(q)])
+    q = {f"p{x}": x / 100 for x in (1, 5, 25, 50, 75, 95, 99)}
+    c = table(spark, sf_dir, "customer")
+    out = c.groupBy("c_mktsegment").agg(F.count("*").alias("n"), F.round(F.avg("c_acctbal"), 4).alias("mean"), F.round(F.stddev_samp("c_acctbal"), 4).alias("deviation"))
+    return out.join(A.exact_percentiles(c, ["c_mktsegment"], "c_acctbal", q), "c_mktsegment").select("c_mktsegment", "n", "mean", "deviation", *[F.round(x, 4).alias(x) for x in q])
 
 
 AIR = "SELECT l_orderkey, l_linenumber, 260 + l_quantity AS t, 0.001 + l_discount / 10 + 0.0 AS q, 90000 + l_tax * 100000 AS p, l_quantity * 10 - 200 AS dz FROM lineitem"
