@@ -28,13 +28,24 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def own_dir(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables."""
+    return f"{shared_dir(spark)}/fluvion/{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables. Results that were not yet written elsewhere cannot be read afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(own_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return the written table.
 
     This cuts the lineage: a lost executor makes Spark reread files that any
     other executor can reach, and later steps do not recompute earlier ones.
     """
-    path = f"{shared_dir(df.sparkSession)}/fluvion/{name}-{uuid.uuid4().hex}"
+    path = f"{own_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -43,7 +54,7 @@ class Rounds:
     """Rows that an iterative operator finishes round by round: each round is a written part of one table, which is read once at the end."""
 
     def __init__(self, spark: SparkSession, name: str):
-        self.path, self.spark, self.schema, self.n = f"{shared_dir(spark)}/fluvion/{name}-{uuid.uuid4().hex}", spark, None, 0
+        self.path, self.spark, self.schema, self.n = f"{own_dir(spark)}/{name}-{uuid.uuid4().hex}", spark, None, 0
 
     def add(self, df: DataFrame) -> DataFrame:
         """Write one more part; returns the part as written."""
