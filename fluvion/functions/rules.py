@@ -145,3 +145,11 @@ def dataset_of(name: Column) -> list[Column]:
     """Round, scenario, quantity and statistic out of ``<round>_<scenario>_<quantity>_<statistic>...``; nulls where a name has another form."""
     pattern = r"^([a-z0-9]+)_([a-z0-9-]+)_([a-z0-9-]+)_([a-z0-9-]+)"
     return [F.when(name.rlike(pattern), F.regexp_extract(name, pattern, k)).alias(n) for k, n in enumerate(("round", "scenario", "quantity", "statistic"), 1)]
+
+
+def source_year(scenario: Column, year: Column, spans: dict[str, tuple[int, int]], constant: list[str]) -> Column:
+    """The year that a file's data come from: its own inside the scenario's span, the span's first in a constant scenario; any other is an error."""
+    bad = F.raise_error(F.concat(F.lit("no data of "), scenario, F.lit(" for "), year)).cast("int")
+    own = [F.when((scenario == n) & year.between(a, b), year) for n, (a, b) in spans.items()]
+    first = [F.when(scenario == n, F.lit(spans[n][0])) for n in constant]
+    return F.coalesce(*own, *first, bad)

@@ -84,3 +84,37 @@ def line_class(index: Column, widths: dict[str, int], rest: str = "interior") ->
     """Name of the coarsest line, of those given with their widths in cells, that lies before an index."""
     ordered = sorted(widths.items(), key=lambda x: -x[1])
     return reduce(lambda c, x: c.when(index % x[1] == 0, x[0]), ordered[1:], F.when(index % ordered[0][1] == 0, ordered[0][0])).otherwise(rest)
+
+
+def on_active(values: DataFrame, cells: DataFrame, keys: list[str], value: str, active: str, fill: float | None = None, least: float | None = None) -> DataFrame:
+    """The values of a source on the active cells of a grid, found by their keys.
+
+    A missing value becomes ``fill``; without one it is an error, as is a value
+    below ``least``. Inactive cells are left out.
+    """
+    held = cells.where(active).select(*keys).join(values.select(*keys, value), keys, "left")
+    v = F.col(value)
+    known = F.coalesce(v, F.lit(fill)) if fill is not None else F.coalesce(v, F.raise_error(F.lit("an active cell has no value")).cast("double"))
+    if least is not None:
+        known = F.when(known < least, F.raise_error(F.lit("a value is too low")).cast("double")).otherwise(known)
+    return held.select(*keys, known.alias(value))
+
+
+def blocks(cells: DataFrame, row: str, col: str, rows: int, cols: int) -> DataFrame:
+    """Adds the block (brow, bcol) of ``rows`` by ``cols`` cells that holds each cell, and the cell's place in it, row by row from 0."""
+    place = F.pmod(F.col(row), F.lit(rows)) * cols + F.pmod(F.col(col), F.lit(cols))
+    return cells.withColumn("brow", F.floor(F.col(row) / rows)).withColumn("bcol", F.floor(F.col(col) / cols)).withColumn("place", place.cast("int"))
+
+
+def unblocked(df: DataFrame, row: str, col: str, rows: int, cols: int) -> DataFrame:
+    """Rows and columns of cells from their blocks and places: the inverse of blocks()."""
+    return df.withColumn(row, F.col("brow") * rows + F.floor(F.col("place") / cols)).withColumn(col, F.col("bcol") * cols + F.col("place") % cols)
+
+
+def nesting_report(fine: DataFrame, coarse: DataFrame, low: str, high: str) -> DataFrame:
+    """One row: fine intervals, how many lie inside one coarse interval, and how many coarse intervals are covered without a gap."""
+    inside = overlap_weights(fine.select(F.col("id"), F.col(low).alias("low"), F.col(high).alias("high")), coarse.select(F.col("id"), F.col(low).alias("low"), F.col(high).alias("high")))
+    size = lambda d, n: d.select(F.col("id").alias(n), (F.col(high) - F.col(low)).alias(f"_{n}"))
+    nested = inside.join(size(fine, "fine_id"), "fine_id").groupBy("fine_id").agg(F.max(F.col("overlap") >= F.col("_fine_id") - 1e-9).alias("ok"))
+    covered = inside.groupBy("coarse_id").agg(F.sum("overlap").alias("_o")).join(size(coarse, "coarse_id"), "coarse_id").agg(F.count_if(F.col("_o") >= F.col("_coarse_id") - 1e-9).alias("n_covered"))
+    return fine.agg(F.count("*").alias("n_fine")).crossJoin(nested.agg(F.count_if("ok").alias("n_nested"))).crossJoin(covered)

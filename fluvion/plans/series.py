@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from fluvion.functions import physics as P
+from fluvion.functions import rules as T
+from fluvion.operators import grid as G
 from fluvion.operators import series as S
 from fluvion.plans.register import registry
 from fluvion.session import table
@@ -130,3 +134,80 @@ UNION ALL SELECT l_suppkey, 'layer=' || l_linenumber || ',class=' || l_returnfla
 def slice_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("cell"), F.col("l_linenumber").alias("layer"), F.col("l_returnflag").alias("class"), F.col("l_quantity").alias("v"))
     return _r(S.slice_means(line, ["cell"], [[], ["layer"], ["layer", "class"]], "v"), mean=6)
+
+
+@query("""
+WITH l AS (SELECT l_orderkey, l_linenumber, sum(l_quantity / 50) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS d, l_quantity / 50 AS h FROM lineitem), c AS (SELECT *, 1 - 0.5 * (exp(-6.0 * d) + exp(-2.0 * d)) - (1 - 0.5 * (exp(-6.0 * (d - h)) + exp(-2.0 * (d - h)))) AS part FROM l),
+f AS (SELECT *, part / sum(part) OVER (PARTITION BY l_orderkey) AS own FROM c) SELECT l_orderkey, count(*) AS n, max(abs(own - CAST(own AS FLOAT))) < 1e-6 AS reproduced, abs(sum(own) - 1) < 1e-9 AS closed FROM f GROUP BY 1""")
+def root_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Root fractions made again layer by layer, against those stored in single precision."""
+    own = Window.partitionBy("l_orderkey")
+    h = F.col("l_quantity") / 50
+    depth = table(spark, sf_dir, "lineitem").select("l_orderkey", h.alias("h"), F.sum(h).over(own.orderBy("l_linenumber")).alias("d"))
+    y = lambda d: P.cumulative_roots(d, F.lit(6.0), F.lit(2.0))
+    part = depth.withColumn("part", y(F.col("d")) - y(F.col("d") - F.col("h")))
+    made = part.withColumn("own", F.col("part") / F.sum("part").over(own)).withColumn("stored", F.col("own").cast("float"))
+    return made.groupBy("l_orderkey").agg(F.count("*").alias("n"), (F.max(F.abs(F.col("own") - F.col("stored"))) < 1e-6).alias("reproduced"), (F.abs(F.sum("own") - 1) < 1e-9).alias("closed"))
+
+
+@query("""
+WITH r AS (SELECT CAST(extract(year FROM o_orderdate) AS INTEGER) AS year, o_orderpriority AS experiment, count(*) AS runs, sum(o_totalprice) / 100000 AS hours, sum(o_totalprice) / 5e6 AS tb FROM orders GROUP BY 1, 2), y AS (SELECT year, sum(runs) AS runs, sum(hours) AS hours, sum(tb) AS tb FROM r GROUP BY 1)
+SELECT year, CAST(runs AS BIGINT) AS runs, round(hours, 4) AS hours, round(hours / runs, 6) AS hours_a_run, round(sum(tb) OVER (ORDER BY year), 4) AS stored_tb FROM y""")
+def demand_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Node hours of each model year and the storage filled by then; one row a year, so the running sum is over years alone."""
+    o = table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").alias("runs"), (F.sum("o_totalprice") / 100000).alias("hours"), (F.sum("o_totalprice") / 5e6).alias("tb"))
+    return o.select("year", "runs", F.round("hours", 4).alias("hours"), F.round(F.col("hours") / F.col("runs"), 6).alias("hours_a_run"), F.round(F.sum("tb").over(Window.orderBy("year")), 4).alias("stored_tb"))
+
+
+@query("""
+WITH y AS (SELECT l_suppkey AS station, CAST(extract(year FROM l_shipdate) AS INTEGER) AS year, avg(l_quantity) AS one, avg(l_quantity * (1 - l_tax)) AS two, avg(l_quantity * (1 - l_discount)) AS obs FROM lineitem GROUP BY 1, 2)
+SELECT year, count(*) AS n, count(*) FILTER (WHERE abs(two - obs) < abs(one - obs) - 1e-9) AS improved, count(*) FILTER (WHERE abs(two - obs) > abs(one - obs) + 1e-9) AS worsened, round(avg(two - one), 6) AS mean_change FROM y GROUP BY 1""")
+def improved_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations that come nearer to what was observed from one run to the next, and those that go away from it, year by year."""
+    q = F.col("l_quantity")
+    y = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", F.year("l_shipdate").alias("year")).agg(F.avg(q).alias("one"), F.avg(q * (1 - F.col("l_tax"))).alias("two"), F.avg(q * (1 - F.col("l_discount"))).alias("obs"))
+    gain = F.abs(F.col("one") - F.col("obs")) - F.abs(F.col("two") - F.col("obs"))
+    return y.groupBy("year").agg(F.count("*").alias("n"), F.count_if(gain > 1e-9).alias("improved"), F.count_if(gain < -1e-9).alias("worsened"), F.round(F.avg(F.col("two") - F.col("one")), 6).alias("mean_change"))
+
+
+@query("""
+WITH g AS (SELECT p_partkey // 50 AS r, p_partkey % 50 AS c, p_size % 9 <> 0 AS active, p_retailprice AS v FROM part), s AS (SELECT r, c, v FROM g WHERE c % 7 <> 3)
+SELECT g.r // 3 AS brow, g.c // 6 AS bcol, CAST(g.r % 3 * 6 + g.c % 6 AS INTEGER) AS place, round(coalesce(s.v, 0.0), 4) AS v FROM g LEFT JOIN s USING (r, c) WHERE active""")
+def source_on_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source on the active cells, missing ones 0, as places in blocks of three rows and six columns."""
+    key = F.col("p_partkey")
+    g = table(spark, sf_dir, "part").select(F.floor(key / 50).alias("r"), (key % 50).alias("c"), (F.col("p_size") % 9 != 0).alias("active"), F.col("p_retailprice").alias("v"))
+    held = G.on_active(g.where("c % 7 <> 3").select("r", "c", "v"), g.select("r", "c", "active"), ["r", "c"], "v", "active", fill=0.0, least=0.0)
+    return G.blocks(held, "r", "c", 3, 6).select("brow", "bcol", "place", F.round("v", 4).alias("v"))
+
+
+@query("""
+WITH o AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'histsoc' WHEN 'O' THEN '2021soc' ELSE 'ssp' END AS scenario, CAST(extract(year FROM o_orderdate) AS INTEGER) AS year FROM orders) SELECT o_orderkey, CASE scenario WHEN '2021soc' THEN 2021 ELSE year END AS source_year FROM o""")
+def source_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Own years in scenarios that have them, the constant field's year in the fixed one."""
+    status = F.col("o_orderstatus")
+    scenario = F.when(status == "F", "histsoc").when(status == "O", "2021soc").otherwise("ssp")
+    year = T.source_year(scenario, F.year("o_orderdate"), {"histsoc": (1901, 2021), "2021soc": (2021, 2021), "ssp": (1990, 2100)}, ["2021soc"])
+    return table(spark, sf_dir, "orders").select("o_orderkey", year.alias("source_year"))
+
+
+@query("""
+WITH p AS (SELECT DISTINCT s_nationkey AS r, s_suppkey % 50 AS c FROM supplier), g AS (SELECT l_partkey // 50 AS r, l_partkey % 50 AS c, date_trunc('month', l_shipdate) AS month, avg(l_quantity) AS v FROM lineitem GROUP BY 1, 2, 3)
+SELECT p.r, p.c, count(v) AS n_months, round(avg(v), 6) AS mean FROM p LEFT JOIN g USING (r, c) GROUP BY 1, 2""")
+def values_at_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean of the monthly values at listed cells alone; months without a value do not count."""
+    p = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").cast("long").alias("r"), (F.col("s_suppkey") % 50).alias("c")).distinct()
+    g = table(spark, sf_dir, "lineitem").select(F.floor(F.col("l_partkey") / 50).alias("r"), (F.col("l_partkey") % 50).alias("c"), F.date_trunc("month", "l_shipdate").alias("month"), "l_quantity")
+    monthly = g.join(p, ["r", "c"], "left_semi").groupBy("r", "c", "month").agg(F.avg("l_quantity").alias("v"))
+    return p.join(monthly, ["r", "c"], "left").groupBy("r", "c").agg(F.count("v").alias("n_months"), F.round(F.avg("v"), 6).alias("mean"))
+
+
+@query("""
+WITH d AS (SELECT p_partkey, CASE WHEN p_size % 10 = 0 THEN 'manual' WHEN p_size % 3 = 0 THEN 'second' ELSE 'first' END AS choice, p_retailprice AS a, p_retailprice * 1.1 AS b, p_partkey % 4 = 1 AS future, p_partkey % 9 = 2 AS merged FROM part)
+SELECT choice, count(*) AS n, count(*) FILTER (WHERE merged) AS n_merged, round(sum(CASE choice WHEN 'manual' THEN 100.0 WHEN 'second' THEN b ELSE a END), 4) AS expected FROM d WHERE NOT future GROUP BY ROLLUP (choice)""")
+def expected_capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The capacity that historical items should add up to, by the source chosen for each, and over all."""
+    size, key, price = F.col("p_size"), F.col("p_partkey"), F.col("p_retailprice")
+    choice = F.when(size % 10 == 0, "manual").when(size % 3 == 0, "second").otherwise("first")
+    d = table(spark, sf_dir, "part").where(key % 4 != 1).select(choice.alias("choice"), F.when(choice == "manual", 100.0).when(choice == "second", price * 1.1).otherwise(price).alias("v"), (key % 9 == 2).alias("merged"))
+    return d.rollup("choice").agg(F.count("*").alias("n"), F.count_if("merged").alias("n_merged"), F.round(F.sum("v"), 4).alias("expected"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +52,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cached(spark: SparkSession, key: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table of a content key: read where an earlier call has written it whole, else made and written.
+
+    The key has to name everything that the table depends on. A write that was
+    cut off leaves no success mark and is made again elsewhere.
+    """
+    path = f"{shared_dir(spark)}/fluvion-cache/{hashlib.sha256(key.encode()).hexdigest()}"
+    system = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = system.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")):
+        make().write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path)
+
+
 class Rounds:
     """Rows that an iterative operator finishes round by round: each round is a written part of one table, which is read once at the end."""
 

@@ -45,3 +45,39 @@ def write_new(df: DataFrame, path: str, partition_by: list[str] | None = None) -
     """Write a Parquet product; an existing one is never overwritten (Spark commits whole tasks, then the job)."""
     writer = df.write.mode("errorifexists").option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+
+
+def read_delimited(spark: SparkSession, path: str, sep: str = ",", comment: str = "#", encoding: str = "UTF-8") -> DataFrame:
+    """A delimited text table with a header, all columns as text, names trimmed and without a byte-order mark; comment lines and empty fields (null) are left out."""
+    rows = spark.read.option("header", True).option("sep", sep).option("comment", comment).option("encoding", encoding).option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(path)
+    return rows.toDF(*[c.lstrip("﻿").strip() for c in rows.columns])
+
+
+def read_columns(spark: SparkSession, path: str, names: list[str], comment: str = "#") -> DataFrame:
+    """A table whose columns are parted by white space, under the names given, all as numbers; lines with another number of columns are left out."""
+    parts = F.split(F.trim("value"), r"\s+")
+    rows = spark.read.text(path).where(~F.trim("value").startswith(comment)).select(parts.alias("p")).where(F.size("p") == len(names))
+    return rows.select(*[F.col("p")[i].try_cast("double").alias(n) for i, n in enumerate(names)])
+
+
+def read_manifests(spark: SparkSession, path: str) -> DataFrame:
+    """``(path, run, year, directory)`` of run manifests (JSON): a plain run has all its years in one directory, a chunked one those of each chunk."""
+    schema = "run string, directory string, start int, end int, chunks array<struct<directory: string, start: int, end: int>>"
+    runs = spark.read.schema(schema).option("multiLine", True).json(path).select(F.input_file_name().alias("path"), "*")
+    whole = F.array(F.struct("directory", "start", "end"))
+    spans = runs.select("path", "run", F.explode(F.when(F.size("chunks") > 0, F.col("chunks")).otherwise(whole)).alias("s")).where("s.start <= s.end")
+    return spans.select("path", "run", F.explode(F.sequence("s.start", "s.end")).alias("year"), "s.directory")
+
+
+def write_report(df: DataFrame, path: str, order: list[str]) -> None:
+    """A sorted CSV report with a header, as a folder of parts in order; an existing one is never overwritten."""
+    df.orderBy(*order).write.mode("errorifexists").option("header", True).csv(path)
+
+
+def markdown_table(df: DataFrame, order: list[str], most: int = 1000) -> str:
+    """A report as a markdown table. Reports are short: more than ``most`` rows are an error."""
+    rows = df.orderBy(*order).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a report of more than {most} rows")
+    line = lambda cells: "| " + " | ".join("" if c is None else str(c).replace("|", "\\|") for c in cells) + " |"
+    return "\n".join([line(df.columns), "|" + "---|" * len(df.columns), *map(line, rows)])

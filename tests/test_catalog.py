@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 from test_operators import values
 
+from fluvion import session
 from fluvion.functions import rules
-from fluvion.operators import aggregates, catalog, checks, placement, series
+from fluvion.operators import aggregates, catalog, checks, grid, placement, series
+from fluvion.sources import text
 
 
 def test_files_of_years(spark):
@@ -88,3 +90,55 @@ def test_name_candidates_need_a_common_rare_word(spark):
     right = spark.createDataFrame([(1, "big rock dam"), (2, "rock lake dam"), (3, "other dam"), (4, "big hill")], "r int, name string")
     got = [(r.l, r.r, r["rank"]) for r in placement.name_candidates(left, right, "l", "r", "name", 2).orderBy("l", "rank").collect()]
     assert got == [(1, 1, 1), (1, 2, 2)]
+
+
+def test_text_tables_and_reports(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("\ufeffname;cap \n# a note\nOne; 5\nTwo;\n".encode())
+    assert values(text.read_delimited(spark, str(tmp_path / "a.csv"), sep=";"), "name") == [("One", "5"), ("Two", None)]
+    (tmp_path / "b.txt").write_text("# id share\n 1  0.5\n2\t0.25\n3 x\n4 1 1\n")
+    assert values(text.read_columns(spark, str(tmp_path / "b.txt"), ["id", "share"]), "id") == [(1.0, 0.5), (2.0, 0.25), (3.0, None)]
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "a.json").write_text('{"run": "a", "directory": "d", "start": 2001, "end": 2002}')
+    (tmp_path / "m" / "b.json").write_text('{"run": "b", "chunks": [{"directory": "c1", "start": 1, "end": 1}, {"directory": "c2", "start": 2, "end": 3}]}')
+    assert values(text.read_manifests(spark, str(tmp_path / "m")).drop("path"), "run", "year") == [("a", 2001, "d"), ("a", 2002, "d"), ("b", 1, "c1"), ("b", 2, "c2"), ("b", 3, "c2")]
+    df = spark.createDataFrame([("b|c", 2), ("a", None)], "k string, n int")
+    assert text.markdown_table(df, ["k"]) == "| k | n |\n|---|---|\n| a |  |\n| b\\|c | 2 |"
+    with pytest.raises(ValueError):
+        text.markdown_table(df, ["k"], most=1)
+    text.write_report(df, str(tmp_path / "report"), ["k"])
+    assert values(spark.read.option("header", True).csv(str(tmp_path / "report")), "k") == [("a", None), ("b|c", "2")]
+
+
+def test_values_on_active_cells_and_blocks(spark):
+    cells = spark.createDataFrame([(r, c, (r, c) != (0, 0)) for r in range(2) for c in range(3)], "r long, c long, active boolean")
+    source = spark.createDataFrame([(r, c, float(10 * r + c)) for r in range(2) for c in range(3) if (r, c) != (1, 2)] + [(7, 7, -5.0)], "r long, c long, v double")
+    assert values(grid.on_active(source, cells, ["r", "c"], "v", "active", fill=-1.0), "r", "c") == [(0, 1, 1.0), (0, 2, 2.0), (1, 0, 10.0), (1, 1, 11.0), (1, 2, -1.0)]
+    for kwargs, word in ({}, "no value"), ({"fill": -1.0, "least": 0.0}, "too low"):
+        with pytest.raises(Exception, match=word):
+            grid.on_active(source, cells, ["r", "c"], "v", "active", **kwargs).collect()
+    cut = grid.blocks(cells, "r", "c", 2, 2)
+    assert values(cut.select("brow", "bcol", "place"), "r", "c") == [(0, 0, 0), (0, 0, 1), (0, 1, 0), (0, 0, 2), (0, 0, 3), (0, 1, 2)]
+    assert values(grid.unblocked(cut.select("brow", "bcol", "place"), "r", "c", 2, 2).select("r", "c"), "r", "c") == [(r, c) for r in range(2) for c in range(3)]
+    axis = lambda n, low, size: spark.range(n).select("id", (F.col("id") * size + low).alias("low"), ((F.col("id") + 1) * size + low).alias("high"))
+    assert values(grid.nesting_report(axis(12, 0.0, 0.5), axis(4, 0.0, 1.5), "low", "high"), "n_fine") == [(12, 12, 4)]
+    assert values(grid.nesting_report(axis(12, 0.2, 0.5), axis(4, 0.0, 1.5), "low", "high"), "n_fine") == [(12, 8, 3)]
+
+
+def test_cached_relations_are_made_once(spark):
+    made = []
+
+    def make():
+        made.append(1)
+        return spark.range(3)
+
+    key = str(id(made))
+    assert [session.cached(spark, key, make).count() for _ in range(3)] == [3, 3, 3] and len(made) == 1
+    assert session.cached(spark, key + "x", make).count() == 3 and len(made) == 2
+
+
+def test_years_without_data_are_an_error(spark):
+    df = spark.createDataFrame([("a", 1950), ("c", 1600)], "s string, y int")
+    year = rules.source_year(F.col("s"), F.col("y"), {"a": (1901, 2000), "c": (1850, 1850)}, ["c"])
+    assert [r[0] for r in df.select(year).collect()] == [1950, 1850]
+    with pytest.raises(Exception, match="no data of a"):
+        spark.createDataFrame([("a", 2001)], "s string, y int").select(year).collect()
