@@ -55,7 +55,7 @@ def any_glob(name: Column, globs: list[str]) -> Column:
 
 
 #: Texts that stand for no answer. Fixed values.
-MISSING_TEXT = ("", "nan", "none", "na", "n/a", "unknown")
+MISSING_TEXT = ("", "na", "nan", "none")
 
 
 def filled(text: Column) -> Column:

@@ -80,7 +80,7 @@ def register_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH p AS (SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'Irrigation, flood' WHEN 1 THEN ' NaN ' WHEN 2 THEN 'Hydropower' WHEN 3 THEN '' END AS a, CASE p_partkey % 4 WHEN 0 THEN 'main WATER SUPPLY' WHEN 1 THEN 'unknown' WHEN 2 THEN 'recreation' END AS b FROM part),
-f AS (SELECT *, coalesce(lower(trim(a)) NOT IN ('', 'nan', 'none', 'na', 'n/a', 'unknown'), false) AS fa, coalesce(lower(trim(b)) NOT IN ('', 'nan', 'none', 'na', 'n/a', 'unknown'), false) AS fb FROM p)
+f AS (SELECT *, coalesce(lower(trim(a)) NOT IN ('', 'na', 'nan', 'none'), false) AS fa, coalesce(lower(trim(b)) NOT IN ('', 'na', 'nan', 'none'), false) AS fb FROM p)
 SELECT p_partkey, CASE WHEN (fa AND regexp_matches(lower(a), 'irrigation|water supply')) OR (fb AND regexp_matches(lower(b), 'irrigation|water supply')) THEN 'supply' WHEN fa OR fb THEN 'no_supply' ELSE 'unknown' END AS purpose FROM f""")
 def purpose_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     size, key = F.col("p_size"), F.col("p_partkey")
