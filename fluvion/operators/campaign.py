@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fluvion.operators.aggregates import prefix_sums
 from fluvion.operators.graph import downstream
 from fluvion.session import materialise
 
@@ -55,8 +56,8 @@ def run_order(runs: DataFrame, run: str, parent: str, years: str, priority: str)
     root = best.where(F.col(parent).isNull()).select(F.col(run).alias("cell_id"))
     chain = downstream(onward, root).select(F.col("node").alias(run), F.lit(True).alias("on_longest"))
     flagged = left.join(chain, run, "left").withColumn("on_longest", F.coalesce("on_longest", F.lit(False)))
-    # A campaign has thousands of runs: one order over all is its purpose.
-    placed = flagged.withColumn("position", F.row_number().over(Window.orderBy(F.desc("on_longest"), priority, F.desc("left"), run)))
+    ordered = flagged.select(run, parent, "left", "on_longest", (~F.col("on_longest")).cast("int").alias("_a"), F.col(priority).alias("_b"), (-F.col("left")).alias("_c"), F.lit(1).alias("_one"))
+    placed = prefix_sums(ordered, [], ["_a", "_b", "_c", run], "_one", "_before").withColumn("position", F.col("_before") + 1)
     placed = materialise(placed.select(run, parent, "left", "on_longest", "position"), "run-order")
     early = placed.join(placed.select(F.col(run).alias(parent), F.col("position").alias("_p")), parent).where("_p > position")
     if not early.isEmpty():
