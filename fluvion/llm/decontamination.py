@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fluvion.llm.bits import may_hold
 from fluvion.llm.textstats import ascii_lower
 from fluvion.session import materialise
 
@@ -103,9 +104,12 @@ def intersect(index: DataFrame, items: DataFrame) -> DataFrame:
     exact = exact_alignments(index, items, frequency).withColumn("_exact", F.lit(True)).withColumn("_near", F.lit(False))
     near = near_alignments(index, items, frequency).withColumn("_exact", F.lit(False)).withColumn("_near", F.lit(True))
     aligned = exact.unionByName(near).groupBy("_uid", "_item", "_delta").agg(F.max("_exact").alias("_exact"), F.max("_near").alias("_near"))
+    aligned = materialise(aligned, "aligned")
     words = bounded(items)
+    # Postings of texts without any alignment stay where they are.
+    postings = may_hold(index.where(~F.col("is_end")).select("_uid", "pos", "term"), aligned, "_uid")
     needed = aligned.join(words, "_item").select("_uid", "_item", "_delta", "_ipos", "_n", "_id", "_exact", "_near", "term", (F.col("_delta") + F.col("_ipos")).alias("pos")).where("pos >= 0")
-    return materialise(index.where(~F.col("is_end")).select("_uid", "pos", "term").join(needed, ["_uid", "pos", "term"]), "matched")
+    return materialise(postings.join(needed, ["_uid", "pos", "term"]), "matched")
 
 
 def indexed(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str) -> tuple[DataFrame, DataFrame]:

@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fluvion.llm.bits import may_hold
 from fluvion.llm.mixing import mix
 from fluvion.operators.graph import connected_components
 from fluvion.session import materialise, ship
@@ -37,9 +38,6 @@ CHUNK = 20_000
 #: Texts and bytes of text of a block, on average.
 BLOCK_ROWS, BLOCK_BYTES = 1500, 8_000_000
 
-#: Places of the table that tells which texts are no member of any family.
-FILTER_BITS = 1 << 24
-
 _A = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
 
@@ -235,7 +233,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = materialise(sized.join(blocks, "component").select("component", "rep", "digest", "n_blocks", F.pmod(F.xxhash64("rep", "digest"), F.col("n_blocks")).cast("int").alias("block")), "members")
     # Texts that are surely no member's are dropped before their words are hashed and dealt out; then
     # a sort-merge join at every size: the members grow with the corpus, so they are never broadcast.
-    keyed = possible(texts.where("doc_id is not null"), members).withColumn("digest", word_digest("text"))
+    keyed = may_hold(texts, members.select(F.col("rep").alias("doc_id")), "doc_id").withColumn("digest", word_digest("text"))
     named = members.select("component", F.col("rep").alias("_rep"), F.col("digest").alias("_digest"), "n_blocks", "block")
     found = keyed.join(named.hint("merge"), (F.col("doc_id") == F.col("_rep")) & (F.col("digest") == F.col("_digest"))).select("component", "doc_id", "digest", "n_blocks", "block", "text")
     dealt = found.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).select(
@@ -251,19 +249,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def possible(texts: DataFrame, members: DataFrame) -> DataFrame:
-    """The texts whose id may be a member's, by a bit table of FILTER_BITS places.
-
-    The table is FILTER_BITS / 64 rows of 16 bytes at most, whatever the number
-    of members, so it can always be broadcast; with more members than places it
-    lets more texts through, and the join after it decides.
-    """
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    word, bit = F.floor(place / 64).cast("int").alias("_word"), (place % 64).cast("int").alias("_bit")
-    table = members.select(F.col("rep").alias("doc_id")).select(word, bit).groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits"))
-    return texts.select("*", word, bit).join(F.broadcast(table), "_word").where(F.getbit("_bits", "_bit") == 1).drop("_word", "_bit", "_bits")
-
-
 def same_document(classes: DataFrame, wordy: DataFrame) -> DataFrame:
     """Ties between the classes of texts that share a doc_id; none where ids are unique."""
     several = wordy.groupBy("doc_id").agg(F.min("digest").alias("_low"), F.max("digest").alias("_high")).where("_low <> _high").select("doc_id")

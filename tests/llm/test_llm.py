@@ -303,6 +303,19 @@ def test_near_duplicates_brute_force(spark, docs, rows):
     assert [(r.component_id, r.kept) for r in got[None]] == [(None, True)]
 
 
+def test_bit_tables_lose_no_partner(spark):
+    from fluvion.llm.bits import may_hold
+
+    rows = spark.createDataFrame([(i % 700 if i % 9 else None, i) for i in range(2000)], "k long, v long")
+    ids = spark.createDataFrame([(i,) for i in range(0, 700, 5)] + [(None,)], "k long")
+    for places in (64, 1 << 24):
+        got = may_hold(rows, ids, "k", places)
+        assert got.columns == rows.columns
+        kept = {r.v for r in got.collect()}
+        assert {r.v for r in rows.join(ids, "k", "left_semi").collect()} <= kept
+        assert places == 64 or len(kept) == rows.join(ids, "k", "left_semi").count()
+
+
 def test_superminhash_estimates_similarity():
     draw = np.random.default_rng(2)
     common, left, right = (draw.integers(0, 2**63, n).astype(np.uint64) for n in (800, 100, 100))
