@@ -133,7 +133,20 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near_ids USING (doc_id)
 """
 
+OP4 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n f ON x = f.doc_id JOIN n g ON y = g.doc_id WHERE 100 * c >= 85 * (f.n + g.n - c)),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+r(doc_id, reach) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, e.y FROM r JOIN e ON r.reach = e.x),
+c AS (SELECT doc_id, min(reach) AS component_id FROM r GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op2_balanced_shards": OP2,
+    "op4_superminhash": OP4,
     "op6_decontamination": OP6,
 }
