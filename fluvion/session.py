@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 import re
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,9 +91,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of an Arrow batch for Python tasks where the session has Spark's own default: texts are long, and each worker holds a batch several times over.
+BATCH_ROWS = 2000
+
+
+def tidy(function: Callable) -> Callable:
+    """A function over batches whose worker gives freed memory back to the system at the end of each task; idle workers stay small beside later stages."""
+
+    def run(batches: Iterator) -> Iterator:
+        yield from function(batches)
+        gc.collect()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):
+            pass  # another C library
+
+    return run
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per Spark context, so Python tasks can import it."""
+    """Send this package to the executors, once per Spark context, so Python tasks can import it; their batches are kept small."""
     context = spark.sparkContext
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, str(BATCH_ROWS))
     if ship.__dict__.get("context") == context.applicationId:
         return
     root = Path(__file__).parent
