@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fluvion.session import ship
+from fluvion.session import ship, tidy
 
 #: One tag, comment or declaration. Attribute values in quotes may hold ">".
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.DOTALL)
@@ -364,7 +364,7 @@ def fit_weights(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
     rows = pages.select(F.col(id_col).alias("_id"), F.col(html_col).cast("string").alias("html")).where("html is not null")
     draw = F.pmod(F.xxhash64(F.col("_id").cast("string")), F.lit(1_000_000))
     share = max(1, int(1_000_000 * min(1.0, train_pages / max(1, rows.count()))))
-    counted = rows.where(draw < share).select("html").mapInArrow(moments, "row array<double>, n long").groupBy("row").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "row").limit(max_rows).collect()
+    counted = rows.where(draw < share).select("html").mapInArrow(tidy(moments), "row array<double>, n long").groupBy("row").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "row").limit(max_rows).collect()
     return learn(np.array([r["row"] for r in counted]), np.array([r["n"] for r in counted], dtype=float)) if counted else PRIOR.copy()
 
 
@@ -407,7 +407,7 @@ def main_text(pages: DataFrame, weights: np.ndarray, id_col: str = "page_id", ur
             texts = [extract(page, weights) for page in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return rows.mapInArrow(extracted, f"page_id {kinds[id_col]}, url {kinds[url_col]}, text string, n_chars long")
+    return rows.mapInArrow(tidy(extracted), f"page_id {kinds[id_col]}, url {kinds[url_col]}, text string, n_chars long")
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fluvion.llm.mixing import mix
-from fluvion.session import ship
+from fluvion.session import ship, tidy
 
 #: Documents of each language that the filter is learned from, about; the choice is by a hash of the id.
 TRAIN_DOCS = 1500
@@ -142,7 +142,7 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         raise ValueError(f"more than {MAX_LANGUAGES} labels")
     draw = F.pmod(F.xxhash64(F.col("_id").cast("string")), F.lit(1_000_000)) * F.col("_n") < F.lit(1_000_000 * train_docs)
     sample = rows.join(F.broadcast(sizes), "lang").where(draw).select("lang", "text")
-    counts = sample.mapInArrow(count_ngrams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = sample.mapInArrow(tidy(count_ngrams), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("_t"))
     common = counts.join(totals, "lang").where(F.col("n") >= MIN_SHARE * F.col("_t")).select("lang", "gram").toPandas()
     languages = sorted(set(common["lang"]))
@@ -173,7 +173,7 @@ def identify(docs: DataFrame, model: LanguageFilter, id_col: str = "doc_id", tex
                 lang, score = model.predict(texts[a:b])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(lang, pa.string()), pa.array(score)], names=["doc_id", "held_out", "lang_pred", "score"])
 
-    return rows.mapInArrow(predict, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(tidy(predict), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, model: LanguageFilter, text_col: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
@@ -188,7 +188,7 @@ def keep_identified(docs: DataFrame, model: LanguageFilter, text_col: str = "tex
                 lang, score = model.predict(texts[a:b])
                 yield batch.slice(a, b - a).filter(pa.array([x != "und" and y >= min_score for x, y in zip(lang, score.tolist(), strict=True)]))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(tidy(keep), docs.schema)
 
 
 def language_ids(docs: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from fluvion.llm.bits import may_hold
 from fluvion.llm.mixing import mix
 from fluvion.operators.graph import connected_components
-from fluvion.session import materialise, ship
+from fluvion.session import materialise, ship, tidy
 
 #: Words of a shingle; bands and slots a band. A pair at similarity 0.85 shares no band with probability 1.2e-7.
 SHINGLE, BANDS, ROWS = 5, 50, 8
@@ -218,7 +218,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ship(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id long, digest binary, n_shingles long, n_bytes long, bands array<long>"
-    table = materialise(texts.mapInArrow(signed, schema), "signatures")
+    table = materialise(texts.mapInArrow(tidy(signed), schema), "signatures")
     wordy = table.where("digest is not null and doc_id is not null")
 
     # One class for each word sequence; its node is its smallest document.

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fluvion.session import materialise, ship
+from fluvion.session import materialise, ship, tidy
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = (*KINDS, "other")
@@ -340,7 +340,7 @@ def fit_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tra
     draw = F.pmod(F.xxhash64(F.col("_id").cast("string")), F.lit(1_000_000))
     share = max(1, int(1_000_000 * min(1.0, train_docs / max(1, rows.count()))))
     keys = ["features", "label", "before", "after", "similar"]
-    counted = rows.where(draw < share).select("text").mapInArrow(observed, "features string, label int, before int, after int, similar int, n long").groupBy(*keys).agg(F.sum("n").alias("n"))
+    counted = rows.where(draw < share).select("text").mapInArrow(tidy(observed), "features string, label int, before int, after int, similar int, n long").groupBy(*keys).agg(F.sum("n").alias("n"))
     return fit_field([tuple(r) for r in materialise(counted.orderBy(F.desc("n"), *keys).limit(max_examples), "pii-examples").orderBy(*keys).collect()])
 
 
@@ -369,7 +369,7 @@ def scan(docs: DataFrame, model: SkipChain, id_col: str = "doc_id", text_col: st
             columns = [pa.array([c[i] for c in counts], pa.int64()) for i in range(4)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(digests, pa.string()), pa.array(every, pa.string())], names=["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans"])
 
-    return rows.mapInArrow(spans, f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return rows.mapInArrow(tidy(spans), f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
 def pii_scan(docs: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fluvion.llm.mixing import mix
-from fluvion.session import ship
+from fluvion.session import ship, tidy
 
 #: Segmentations of each text.
 SAMPLES = 2
@@ -454,4 +454,4 @@ def sample_pieces(docs: DataFrame, model_path: str, k: int = SAMPLES, id_col: st
                 start = stop
 
     schema = f"doc_id {kind}, n_samples long, n_tokens array<long>, ids_crc32 array<long>, log_prob array<double>, inclusion array<double>, round_trip boolean"
-    return rows.mapInArrow(encode, schema + (", ids array<array<int>>" if with_ids else ""))
+    return rows.mapInArrow(tidy(encode), schema + (", ids array<array<int>>" if with_ids else ""))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fluvion.session import materialise, ship
+from fluvion.session import materialise, ship, tidy
 
 HEAD, ENTRY = struct.Struct("<4sIQI"), struct.Struct("<QII")
 #: Ids of a block, and ids after which a segment is closed (at a document's end).
@@ -235,7 +235,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str
         if ids:
             yield close()
 
-    return materialise(ranged.mapInArrow(segments, SEGMENTS), "tokens")
+    return materialise(ranged.mapInArrow(tidy(segments), SEGMENTS), "tokens")
 
 
 def read_tokens(segments: DataFrame) -> DataFrame:
@@ -266,7 +266,7 @@ def read_tokens(segments: DataFrame) -> DataFrame:
                     names=["part", "segment", "doc_id", "_local", "n_tokens", "ids_crc32"],
                 )
 
-    found = segments.select("part", "segment", "doc_ids", "doc_tokens", "payload").mapInArrow(documents, "part int, segment long, doc_id long, _local long, n_tokens long, ids_crc32 long")
+    found = segments.select("part", "segment", "doc_ids", "doc_tokens", "payload").mapInArrow(tidy(documents), "part int, segment long, doc_id long, _local long, n_tokens long, ids_crc32 long")
     return found.join(starts, ["part", "segment"]).select("doc_id", (F.col("_start") + F.col("_local")).alias("start"), "n_tokens", "ids_crc32")
 
 
