@@ -164,7 +164,7 @@ def largest_within(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.largest_within(p, d, "s_suppkey", "p_partkey", "r", "c", "size", 2)
 
 
-@query("WITH a AS (SELECT c_custkey AS i, c_custkey * 0.25 - 60 AS v FROM customer), d AS (SELECT b.v - a.v AS d FROM a LEFT JOIN a b ON b.i = a.i + 1) SELECT count(*) AS n, coalesce(bool_and(d > 0) FILTER (WHERE d IS NOT NULL), true) AS ascending, round(avg(d), 9) AS step, round(max(d) - min(d), 9) AS stray FROM d")
+@query("WITH a AS (SELECT c_custkey AS i, (c_custkey * 0.25 - 60)::DOUBLE AS v FROM customer), d AS (SELECT b.v - a.v AS d FROM a LEFT JOIN a b ON b.i = a.i + 1) SELECT count(*) AS n, coalesce(bool_and(d > 0) FILTER (WHERE d IS NOT NULL), true) AS ascending, round(avg(d), 9) AS step, round(max(d) - min(d), 9) AS stray FROM d")
 def axis_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     axis = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("i"), (F.col("c_custkey") * 0.25 - 60).alias("v"))
     return K.axis_report(axis, "v", "i").withColumn("step", F.round("step", 9)).withColumn("stray", F.round("stray", 9))

@@ -76,7 +76,7 @@ def inside_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH h AS (SELECT CAST(greatest(least(floor((value + 20) / 15), 59), 0) AS INTEGER) AS bin, count(*) AS n FROM events WHERE value IS NOT NULL GROUP BY 1) SELECT CAST(b AS INTEGER) AS bin, -20.0 + b * 15.0 AS low_edge, coalesce(n, 0) AS n FROM range(60) t(b) LEFT JOIN h ON b = bin""")
+WITH h AS (SELECT CAST(greatest(least(floor((value + 20) / 15), 59), 0) AS INTEGER) AS bin, count(*) AS n FROM events WHERE value IS NOT NULL GROUP BY 1) SELECT CAST(b AS INTEGER) AS bin, (-20.0 + b * 15.0)::DOUBLE AS low_edge, coalesce(n, 0) AS n FROM range(60) t(b) LEFT JOIN h ON b = bin""")
 def full_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.full_histogram(table(spark, sf_dir, "events"), F.col("value"), -20.0, 15.0, 60)
 

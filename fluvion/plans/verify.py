@@ -81,7 +81,7 @@ def region_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH w AS (SELECT c_custkey, c_nationkey AS country, 0.7 AS w FROM customer UNION ALL SELECT c_custkey, (c_nationkey + 1) % 25, 0.3 FROM customer WHERE c_custkey % 3 = 0)
-SELECT country, round(sum(w * greatest(c_acctbal, 0)), 4) AS total, round(sum(w), 4) AS cells FROM w JOIN customer USING (c_custkey) GROUP BY 1""")
+SELECT country, round(sum(w * greatest(c_acctbal, 0)), 4) AS total, round(sum(w::DOUBLE), 4) AS cells FROM w JOIN customer USING (c_custkey) GROUP BY 1""")
 def country_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells that belong to countries by fractions: each cell's value counts by its weight."""
     c = table(spark, sf_dir, "customer")
