@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from fluvion.llm.conversations import damage, repair_conversations, repair_digests
 from fluvion.llm.decontamination import decontaminate, proximity_matches
 from fluvion.llm.html_extract import extract_pages
 from fluvion.llm.language import language_ids
@@ -63,6 +65,10 @@ def op10_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_scan(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_digests(repair_conversations(damage(table(spark, sf_dir, "conversations")), present=F.col("present")))
+
+
 QUERIES = {
     "op1_quality_mcd": op1_quality_mcd,
     "op2_balanced_shards": op2_balanced_shards,
@@ -75,6 +81,7 @@ QUERIES = {
     "op8_secret_formats": op8_secret_formats,
     "op9_gumbel_pieces": op9_gumbel_pieces,
     "op10_skip_chain": op10_skip_chain,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 #: CRC-32 by its table of 256 remainders, which a recursive query builds.
@@ -145,8 +152,64 @@ c AS (SELECT doc_id, min(reach) AS component_id FROM r GROUP BY 1)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)
 """
 
+def more(key: str, cost: int | str, letters: str) -> str:
+    """SQL of the key of a dearer, longer audit."""
+    return f"lpad(CAST(CAST(substr({key}, 1, 9) AS BIGINT) + {cost} AS VARCHAR), 9, '0') || substr({key}, 10) || '{letters}'"
+
+
+#: States are keys of fixed-width cost and audit string, so the least key is the cheapest and then the first by ASCII.
+OP12 = f"""
+WITH RECURSIVE {CRC32}, keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    CAST(xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))), '..'), lambda p: ('0x' || p)::BIGINT)),
+      lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS BIGINT) % 20 AS kind
+  FROM conversations, crc_table
+), harmed AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM keyed
+), sorted AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen, substr(role, 1, 1) AS i, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS cut
+  FROM harmed
+), marked AS (
+  SELECT *, CASE WHEN cut = '' THEN 'b' WHEN seen > 1 THEN 'd' WHEN right(cut, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+    lag(i) OVER (PARTITION BY conv_id ORDER BY pos) || i AS pair
+  FROM sorted
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+    count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(pos) AS n
+  FROM marked GROUP BY conv_id
+), walk(conv_id, pos, ks, kn, ku, ka) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, NULL::VARCHAR, '000000000', '000000005I', '000000010II' FROM marked
+  UNION ALL
+  SELECT conv_id, pos, ks, kn, least(ku, {more("ka", 5, "I")}), least(ka, {more(f"least(ku, {more('ka', 5, 'I')})", 5, "I")}) FROM (
+    SELECT conv_id, pos, ks, kn, least(ku, {more("kn", 5, "I")}, {more("ks", 5, "I")}) AS ku, ka FROM (
+      SELECT w.conv_id, m.pos,
+        least({more("ks", 2, "D")}, CASE WHEN ok AND i = 's' THEN {more("kn", "dear", "K")} END) AS ks, {more("kn", 2, "D")} AS kn,
+        least({more("ku", 2, "D")}, CASE WHEN ok THEN CASE WHEN i = 'u' THEN {more("least(kn, ks, ka)", "dear", "K")} ELSE {more("least(kn, ks, ka)", "dear + 1", "R")} END END) AS ku,
+        least({more("ka", 2, "D")}, CASE WHEN ok THEN CASE WHEN i = 'a' THEN {more("ku", "dear", "K")} ELSE {more("ku", "dear + 1", "R")} END END) AS ka
+      FROM walk w JOIN (SELECT *, fault NOT IN ('b', 'd') AS ok, CASE WHEN fault = 't' THEN 5 ELSE 0 END AS dear FROM marked) m ON m.conv_id = w.conv_id AND m.pos = w.pos + 1
+    )
+  )
+), ended AS (
+  SELECT conv_id, least(kn, ka) AS best FROM walk JOIN counts USING (conv_id) WHERE pos = n
+), letters AS (
+  SELECT conv_id, substr(substr(best, 10), p, 1) AS letter, p, len(replace(substr(best, 10, p), 'I', '')) AS pos, len(replace(substr(best, 10, p), 'D', '')) AS place
+  FROM (SELECT *, unnest(range(1, len(best) - 8)) AS p FROM ended)
+), first_role AS (
+  SELECT conv_id, max(CASE WHEN place = 1 AND letter = 'K' AND i = 's' THEN 1 ELSE 0 END) AS s FROM letters JOIN marked USING (conv_id, pos) WHERE letter <> 'D' GROUP BY conv_id
+), turns AS (
+  SELECT conv_id, place, CASE WHEN letter = 'K' THEN role WHEN (place + coalesce(s, 0)) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END AS line
+  FROM letters LEFT JOIN marked USING (conv_id, pos) LEFT JOIN first_role USING (conv_id) WHERE letter <> 'D'
+), joined AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY place) AS body FROM turns GROUP BY conv_id)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(CAST(substr(best, 1, 9) AS BIGINT), 0) AS cost, coalesce(substr(best, 10), '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN counts USING (conv_id) LEFT JOIN ended USING (conv_id) LEFT JOIN joined USING (conv_id)
+"""
 ORACLES: dict[str, str] = {
     "op2_balanced_shards": OP2,
     "op4_superminhash": OP4,
     "op6_decontamination": OP6,
+    "op12_conversation_repair": OP12,
 }
