@@ -11,6 +11,7 @@ from fluvion.llm.decontamination import decontaminate, proximity_matches
 from fluvion.llm.html_extract import extract_pages
 from fluvion.llm.language import language_ids
 from fluvion.llm.near_dedup import near_duplicates
+from fluvion.llm.packing import packed_documents
 from fluvion.llm.pii import pii_scan
 from fluvion.llm.quality import robust_quality
 from fluvion.llm.sampled_pieces import sample_pieces
@@ -69,6 +70,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_digests(repair_conversations(damage(table(spark, sf_dir, "conversations")), present=F.col("present")))
 
 
+def op13_dominance_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2, with_ids=False)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_quality_mcd": op1_quality_mcd,
     "op2_balanced_shards": op2_balanced_shards,
@@ -82,6 +88,7 @@ QUERIES = {
     "op9_gumbel_pieces": op9_gumbel_pieces,
     "op10_skip_chain": op10_skip_chain,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_dominance_packing": op13_dominance_packing,
 }
 
 #: CRC-32 by its table of 256 remainders, which a recursive query builds.
