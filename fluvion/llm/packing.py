@@ -203,12 +203,11 @@ class DocumentEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers."""
-        packed = lambda found: [np.array(ids, dtype="<u4").tobytes() for ids in self.words.encode(found)]
         if not self.words.cuts_safely:
-            return packed(texts)
+            return self.words.encode(texts)
         cut = [first_cut(t) for t in texts]
-        starts = kept_or_made(self.first, {s for s, _ in cut}, packed)
-        words = kept_or_made(self.kept, set().union(*[keys for _, keys in cut]), lambda keys: packed([k if k[0] == "\n" else " " + k for k in keys]))
+        starts = kept_or_made(self.first, {s for s, _ in cut}, self.words.encode)
+        words = kept_or_made(self.kept, set().union(*[keys for _, keys in cut]), self.words.encode_words)
         return [starts[s] + b"".join(map(words.__getitem__, keys)) for s, keys in cut]
 
 

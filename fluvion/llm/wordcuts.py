@@ -14,13 +14,20 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 from collections.abc import Callable
 
 DOUBLE, CUT = re.compile(r"\s\s"), re.compile(r"(?<=\S)(?=[ \n]\S)")
-#: Words that a worker keeps, about; longer words than this are not kept.
-KEPT, LONG = 500_000, 64
+#: Words, and parts of words, that a worker keeps, about; longer words than this are not kept.
+KEPT, PARTS_KEPT, LONG = 500_000, 800_000, 64
+#: The byte-level pattern for plain words: ASCII, or letters of the Latin blocks before a few marks.
+PLAIN, PARTS = re.compile(r"\n?[!-~]+"), re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\n")
+BEYOND = re.compile("[^A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]")
 #: Bytes whose byte-level spelling is themselves; the others are spelt from U+0100 on, in order. Fixed values.
 PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTED)}
+#: What a tokenizer file has to say of its merges for parts of words to be merged by themselves. Fixed values.
+MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": None, "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}
 
 
 def word_keys(text: str) -> list[str]:
@@ -54,20 +61,59 @@ class ByteWords:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         cutter = spec.get("pre_tokenizer") or {}
-        #: Whether the file cuts as assumed: otherwise texts have to be encoded whole.
+        #: Whether the file cuts and merges as assumed: otherwise texts have to be encoded whole.
         self.cuts_safely = (
             spec.get("normalizer") is None and cutter.get("type") == "ByteLevel" and cutter.get("use_regex") and not cutter.get("add_prefix_space") and not spec.get("truncation") and not spec.get("padding")
-            and all(not (t["lstrip"] or t["rstrip"] or t["normalized"]) and not re.search(r"\s", t["content"]) for t in spec.get("added_tokens") or [])
+            and all(spec["model"].get(k, v) == v for k, v in MODEL.items()) and all(not (t["lstrip"] or t["rstrip"] or t["normalized"]) and "<|" in t["content"] and not re.search(r"\s", t["content"]) for t in spec.get("added_tokens") or [])
         )
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain_specials
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.merge, self.parts, self.cores = self.tokenizer.model.tokenize, {}, {}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts as little-endian unsigned 32-bit integers."""
+        return [struct.pack(f"<{len(e)}I", *e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def part(self, spelling: str) -> bytes:
+        """Ids of one pre-token: the byte alphabet and the merges are all that is left to do."""
+        found = self.parts.get(spelling)
+        if found is None:
+            ids = [t.id for t in self.merge(spelling.encode().decode("latin-1").translate(BYTE_ALPHABET))]
+            found = self.parts[spelling] = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+    def encode_words(self, keys: list[str]) -> list[bytes]:
+        """Ids of words, given by their keys.
+
+        Plain words are letters and then marks, each one pre-token: most are
+        new names, so their letters are looked up and merged at once.
+        """
+        if len(self.parts) + len(self.cores) > PARTS_KEPT:
+            self.parts.clear()
+            self.cores.clear()
+        cores, merge, part, out, whole = self.cores, self.merge, self.part, [], []
+        for key in keys:
+            core = key.rstrip(".,;:!?")
+            if core.isascii() and core.isalpha():
+                ids = cores.get(core)
+                if ids is None:
+                    found = [t.id for t in merge("\u0120" + core)]
+                    ids = cores[core] = struct.pack(f"<{len(found)}I", *found)
+                out.append(ids if len(core) == len(key) else ids + part(key[len(core) :]))
+            elif len(key) <= LONG and PLAIN.fullmatch(key) and "<|" not in key:
+                out.append(b"".join(map(part, PARTS.findall(spelt(key)))))
+            elif len(key) <= LONG and core and not BEYOND.search(core):
+                out.append(part(" " + core) + (part(key[len(core) :]) if len(core) < len(key) else b""))
+            else:
+                whole.append(len(out))
+                out.append(b"")
+        for i, ids in zip(whole, self.encode([spelt(keys[i]) for i in whole]), strict=True):
+            out[i] = ids
+        return out
 
     def token_bytes(self) -> list[bytes]:
         """The bytes of each id."""
-        letters = {chr(b): b for b in PRINTED} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in PRINTED)}
+        letters = {chr(b): b for b in PRINTED} | {chr(c): b for b, c in BYTE_ALPHABET.items()}
         return [bytes(letters[c] for c in self.tokenizer.id_to_token(i)) for i in range(self.tokenizer.get_vocab_size())]
 
 
