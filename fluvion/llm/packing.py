@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fluvion.llm.wordcuts import ByteWords, first_cut, kept_or_made
+from fluvion.llm.wordcuts import ByteWords, Kept, first_cut
 from fluvion.session import materialise, ship, tidy
 
 Pattern = tuple[tuple[tuple[int, int], ...], int]
@@ -199,16 +199,15 @@ class DocumentEncoder:
     """Ids of whole texts, through kept words where the tokenizer file allows it."""
 
     def __init__(self, path: str):
-        self.words, self.kept, self.first = ByteWords(path, plain_specials=False), {}, {}
+        self.words = ByteWords(path, plain_specials=False)
+        self.kept, self.first = Kept(self.words.encode_word, 500_000), Kept(lambda text: self.words.encode([text])[0], 20_000)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers."""
         if not self.words.cuts_safely:
             return self.words.encode(texts)
-        cut = [first_cut(t) for t in texts]
-        starts = kept_or_made(self.first, {s for s, _ in cut}, self.words.encode)
-        words = kept_or_made(self.kept, set().union(*[keys for _, keys in cut]), self.words.encode_words)
-        return [starts[s] + b"".join(map(words.__getitem__, keys)) for s, keys in cut]
+        first, kept = self.first.__getitem__, self.kept.__getitem__
+        return [first(start) + b"".join(map(kept, keys)) for start, keys in map(first_cut, texts)]
 
 
 _encoders: dict[str, DocumentEncoder] = {}

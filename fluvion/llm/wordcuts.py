@@ -18,11 +18,11 @@ import struct
 from collections.abc import Callable
 
 DOUBLE, CUT = re.compile(r"\s\s"), re.compile(r"(?<=\S)(?=[ \n]\S)")
-#: Words, and parts of words, that a worker keeps, about; longer words than this are not kept.
-KEPT, PARTS_KEPT, LONG = 500_000, 800_000, 64
-#: The byte-level pattern for plain words: ASCII, or letters of the Latin blocks before a few marks.
+#: Words of a generation that a worker keeps; longer words than this are not kept.
+KEPT, LONG = 300_000, 64
+#: Words of ASCII and their parts by the byte-level pattern; and letters of the Latin blocks before ASCII marks, which that pattern cuts from each other.
 PLAIN, PARTS = re.compile(r"\n?[!-~]+"), re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\n")
-BEYOND = re.compile("[^A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]")
+NAME = re.compile("(\n?)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\\[-`{-~]*)")
 #: Bytes whose byte-level spelling is themselves; the others are spelt from U+0100 on, in order. Fixed values.
 PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTED)}
@@ -30,6 +30,15 @@ BYTE_ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not
 MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": None, "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}
 
 
+#: Packers of few ids.
+PACKERS = [struct.Struct(f"<{n}I").pack for n in range(24)]
+
+
+def packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    return PACKERS[len(ids)](*ids) if len(ids) < 24 else struct.pack(f"<{len(ids)}I", *ids)
+
+
 def word_keys(text: str) -> list[str]:
     """Keys of a space and ``text``, in order."""
     if text and not text[0].isspace() and not text[-1].isspace() and not DOUBLE.search(text):
@@ -51,6 +60,26 @@ def first_cut(text: str) -> tuple[str, list[str]]:
     return spelt(keys[0])[1:], keys[1:]
 
 
+class Kept(dict):
+    """What a function gave for the words of late: when one generation is full, words that come up again are taken over from it into the next."""
+
+    def __init__(self, make: Callable, size: int | None = None):
+        super().__init__()
+        self.make, self.size, self.before = make, size or KEPT, {}
+
+    def __missing__(self, key: str) -> object:
+        found = self.before.get(key)
+        if found is None:
+            found = self.make(key)
+            if len(key) > LONG:
+                return found
+        if len(self) >= self.size:
+            self.before = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
 class ByteWords:
     """Ids of words by a byte-level tokenizer file of the tokenizers library."""
 
@@ -68,63 +97,41 @@ class ByteWords:
         )
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain_specials
-        self.merge, self.parts, self.cores = self.tokenizer.model.tokenize, {}, {}
+        self.merge, self.parts, self.names = self.tokenizer.model.tokenize, Kept(self.part_ids), Kept(self.name_ids)
+        self.part = self.parts.__getitem__
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of texts as little-endian unsigned 32-bit integers."""
-        return [struct.pack(f"<{len(e)}I", *e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def part(self, spelling: str) -> bytes:
+    def part_ids(self, spelling: str) -> bytes:
         """Ids of one pre-token: the byte alphabet and the merges are all that is left to do."""
-        found = self.parts.get(spelling)
-        if found is None:
-            ids = [t.id for t in self.merge(spelling.encode().decode("latin-1").translate(BYTE_ALPHABET))]
-            found = self.parts[spelling] = struct.pack(f"<{len(ids)}I", *ids)
-        return found
+        if not spelling.isalpha() or not spelling.isascii():
+            spelling = spelling.encode().decode("latin-1").translate(BYTE_ALPHABET)
+        return packed([t.id for t in self.merge(spelling)])
 
-    def encode_words(self, keys: list[str]) -> list[bytes]:
-        """Ids of words, given by their keys.
+    def name_ids(self, letters: str) -> bytes:
+        """Ids of a space and letters."""
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(BYTE_ALPHABET)
+        return packed([t.id for t in self.merge("\u0120" + letters)])
 
-        Plain words are letters and then marks, each one pre-token: most are
-        new names, so their letters are looked up and merged at once.
+    def encode_word(self, key: str) -> bytes:
+        """Ids of a word, given by its key.
+
+        Most new words are names: letters and then marks, each one pre-token,
+        behind a space or a newline.
         """
-        if len(self.parts) + len(self.cores) > PARTS_KEPT:
-            self.parts.clear()
-            self.cores.clear()
-        cores, merge, part, out, whole = self.cores, self.merge, self.part, [], []
-        for key in keys:
-            core = key.rstrip(".,;:!?")
-            if core.isascii() and core.isalpha():
-                ids = cores.get(core)
-                if ids is None:
-                    found = [t.id for t in merge("\u0120" + core)]
-                    ids = cores[core] = struct.pack(f"<{len(found)}I", *found)
-                out.append(ids if len(core) == len(key) else ids + part(key[len(core) :]))
-            elif len(key) <= LONG and PLAIN.fullmatch(key) and "<|" not in key:
-                out.append(b"".join(map(part, PARTS.findall(spelt(key)))))
-            elif len(key) <= LONG and core and not BEYOND.search(core):
-                out.append(part(" " + core) + (part(key[len(core) :]) if len(core) < len(key) else b""))
-            else:
-                whole.append(len(out))
-                out.append(b"")
-        for i, ids in zip(whole, self.encode([spelt(keys[i]) for i in whole]), strict=True):
-            out[i] = ids
-        return out
+        shape = NAME.fullmatch(key)
+        if shape:
+            head, letters, marks = shape.groups()
+            ids = self.part(head) + self.part(letters) if head else self.names[letters]
+            return ids + self.part(marks) if marks else ids
+        if len(key) <= LONG and PLAIN.fullmatch(key) and "<|" not in key:
+            return b"".join(map(self.part, PARTS.findall(spelt(key))))
+        return self.encode([spelt(key)])[0]
 
     def token_bytes(self) -> list[bytes]:
         """The bytes of each id."""
         letters = {chr(b): b for b in PRINTED} | {chr(c): b for b, c in BYTE_ALPHABET.items()}
         return [bytes(letters[c] for c in self.tokenizer.id_to_token(i)) for i in range(self.tokenizer.get_vocab_size())]
-
-
-def kept_or_made(cache: dict, keys: set, make: Callable[[list], list]) -> dict:
-    """The cache with all of ``keys`` in it; long keys are in the returned copy alone, and a full cache starts anew."""
-    if len(cache) > KEPT:
-        cache.clear()
-    new = list(keys.difference(cache))
-    made = dict(zip(new, make(new), strict=True))
-    long = {k: v for k, v in made.items() if len(k) > LONG}
-    for k in long:
-        del made[k]
-    cache |= made
-    return cache | long if long else cache
