@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fluvion.llm.alignment import token_alignments
 from fluvion.llm.conversations import damage, repair_conversations, repair_digests
 from fluvion.llm.decontamination import decontaminate, proximity_matches
 from fluvion.llm.html_extract import extract_pages
@@ -66,6 +67,11 @@ def op10_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_scan(table(spark, sf_dir, "documents"))
 
 
+def op11_interval_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignments(table(spark, sf_dir, "documents"), *paths, with_groups=False)
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_digests(repair_conversations(damage(table(spark, sf_dir, "conversations")), present=F.col("present")))
 
@@ -87,6 +93,7 @@ QUERIES = {
     "op8_secret_formats": op8_secret_formats,
     "op9_gumbel_pieces": op9_gumbel_pieces,
     "op10_skip_chain": op10_skip_chain,
+    "op11_interval_alignment": op11_interval_alignment,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_dominance_packing": op13_dominance_packing,
 }
