@@ -165,19 +165,6 @@ def pattern_counts(lines: DataFrame, line: str, order: list[str], patterns: dict
     return counts.join(shown, "category")
 
 
-def in_polygons(points: DataFrame, edges: DataFrame, point: str, polygon: str, x: str, y: str, band: float) -> DataFrame:
-    """``(point, polygon)`` of the polygons (edge tables x1, y1, x2, y2) that hold each point: an odd number of edges lies to its right.
-
-    Edges are dealt into the bands of ``band`` that they cross, so a point meets
-    only the edges at its height.
-    """
-    low, high = F.floor(F.least("y1", "y2") / band), F.floor(F.greatest("y1", "y2") / band)
-    e = edges.select(F.col(polygon), "x1", "y1", "x2", "y2", F.explode(F.sequence(low, high)).alias("_band"))
-    p = points.select(F.col(point), F.col(x).alias("_x"), F.col(y).alias("_y"), F.floor(F.col(y) / band).alias("_band"))
-    meets = ((F.col("y1") > F.col("_y")) != (F.col("y2") > F.col("_y"))) & (F.col("_x") < (F.col("x2") - F.col("x1")) * (F.col("_y") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1"))
-    return p.join(e, "_band").where(meets).groupBy(point, polygon).agg(F.count("*").alias("_n")).where("_n % 2 = 1").select(point, polygon)
-
-
 def combined_checks(checks: dict[str, DataFrame], key: str, status: str = "status") -> DataFrame:
     """``(key, verdict, failed)``: the worst verdict of each unit over named checks, and the names of those that did not pass. A unit that a check lacks counts as not checked there."""
     units = reduce(lambda a, b: a.union(b), [c.select(key) for c in checks.values()]).distinct()

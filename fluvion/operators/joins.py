@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fluvion.operators.nearest import nearest
 from fluvion.session import Rounds, materialise
 
 
@@ -38,29 +38,6 @@ def within_distance(left: DataFrame, right: DataFrame, lid: str, rid: str, coord
     return pairs.select(lid, rid, "distance")
 
 
-def nearest(left: DataFrame, right: DataFrame, lid: str, rid: str, coordinates: list[str], start_radius: float, max_radius: float = math.inf, max_rounds: int = 60, band: tuple[str, float] | None = None) -> DataFrame:
-    """For each left row the nearest right row (ties: smallest id) within ``max_radius`` and ``band``, as (lid, rid, distance).
-
-    Rows without a hit are tried again with a doubled radius, so every round
-    joins only neighbouring cubes; a hit within the radius is the nearest of
-    all. Rounds end with the rows, the bound, or when the extent of both sides
-    is covered; too small a first radius for that is an error.
-    """
-    found = Rounds(left.sparkSession, "nearest")
-    span = left.select(coordinates).unionByName(right.select(coordinates)).agg(*[(F.max(c) - F.min(c)).alias(c) for c in coordinates]).first()
-    extent = math.sqrt(sum(float(x or 0) ** 2 for x in span)) + 1e-9
-    rest, radius = left, start_radius
-    for _ in range(max_rounds):
-        radius = min(radius, max_radius)
-        pairs = within_distance(rest, right, lid, rid, coordinates, radius, band)
-        hits = found.add(pairs.groupBy(lid).agg(F.min(F.struct("distance", rid)).alias("_m")).select(lid, F.col(f"_m.{rid}").alias(rid), F.col("_m.distance").alias("distance")))
-        rest = materialise(rest.join(hits.select(lid), lid, "left_anti"), "nearest-rest")
-        if radius >= max_radius or radius > extent or rest.isEmpty():
-            return found.rows()
-        radius *= 2
-    raise RuntimeError(f"a first radius of {start_radius} did not cover {extent} in {max_rounds} rounds")
-
-
 def on_sphere(df: DataFrame, lat: str, lon: str) -> DataFrame:
     """Adds the unit vector _x, _y, _z of each point."""
     la, lo = F.radians(lat), F.radians(lon)
@@ -71,25 +48,22 @@ def choose_donors(targets: DataFrame, donors: DataFrame, target: str, donor: str
     """``(target, donor, km, level)``: the nearest donor within ``radius_km`` (level 2), else the nearest of an equal kind above 0 (3), else the nearest
     within ``band`` degrees of latitude (4), else the nearest of all (5). Ties go to the smallest id; without donors there are no rows.
 
-    Each step searches only for targets that the steps before left. Kinds are
-    held apart as a fourth coordinate, farther from each other than any chord.
+    The nearest of all, which is also the answer within the radius, is searched
+    for once; the steps between search only for targets that are left.
     """
-    point = lambda df, name: on_sphere(df.select(F.col(name), F.col(lat).alias("_lat"), F.col(lon).alias("_lon"), F.col(kind).alias("_kind")), "_lat", "_lon").withColumn("_k", F.col("_kind") * 8.0)
-    rest, right = point(targets, target), materialise(point(donors, donor), "donors")
-    flat, chord = ["_x", "_y", "_z"], 2 * math.sin(min(radius_km / (2 * earth_km), math.pi / 2))
+    point = lambda df, name: on_sphere(df.select(F.col(name), F.col(lat).alias("_lat"), F.col(lon).alias("_lon"), F.col(kind).alias("_kind")), "_lat", "_lon")
+    left, right = point(targets, target), materialise(point(donors, donor), "donors")
+    axes = ["_x", "_y", "_z"]
+    km = (2 * earth_km * F.asin(F.least(F.col("distance") / 2, F.lit(1.0)))).alias("km")
+    anywhere = materialise(nearest(left, right, target, donor, axes).select(target, donor, km), "anywhere")
     found = Rounds(targets.sparkSession, "donors")
-    far = 8 * chord
-    steps = (
-        lambda t: nearest(t, right, target, donor, flat, chord, chord),
-        lambda t: nearest(t.where("_kind > 0"), right, target, donor, [*flat, "_k"], far, 2.0 + 1e-9),
-        lambda t: nearest(t, right, target, donor, flat, far, 2.0 + 1e-9, band=("_lat", band)),
-        lambda t: nearest(t, right, target, donor, flat, far, 2.0 + 1e-9),
-    )
-    for level, step in enumerate(steps, 2):
-        hits = found.add(step(rest).select(target, donor, (2 * earth_km * F.asin(F.least(F.col("distance") / 2, F.lit(1.0)))).alias("km"), F.lit(level).alias("level")))
-        rest = materialise(rest.join(hits.select(target), target, "left_anti"), "donors-rest")
-        if rest.isEmpty():
-            break
+    near = found.add(anywhere.where(F.col("km") <= radius_km).withColumn("level", F.lit(2)))
+    rest = materialise(left.join(near.select(target), target, "left_anti"), "donors-rest")
+    alike = found.add(nearest(rest.where("_kind > 0"), right, target, donor, axes, equal=["_kind"]).select(target, donor, km, F.lit(3).alias("level")))
+    rest = materialise(rest.join(alike.select(target), target, "left_anti"), "donors-rest")
+    level = found.add(nearest(rest, right, target, donor, axes, band=("_lat", band)).select(target, donor, km, F.lit(4).alias("level")))
+    rest = rest.join(level.select(target), target, "left_anti")
+    found.add(anywhere.join(rest.select(target), target, "left_semi").withColumn("level", F.lit(5)))
     return found.rows()
 
 

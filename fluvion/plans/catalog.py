@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from fluvion.functions import rules as T
 from fluvion.operators import catalog as K
 from fluvion.operators import checks as V
+from fluvion.operators import polygons as Y
 from fluvion.operators import records as R
 from fluvion.plans.register import registry
 from fluvion.session import table
@@ -261,12 +262,27 @@ WITH c AS (SELECT c_custkey, c_custkey * 13 % 2000 / 10.0 - 100.03 AS x, c_custk
 SELECT c_custkey, poly FROM c JOIN s ON (c.x - s.x) BETWEEN 0 AND 40 AND (c.y - s.y) BETWEEN 0 AND 30 AND (c.x - s.x) / 40 + (c.y - s.y) / 30 < 1""")
 def in_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points in right-angled triangles, one for each nation."""
+    return Y.in_polygons(*_triangles(spark, sf_dir), "c_custkey", "poly", "x", "y", 10.0)
+
+
+def _triangles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     n, key = F.col("n_nationkey"), F.col("c_custkey")
     x, y = n % 5 * 40.0 - 100, F.floor(n / 5) * 30.0 - 75
     edge = lambda a, b, c, d: F.struct(a.alias("x1"), b.alias("y1"), c.alias("x2"), d.alias("y2"))
     edges = table(spark, sf_dir, "nation").select(n.alias("poly"), F.explode(F.array(edge(x, y, x + 40, y), edge(x + 40, y, x, y + 30), edge(x, y + 30, x, y))).alias("e")).select("poly", "e.*")
-    points = table(spark, sf_dir, "customer").select(key, (key * 13 % 2000 / 10.0 - 100.03).alias("x"), (key * 29 % 1500 / 10.0 - 75.07).alias("y"))
-    return K.in_polygons(points, edges, "c_custkey", "poly", "x", "y", 10.0)
+    return table(spark, sf_dir, "customer").select(key, (key * 13 % 2000 / 10.0 - 100.03).alias("x"), (key * 29 % 1500 / 10.0 - 75.07).alias("y")), edges
+
+
+@query(f"""
+WITH c AS (SELECT c_custkey, c_custkey * 13 % 2000 / 10.0 - 100.03 AS x, c_custkey * 29 % 1500 / 10.0 - 75.07 AS y FROM customer), s AS {SQUARES},
+e AS (SELECT poly, x AS x1, y AS y1, x + 40 AS x2, y AS y2 FROM s UNION ALL SELECT poly, x + 40, y, x, y + 30 FROM s UNION ALL SELECT poly, x, y + 30, x, y FROM s),
+i AS (SELECT c_custkey, min(poly) AS poly FROM c JOIN s ON (c.x - s.x) BETWEEN 0 AND 40 AND (c.y - s.y) BETWEEN 0 AND 30 AND (c.x - s.x) / 40 + (c.y - s.y) / 30 < 1 GROUP BY 1),
+t AS (SELECT c_custkey, poly, x, y, x1, y1, x2 - x1 AS dx, y2 - y1 AS dy, greatest(least(((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / ((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)), 1), 0) AS s FROM c, e WHERE c_custkey NOT IN (SELECT c_custkey FROM i)),
+d AS (SELECT c_custkey, poly, sqrt((x1 + s * dx - x) * (x1 + s * dx - x) + (y1 + s * dy - y) * (y1 + s * dy - y)) AS distance FROM t), n AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY distance, poly) = 1)
+SELECT c_custkey, poly, 0.0 AS distance FROM i UNION ALL SELECT c_custkey, poly, round(distance, 6) FROM n""")
+def polygon_or_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The triangle that holds each point, else the one with the nearest edge."""
+    return Y.polygon_or_nearest(*_triangles(spark, sf_dir), "c_custkey", "poly", "x", "y", 4.0).withColumn("distance", F.round("distance", 6))
 
 
 @query("""

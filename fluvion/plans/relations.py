@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from fluvion.operators import graph as G
 from fluvion.operators import grid as R
 from fluvion.operators import joins as J
+from fluvion.operators import nearest as N
 from fluvion.plans.register import registry
 from fluvion.session import table
 
@@ -104,7 +105,7 @@ WITH s AS ({POINTS[0]}), c AS ({POINTS[1]}), d AS (SELECT s_suppkey, c_custkey,
 r AS (SELECT *, row_number() OVER (PARTITION BY s_suppkey ORDER BY distance, c_custkey) AS r FROM d) SELECT s_suppkey, c_custkey, round(distance, 6) AS distance FROM r WHERE r = 1""")
 def nearest_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     s, c = _points(spark, sf_dir)
-    return J.nearest(s, c, "s_suppkey", "c_custkey", ["x", "y"], 50.0).withColumn("distance", F.round("distance", 6))
+    return N.nearest(s, c, "s_suppkey", "c_custkey", ["x", "y"]).withColumn("distance", F.round("distance", 6))
 
 
 @query(f"""
@@ -129,7 +130,7 @@ PLACE = "({k} * 37 % 1200) / 10.0 - 60 AS lat, ({k} * 91 % 3600) / 10.0 - 180 AS
 
 
 @query(f"""
-WITH t AS (SELECT s_suppkey, s_nationkey % 7 AS kind, {PLACE.format(k="s_suppkey")} FROM supplier), d AS (SELECT c_custkey, c_nationkey % 7 AS kind, {PLACE.format(k="c_custkey")} FROM customer WHERE c_acctbal > 9000),
+WITH t AS (SELECT s_suppkey, s_nationkey % 7 AS kind, {PLACE.format(k="s_suppkey")} FROM supplier), d AS (SELECT c_custkey, c_nationkey % 7 AS kind, {PLACE.format(k="c_custkey")} FROM customer),
 p AS (SELECT s_suppkey, c_custkey, t.kind > 0 AND t.kind = d.kind AS same, abs(t.lat - d.lat) <= 2 + 1e-9 AS band,
   2 * 6371.0 * asin(sqrt(least(1, power(sin(radians(t.lat - d.lat) / 2), 2) + cos(radians(t.lat)) * cos(radians(d.lat)) * power(sin(radians(t.lon - d.lon) / 2), 2)))) AS km FROM t, d),
 l AS (SELECT *, CASE WHEN km <= 250 THEN 2 WHEN same THEN 3 WHEN band THEN 4 ELSE 5 END AS level FROM p),
@@ -140,7 +141,7 @@ def donor_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nearest donor within a radius, else of an equal kind, else in the latitude band, else anywhere."""
     at = lambda k: [((F.col(k) * 37 % 1200) / 10.0 - 60).alias("lat"), ((F.col(k) * 91 % 3600) / 10.0 - 180).alias("lon")]
     t = table(spark, sf_dir, "supplier").select("s_suppkey", (F.col("s_nationkey") % 7).alias("kind"), *at("s_suppkey"))
-    d = table(spark, sf_dir, "customer").where("c_acctbal > 9000").select("c_custkey", (F.col("c_nationkey") % 7).alias("kind"), *at("c_custkey"))
+    d = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_nationkey") % 7).alias("kind"), *at("c_custkey"))
     return J.choose_donors(t, d, "s_suppkey", "c_custkey", "lat", "lon", "kind", 250.0, 2.0).withColumn("km", F.round("km", 4))
 
 

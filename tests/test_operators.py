@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fluvion.functions import physics, rules
-from fluvion.operators import aggregates, allocation, campaign, graph, grid, joins, placement, records
+from fluvion.operators import aggregates, allocation, campaign, graph, grid, joins, nearest, placement, records
 from fluvion.sources import binary, text
 
 
@@ -181,7 +181,7 @@ def test_nearest_equals_brute_force(spark):
     left = [(i, draw.uniform(-500, 500), draw.uniform(-20, 20)) for i in range(40)]
     right = [(i, draw.uniform(-90, 90), draw.uniform(-20, 20)) for i in range(30)]
     want = [(i, min(right, key=lambda r: ((r[1] - x) ** 2 + (r[2] - y) ** 2, r[0]))[0]) for i, x, y in left]
-    out = joins.nearest(spark.createDataFrame(left, "l int, x double, y double"), spark.createDataFrame(right, "r int, x double, y double"), "l", "r", ["x", "y"], 5.0)
+    out = nearest.nearest(spark.createDataFrame(left, "l int, x double, y double"), spark.createDataFrame(right, "r int, x double, y double"), "l", "r", ["x", "y"])
     assert values(out.select("l", "r"), "l") == want
 
 
