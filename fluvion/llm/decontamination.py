@@ -114,7 +114,7 @@ def intersect(index: DataFrame, items: DataFrame) -> DataFrame:
 
 def indexed(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str) -> tuple[DataFrame, DataFrame]:
     """The items' words ``(_item, _id, _n, _ipos, term)`` and the index of their terms, both written."""
-    item_rows = benchmark.where(F.col(item_col).isNotNull()).select(
+    item_rows = benchmark.select(
         F.monotonically_increasing_id().alias("_item"), F.col(item_col).cast("string").alias("_id"), index_words(F.col(item_text).cast("string")).alias("_words")
     )
     items = item_rows.select("_item", "_id", F.size("_words").alias("_n"), F.posexplode("_words").alias("_ipos", "_word")).withColumn("term", F.xxhash64("_word")).drop("_word")
@@ -141,7 +141,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row per input row: n_words, n_hit, n_items, items_sha256, contaminated, and the proximity matches: n_near_items, near_items (sorted ids, comma-joined).
 
     Null or wordless texts have no words and no hits; null or wordless items
-    occur nowhere, and items without an id are not counted. Repeated rows, of
+    occur nowhere; words of items without an id are hit, but those items are not
+    listed or counted. Repeated rows, of
     documents or items, are each treated as a row of their own; an item id
     counts once. Ties between equally rare terms go to the earlier word. Empty
     tables give empty or clean results. Other columns are ignored.

@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from fluvion.session import ship, tidy
 
-#: One tag, comment or declaration. Attribute values in quotes may hold ">".
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.DOTALL)
+#: The start of a tag, comment or declaration; and within a tag, its end or the start of a quoted value.
+MARKUP = re.compile(r"<(?:(!--)|[!?]|(/?)([A-Za-z][A-Za-z0-9:-]*))")
+STOP = re.compile(r"""=\s*["']|>""")
 ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 TOKEN = re.compile(r"[A-Za-z]+")
 #: Elements whose text is never shown as text.
@@ -56,6 +57,16 @@ NAMES = [FEATURES.index(f) for f in ("noise", "main")]
 TAGS = [FEATURES.index(f) for f in ("list item", "heading", "paragraph", "before title")]
 
 
+def tag_end(page: str, at: int) -> tuple[int, int]:
+    """Where a tag's attributes end and where the page goes on. As in a browser, a value in quotes may hold ">", and a tag or value that never ends takes the rest of the page."""
+    while (m := STOP.search(page, at)) and m[0] != ">":
+        close = page.find(m[0][-1], m.end())
+        if close < 0:
+            return len(page), len(page)
+        at = close + 1
+    return (m.start(), m.end()) if m else (len(page), len(page))
+
+
 @dataclass
 class Element:
     tag: str
@@ -125,15 +136,18 @@ def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
 
     size = len(page)
     while at < size:
-        m = TAG.search(page, at)
+        m = MARKUP.search(page, at)
         if m is None:
             text(page[at:])
             break
         text(page[at : m.start()])
-        at = m.end()
-        if m[2] is None:
+        if m[3] is None:
+            mark = "-->" if m[1] else ">"
+            end = page.find(mark, m.end() - 2 * bool(m[1]))
+            at = end + len(mark) if end >= 0 else size
             continue
-        name, closing = m[2].lower(), bool(m[1])
+        stop, at = tag_end(page, m.end())
+        name, closing, attributes = m[3].lower(), bool(m[2]), page[m.end() : stop]
         if name == "br":
             text(" ")
             continue
@@ -147,7 +161,7 @@ def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
             end = re.compile(rf"</{name}\s*>|</{name}\Z", re.IGNORECASE).search(page, at)
             at = end.end() if end else size
             continue
-        if name in VOID or m[3].endswith("/"):
+        if name in VOID or attributes.endswith("/"):
             continue
         if name in INLINE:
             stack.append(name)
@@ -159,7 +173,7 @@ def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
         place, own = holders[-1]
         if elements[own].tag == "p" and own or (elements[own].tag == name and name in SIBLINGS):
             close_down_to(place)
-        words = {w.lower() for a in ATTRIBUTE.findall(m[3]) for w in TOKEN.findall("".join(a))} if m[3] else set()
+        words = {w.lower() for a in ATTRIBUTE.findall(attributes) for w in TOKEN.findall("".join(a))} if attributes else set()
         parent = holders[-1][1]
         words.add(name)
         # The page's own frame is neither; a heading part inside the article is told apart later.

@@ -68,8 +68,15 @@ def superminhash(sets: list[np.ndarray], m: int) -> np.ndarray:
     Round j takes place j of every shingle's permutation. A slot first hit in
     round j has a value in [j, j + 1), below that of any later round, so its
     value is the smallest draw of that round, and a set whose slots are all
-    filled stops early.
+    filled stops early. A large set is taken in parts: its signature is the
+    least of theirs, slot by slot, so memory does not grow with a text.
     """
+    parts = [s[k : k + CHUNK] for s in sets for k in range(0, len(s), CHUNK)]
+    counts = np.array([-(-len(s) // CHUNK) for s in sets])
+    return np.minimum.reduceat(_signatures(parts, m), np.cumsum(counts) - counts) if len(sets) else np.zeros((0, m), np.uint64)
+
+
+def _signatures(sets: list[np.ndarray], m: int) -> np.ndarray:
     out = np.zeros((len(sets), m), dtype=np.uint64)
     start = 0
     while start < len(sets):

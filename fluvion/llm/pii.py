@@ -49,8 +49,8 @@ NAMING = re.compile(r"([A-Za-z-]{1,20})\x20?[:=]\x20?\Z")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: What is not part of a token at its ends.
 MARKS = ".,;:!?()[]{}\"'<>"
-#: A word with an inner mark.
-PARTED = re.compile(r"[^\W\d_][\w]*(?:[._%+-][\w]+)+")
+#: A word with an inner mark. An underscore is a mark and a word's character; each character fits one place only, so a match takes linear time.
+PARTED = re.compile(r"(?=[\w.%+-]*?(?:[.%+-]|_\w))[^\W\d_](?:\w|[.%+-]\w)*")
 #: Digits by which two numbers are similar.
 TAIL_DIGITS = 7
 

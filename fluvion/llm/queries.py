@@ -146,8 +146,8 @@ near AS (
   SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM (SELECT DISTINCT doc_id, item_id, n, ipos, unnest(range(delta - 4, delta + 1)) AS low FROM pairs)
   GROUP BY doc_id, item_id, n, low HAVING count(*) >= ceil(0.8 * n - 1e-9)
 ),
-near_ids AS (SELECT doc_id, count(*) AS n_near_items, string_agg(i, ',' ORDER BY i) AS near_items FROM near GROUP BY doc_id),
-items AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM found) GROUP BY doc_id)
+near_ids AS (SELECT doc_id, count(i) AS n_near_items, string_agg(i, ',' ORDER BY i) AS near_items FROM near GROUP BY doc_id),
+items AS (SELECT doc_id, count(i) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM found) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
   coalesce(n_near_items, 0) AS n_near_items, coalesce(near_items, '') AS near_items
