@@ -24,11 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fluvion.llm.wordcuts import KEPT, LONG, ByteWords, spelt, word_keys
+from fluvion.llm.wordcuts import KEPT, ByteWords, spelt, word_keys
 from fluvion.session import materialise, ship, tidy
 
 #: Texts encoded at once; distinct (document, pair) entries and bytes of group texts after which a chunk is closed.
 ENCODE_ROWS, ENTRIES, GROUP_BYTES = 200, 300_000, 1 << 23
+#: Characters of a word after which no word is kept beyond its batch.
+LONG_KEPT = 100_000
 
 
 def overlaps(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -49,7 +51,7 @@ def group_ends(first: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 
 class Aligned(NamedTuple):
-    """What a word adds to its document; ``pairs`` are A id << 32 | B id, each once, with its links in ``times``. ``text`` is None where the bytes differ."""
+    """What a document holds; ``pairs`` are A id << 32 | B id, each once, with its links in ``times``. ``text`` is None where the bytes differ."""
 
     n_a: int
     n_b: int
@@ -63,6 +65,30 @@ class Aligned(NamedTuple):
 FAILED = Aligned(0, 0, 0, 0, None, np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
+def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All places of the spans that begin at ``starts``, one span after the other."""
+    return np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+
+
+class Words:
+    """Aligned words by number: facts (A tokens, B tokens, groups, links, sound), group texts, and pairs with their links from ``first`` on, ``size`` of them."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.texts: list[bytes] = []
+        self.facts, self.first, self.size = np.zeros((0, 5), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pairs, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, keys: list[str], facts: np.ndarray, texts: list[bytes], owner: np.ndarray, pairs: np.ndarray, times: np.ndarray) -> None:
+        """``owner`` is the place in ``keys`` of each pair's word; pairs come word by word."""
+        self.number.update(zip(keys, range(len(self.texts), len(self.texts) + len(keys))))
+        size = np.bincount(owner, minlength=len(keys))
+        self.first = np.concatenate([self.first, len(self.pairs) + np.cumsum(size) - size])
+        self.size, self.facts = np.concatenate([self.size, size]), np.concatenate([self.facts, facts])
+        self.pairs, self.times = np.concatenate([self.pairs, pairs]), np.concatenate([self.times, times])
+        self.texts += texts
+
+
 class Aligner:
     """Aligns words by a byte-level tokenizer file (A) and a piece model with byte fallback (B)."""
 
@@ -74,10 +100,12 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.a_sizes, self.b_sizes = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
+        self.names = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
         self.blank = self.b.piece_to_id("▁")
         #: Whether no token of either goes on from another character to a space, or holds a newline beside others.
         self.cuts_safely = self.a.cuts_safely and not any("\n" in p or "▁" in p.lstrip("▁") for p in pieces)
-        self.kept: dict[str, Aligned] = {}
+        self.words = Words()
 
     def b_ids(self, words: list[str]) -> list[list[int]]:
         """B's ids of words as spelt. The model puts a space before what it is given, so a leading one is left to it."""
@@ -85,71 +113,79 @@ class Aligner:
         # Before a newline that space is a piece by itself, as no piece holds a newline.
         return [ids if w[0] == " " else ids[1:] if ids[:1] == [self.blank] else [] for w, ids in zip(words, found, strict=True)]
 
-    def align(self, keys: list[str]) -> list[Aligned]:
-        """Each word, given by its key; the words of a call are indexed and searched together."""
+    def align(self, keys: list[str]) -> None:
+        """Take in new words, given by their keys; those of a call are indexed and searched together."""
         words = [spelt(k) for k in keys]
-        a_ids = [np.frombuffer(x, "<u4").tolist() for x in (map(self.a.encode_word, keys) if self.cuts_safely else self.a.encode(words))]
-        b_ids = self.b_ids(words)
-        a_bytes, b_bytes = self.a_bytes, self.b_bytes
-        sound = []
-        for word, a, b in zip(words, a_ids, b_ids, strict=True):
-            want = word.encode()
-            sound.append(b"".join([a_bytes[i] for i in a]) == want and b"".join([b_bytes[i] for i in b]) == want)
-        a_flat = [i for ids, ok in zip(a_ids, sound, strict=True) if ok for i in ids]
-        b_flat = [i for ids, ok in zip(b_ids, sound, strict=True) if ok for i in ids]
-        first, last = overlaps(np.cumsum([len(a_bytes[i]) for i in a_flat], dtype=np.int64), np.cumsum([len(b_bytes[i]) for i in b_flat], dtype=np.int64))
+        want = [w.encode() for w in words]
+        a, b = list(map(self.a.encode_word, keys) if self.cuts_safely else self.a.encode(words)), self.b_ids(words)
+        a_flat, b_flat = np.frombuffer(b"".join(a), "<u4").astype(np.int64), np.array([i for ids in b for i in ids], np.int64)
+        a_n, b_n = np.array([len(x) // 4 for x in a], np.int64), np.array(list(map(len, b)), np.int64)
+        a_word, b_word = np.repeat(np.arange(len(keys)), a_n), np.repeat(np.arange(len(keys)), b_n)
+        sizes = np.array(list(map(len, want)), np.int64)
+        spell = lambda flat, table: b"".join([table[i] for i in flat.tolist()])
+        sound = (np.bincount(a_word, self.a_sizes[a_flat], len(keys)) == sizes) & (np.bincount(b_word, self.b_sizes[b_flat], len(keys)) == sizes)
+        if not (sound.all() and spell(a_flat, self.a_bytes) == spell(b_flat, self.b_bytes) == b"".join(want)):
+            a_from, b_from = np.cumsum(a_n) - a_n, np.cumsum(b_n) - b_n
+            sound = np.array([spell(a_flat[i : i + n], self.a_bytes) == w == spell(b_flat[j : j + m], self.b_bytes) for w, i, n, j, m in zip(want, a_from, a_n, b_from, b_n, strict=True)], dtype=bool)
+            a_keep, b_keep = sound[a_word], sound[b_word]
+            a_flat, a_word, b_flat, b_word = a_flat[a_keep], a_word[a_keep], b_flat[b_keep], b_word[b_keep]
+        first, last = overlaps(np.cumsum(self.a_sizes[a_flat]), np.cumsum(self.b_sizes[b_flat]))
         # A word's end is an end of both, so groups never cross words.
         ends = group_ends(first, last)
-        b_ends = last[ends].tolist() if len(ends) else []
-        ends, at, a_from, b_from, out = ends.tolist(), 0, 0, 0, []
-        for a, ok in zip(a_ids, sound, strict=True):
-            if not ok:
-                out.append(FAILED)
-                continue
-            stop, n_groups, links, texts, a_start, b_start = a_from + len(a), 0, {}, [], a_from, b_from
-            n_links = 0
-            while a_from < stop:
-                some, others = a_flat[a_from : ends[at] + 1], b_flat[b_from : b_ends[at] + 1]
-                texts.append(",".join(map(str, some)) + "|" + ",".join(map(str, others)))
-                n_links += len(some) * len(others)
-                if len(some) * len(others) > 4096:
-                    # A long group: its pairs of distinct ids, counted by number of tokens.
-                    (x, nx), (y, ny) = np.unique(some, return_counts=True), np.unique(others, return_counts=True)
-                    for i, n in zip(x.tolist(), nx.tolist(), strict=True):
-                        for j, m in zip(y.tolist(), ny.tolist(), strict=True):
-                            links[i << 32 | j] = links.get(i << 32 | j, 0) + n * m
-                else:
-                    for i in some:
-                        for j in others:
-                            links[i << 32 | j] = links.get(i << 32 | j, 0) + 1
-                n_groups += 1
-                a_from, b_from, at = ends[at] + 1, b_ends[at] + 1, at + 1
-            out.append(Aligned(a_from - a_start, b_from - b_start, n_groups, n_links, ";".join(texts).encode(), np.array(list(links), np.int64), np.array(list(links.values()), np.int64)))
-        return out
+        a_ends, b_ends = ends + 1, (last[ends] if len(ends) else ends) + 1
+        a_starts, b_starts = np.concatenate([[0], a_ends[:-1]])[: len(ends)], np.concatenate([[0], b_ends[:-1]])[: len(ends)]
+        x, y = a_ends - a_starts, b_ends - b_starts
+        word = a_word[a_starts]
+        links, owner, pairs, times = x * y, [], [], []
+        # All pairs of an A and a B token of a group, some groups at a time; then each pair of a word once.
+        cuts = np.searchsorted(np.cumsum(links), np.arange(0, links.sum(), 1 << 20), side="right")
+        for lo, hi in zip(cuts, [*cuts[1:], len(links)]):
+            n, nx, ny = links[lo:hi], x[lo:hi], y[lo:hi]
+            which = np.repeat(np.arange(hi - lo), n)
+            inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            codes = a_flat[a_starts[lo:hi][which] + inside // ny[which]] << 32 | b_flat[b_starts[lo:hi][which] + inside % ny[which]]
+            owner.append(word[lo:hi][which])
+            pairs.append(codes)
+        owner, pairs = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (owner, pairs))
+        order = np.lexsort((pairs, owner))
+        owner, pairs = owner[order], pairs[order]
+        new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (pairs[1:] != pairs[:-1])])) if len(pairs) else np.zeros(0, np.int64)
+        times = np.diff(np.append(new, len(pairs)))
+        groups = np.bincount(word, minlength=len(keys))
+        facts = np.stack([np.where(sound, a_n, 0), np.where(sound, b_n, 0), groups, np.bincount(word, links, len(keys)).astype(np.int64), sound], axis=1).astype(np.int64)
+        a_names, b_names = ([self.names[i] for i in flat.tolist()] for flat in (a_flat, b_flat))
+        texts = [",".join(a_names[i:j]) + "|" + ",".join(b_names[k:m]) for i, j, k, m in zip(a_starts.tolist(), a_ends.tolist(), b_starts.tolist(), b_ends.tolist(), strict=True)]
+        stops = np.cumsum(groups).tolist()
+        self.words.add(keys, facts, [";".join(texts[i:j]).encode() for i, j in zip([0, *stops], stops)], owner[new], pairs[new], times)
 
     def documents(self, texts: list[str | None]) -> list[Aligned]:
-        """Whole texts; those without tokens are ``FAILED`` or have no tokens either way."""
+        """Whole texts; those without tokens are ``FAILED``."""
         keys = [word_keys(t) if self.cuts_safely else [t if t[0] not in " \n" else " " + t] for t in texts if t]
-        if len(self.kept) > KEPT:
-            self.kept.clear()
-        new = list(set().union(*keys).difference(self.kept))
-        made = dict(zip(new, self.align(new), strict=True))
-        self.kept |= {k: v for k, v in made.items() if len(k) <= LONG}
-        words = self.kept if all(len(k) <= LONG for k in made) else self.kept | made
-        found = iter(keys)
+        if len(self.words.texts) > KEPT:
+            self.words = Words()
+        new = list(set().union(*keys).difference(self.words.number))
+        if new:
+            self.align(new)
+        w, found = self.words, iter(keys)
         out = []
         for t in texts:
             if not t:
                 out.append(FAILED)
                 continue
-            held = [words[k] for k in next(found)]
-            if any(w.text is None for w in held):
+            numbers = [w.number[k] for k in next(found)]
+            each, times = np.unique(np.array(numbers, np.int64), return_counts=True)
+            facts = times @ w.facts[each]
+            if facts[4] < len(numbers):
                 out.append(FAILED)
                 continue
-            n_a, n_b, n_groups, n_links = (sum(column) for column in zip(*[w[:4] for w in held], strict=True))
-            pairs, at = np.unique(np.concatenate([w.pairs for w in held]), return_inverse=True)
-            times = np.bincount(at, weights=np.concatenate([w.times for w in held]), minlength=len(pairs)).astype(np.int64)
-            out.append(Aligned(n_a, n_b, n_groups, n_links, b";".join([w.text for w in held]), pairs, times))
+            size = w.size[each]
+            at = spans(w.first[each], size)
+            pairs, place = np.unique(w.pairs[at], return_inverse=True)
+            links = np.bincount(place, w.times[at] * np.repeat(times, size), len(pairs)).astype(np.int64)
+            out.append(Aligned(*facts[:4].tolist(), b";".join([w.texts[i] for i in numbers]), pairs, links))
+        # Words too long to be kept make room at once.
+        if any(len(k) > LONG_KEPT for k in new):
+            self.words = Words()
         return out
 
 
