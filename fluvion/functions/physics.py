@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -77,6 +79,19 @@ def sphere_cell_area(lat: Column, size_deg: float, columns: int) -> Column:
     return 2 * F.pi() * EARTH_RADIUS_M * EARTH_RADIUS_M * (upper - lower) / columns
 
 
+def ellipsoid_cell_area(lat: Column, size_deg: float, columns: int, axis_m: float = 6378137.0, flattening: float = 1 / 298.257223563) -> Column:
+    """Area in m2 of a grid cell centred on ``lat`` on an ellipsoid of revolution (WGS 84), by the closed form of the authalic latitude."""
+    e = math.sqrt(flattening * (2 - flattening))
+
+    def below(degrees: Column) -> Column:
+        """Area between the equator and a latitude, over half the polar axis squared and the width in radians."""
+        s = F.sin(F.radians(degrees))
+        return s / (1 - (e * s) * (e * s)) + F.atanh(e * s) / e
+
+    polar = axis_m * (1 - flattening)
+    return (below(lat + size_deg / 2) - below(lat - size_deg / 2)) * (polar * polar * math.pi / columns)
+
+
 def great_circle_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
     return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(F.least(F.lit(1.0), a)))

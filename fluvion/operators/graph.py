@@ -201,3 +201,51 @@ def reduce_parents(parents: DataFrame, child: str, parent: str) -> DataFrame:
     nodes = parents.select(F.col(child).alias("node")).union(parents.select(F.col(parent).alias("node"))).where("node is not null").distinct()
     out = levels(nodes, parents.where(F.col(parent).isNotNull()), "node", child, parent)
     return out.select("node", F.coalesce("level", F.raise_error(F.lit("parents form a loop")).cast("int")).alias("longest"))
+
+
+def loops(network: DataFrame, node: str = "cell_id", to: str = "next_id") -> DataFrame:
+    """``(loop, node, place)``: the members of each loop of downstream pointers; its smallest node names it and has place 0.
+
+    Pointers are doubled until they reach past every way that leads to a loop:
+    what they still reach lies on loops. The same doubling on those nodes gives
+    each the least node ahead of it and the steps to it. A pointer to itself is
+    no loop; null and unknown ones end.
+    """
+    ids = network.select(F.col(node).alias("node"), F.col(to).alias("to")).where("to is not null and to <> node")
+    first = materialise(ids.join(ids.select(F.col("node").alias("to")), "to", "left_semi").select("node", "to"), "pointers")
+    rounds = first.count().bit_length()
+    jump = first
+    for _ in range(rounds):
+        jump = materialise(jump.join(jump.select(F.col("node").alias("to"), F.col("to").alias("_next")), "to").select("node", F.col("_next").alias("to")), "pointers")
+        if jump.isEmpty():
+            break
+    members = jump.select(F.col("to").alias("node")).distinct()
+    # (least node met, steps to it) over the next 2**k nodes, itself first; on a loop the way comes round again, and the first meeting counts.
+    state = materialise(first.join(members, "node", "left_semi").select("node", "to", F.struct(F.col("node").alias("m"), F.lit(0).cast("long").alias("d")).alias("best")), "loops")
+    for k in range(state.count().bit_length()):
+        ahead = state.select(F.col("node").alias("to"), F.col("to").alias("_next"), F.struct(F.col("best.m").alias("m"), (F.col("best.d") + (1 << k)).alias("d")).alias("_ahead"))
+        state = materialise(state.join(ahead, "to").select("node", F.col("_next").alias("to"), F.least("best", "_ahead").alias("best")), "loops")
+    named = state.select("node", F.col("best.m").alias("loop"), F.col("best.d").alias("_d"))
+    sizes = named.groupBy("loop").agg(F.count("*").alias("_n"))
+    return named.join(sizes, "loop").select("loop", "node", F.pmod(F.col("_n") - F.col("_d"), F.col("_n")).alias("place"))
+
+
+def downstream_labels(network: DataFrame, seeds: DataFrame, label: str, node: str = "cell_id", to: str = "next_id") -> DataFrame:
+    """``(node, label)``: the smallest label among the seeds at or upstream of each node; nodes below no seed are left out.
+
+    By doubling, as in upstream_sum: after round k a node has the least label
+    of the seeds closer than 2**k steps above it. Loops are walked round once.
+    """
+    ids = network.select(F.col(node).alias("node"), F.col(to).alias("_to"))
+    known = ids.select(F.col("node").alias("_to"), F.lit(True).alias("_known"))
+    first = seeds.groupBy(F.col(node).alias("node")).agg(F.min(label).alias("label"))
+    state = ids.join(known, "_to", "left").select("node", F.when(F.col("_known") & (F.col("_to") != F.col("node")), F.col("_to")).alias("to")).join(first, "node", "left")
+    state = materialise(state, "labels")
+    for _ in range(state.count().bit_length() + 1):
+        live = state.where("to is not null")
+        if live.isEmpty():
+            break
+        sent = live.where("label is not null").groupBy(F.col("to").alias("node")).agg(F.min("label").alias("_sent"))
+        ahead = state.select(F.col("node").alias("to"), F.col("to").alias("_next"))
+        state = materialise(state.join(ahead, "to", "left").join(sent, "node", "left").select("node", F.col("_next").alias("to"), F.least("label", "_sent").alias("label")), "labels")
+    return state.where("label is not null").select("node", "label")

@@ -57,15 +57,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 def cached(spark: SparkSession, key: str, make: Callable[[], DataFrame]) -> DataFrame:
     """The table of a content key: read where an earlier call has written it whole, else made and written.
 
-    The key has to name everything that the table depends on. A write that was
-    cut off leaves no success mark and is made again elsewhere.
+    The key has to name everything that the table depends on. Each writer has a
+    folder of its own and then puts a pointer to it, if there is none: of two
+    at once the first counts for both, and one that is cut off leaves none.
     """
+    from fluvion.sources.commits import get, put_if_absent
+
     path = f"{shared_dir(spark)}/fluvion-cache/{hashlib.sha256(key.encode()).hexdigest()}"
-    system = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = system.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")):
-        make().write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return spark.read.parquet(path)
+    folder = get(spark, f"{path}/current")
+    if folder is None:
+        folder = uuid.uuid4().hex
+        make().write.option("compression", "zstd").parquet(f"{path}/{folder}")
+        if not put_if_absent(spark, f"{path}/current", folder):
+            folder = get(spark, f"{path}/current")
+    return spark.read.parquet(f"{path}/{folder}")
 
 
 class Rounds:
