@@ -70,18 +70,34 @@ def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
 
 
+class Numbers(dict):
+    """Numbers of words in order of their first use; those that are new since the last call of ``new`` are listed."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self[key] = number = len(self)
+        self.fresh.append(key)
+        return number
+
+    def new(self) -> list[str]:
+        found, self.fresh = self.fresh, []
+        return found
+
+
 class Words:
     """Aligned words by number: facts (A tokens, B tokens, groups, links, sound), group texts, and pairs with their links from ``first`` on, ``size`` of them."""
 
     def __init__(self):
-        self.number: dict[str, int] = {}
+        self.number = Numbers()
         self.texts: list[bytes] = []
         self.facts, self.first, self.size = np.zeros((0, 5), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pairs, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def add(self, keys: list[str], facts: np.ndarray, texts: list[bytes], owner: np.ndarray, pairs: np.ndarray, times: np.ndarray) -> None:
         """``owner`` is the place in ``keys`` of each pair's word; pairs come word by word."""
-        self.number.update(zip(keys, range(len(self.texts), len(self.texts) + len(keys))))
         size = np.bincount(owner, minlength=len(keys))
         self.first = np.concatenate([self.first, len(self.pairs) + np.cumsum(size) - size])
         self.size, self.facts = np.concatenate([self.size, size]), np.concatenate([self.facts, facts])
@@ -163,16 +179,18 @@ class Aligner:
         keys = [word_keys(t) if self.cuts_safely else [t if t[0] not in " \n" else " " + t] for t in texts if t]
         if len(self.words.texts) > KEPT:
             self.words = Words()
-        new = list(set().union(*keys).difference(self.words.number))
+        w = self.words
+        number, group_text = w.number.__getitem__, w.texts.__getitem__
+        found = iter([list(map(number, k)) for k in keys])
+        new = w.number.new()
         if new:
             self.align(new)
-        w, found = self.words, iter(keys)
         out = []
         for t in texts:
             if not t:
                 out.append(FAILED)
                 continue
-            numbers = [w.number[k] for k in next(found)]
+            numbers = next(found)
             each, times = np.unique(np.array(numbers, np.int64), return_counts=True)
             facts = times @ w.facts[each]
             if facts[4] < len(numbers):
@@ -182,7 +200,7 @@ class Aligner:
             at = spans(w.first[each], size)
             pairs, place = np.unique(w.pairs[at], return_inverse=True)
             links = np.bincount(place, w.times[at] * np.repeat(times, size), len(pairs)).astype(np.int64)
-            out.append(Aligned(*facts[:4].tolist(), b";".join([w.texts[i] for i in numbers]), pairs, links))
+            out.append(Aligned(*facts[:4].tolist(), b";".join(map(group_text, numbers)), pairs, links))
         # Words too long to be kept make room at once.
         if any(len(k) > LONG_KEPT for k in new):
             self.words = Words()
