@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from fluvion.plans import campaign, catalog, fields, gauges, relations, series, tables, verifiers, verify
+from fluvion.plans import campaign, catalog, fields, gauges, relations, reports, series, tables, verifiers, verify
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for module in (fields, relations, tables, gauges, verify, campaign, series, catalog, verifiers):
+for module in (fields, relations, tables, gauges, verify, campaign, series, catalog, verifiers, reports):
     QUERIES |= module.QUERIES
     ORACLES |= module.ORACLES
