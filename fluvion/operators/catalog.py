@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fluvion.operators.graph import downstream
+from fluvion.operators.graph import first_hit
 from fluvion.operators.records import combine_status
 
 
@@ -89,9 +89,8 @@ def merge_extensions(parts: list[DataFrame], keys: list[str]) -> DataFrame:
 
 def provenance_source(links: DataFrame, starts: DataFrame, item: str, source: str, kind: str, wanted: str) -> DataFrame:
     """``(item, found, step)``: the first object of the ``wanted`` kind on each item's way up its sources; nulls where there is none. Loops end a way."""
-    way = downstream(links, starts, item, source).join(links.select(F.col(item).alias("node"), F.col(kind).alias("_k")), "node")
-    hit = way.where(F.col("_k") == wanted).groupBy("seed").agg(F.min(F.struct("step", "node")).alias("_f"))
-    return starts.select(F.col(item).alias("seed")).distinct().join(hit, "seed", "left").select(F.col("seed").alias(item), F.col("_f.node").alias("found"), F.col("_f.step").alias("step"))
+    hits = first_hit(links, F.col(kind) == wanted, item, source).select(F.col("node").alias(item), "found", F.col("step").cast("int").alias("step"))
+    return starts.select(item).distinct().join(hits, item, "left").select(item, "found", "step")
 
 
 def stranded(attempts: DataFrame, run: str, number: str, state: str, live: str, parents: DataFrame, parent: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -249,3 +249,24 @@ def downstream_labels(network: DataFrame, seeds: DataFrame, label: str, node: st
         ahead = state.select(F.col("node").alias("to"), F.col("to").alias("_next"))
         state = materialise(state.join(ahead, "to", "left").join(sent, "node", "left").select("node", F.col("_next").alias("to"), F.least("label", "_sent").alias("label")), "labels")
     return state.where("label is not null").select("node", "label")
+
+
+def first_hit(network: DataFrame, hit: Column, node: str = "cell_id", to: str = "next_id") -> DataFrame:
+    """``(node, found, step)``: the first node for which ``hit`` holds on the way along the pointers, itself included, and the steps to it; nulls where there is none.
+
+    By doubling with the hit carried along: after round k a node knows the first
+    hit closer than 2**k steps. Only nodes without one go on, and no walk is
+    ever listed.
+    """
+    ids = network.select(F.col(node).alias("node"), F.col(to).alias("_to"), F.coalesce(hit, F.lit(False)).alias("_hit"))
+    known = ids.select(F.col("node").alias("_to"), F.lit(True).alias("_known"))
+    ahead = F.when(F.col("_known") & (F.col("_to") != F.col("node")), F.col("_to"))
+    own = F.when(F.col("_hit"), F.struct(F.lit(0).cast("long").alias("step"), F.col("node").alias("found")))
+    state = materialise(ids.join(known, "_to", "left").select("node", ahead.alias("to"), own.alias("best")), "hits")
+    for k in range(state.count().bit_length() + 1):
+        if state.where("to is not null and best is null").isEmpty():
+            break
+        far = state.select(F.col("node").alias("to"), F.col("to").alias("_next"), F.col("best").alias("_far"))
+        later = F.when(F.col("_far").isNotNull(), F.struct((F.col("_far.step") + (1 << k)).alias("step"), F.col("_far.found").alias("found")))
+        state = materialise(state.join(far, "to", "left").select("node", F.col("_next").alias("to"), F.coalesce("best", later).alias("best")), "hits")
+    return state.select("node", F.col("best.found").alias("found"), F.col("best.step").alias("step"))

@@ -111,16 +111,27 @@ def trace_service(network: DataFrame, seeds: DataFrame, flow: str, active: str,
     serves none serves itself.
     """
     cells = network.select(F.col(node).alias("node"), F.col(flow).alias("_q"), F.col(active).alias("_on"))
-    walk = downstream(network, seeds, node, to).join(cells, "node")
     own = cells.select(F.col("node").alias("seed"), F.col("_q").alias("_q0"))
-    walk = walk.join(own, "seed").withColumn("_f", F.col("_q0") / F.col("_q"))
     good = F.coalesce((F.col("_q0") > 0) & (F.col("_q") > 0) & (F.col("_f") >= min_fraction), F.lit(False))
-    ends = walk.where(~good).groupBy("seed").agg(F.min("step").alias("_end"))
-    held = walk.join(ends, "seed", "left").where((F.col("_end").isNull() | (F.col("step") < F.col("_end"))) & F.col("_on"))
-    # A walk has no more cells than its own river, and only the first count.
-    rank = F.row_number().over(Window.partitionBy("seed").orderBy("step"))
-    served = held.withColumn("_r", rank).where(F.col("_r") <= max_cells).select("seed", "node", "step", F.least("_f", F.lit(1.0)).alias("fraction"))
-    none = seeds.select(F.col(node).alias("seed")).join(served.select("seed"), "seed", "left_anti")
+    found = Rounds(network.sparkSession, "served")
+    # Walks are as long as most seeds need; those that neither ended nor served enough go on with longer ones.
+    pending, reach = materialise(seeds.select(node).distinct(), "tracing"), 2 * max_cells
+    while True:
+        walk = downstream(network, pending, node, to, reach).join(cells, "node").join(own, "seed").withColumn("_f", F.col("_q0") / F.col("_q"))
+        facts = walk.groupBy("seed").agg(F.min(F.when(~good, F.col("step"))).alias("_end"), F.max("step").alias("_far"))
+        held = walk.join(facts, "seed").where((F.col("_end").isNull() | (F.col("step") < F.col("_end"))) & F.col("_on"))
+        # A walk has no more cells than its bound, and only the first count.
+        ranked = held.withColumn("_r", F.row_number().over(Window.partitionBy("seed").orderBy("step"))).where(F.col("_r") <= max_cells)
+        ranked = materialise(ranked.select("seed", "node", "step", F.least("_f", F.lit(1.0)).alias("fraction"), "_r"), "ranked")
+        full = ranked.where(F.col("_r") == max_cells).select("seed", F.lit(True).alias("_full"))
+        open_ = facts.join(full, "seed", "left").where(F.col("_end").isNull() & (F.col("_far") >= reach) & F.col("_full").isNull()).select("seed")
+        open_ = materialise(open_, "tracing")
+        found.add(ranked.drop("_r").join(open_, "seed", "left_anti"))
+        if open_.isEmpty():
+            break
+        pending, reach = open_.select(F.col("seed").alias(node)), 4 * reach
+    served = found.rows()
+    none = seeds.select(F.col(node).alias("seed")).distinct().join(served.select("seed"), "seed", "left_anti")
     return served.unionByName(none.select("seed", F.col("seed").alias("node"), F.lit(0).alias("step"), F.lit(1.0).alias("fraction")))
 
 
