@@ -92,16 +92,28 @@ def ladder(targets: DataFrame, steps: list[tuple[str, DataFrame]], target: str,
 def match_one_to_one(pairs: DataFrame, lid: str, rid: str, distance: str, max_rounds: int = 200) -> DataFrame:
     """Greedy one-to-one matching, nearest pairs first (ties by the ids), each side used once.
 
-    Pairs that are the best of both their sides are taken together; they are
-    those that greedy would take whatever comes between. Then the rest is
-    matched again. Repeated pairs count once.
+    A pair without a better one on either side is taken. A pair with exactly
+    one better neighbour is taken if that one is not, so a chain of such pairs
+    is settled from its head by its parity, by pointer doubling, however long it
+    is. Pairs with several better neighbours wait for the next round. Repeated
+    pairs count once.
     """
-    rest = materialise(pairs.groupBy(lid, rid).agg(F.min(distance).alias(distance)), "pairs")
     order = [F.col(distance), F.col(lid), F.col(rid)]
+    rest = materialise(pairs.groupBy(lid, rid).agg(F.min(distance).alias(distance)).withColumn("_p", F.monotonically_increasing_id()), "pairs")
     taken = Rounds(pairs.sparkSession, "matched")
     for _ in range(max_rounds):
-        best_l, best_r = Window.partitionBy(lid).orderBy(*order), Window.partitionBy(rid).orderBy(*order)
-        hits = taken.add(rest.withColumn("_l", F.row_number().over(best_l)).withColumn("_r", F.row_number().over(best_r)).where("_l = 1 and _r = 1").drop("_l", "_r"))
+        by_l, by_r = Window.partitionBy(lid).orderBy(*order), Window.partitionBy(rid).orderBy(*order)
+        ranked = rest.select("_p", (F.row_number().over(by_l) + F.row_number().over(by_r) - 2).alias("_better"), F.coalesce(F.lag("_p").over(by_l), F.lag("_p").over(by_r)).alias("_ahead"))
+        chains = ranked.select("_p", F.when(F.col("_better") == 1, F.col("_ahead")).otherwise(F.col("_p")).alias("_to"), (F.col("_better") == 1).cast("int").alias("_odd"), (F.col("_better") == 0).alias("_head"))
+        state = chains = materialise(chains, "chains")
+        while True:
+            ahead = state.select(F.col("_p").alias("_to"), F.col("_to").alias("_next"), F.col("_odd").alias("_more"))
+            state = materialise(state.join(ahead, "_to").select("_p", F.col("_next").alias("_to"), F.col("_odd").bitwiseXOR(F.col("_more")).alias("_odd"), (F.col("_next") != F.col("_to")).alias("_moved")), "chains")
+            if state.where("_moved").isEmpty():
+                break
+        heads = chains.where("_head").select(F.col("_p").alias("_to"))
+        settled = rest.join(state.where("_odd = 0").join(heads, "_to", "left_semi").select("_p"), "_p", "left_semi")
+        hits = taken.add(settled.select(lid, rid, distance))
         rest = materialise(rest.join(hits.select(lid), lid, "left_anti").join(hits.select(rid), rid, "left_anti"), "pairs")
         if rest.isEmpty():
             return taken.rows()

@@ -134,3 +134,23 @@ def test_no_polygons_and_no_points(spark):
     df = spark.createDataFrame([(1, 0.0, 0.0)], "p int, x double, y double")
     assert [tuple(r) for r in polygons.polygon_or_nearest(df, edges, "p", "poly", "x", "y", 1.0).collect()] == [(1, None, None)]
     assert polygons.polygon_or_nearest(df.limit(0), edges, "p", "poly", "x", "y", 1.0).collect() == []
+
+
+def test_a_long_chain_of_better_neighbours_is_matched(spark):
+    chain = [(k // 2 + k % 2, k // 2, float(k)) for k in range(1000)]
+    out = joins.match_one_to_one(spark.createDataFrame(chain, "a int, b int, d double"), "a", "b", "d", max_rounds=3)
+    assert sorted((r.a, r.b, r.d) for r in out.collect()) == sorted(chain[::2])
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_matching_equals_the_greedy_loop(spark, seed):
+    rnd = random.Random(seed)
+    pairs = [(rnd.randint(0, 25), rnd.randint(0, 25), float(rnd.randint(0, 6))) for _ in range(250)]
+    want, left, right = [], set(), set()
+    for d, a, b in sorted((d, a, b) for a, b, d in pairs):
+        if a not in left and b not in right:
+            want.append((a, b, d))
+            left.add(a)
+            right.add(b)
+    out = joins.match_one_to_one(spark.createDataFrame(pairs, "a int, b int, d double"), "a", "b", "d")
+    assert sorted(map(tuple, out.select("a", "b", "d").collect())) == sorted(want)
