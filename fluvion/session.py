@@ -10,6 +10,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,15 +33,39 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: Folders below the application's own that tables are written to just now, the innermost last.
+_scopes: ContextVar[tuple[str, ...]] = ContextVar("scopes", default=())
+
+
 def own_dir(spark: SparkSession) -> str:
     """The folder of this application's intermediate tables."""
-    return f"{shared_dir(spark)}/fluvion/{spark.sparkContext.applicationId}"
+    return "/".join([shared_dir(spark), "fluvion", spark.sparkContext.applicationId, *_scopes.get()])
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The rows that ``make`` gives, as a written table. Tables that were written on the way are deleted when it is whole.
+
+    Only what is returned may be read afterwards: nothing that ``make`` has
+    kept elsewhere.
+    """
+    path, mark = f"{own_dir(spark)}/{name}-{uuid.uuid4().hex}", _scopes.set((*_scopes.get(), f"scope-{uuid.uuid4().hex}"))
+    try:
+        df = make()
+        df.write.option("compression", "zstd").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    finally:
+        _delete(spark, own_dir(spark))
+        _scopes.reset(mark)
 
 
 def clear(spark: SparkSession) -> None:
     """Delete this application's intermediate tables. Results that were not yet written elsewhere cannot be read afterwards."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(own_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, own_dir(spark))
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

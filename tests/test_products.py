@@ -172,3 +172,19 @@ def test_ellipsoid_areas_sum_to_the_ellipsoid(spark):
     assert 720 * rows.agg(F.sum("a")).first()[0] == pytest.approx(510065621724088.44, rel=1e-9)
     ball = spark.range(1).select(physics.ellipsoid_cell_area(F.lit(30.0), 1.0, 360, 6371000.0, 1e-9), physics.sphere_cell_area(F.lit(30.0), 1.0, 360)).first()
     assert ball[0] == pytest.approx(ball[1], rel=1e-6)
+
+
+def test_only_the_settled_table_is_left(spark):
+    paths = []
+
+    def make():
+        inner = session.settled(spark, lambda: session.materialise(spark.range(10), "deep"), "inner")
+        paths.append(session.own_dir(spark))
+        return session.materialise(inner.where("id > 2"), "way")
+
+    out = session.settled(spark, make, "result")
+    files = spark._jvm.org.apache.hadoop.fs.Path(paths[0])
+    assert out.count() == 7 and not files.getFileSystem(spark._jsc.hadoopConfiguration()).exists(files)
+    with pytest.raises(ZeroDivisionError):
+        session.settled(spark, lambda: 1 // 0, "fails")
+    assert session.own_dir(spark) != paths[0] and paths[0].startswith(session.own_dir(spark))
