@@ -9,6 +9,8 @@ stage as an empty table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,12 +19,13 @@ from fluvion.llm.language import fit_languages, keep_identified
 from fluvion.llm.near_dedup import near_duplicates
 from fluvion.llm.sampled_pieces import sample_pieces
 from fluvion.llm.secrets import fit_secrets, redact
-from fluvion.session import materialise, table
+from fluvion.session import materialise, settled, table
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` but for the ids in ``gone``; rows without an id stay."""
-    return docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+def without(docs: DataFrame, gone: Callable[[], DataFrame]) -> DataFrame:
+    """``docs`` but for the ids that ``gone`` gives; rows without an id stay. The ids alone are kept of what was written to find them."""
+    ids = settled(docs.sparkSession, lambda: gone().select("doc_id").distinct(), "gone")
+    return docs.join(ids, "doc_id", "left_anti").select(*docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +44,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Texts without words are in no group. Rows that share an id are one node
     with all their links; repeated rows stay or go together.
     """
-    return without(docs, near_duplicates(docs).where("not kept"))
+    return without(docs, lambda: near_duplicates(docs).where("not kept"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +53,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Null and wordless texts have no hits. If any row of an id is contaminated,
     all its rows go. An empty benchmark lets everything pass.
     """
-    return without(docs, decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated"))
+    return without(docs, lambda: decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
