@@ -90,7 +90,9 @@ def recomputed(unit: DataFrame, source: DataFrame, weights: DataFrame, keys: lis
     difference) and status. Weights are normalised over the coarse cells that
     have a value.
     """
-    fine = weights.join(source.select(*keys, time, coarse, F.col(value).alias("_v")).where("_v is not null"), coarse)
+    # Only the cells and days of the sample meet their sources, so no row is made that the sample does not ask for.
+    asked = unit.select(*keys, time, cell).distinct().join(weights.select(cell, coarse, weight), cell)
+    fine = asked.join(source.select(*keys, time, coarse, F.col(value).alias("_v")).where("_v is not null"), [*keys, time, coarse])
     means = fine.groupBy(*keys, time, cell).agg((F.sum(F.col(weight) * F.col("_v")) / F.sum(weight)).alias("_again"))
     both = unit.join(means, [*keys, time, cell], "left")
     v, again = F.col(value), F.col("_again")

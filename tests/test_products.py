@@ -188,3 +188,13 @@ def test_only_the_settled_table_is_left(spark):
     with pytest.raises(ZeroDivisionError):
         session.settled(spark, lambda: 1 // 0, "fails")
     assert session.own_dir(spark) != paths[0] and paths[0].startswith(session.own_dir(spark))
+
+
+def test_only_the_sample_meets_its_sources(spark):
+    # Cell 9 is not in the sample: adding up its weights would overflow.
+    unit = spark.createDataFrame([("u", 101, 1, 5.0), ("u", 101, 1, 7.0), ("u", 102, 2, 4.0), ("u", 103, 1, 1.0)], "unit string, time int, cell int, v double")
+    source = spark.createDataFrame([("u", t, c, float(10 * c + t - 100)) for t in (101, 102) for c in (1, 2)], "unit string, time int, coarse int, v double")
+    weights = spark.createDataFrame([(1, 1, 3), (1, 2, 1), (2, 2, 1), (9, 1, 1 << 62), (9, 2, 1 << 62)], "cell int, coarse int, weight long")
+    row = verifiers.recomputed(unit, source, weights, ["unit"], "time", "cell", "coarse", "v", "weight", 20.0).first()
+    # Recomputed: 13.5 for both values of cell 1 on day 101, 22 for cell 2, none for day 103.
+    assert (row.n, row.n_missing, row.worst, row.status) == (4, 1, 18.0, "failed")
