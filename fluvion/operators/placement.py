@@ -117,7 +117,7 @@ def trace_service(network: DataFrame, seeds: DataFrame, flow: str, active: str,
     # Walks are as long as most seeds need; those that neither ended nor served enough go on with longer ones.
     pending, reach = materialise(seeds.select(node).distinct(), "tracing"), 2 * max_cells
     while True:
-        walk = downstream(network, pending, node, to, reach).join(cells, "node").join(own, "seed").withColumn("_f", F.col("_q0") / F.col("_q"))
+        walk = downstream(network, pending, node, to, reach).join(cells, "node").join(own, "seed").withColumn("_f", F.try_divide("_q0", "_q"))
         facts = walk.groupBy("seed").agg(F.min(F.when(~good, F.col("step"))).alias("_end"), F.max("step").alias("_far"))
         held = walk.join(facts, "seed").where((F.col("_end").isNull() | (F.col("step") < F.col("_end"))) & F.col("_on"))
         # A walk has no more cells than its bound, and only the first count.

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fluvion import session
 from fluvion.functions import physics
-from fluvion.operators import graph, names, verifiers
+from fluvion.operators import graph, names, placement, verifiers
 from fluvion.sources import commits, registers
 
 
@@ -198,3 +198,10 @@ def test_only_the_sample_meets_its_sources(spark):
     row = verifiers.recomputed(unit, source, weights, ["unit"], "time", "cell", "coarse", "v", "weight", 20.0).first()
     # Recomputed: 13.5 for both values of cell 1 on day 101, 22 for cell 2, none for day 103.
     assert (row.n, row.n_missing, row.worst, row.status) == (4, 1, 18.0, "failed")
+
+
+def test_service_ends_at_a_cell_without_flow(spark):
+    rows = [(1, 2, 4.0, True), (2, 3, 8.0, True), (3, 4, 0.0, True), (4, None, 16.0, True), (5, 4, None, True)]
+    n = spark.createDataFrame(rows, "cell_id int, next_id int, flow double, active boolean")
+    got = {(r.seed, r.node, r.step, r.fraction) for r in placement.trace_service(n, n, "flow", "active", 0.2, 4).collect()}
+    assert got == {(1, 1, 0, 1.0), (1, 2, 1, 0.5), (2, 2, 0, 1.0), (3, 3, 0, 1.0), (4, 4, 0, 1.0), (5, 5, 0, 1.0)}
