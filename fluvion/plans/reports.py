@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,7 +75,9 @@ SELECT * FROM r""")
 def soil_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Soils that break the rules on porosity and base flow, by layer."""
     key = F.col("p_partkey")
-    c = E.soil_columns(0.1 + F.col("p_size") / 20.0, 1100.0 + F.col("p_retailprice") / 3, F.lit(2650.0), 0.001 * (key % 9), F.lit(0.0001), 100.0 + key % 700, F.lit(2.0))
+    # Decimals, as in the SQL: where a flow share is 1 exactly, a product rounded in binary falls on either side.
+    n = lambda text: F.lit(Decimal(text))
+    c = E.soil_columns(0.1 + F.col("p_size") / 20.0, 1100.0 + F.col("p_retailprice") / 3, n("2650.0"), n("0.001") * (key % 9), n("0.0001"), n("100.0") + key % 700, n("2.0"))
     soils = table(spark, sf_dir, "part").select(F.col("p_size").alias("layer"), *[v.alias(k) for k, v in c.items()])
     rules = {"porosity": (F.col("porosity") > 0) & (F.col("porosity") < 1), "ds": F.col("ds").between(0, 1), "ws": F.col("ws").between(0, 1)}
     return E.soil_problems(soils, ["layer"], rules)

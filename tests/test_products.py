@@ -5,12 +5,14 @@ import struct
 import threading
 from difflib import SequenceMatcher
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from fluvion import session
 from fluvion.functions import physics
 from fluvion.operators import graph, names, placement, verifiers
+from fluvion.plans import reports
 from fluvion.sources import commits, registers
 
 
@@ -205,3 +207,12 @@ def test_service_ends_at_a_cell_without_flow(spark):
     n = spark.createDataFrame(rows, "cell_id int, next_id int, flow double, active boolean")
     got = {(r.seed, r.node, r.step, r.fraction) for r in placement.trace_service(n, n, "flow", "active", 0.2, 4).collect()}
     assert got == {(1, 1, 0, 1.0), (1, 2, 1, 0.5), (2, 2, 0, 1.0), (3, 3, 0, 1.0), (4, 4, 0, 1.0), (5, 5, 0, 1.0)}
+
+
+def test_soils_on_the_edge_of_a_rule_equal_sql(spark, tmp_path):
+    rows = [(k, s, 900 + (k % 1000) / 10) for k in range(0, 63000, 5) for s in (8,)]
+    spark.createDataFrame(rows, "p_partkey long, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    got = {(r.layer, r["rule"], r.n) for r in reports.soil_problems(spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW part AS SELECT * FROM read_parquet('{tmp_path}/part.parquet/*.parquet')").fetchall()
+    assert got == set(con.execute(reports.ORACLES["soil_problems"]).fetchall())
