@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fluvion.session import Rounds, materialise
+from fluvion.session import Rounds, materialise, spread
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -58,17 +58,17 @@ def outlets(network: DataFrame, node: str = "cell_id", to: str = "next_id", max_
     """
     ids = network.select(F.col(node).alias("node"), F.col(to).alias("_to"))
     known = ids.select(F.col("node").alias("_to"), F.lit(True).alias("_known"))
-    jump = ids.join(known, "_to", "left").select("node", F.when(F.col("_known") & (F.col("_to") != F.col("node")), F.col("_to")).otherwise(F.col("node")).alias("to"))
+    jump = ids.join(spread(known), "_to", "left").select("node", F.when(F.col("_known") & (F.col("_to") != F.col("node")), F.col("_to")).otherwise(F.col("node")).alias("to"))
     jump = first = materialise(jump, "outlets")
     # No path without a loop is longer than the number of nodes.
     for _ in range(min(max_rounds, first.count().bit_length())):
         ahead = jump.select(F.col("node").alias("to"), F.col("to").alias("_next"))
-        moved = materialise(jump.join(ahead, "to").select("node", F.col("_next").alias("to"), (F.col("to") != F.col("_next")).alias("_moved")), "outlets")
+        moved = materialise(jump.join(spread(ahead), "to").select("node", F.col("_next").alias("to"), (F.col("to") != F.col("_next")).alias("_moved")), "outlets")
         if moved.where("_moved").isEmpty():
             break
         jump = moved.select("node", "to")
     ends = first.where("node = to").select(F.col("node").alias("to"), F.lit(True).alias("_end"))
-    return jump.join(ends, "to", "left").select("node", F.when(F.col("_end"), F.col("to")).alias("outlet"))
+    return jump.join(spread(ends), "to", "left").select("node", F.when(F.col("_end"), F.col("to")).alias("outlet"))
 
 
 def upstream_sum(network: DataFrame, value: str, node: str = "cell_id", to: str = "next_id", max_rounds: int = 40) -> DataFrame:
@@ -80,7 +80,7 @@ def upstream_sum(network: DataFrame, value: str, node: str = "cell_id", to: str
     """
     ids = network.select(F.col(node).alias("node"), F.col(to).alias("_to"), F.col(value).cast("double").alias("held"))
     known = ids.select(F.col("node").alias("_to"), F.lit(True).alias("_known"))
-    state = ids.join(known, "_to", "left").select("node", F.when(F.col("_known") & (F.col("_to") != F.col("node")), F.col("_to")).alias("to"), "held")
+    state = ids.join(spread(known), "_to", "left").select("node", F.when(F.col("_known") & (F.col("_to") != F.col("node")), F.col("_to")).alias("to"), "held")
     state = materialise(state, "upstream")
     for _ in range(max_rounds):
         live = state.where("to is not null")
@@ -88,7 +88,7 @@ def upstream_sum(network: DataFrame, value: str, node: str = "cell_id", to: str
             return state.select("node", F.col("held").alias("upstream"))
         sent = live.groupBy(F.col("to").alias("node")).agg(F.sum("held").alias("_sent"))
         ahead = state.select(F.col("node").alias("to"), F.col("to").alias("_next"))
-        moved = state.join(ahead, "to", "left").select("node", F.col("_next").alias("to"), "held").join(sent, "node", "left")
+        moved = state.join(spread(ahead), "to", "left").select("node", F.col("_next").alias("to"), "held").join(spread(sent), "node", "left")
         state = materialise(moved.select("node", "to", (F.col("held") + F.coalesce("_sent", F.lit(0.0))).alias("held")), "upstream")
     raise ValueError("the network has a loop")
 
@@ -119,11 +119,11 @@ def _forest_levels(known: DataFrame, links: DataFrame) -> DataFrame:
             break
         sent = live.groupBy(F.col("to").alias("node")).agg(F.max(F.col("level") + (1 << k)).alias("_sent"))
         ahead = live.select(F.col("node").alias("to"), F.col("to").alias("_next"))
-        moved = state.join(ahead, "to", "left").join(sent, "node", "left")
+        moved = state.join(spread(ahead), "to", "left").join(spread(sent), "node", "left")
         state = materialise(moved.select("node", F.col("_next").alias("to"), F.greatest("level", F.coalesce("_sent", F.lit(0))).alias("level")), "levels")
     # What pointers still reach lies on a loop.
     looped = state.where("to is not null").select(F.col("to").alias("node"), F.lit(True).alias("_loop")).distinct()
-    return state.join(looped, "node", "left").select("node", F.when(F.col("_loop").isNull(), F.col("level")).alias("level"))
+    return state.join(spread(looped), "node", "left").select("node", F.when(F.col("_loop").isNull(), F.col("level")).alias("level"))
 
 
 def _layers(known: DataFrame, links: DataFrame, max_rounds: int) -> DataFrame:
@@ -151,16 +151,16 @@ def downstream(network: DataFrame, seeds: DataFrame, node: str = "cell_id", to:
     network ends the walk before it.
     """
     ids = network.select(F.col(node).alias("node"), F.col(to).alias("to"))
-    jump = ids.where("to is not null and to <> node").join(ids.select(F.col("node").alias("to")), "to", "left_semi").select("node", "to")
+    jump = ids.where("to is not null and to <> node").join(spread(ids.select(F.col("node").alias("to"))), "to", "left_semi").select("node", "to")
     jump = materialise(jump, "jumps")
     walks = materialise(seeds.select(F.col(node).alias("seed"), F.col(node).alias("node"), F.lit(0).alias("step")), "walks")
     reach = ids.count() if max_steps is None else min(max_steps, ids.count())
     k = 0
     while (1 << k) <= reach and not jump.isEmpty():
-        on = walks.join(jump, "node").select("seed", F.col("to").alias("node"), (F.col("step") + (1 << k)).alias("step")).where(F.col("step") <= reach)
+        on = walks.join(spread(jump), "node").select("seed", F.col("to").alias("node"), (F.col("step") + (1 << k)).alias("step")).where(F.col("step") <= reach)
         # On a loop a walk meets its own cells again; the first visit counts.
         walks = materialise(walks.unionByName(on).groupBy("seed", "node").agg(F.min("step").alias("step")), "walks")
-        jump = materialise(jump.join(jump.select(F.col("node").alias("to"), F.col("to").alias("_next")), "to").select("node", F.col("_next").alias("to")), "jumps")
+        jump = materialise(jump.join(spread(jump.select(F.col("node").alias("to"), F.col("to").alias("_next"))), "to").select("node", F.col("_next").alias("to")), "jumps")
         k += 1
     return walks
 
@@ -176,7 +176,7 @@ def follow_chain(edges: DataFrame, starts: DataFrame, target: object, frm: str =
     for _ in range(jump.count().bit_length() + 1):
         front = materialise(front.join(jump, "at", "left").select("start", F.coalesce("to", "at").alias("at"), (F.col("n_steps") + F.coalesce("_by", F.lit(0))).alias("n_steps")), "chain")
         ahead = jump.select(F.col("at").alias("to"), F.col("to").alias("_next"), F.col("_by").alias("_more"))
-        jump = materialise(jump.join(ahead, "to", "left").select("at", F.coalesce("_next", "to").alias("to"), (F.col("_by") + F.coalesce("_more", F.lit(0))).alias("_by")), "chain")
+        jump = materialise(jump.join(spread(ahead), "to", "left").select("at", F.coalesce("_next", "to").alias("to"), (F.col("_by") + F.coalesce("_more", F.lit(0))).alias("_by")), "chain")
     hit = F.coalesce(F.col("at") == target, F.lit(False))
     return front.select("start", hit.alias("reached"), F.when(hit, F.col("n_steps")).cast("int").alias("n_steps"))
 
@@ -212,22 +212,22 @@ def loops(network: DataFrame, node: str = "cell_id", to: str = "next_id") -> Dat
     no loop; null and unknown ones end.
     """
     ids = network.select(F.col(node).alias("node"), F.col(to).alias("to")).where("to is not null and to <> node")
-    first = materialise(ids.join(ids.select(F.col("node").alias("to")), "to", "left_semi").select("node", "to"), "pointers")
+    first = materialise(ids.join(spread(ids.select(F.col("node").alias("to"))), "to", "left_semi").select("node", "to"), "pointers")
     rounds = first.count().bit_length()
     jump = first
     for _ in range(rounds):
-        jump = materialise(jump.join(jump.select(F.col("node").alias("to"), F.col("to").alias("_next")), "to").select("node", F.col("_next").alias("to")), "pointers")
+        jump = materialise(jump.join(spread(jump.select(F.col("node").alias("to"), F.col("to").alias("_next"))), "to").select("node", F.col("_next").alias("to")), "pointers")
         if jump.isEmpty():
             break
     members = jump.select(F.col("to").alias("node")).distinct()
     # (least node met, steps to it) over the next 2**k nodes, itself first; on a loop the way comes round again, and the first meeting counts.
-    state = materialise(first.join(members, "node", "left_semi").select("node", "to", F.struct(F.col("node").alias("m"), F.lit(0).cast("long").alias("d")).alias("best")), "loops")
+    state = materialise(first.join(spread(members), "node", "left_semi").select("node", "to", F.struct(F.col("node").alias("m"), F.lit(0).cast("long").alias("d")).alias("best")), "loops")
     for k in range(state.count().bit_length()):
         ahead = state.select(F.col("node").alias("to"), F.col("to").alias("_next"), F.struct(F.col("best.m").alias("m"), (F.col("best.d") + (1 << k)).alias("d")).alias("_ahead"))
-        state = materialise(state.join(ahead, "to").select("node", F.col("_next").alias("to"), F.least("best", "_ahead").alias("best")), "loops")
+        state = materialise(state.join(spread(ahead), "to").select("node", F.col("_next").alias("to"), F.least("best", "_ahead").alias("best")), "loops")
     named = state.select("node", F.col("best.m").alias("loop"), F.col("best.d").alias("_d"))
     sizes = named.groupBy("loop").agg(F.count("*").alias("_n"))
-    return named.join(sizes, "loop").select("loop", "node", F.pmod(F.col("_n") - F.col("_d"), F.col("_n")).alias("place"))
+    return named.join(spread(sizes), "loop").select("loop", "node", F.pmod(F.col("_n") - F.col("_d"), F.col("_n")).alias("place"))
 
 
 def downstream_labels(network: DataFrame, seeds: DataFrame, label: str, node: str = "cell_id", to: str = "next_id") -> DataFrame:
@@ -239,7 +239,7 @@ def downstream_labels(network: DataFrame, seeds: DataFrame, label: str, node: st
     ids = network.select(F.col(node).alias("node"), F.col(to).alias("_to"))
     known = ids.select(F.col("node").alias("_to"), F.lit(True).alias("_known"))
     first = seeds.groupBy(F.col(node).alias("node")).agg(F.min(label).alias("label"))
-    state = ids.join(known, "_to", "left").select("node", F.when(F.col("_known") & (F.col("_to") != F.col("node")), F.col("_to")).alias("to")).join(first, "node", "left")
+    state = ids.join(spread(known), "_to", "left").select("node", F.when(F.col("_known") & (F.col("_to") != F.col("node")), F.col("_to")).alias("to")).join(spread(first), "node", "left")
     state = materialise(state, "labels")
     for _ in range(state.count().bit_length() + 1):
         live = state.where("to is not null")
@@ -247,7 +247,7 @@ def downstream_labels(network: DataFrame, seeds: DataFrame, label: str, node: st
             break
         sent = live.where("label is not null").groupBy(F.col("to").alias("node")).agg(F.min("label").alias("_sent"))
         ahead = state.select(F.col("node").alias("to"), F.col("to").alias("_next"))
-        state = materialise(state.join(ahead, "to", "left").join(sent, "node", "left").select("node", F.col("_next").alias("to"), F.least("label", "_sent").alias("label")), "labels")
+        state = materialise(state.join(spread(ahead), "to", "left").join(spread(sent), "node", "left").select("node", F.col("_next").alias("to"), F.least("label", "_sent").alias("label")), "labels")
     return state.where("label is not null").select("node", "label")
 
 
@@ -262,11 +262,11 @@ def first_hit(network: DataFrame, hit: Column, node: str = "cell_id", to: str =
     known = ids.select(F.col("node").alias("_to"), F.lit(True).alias("_known"))
     ahead = F.when(F.col("_known") & (F.col("_to") != F.col("node")), F.col("_to"))
     own = F.when(F.col("_hit"), F.struct(F.lit(0).cast("long").alias("step"), F.col("node").alias("found")))
-    state = materialise(ids.join(known, "_to", "left").select("node", ahead.alias("to"), own.alias("best")), "hits")
+    state = materialise(ids.join(spread(known), "_to", "left").select("node", ahead.alias("to"), own.alias("best")), "hits")
     for k in range(state.count().bit_length() + 1):
         if state.where("to is not null and best is null").isEmpty():
             break
         far = state.select(F.col("node").alias("to"), F.col("to").alias("_next"), F.col("best").alias("_far"))
         later = F.when(F.col("_far").isNotNull(), F.struct((F.col("_far.step") + (1 << k)).alias("step"), F.col("_far.found").alias("found")))
-        state = materialise(state.join(far, "to", "left").select("node", F.col("_next").alias("to"), F.coalesce("best", later).alias("best")), "hits")
+        state = materialise(state.join(spread(far), "to", "left").select("node", F.col("_next").alias("to"), F.coalesce("best", later).alias("best")), "hits")
     return state.select("node", F.col("best.found").alias("found"), F.col("best.step").alias("step"))

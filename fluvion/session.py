@@ -79,6 +79,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join by shuffle. Rounds that broadcast their tables, however small each is, add up on the driver."""
+    return df.hint("merge")
+
+
 def cached(spark: SparkSession, key: str, make: Callable[[], DataFrame]) -> DataFrame:
     """The table of a content key: read where an earlier call has written it whole, else made and written.
 

@@ -216,3 +216,11 @@ def test_soils_on_the_edge_of_a_rule_equal_sql(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW part AS SELECT * FROM read_parquet('{tmp_path}/part.parquet/*.parquet')").fetchall()
     assert got == set(con.execute(reports.ORACLES["soil_problems"]).fetchall())
+
+
+def test_rounds_send_no_table_to_the_driver(spark):
+    n = spark.range(300).select(F.col("id").alias("cell_id"), ((F.col("id") + 1) % 300).alias("next_id"), (F.col("id") % 20).alias("col"), F.floor(F.col("id") / 20).alias("row"), F.lit(0.0).alias("lat"), F.lit(0.0).alias("lon"), F.lit(True).alias("active"))
+    plans = [session.spread(n).join(session.spread(n.select("cell_id")), "cell_id"), verifiers.network_checks(n.select("cell_id", "next_id"), n, 20), graph.loops(n.select("cell_id", "next_id")).join(session.spread(n), F.col("node") == F.col("cell_id"))]
+    for df in plans:
+        df.collect()
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
