@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from fluvion.functions.physics import area_ratio, great_circle_km
 from fluvion.operators.graph import downstream
-from fluvion.session import Rounds, materialise
+from fluvion.session import Rounds, materialise, spread
 
 
 
@@ -90,16 +90,16 @@ def place_one_per_cell(df: DataFrame, item: str, cell: str, alternatives: str, o
             return done.rows()
         touched = rest.select(item, "_by", F.explode(F.array_distinct(F.concat(F.array("_cell"), "_others"))).alias("_c"))
         first = touched.groupBy("_c").agg(F.min("_by").alias("_first"))
-        free = touched.join(first, "_c").groupBy(item).agg(F.every(F.col("_by") == F.col("_first")).alias("_ok")).where("_ok").select(item)
-        now = materialise(rest.join(free, item, "left_semi"), "settled")
+        free = touched.join(spread(first), "_c").groupBy(item).agg(F.every(F.col("_by") == F.col("_first")).alias("_ok")).where("_ok").select(item)
+        now = materialise(rest.join(spread(free), item, "left_semi"), "settled")
         taken = done.rows().where("outcome in ('placed', 'moved')").select(F.col("placed").alias("_c"), F.col(item).alias("_host"))
-        wanted = now.select(item, F.posexplode(F.concat(F.array("_cell"), "_others")).alias("_k", "_c")).join(taken, "_c", "left")
+        wanted = now.select(item, F.posexplode(F.concat(F.array("_cell"), "_others")).alias("_k", "_c")).join(spread(taken), "_c", "left")
         choice = wanted.groupBy(item).agg(F.min(F.when(F.col("_host").isNull(), F.struct("_k", "_c"))).alias("_best"), F.min(F.when(F.col("_k") == 0, F.col("_host"))).alias("_host"))
-        settled = now.join(choice, item)
+        settled = now.join(spread(choice), item)
         spot = F.col("_best._c")
         outcome = F.when(F.col("_best._k") == 0, "placed").when(spot.isNotNull(), "moved").when(F.col("_future"), "not_placed").otherwise("merged")
         done.add(result(settled, spot, outcome, F.when(outcome == "merged", F.col("_host"))))
-        rest = materialise(rest.join(free, item, "left_anti"), "placing")
+        rest = materialise(rest.join(spread(free), item, "left_anti"), "placing")
     raise RuntimeError(f"placing did not end in {max_rounds} rounds")
 
 
@@ -117,14 +117,14 @@ def trace_service(network: DataFrame, seeds: DataFrame, flow: str, active: str,
     # Walks are as long as most seeds need; those that neither ended nor served enough go on with longer ones.
     pending, reach = materialise(seeds.select(node).distinct(), "tracing"), 2 * max_cells
     while True:
-        walk = downstream(network, pending, node, to, reach).join(cells, "node").join(own, "seed").withColumn("_f", F.try_divide("_q0", "_q"))
+        walk = downstream(network, pending, node, to, reach).join(spread(cells), "node").join(spread(own), "seed").withColumn("_f", F.try_divide("_q0", "_q"))
         facts = walk.groupBy("seed").agg(F.min(F.when(~good, F.col("step"))).alias("_end"), F.max("step").alias("_far"))
-        held = walk.join(facts, "seed").where((F.col("_end").isNull() | (F.col("step") < F.col("_end"))) & F.col("_on"))
+        held = walk.join(spread(facts), "seed").where((F.col("_end").isNull() | (F.col("step") < F.col("_end"))) & F.col("_on"))
         # A walk has no more cells than its bound, and only the first count.
         ranked = held.withColumn("_r", F.row_number().over(Window.partitionBy("seed").orderBy("step"))).where(F.col("_r") <= max_cells)
         ranked = materialise(ranked.select("seed", "node", "step", F.least("_f", F.lit(1.0)).alias("fraction"), "_r"), "ranked")
         full = ranked.where(F.col("_r") == max_cells).select("seed", F.lit(True).alias("_full"))
-        open_ = facts.join(full, "seed", "left").where(F.col("_end").isNull() & (F.col("_far") >= reach) & F.col("_full").isNull()).select("seed")
+        open_ = facts.join(spread(full), "seed", "left").where(F.col("_end").isNull() & (F.col("_far") >= reach) & F.col("_full").isNull()).select("seed")
         open_ = materialise(open_, "tracing")
         found.add(ranked.drop("_r").join(open_, "seed", "left_anti"))
         if open_.isEmpty():
