@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fluvion.functions.physics import great_circle_km
 from fluvion.operators.graph import loops
+from fluvion.session import spread
 
 
 def link_geometry(network: DataFrame, cells: DataFrame, n_cols: int, node: str = "cell_id", to: str = "next_id") -> DataFrame:
@@ -18,7 +19,7 @@ def link_geometry(network: DataFrame, cells: DataFrame, n_cols: int, node: str =
     """
     at = lambda name, p: cells.select(F.col(node).alias(name), *[F.col(c).alias(f"{p}{c}") for c in ("row", "col", "lat", "lon")])
     links = network.where(F.col(to).isNotNull() & (F.col(to) != F.col(node))).select(F.col(node).alias("node"), F.col(to).alias("to"))
-    both = links.join(at("node", "_a"), "node").join(at("to", "_b"), "to")
+    both = links.join(spread(at("node", "_a")), "node").join(spread(at("to", "_b")), "to")
     half = n_cols // 2
     across = F.pmod(F.col("_bcol") - F.col("_acol") + half, F.lit(n_cols)) - half
     down = F.col("_brow") - F.col("_arow")
@@ -33,9 +34,9 @@ def network_checks(network: DataFrame, cells: DataFrame, n_cols: int, node: str
     known = ids.select("n").distinct()
     found = {
         "repeated": ids.groupBy("n").agg(F.count("*").alias("_c")).where("_c > 1").select("n"),
-        "not_active": known.join(on, "n", "left_anti"),
-        "without_node": on.join(known, "n", "left_anti"),
-        "unknown_target": ids.where("t is not null").join(known.select(F.col("n").alias("t")), "t", "left_anti").select("n"),
+        "not_active": known.join(spread(on), "n", "left_anti"),
+        "without_node": on.join(spread(known), "n", "left_anti"),
+        "unknown_target": ids.where("t is not null").join(spread(known.select(F.col("n").alias("t"))), "t", "left_anti").select("n"),
         "far_target": link_geometry(network, cells, n_cols, node, to).where("not neighbour").select(F.col("node").alias("n")),
         "loop": loops(network.dropDuplicates([node]), node, to).select(F.col("node").alias("n")),
     }
