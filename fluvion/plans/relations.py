@@ -114,9 +114,9 @@ WHERE sqrt((s.x - c.x) * (s.x - c.x) + (s.y - c.y) * (s.y - c.y)) <= 150 AND gre
 def radius_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs within a radius whose values are also within a factor of two."""
     s, c = _points(spark, sf_dir)
-    pairs = J.within_distance(s, c, "s_suppkey", "c_custkey", ["x", "y"], 150.0)
-    both = pairs.join(s.select("s_suppkey", F.col("x").alias("a")), "s_suppkey").join(c.select("c_custkey", F.col("x").alias("b")), "c_custkey")
-    return both.where(F.greatest("a", "b") <= 2 * F.least("a", "b")).select("s_suppkey", "c_custkey", F.round("distance", 6).alias("distance"))
+    close = lambda a, b: F.greatest(a[0], b[0]) <= 2 * F.least(a[0], b[0])
+    pairs = J.within_distance(s, c, "s_suppkey", "c_custkey", ["x", "y"], 150.0, also=close)
+    return pairs.withColumn("distance", F.round("distance", 6))
 
 
 @query()

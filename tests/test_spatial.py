@@ -154,3 +154,14 @@ def test_matching_equals_the_greedy_loop(spark, seed):
             right.add(b)
     out = joins.match_one_to_one(spark.createDataFrame(pairs, "a int, b int, d double"), "a", "b", "d")
     assert sorted(map(tuple, out.select("a", "b", "d").collect())) == sorted(want)
+
+
+def test_crowded_cubes_are_dealt_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(joins, "PAIRS", 60)
+    rnd = random.Random(8)
+    spot = lambda: (rnd.choice([5.0, rnd.uniform(0, 60)]), rnd.choice([5.0, rnd.uniform(-20, 20)]))
+    left, right = [(i, *spot()) for i in range(60)], [(i, *spot()) for i in range(90)]
+    df = lambda rows, name: spark.createDataFrame(rows, f"{name} int, x double, y double")
+    pairs = joins.within_distance(df(left, "l"), df(right, "r"), "l", "r", ["x", "y"], 7.0, also=lambda a, b: a[0] <= b[0])
+    assert pairs.rdd.getNumPartitions() >= 10
+    assert {(p.l, p.r) for p in pairs.collect()} == {(i, j) for i, x, y in left for j, u, v in right if math.hypot(x - u, y - v) <= 7 and x <= u}
