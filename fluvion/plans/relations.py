@@ -123,7 +123,7 @@ def radius_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One-to-one matching of suppliers and customers, nearest first; tested against the greedy loop."""
     s, c = _points(spark, sf_dir)
-    return J.match_one_to_one(J.within_distance(s, c, "s_suppkey", "c_custkey", ["x", "y"], 150.0), "s_suppkey", "c_custkey", "distance")
+    return J.match_nearest(s, c, "s_suppkey", "c_custkey", ["x", "y"], 150.0)
 
 
 PLACE = "({k} * 37 % 1200) / 10.0 - 60 AS lat, ({k} * 91 % 3600) / 10.0 - 180 AS lon"

@@ -165,3 +165,23 @@ def test_crowded_cubes_are_dealt_in_parts(spark, monkeypatch):
     pairs = joins.within_distance(df(left, "l"), df(right, "r"), "l", "r", ["x", "y"], 7.0, also=lambda a, b: a[0] <= b[0])
     assert pairs.rdd.getNumPartitions() >= 10
     assert {(p.l, p.r) for p in pairs.collect()} == {(i, j) for i, x, y in left for j, u, v in right if math.hypot(x - u, y - v) <= 7 and x <= u}
+
+
+@pytest.mark.parametrize("radius", [6.0, None])
+def test_matching_by_lists_equals_the_greedy_loop(spark, radius):
+    rnd = random.Random(5)
+    spot = lambda: (rnd.choice([3.0, 3.25, rnd.uniform(0, 4), rnd.uniform(0, 40)]), float(rnd.randrange(4)))
+    left, right = [(i, *spot(), rnd.randrange(2)) for i in range(70)], [(i, *spot(), rnd.randrange(2)) for i in range(60)]
+    left.append((99, None, 1.0, 0))
+    equal = None if radius else ["k"]
+    want, pairs = {}, []
+    for i, x, y, k in left:
+        for j, u, v, m in right:
+            if x is not None and (radius is None or math.sqrt((x - u) * (x - u) + (y - v) * (y - v)) <= radius) and (equal is None or k == m):
+                pairs.append((math.sqrt((x - u) * (x - u) + (y - v) * (y - v)), i, j))
+    for _, i, j in sorted(pairs):
+        if i not in want and j not in want.values():
+            want[i] = j
+    df = lambda rows, name: spark.createDataFrame(rows, f"{name} int, x double, y double, k int")
+    got = joins.match_nearest(df(left, "l"), df(right, "r"), "l", "r", ["x", "y"], radius, equal)
+    assert {r.l: r.r for r in got.collect()} == want
