@@ -140,9 +140,7 @@ def staged_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged(s: DataFrame, c: DataFrame) -> DataFrame:
-    far = lambda d: F.sqrt(F.pow(F.col("x") - F.col("_x"), 2) + F.pow(F.col("y") - F.col("_y"), 2))
-    other = lambda d: d.select("c_custkey", F.col("x").alias("_x"), F.col("y").alias("_y"), "code")
     given = lambda a, b: a.where("s_suppkey % 10 = 0").join(b, F.col("s_suppkey") * 10 == F.col("c_custkey")).select("s_suppkey", "c_custkey", F.lit(0.0).alias("distance"))
-    coded = lambda a, b: a.join(other(b), "code").select("s_suppkey", "c_custkey", far(None).alias("distance"))
-    placed = lambda a, b: J.within_distance(a, b, "s_suppkey", "c_custkey", ["x", "y"], 120.0)
+    coded = lambda a, b: J.match_nearest(a, b, "s_suppkey", "c_custkey", ["x", "y"], equal=["code"])
+    placed = lambda a, b: J.match_nearest(a, b, "s_suppkey", "c_custkey", ["x", "y"], 120.0)
     return J.match_in_stages(s, c, "s_suppkey", "c_custkey", [("given", given), ("code", coded), ("place", placed)])
