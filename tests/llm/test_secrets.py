@@ -142,3 +142,33 @@ def test_redaction_without_a_length_column(spark):
     docs = spark.createDataFrame([(1, "token = abcdefgh123", "k"), (2, None, "k")], "doc_id long, text string, spans string")
     got = secrets.redact(docs, secrets.SecretModel({}, secrets.word_model({}))).collect()
     assert [r.text for r in got] == ["[SECRET]", None] and got[0].spans == "k"
+
+
+def test_formats_are_learned_from_all_documents(spark):
+    """Every credential and word counts, those beyond the 300th of a label too; the driver's trees and Spark's are one."""
+    draw = random.Random(9)
+    tokens = ["".join(draw.choices("0123456789abcdef", k=draw.choice([8, 8, 12]))) for _ in range(400)] + ["Z" * 700]
+    docs = spark.createDataFrame([(i, f"plain q{i % 7} token = {t}") for i, t in enumerate(tokens)], "doc_id long, text string")
+    counts = Counter(p for i in range(len(tokens)) for w in ("plain", f"q{i % 7}") for p in map("".join, zip(w, w[1:] + "$")))
+    one, two = secrets.fit_secrets(docs), secrets.fit_secrets(docs, together=0)
+    assert one == two and len(set(tokens)) > 390 and one.formats["token"] == secrets.infer(list(set(tokens)))
+    expected = secrets.word_model(counts)
+    assert all(abs(one.word[p] - expected[p]) < 1e-9 for p in counts)
+
+
+def test_small_branches_share_states_and_every_word_is_counted():
+    draw = random.Random(3)
+    words = ["".join(draw.choices("abcxyzABC019", k=draw.choice([6, 6, 10, 40, 600]))) for _ in range(1500)]
+    states = secrets.prefix_tree(words)
+    assert states[0].count == len(words) and sum(s.end for s in states) == len(words)
+    assert sum(sum(s.moved.values()) for s in states) == sum(map(len, words))
+    came = Counter()
+    for s in states:
+        assert s.count == s.end + sum(s.moved.values()) == s.left.total() and s.to.keys() == s.moved.keys()
+        for symbol, t in s.to.items():
+            came[t] += s.moved[symbol]
+    assert all(came[i] == s.count for i, s in enumerate(states) if i and i not in s.to.values())
+    more = secrets.prefix_tree(words * 4)
+    assert len(more) < 2 * len(states)
+    automaton = secrets.merged(states)
+    assert all(abs(math.exp(e) + math.exp(o[0]) + sum(math.exp(p) for p, _ in step.values()) - 1) < 1e-9 for e, o, step in zip(automaton.ends, automaton.other, automaton.steps, strict=True))
