@@ -135,6 +135,10 @@ def trace_service(network: DataFrame, seeds: DataFrame, flow: str, active: str,
     return served.unionByName(none.select("seed", F.col("seed").alias("node"), F.lit(0).alias("step"), F.lit(1.0).alias("fraction")))
 
 
+#: Rows of names that one task holds, about.
+NAMES_A_TASK = 100_000
+
+
 def name_candidates(left: DataFrame, right: DataFrame, lid: str, rid: str, name: str, k: int = 3, token_share: float = 0.5) -> DataFrame:
     """``(lid, rid, similarity, rank)``: the ``k`` most similar names on the right that share a word with each name on the left.
 
@@ -142,10 +146,16 @@ def name_candidates(left: DataFrame, right: DataFrame, lid: str, rid: str, name:
     most ``token_share`` of the right side join the names, so a word that all
     names hold (dam, lake) makes no pairs by itself.
     """
-    words = lambda d, i, n: d.select(F.col(i), F.col(name).alias(n), F.explode(F.array_distinct(F.split(F.col(name), " "))).alias("_w")).where("_w <> ''")
-    r = words(right, rid, "_b")
-    usual = r.groupBy("_w").agg(F.count_distinct(rid).alias("_n")).crossJoin(F.broadcast(right.agg(F.count("*").alias("_all")))).where(F.col("_n") <= token_share * F.col("_all")).select("_w")
-    pairs = words(left, lid, "_a").join(r.join(usual, "_w", "left_semi"), "_w").select(lid, rid, "_a", "_b").distinct()
+    words = lambda d, *kept: d.select(*kept, F.explode(F.array_distinct(F.split(F.col(name), " "))).alias("_w")).where("_w <> ''")
+    total = right.count()
+    # Rows of one id lie in one part, so that their words are counted once without meeting all others.
+    dealt = right.select(rid, name).where(F.col(name).isNotNull()).repartition(total // NAMES_A_TASK + 1, rid)
+    counts = words(dealt.where(F.col(rid).isNotNull()), rid).distinct().groupBy("_w").agg(F.count("*").alias("_n"))
+    usual = counts.where(F.col("_n") <= token_share * total).select("_w")
+    # Of equal names only the k smallest ids can be among the first k.
+    first = dealt.distinct().withColumn("_i", F.row_number().over(Window.partitionBy(name).orderBy(rid))).where(F.col("_i") <= k)
+    r = words(first, F.col(rid), F.col(name).alias("_b")).join(usual, "_w", "left_semi")
+    pairs = r.join(spread(words(left, F.col(lid), F.col(name).alias("_a"))), "_w").select(lid, rid, "_a", "_b").distinct()
     longer = F.greatest(F.char_length("_a"), F.char_length("_b"))
     scored = pairs.select(lid, rid, F.round(1 - F.levenshtein("_a", "_b") / longer, 9).alias("similarity"))
     return scored.withColumn("rank", F.row_number().over(Window.partitionBy(lid).orderBy(F.desc("similarity"), rid))).where(F.col("rank") <= k)

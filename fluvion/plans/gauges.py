@@ -114,7 +114,9 @@ def name_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three most similar parts for each kind's own name (a top-k report)."""
     part = table(spark, sf_dir, "part")
     right = part.select("p_partkey", F.lower(F.concat_ws(" ", "p_brand", "p_type", "p_size")).alias("name"))
-    left = part.groupBy(F.col("p_type").alias("kind")).agg(F.lower(F.concat_ws(" ", F.first("p_type"), F.min("p_brand"), F.max("p_size"))).alias("name"))
+    # Brands first: a least string is found by sorting, which is to see few rows.
+    brands = part.groupBy(F.col("p_type").alias("kind"), "p_brand").agg(F.max("p_size").alias("p_size"))
+    left = brands.groupBy("kind").agg(F.lower(F.concat_ws(" ", "kind", F.min("p_brand"), F.max("p_size"))).alias("name"))
     return S.name_candidates(left, right, "kind", "p_partkey", "name", 3)
 
 

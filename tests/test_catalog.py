@@ -1,5 +1,7 @@
 """Hand-computed cases of catalogues, series and checks."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from test_operators import values
@@ -92,6 +94,37 @@ def test_name_candidates_need_a_common_rare_word(spark):
     assert got == [(1, 1, 1), (1, 2, 2)]
 
 
+def test_equal_candidate_names_are_compared_once(spark, monkeypatch):
+    """Against the definition, with ids and names that repeat; the comparisons grow with the different names."""
+    draw = random.Random(5)
+    names = ["old mill dam", "new mill dam", "hill dam", "old hill weir", "dam", "", None]
+    right = [(draw.choice([None, *range(300)]), draw.choice(names)) for _ in range(1500)]
+    left = [(1, "old mill"), (2, "hill weir"), (3, "dam"), (4, None), (1, "new weir")]
+    done = spark.sparkContext.accumulator(0)
+
+    def distance(a, b):
+        return abs(len(a) - len(b)) + sum(x != y for x, y in zip(a, b))
+
+    def counted(a, b):
+        done.add(1)
+        return distance(a, b)
+
+    holders = {w: {i for i, n in right if i is not None and w in (n or "").split()} for w in "old new mill hill dam weir".split()}
+    usual = {w for w, ids in holders.items() if 0 < len(ids) <= 0.12 * len(right)}
+    assert 0 < len(usual) < len(holders)
+    with monkeypatch.context() as patched:
+        patched.setattr(placement.F, "levenshtein", placement.F.udf(counted, "int"))
+        patched.setattr(placement, "NAMES_A_TASK", 100)
+        got = placement.name_candidates(spark.createDataFrame(left, "l int, name string"), spark.createDataFrame(right, "r int, name string"), "l", "r", "name", 2, 0.12).collect()
+    pairs = {(i, j, round(1 - distance(a, b) / max(len(a), len(b)), 9), a, b) for i, a in left for j, b in right if a and b and usual & set(a.split()) & set(b.split())}
+    expected = []
+    for i in {p[0] for p in pairs}:
+        own = sorted((p for p in pairs if p[0] == i), key=lambda p: (-p[2], p[1] is not None, p[1] or 0))
+        expected += [(i, p[1], p[2], k + 1) for k, p in enumerate(own[:2])]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
+    assert 0 < done.value <= 4 * len(left) * len(names) < len(pairs)
+
+
 def test_text_tables_and_reports(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes("\ufeffname;cap \n# a note\nOne; 5\nTwo;\n".encode())
     assert values(text.read_delimited(spark, str(tmp_path / "a.csv"), sep=";"), "name") == [("One", "5"), ("Two", None)]
